@@ -68,7 +68,8 @@ def attribution_detail(classified: DataFrame) -> DataFrame:
         F.col("channel").isNotNull().alias("observed"),
     )
     every = Window.partitionBy()  # <= 4 rows after the aggregate
-    d = d.where(F.col("observed") | ~F.max(F.col("observed")).over(every))
+    d = d.withColumn("_any_observed", F.max(F.col("observed")).over(every))
+    d = d.where(F.col("observed") | ~F.col("_any_observed")).drop("_any_observed")
     d = d.withColumn("raw_kpi_estimate", F.col("raw_sessions") * F.col("avg_conv_value"))
     d = d.withColumn("total_clean", X.zero_guard(F.sum("clean_kpi").over(every)))
     d = d.withColumn("total_raw", X.zero_guard(F.sum("raw_kpi_estimate").over(every)))

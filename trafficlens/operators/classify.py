@@ -129,7 +129,7 @@ def session_outliers(df: DataFrame, features=C.FEATURES, threshold: float = 3.5,
 
     meds = {f: df.agg(med(F.col(f).cast("double"))).scalar() for f in features}
     mads = {f: df.agg(med(F.abs(F.col(f).cast("double") - meds[f]))).scalar() for f in features}
-    zs = {f"z_{f}": F.round(F.try_divide(F.lit(0.6745) * (F.col(f).cast("double") - meds[f]), mads[f]), 3)
+    zs = {f"z_{f}": F.round(F.try_divide(F.lit(0.6745) * (F.col(f).cast("double") - meds[f]), mads[f]), 4)
           for f in features}
     out = df.select("client_id", "session_id", *[v.alias(k) for k, v in zs.items()])
     mx = F.greatest(*[F.abs(F.col(k)) for k in zs])

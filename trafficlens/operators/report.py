@@ -36,7 +36,11 @@ def daily_join(classified: DataFrame) -> DataFrame:
 def _packed(df: DataFrame, order: str, cols: list[str]) -> DataFrame:
     """Pack a small ordered result (<= 7 or <= 4 rows) into arrays of one row."""
     s = F.array_sort(F.collect_list(F.struct(order, *cols)))
-    return df.agg(*[F.transform(s, lambda x, c=c: x[c]).alias(c) for c in cols])
+
+    def field(c):
+        return lambda x: x[c]
+
+    return df.agg(*[F.transform(s, field(c)).alias(c) for c in cols])
 
 
 def summary_document(classified: DataFrame, mode: str = "batch", days: int = 7) -> DataFrame:

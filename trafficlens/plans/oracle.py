@@ -248,7 +248,7 @@ FROM m GROUP BY user_id, sn"""
 
 def _robust(feature: str) -> str:
     return f"""round(0.6745 * ({feature} - (SELECT med FROM st WHERE f = '{feature}'))
-                / nullif((SELECT mad FROM st WHERE f = '{feature}'), 0), 3)"""
+                / nullif((SELECT mad FROM st WHERE f = '{feature}'), 0), 4)"""
 
 
 SQL: dict[str, str] = {
