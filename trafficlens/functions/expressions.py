@@ -25,9 +25,23 @@ def event_param(params, key: str, kind: str = "int_value") -> Column:
     return F.get(hit, 0)["value"][kind]
 
 
+def ntz_micros(ts) -> Column:
+    """Microseconds since epoch of a wall-clock (``timestamp_ntz``) UTC time,
+    whatever the session time zone."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col(ts))
+
+
+def utc_instant(ts) -> Column:
+    """A ``timestamp_ntz`` read as UTC, as an instant (``timestamp``); event
+    time for watermarks."""
+    return F.timestamp_micros(ntz_micros(ts))
+
+
 def micros_to_iso(us) -> Column:
-    """Microseconds since epoch (UTC) as ``yyyy-MM-ddTHH:mm:ss``."""
-    return F.date_format(F.timestamp_micros(col(us)), "yyyy-MM-dd'T'HH:mm:ss")
+    """Microseconds since epoch as UTC ``yyyy-MM-ddTHH:mm:ss`` in any session
+    time zone."""
+    return F.date_format(F.to_utc_timestamp(F.timestamp_micros(col(us)), F.current_timezone()),
+                         "yyyy-MM-dd'T'HH:mm:ss")
 
 
 def iso_to_date(s) -> Column:

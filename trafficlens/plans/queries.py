@@ -21,6 +21,7 @@ from ..operators import panel as P
 from ..operators import report as R
 from ..operators import sessionize as S
 from ..operators import signals as SG
+from ..functions.expressions import ntz_micros
 from ..session import scratch_path
 from ..sources import fixtures as FX
 from ..sources import sinks
@@ -56,7 +57,7 @@ def _cleaned(spark, d) -> DataFrame:
 
 def _raw_events(spark, d) -> DataFrame:
     return table(spark, d, "events").select(
-        "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "event_id")
+        "user_id", ntz_micros("ts").alias("us"), "event_id")
 
 
 def _allowed_hits(spark, d) -> DataFrame:

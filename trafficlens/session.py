@@ -21,6 +21,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.exchange.reuse": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -44,7 +45,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def apply_defaults(spark: SparkSession) -> SparkSession:
     """Set runtime SQL defaults the cluster left unset."""
     for k, v in DEFAULTS.items():
-        if k == "spark.ui.enabled":
+        if k in ("spark.ui.enabled", "spark.ui.showConsoleProgress"):
             continue
         if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)

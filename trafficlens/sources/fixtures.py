@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.expressions import channel_of
+from ..functions.expressions import channel_of, ntz_micros
 from .tables import table
 
 # Fixed assignments of the fixture (FIXTURES.md), stated in natural order.
@@ -105,7 +105,7 @@ def ga_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         uid.cast("string").alias("user_pseudo_id"),
         F.col("event_id"),
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("event_timestamp"),
+        ntz_micros("ts").alias("event_timestamp"),
         F.to_date("ts").alias("event_date"),
         F.col("event_name"),
         params.alias("event_params"),

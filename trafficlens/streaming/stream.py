@@ -19,14 +19,14 @@ EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type s
 
 def read_event_stream(spark: SparkSession, directory: str, glob: str | None = "events.parquet",
                       max_files_per_trigger: int | None = None, schema: str = EVENTS_SCHEMA) -> DataFrame:
-    """Hit stream from a folder of Parquet files. ``ts`` becomes a session
-    time-zone timestamp, which watermarks require."""
+    """Hit stream from a folder of Parquet files. ``ts`` (UTC wall clock)
+    becomes an instant (``timestamp``), which watermarks require."""
     r = spark.readStream.schema(schema)
     if glob:
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(directory).withColumn("ts", F.col("ts").cast("timestamp"))
+    return r.parquet(directory).withColumn("ts", X.utc_instant("ts"))
 
 
 def stream_gap_sessions(events: DataFrame, gap: str = "30 minutes", watermark: str = "1 hour",
