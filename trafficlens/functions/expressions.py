@@ -158,3 +158,22 @@ def zero_guard(x) -> Column:
     """0 (or NULL) becomes 1.0."""
     x = col(x)
     return F.when(F.coalesce(x, F.lit(0.0)) == 0, F.lit(1.0)).otherwise(x)
+
+
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, float):
+        return f"CAST({v!r} AS DOUBLE)"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def const_table(spark, rows, columns):
+    """A small constant table as a JVM local relation (SQL ``VALUES``): no
+    Python round trip, exact size known to the planner."""
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns)})")

@@ -23,9 +23,8 @@ MAX_CHANNELS = len({n for _, n in C.CHANNEL_NAMES}) + 1
 
 def paid_dimension(spark: SparkSession) -> DataFrame:
     roas = dict(C.CHANNEL_ROAS)
-    return spark.createDataFrame(
-        [(n, i, float(roas.get(n, C.DEFAULT_ROAS))) for i, n in enumerate(C.PAID_CHANNELS)],
-        "name string, priority int, roas double")
+    return X.const_table(spark, [(n, i, float(roas.get(n, C.DEFAULT_ROAS))) for i, n in enumerate(C.PAID_CHANNELS)],
+                         ["name", "priority", "roas"])
 
 
 def channel_map(sessions: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ def classify_sessions(df: DataFrame, t: C.Thresholds = C.Thresholds(), with_rule
 
 def class_dimension(spark: SparkSession) -> DataFrame:
     """The three classes in fixed order (a 3-row constant table)."""
-    return spark.createDataFrame([(c, i) for i, c in enumerate(C.CLASSES)], "class string, class_order int")
+    return X.const_table(spark, [(c, i) for i, c in enumerate(C.CLASSES)], ["class", "class_order"])
 
 
 def class_distribution(classified: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions import expressions as X
 from .classify import CLASS
 
 # Export columns, in order; only those present are kept.
@@ -19,7 +20,7 @@ EXPORT_COLUMNS = (
 
 
 def conv_value_table(spark: SparkSession, mapping=C.CONV_VALUES) -> DataFrame:
-    return spark.createDataFrame([(k, float(v)) for k, v in mapping], "source_medium string, _conv_value double")
+    return X.const_table(spark, [(k, float(v)) for k, v in mapping], ["source_medium", "_conv_value"])
 
 
 def with_conversion_value(df: DataFrame, values: DataFrame | None = None,

@@ -5,9 +5,10 @@ task; one bot client can own a large share of all hits. Instead the hits are
 range-partitioned on (key, time, tie-breaker): the range partitioner samples
 the full sort key, so one heavy key is cut into many contiguous slices
 ("runs", one per task). A small Arrow kernel computes the gap to the previous
-hit inside each slice; the only cross-task information needed is the first
-and last time of each run, which is aggregated to at most
-``keys x tasks`` rows and stitched with window functions over runs.
+hit (or folds hits into sessions) inside each slice; the only cross-task
+information needed is the first and last time of each run, which is
+aggregated to at most one row per key and task and stitched with window
+functions over runs.
 
 Work per task is bounded by the partition size, whatever the key skew.
 """
@@ -57,15 +58,13 @@ def _key_change(arrays: list[np.ndarray], prev: tuple | None) -> np.ndarray:
     return change
 
 
-def _gap_kernel(keys: list[str], gap_limit_us: int | None):
+def _gap_kernel(keys: list[str]):
     """Arrow kernel: per-row gap to the previous hit of the same key inside the
-    task, and (when ``gap_limit_us`` is set) the start of the current
-    inactivity session inside the task (NULL for the run's head session)."""
+    task (NULL for the first hit of a key in the task)."""
 
     def fn(batches):
         prev_key = None
         prev_us = None
-        cur_start = None  # local session start carried across batches
         for b in batches:
             n = b.num_rows
             if n == 0:
@@ -76,27 +75,8 @@ def _gap_kernel(keys: list[str], gap_limit_us: int | None):
             prev_us_arr = np.empty(n, dtype=np.int64)
             prev_us_arr[1:] = us[:-1]
             prev_us_arr[0] = prev_us if prev_us is not None else 0
-            gap = us - prev_us_arr
-            valid = ~change
             cols = {c: b.column(c) for c in b.schema.names}
-            cols[GAP] = pa.array(gap, mask=~valid, type=pa.int64())
-            if gap_limit_us is not None:
-                # A key change opens the run's head session (start unknown
-                # here: NULL); a gap above the limit opens a local session
-                # starting at that hit; other rows inherit from the row before.
-                brk = valid & (gap > gap_limit_us)
-                event = change | brk
-                idx = np.maximum.accumulate(np.where(event, np.arange(n), -1))
-                safe = np.maximum(idx, 0)
-                start = np.where(idx >= 0, us[safe], 0).astype(np.int64)
-                mask = (idx >= 0) & change[safe]
-                carried = idx < 0  # no event yet in this batch
-                if cur_start is None:
-                    mask = mask | carried
-                else:
-                    start[carried] = cur_start
-                cols[LOCAL_START] = pa.array(start, mask=mask, type=pa.int64())
-                cur_start = None if mask[-1] else int(start[-1])
+            cols[GAP] = pa.array(us - prev_us_arr, mask=change, type=pa.int64())
             prev_key = tuple(a[-1] for a in karr)
             prev_us = int(us[-1])
             yield pa.RecordBatch.from_pydict(cols)
@@ -104,11 +84,9 @@ def _gap_kernel(keys: list[str], gap_limit_us: int | None):
     return fn
 
 
-def _with_gaps(sorted_df: DataFrame, keys: list[str], gap_limit_us: int | None = None) -> DataFrame:
+def _with_gaps(sorted_df: DataFrame, keys: list[str]) -> DataFrame:
     fields = list(sorted_df.schema.fields) + [T.StructField(GAP, T.LongType(), True)]
-    if gap_limit_us is not None:
-        fields.append(T.StructField(LOCAL_START, T.LongType(), True))
-    return sorted_df.mapInArrow(_gap_kernel(keys, gap_limit_us), T.StructType(fields))
+    return sorted_df.mapInArrow(_gap_kernel(keys), T.StructType(fields))
 
 
 def gap_stats(df: DataFrame, keys: list[str], us: str, tie: str | None = None,
@@ -156,6 +134,86 @@ def gap_stats(df: DataFrame, keys: list[str], us: str, tie: str | None = None,
     )
 
 
+def _session_kernel(keys: list[str], gap_limit_us: int):
+    """Arrow kernel: one output row per local inactivity session inside the
+    task (keys, run, local start or NULL for the run's head session, hit
+    count, first and last time). Consecutive hits are folded in the task, so
+    only sessions leave it."""
+    out_names = [*keys, RUN, LOCAL_START, "n", "first_us", "last_us"]
+
+    def emit(key_arrays, run, local_start, start_mask, n, first, last):
+        cols = list(key_arrays) + [
+            pa.array(np.full(len(n), run, dtype=np.int32), type=pa.int32()),
+            pa.array(local_start, mask=start_mask, type=pa.int64()),
+            pa.array(n, type=pa.int64()),
+            pa.array(first, type=pa.int64()),
+            pa.array(last, type=pa.int64()),
+        ]
+        return pa.RecordBatch.from_arrays(cols, names=out_names)
+
+    def fn(batches):
+        prev_key = None
+        prev_us = None
+        carry = None  # the open session: [key arrays (1 row), run, start, start_null, n, first, last]
+        for b in batches:
+            n = b.num_rows
+            if n == 0:
+                continue
+            karr = [b.column(k).to_numpy(zero_copy_only=False) for k in keys]
+            us = b.column(US).to_numpy(zero_copy_only=False).astype(np.int64)
+            run = int(b.column(RUN)[0].as_py())
+            change = _key_change(karr, prev_key)
+            prev_us_arr = np.empty(n, dtype=np.int64)
+            prev_us_arr[1:] = us[:-1]
+            prev_us_arr[0] = prev_us if prev_us is not None else 0
+            brk = ~change & ((us - prev_us_arr) > gap_limit_us)
+            starts = np.flatnonzero(change | brk)
+            head_len = int(starts[0]) if len(starts) else n
+            if head_len and carry is not None:  # rows continuing the open session
+                carry[4] += head_len
+                carry[6] = int(us[head_len - 1])
+            if len(starts):
+                if carry is not None:
+                    yield emit(carry[0], carry[1], np.array([carry[2]]), np.array([carry[3]]),
+                               np.array([carry[4]]), np.array([carry[5]]), np.array([carry[6]]))
+                ends = np.append(starts[1:], n)
+                idx = pa.array(starts)
+                key_arrays = [b.column(k).take(idx) for k in keys]
+                seg_n = (ends - starts).astype(np.int64)
+                first = us[starts]
+                last = us[ends - 1]
+                start_null = change[starts]
+                done = len(starts) - 1  # all but the last session are closed
+                if done:
+                    yield emit([a.slice(0, done) for a in key_arrays], run, first[:done], start_null[:done],
+                               seg_n[:done], first[:done], last[:done])
+                carry = [[a.slice(done, 1) for a in key_arrays], run, int(first[done]), bool(start_null[done]),
+                         int(seg_n[done]), int(first[done]), int(last[done])]
+            prev_key = tuple(a[-1] for a in karr)
+            prev_us = int(us[-1])
+        if carry is not None:
+            yield emit(carry[0], carry[1], np.array([carry[2]]), np.array([carry[3]]),
+                       np.array([carry[4]]), np.array([carry[5]]), np.array([carry[6]]))
+
+    return fn
+
+
+def local_sessions(df: DataFrame, keys: list[str], us: str, gap_us: int, tie: str | None = None,
+                   num_partitions: int | None = None) -> DataFrame:
+    """Inactivity sessions as seen inside each task of the range-sorted hits
+    (a session cut by a task boundary appears once per task)."""
+    sorted_df = range_sorted(df, keys, us, tie, num_partitions)
+    key_fields = [f for f in sorted_df.schema.fields if f.name in keys]
+    schema = T.StructType(key_fields + [
+        T.StructField(RUN, T.IntegerType(), False),
+        T.StructField(LOCAL_START, T.LongType(), True),
+        T.StructField("n", T.LongType(), False),
+        T.StructField("first_us", T.LongType(), False),
+        T.StructField("last_us", T.LongType(), False),
+    ])
+    return sorted_df.mapInArrow(_session_kernel(keys, gap_us), schema)
+
+
 def gap_sessions(df: DataFrame, keys: list[str], us: str, gap_us: int, tie: str | None = None,
                  num_partitions: int | None = None) -> DataFrame:
     """Inactivity sessions per key: a hit more than ``gap_us`` after the
@@ -163,13 +221,15 @@ def gap_sessions(df: DataFrame, keys: list[str], us: str, gap_us: int, tie: str
     ``gap_us`` continues it, as Spark's ``session_window`` does).
 
     Output: keys, session_start_us, session_end_us (last hit + gap), n_events.
+
+    The local sessions are read twice (run summary, and the final grouping),
+    so they are checkpointed to the shared checkpoint folder: the sort and
+    the Arrow pass run once, and the run ids stay identical for both reads.
     """
-    rows = _with_gaps(range_sorted(df, keys, us, tie, num_partitions), keys, gap_us)
-    local = rows.groupBy(*keys, RUN, LOCAL_START).agg(
-        F.count(F.lit(1)).alias("n"), F.min(US).alias("first_us"), F.max(US).alias("last_us"))
+    local = local_sessions(df, keys, us, gap_us, tie, num_partitions).checkpoint(eager=True)
     runs = local.groupBy(*keys, RUN).agg(
         F.min("first_us").alias("run_first"), F.max("last_us").alias("run_last"), F.max(LOCAL_START).alias("last_brk"))
-    w = Window.partitionBy(*keys).orderBy("run_first")
+    w = Window.partitionBy(*keys).orderBy("run_first")  # at most one row per task per key
     prev_last = F.lag("run_last").over(w)
     runs = runs.withColumn("anchor", F.when(prev_last.isNull() | ((F.col("run_first") - prev_last) > gap_us),
                                             F.col("run_first")))
@@ -178,7 +238,8 @@ def gap_sessions(df: DataFrame, keys: list[str], us: str, gap_us: int, tie: str
     fix = runs.select(*keys, RUN, F.coalesce(F.col("anchor"), carry).alias("head_start"))
     joined = local.join(fix, [*keys, RUN], "inner")
     start = F.coalesce(F.col(LOCAL_START), F.col("head_start"))
-    return joined.groupBy(*keys, start.alias("session_start_us")).agg(
+    return joined.groupBy(*keys, start.alias("_sid")).agg(
+        F.min("first_us").alias("session_start_us"),
         (F.max("last_us") + F.lit(gap_us)).alias("session_end_us"),
         F.sum("n").alias("n_events"),
-    )
+    ).drop("_sid")

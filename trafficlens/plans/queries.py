@@ -56,7 +56,7 @@ def _cleaned(spark, d) -> DataFrame:
 
 
 def _raw_events(spark, d) -> DataFrame:
-    return table(spark, d, "events").select(
+    return table(spark, d, "events", spread=True).select(
         "user_id", ntz_micros("ts").alias("us"), "event_id")
 
 
