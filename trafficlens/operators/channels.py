@@ -46,16 +46,22 @@ def channel_stats(classified: DataFrame) -> DataFrame:
 
 
 def observed_channels(classified: DataFrame) -> DataFrame:
-    """Channels seen in raw or in cleaned sessions (set union)."""
-    raw = classified.select(X.channel_of("source_medium").alias("channel"))
-    clean = classified.where(F.col(CLASS) == C.HUMAN).select(X.channel_of("source_medium").alias("channel"))
-    return raw.union(clean).distinct()
+    """Channels seen in raw or in cleaned sessions (set union), in one scan:
+    each row contributes its raw channel and, if human, its clean channel."""
+    ch = X.channel_of("source_medium")
+    both = F.array(ch, F.when(F.col(CLASS) == C.HUMAN, ch))
+    return classified.select(F.explode(both).alias("channel")).where(F.col("channel").isNotNull()).distinct()
 
 
 def attribution_detail(classified: DataFrame) -> DataFrame:
     """All attribution columns, one row per reported paid channel."""
-    stats = channel_stats(classified)
-    paid = paid_dimension(classified.sparkSession)
+    return attribution_from_stats(channel_stats(classified))
+
+
+def attribution_from_stats(stats: DataFrame) -> DataFrame:
+    """Attribution from per-channel stats (channel, raw_sessions,
+    clean_sessions, clean_kpi, avg_conv_value)."""
+    paid = paid_dimension(stats.sparkSession)
     # stats has at most MAX_CHANNELS rows (keyed by channel_of), so broadcasting it is bounded.
     d = paid.join(F.broadcast(stats), paid["name"] == stats["channel"], "left")
     d = d.select(

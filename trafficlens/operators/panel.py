@@ -36,11 +36,14 @@ def weekly_channel_panel(cleaned: DataFrame, geo_col: str | None = None) -> Data
     paid = list(C.PAID_CHANNELS)
     c = cleaned.select(geo.alias("geo"), _week("event_timestamp").alias("week"),
                        X.channel_of("source_medium").alias("channel"), "conversion_value_usd")
-    weekly = c.where(F.col("channel").isin(*paid)).groupBy("geo", "week", "channel").agg(
+    # one aggregate over all channels; week bounds and geos come from it, so
+    # the sessions are scanned and shuffled once (the exchange is reused)
+    allw = c.groupBy("geo", "week", "channel").agg(
         F.sum("conversion_value_usd").alias("_kpi"), F.count(F.lit(1)).alias("_sessions"))
-    lo = c.agg(F.min("week")).scalar()
-    hi = c.agg(F.max("week")).scalar()
-    geos = c.select("geo").distinct()
+    weekly = allw.where(F.col("channel").isin(*paid))
+    lo = allw.agg(F.min("week")).scalar()
+    hi = allw.agg(F.max("week")).scalar()
+    geos = allw.select("geo").distinct()
     grid = (geos.withColumn("week", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 7 DAYS"))))
             .withColumn("channel", F.explode(F.array(*[F.lit(p) for p in paid]))))
     p = grid.join(weekly, ["geo", "week", "channel"], "left")

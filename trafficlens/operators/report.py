@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import expressions as X
-from .channels import attribution_detail
+from .channels import attribution_from_stats
 from .classify import CLASS
-from .clean import session_totals, vbb_summary
+from .clean import with_conversion_value
 
 
 def _daily_counts(classified: DataFrame) -> DataFrame:
@@ -43,12 +43,46 @@ def _packed(df: DataFrame, order: str, cols: list[str]) -> DataFrame:
     return df.agg(*[F.transform(s, field(c)).alias(c) for c in cols])
 
 
+def day_channel_cube(classified: DataFrame) -> DataFrame:
+    """The one aggregate every summary figure derives from: per day and
+    channel, raw and clean sessions and clean conversion value. Its size is
+    days x channels, whatever the number of sessions."""
+    v = with_conversion_value(classified)
+    human = F.col(CLASS) == C.HUMAN
+    return v.groupBy(X.iso_to_date("event_timestamp").alias("day"),
+                     X.channel_of("source_medium").alias("channel")).agg(
+        F.count(F.lit(1)).alias("raw"), F.count_if(human).alias("cleaned"),
+        F.sum(F.when(human, F.col("conversion_value_usd"))).alias("kpi"))
+
+
 def summary_document(classified: DataFrame, mode: str = "batch", days: int = 7) -> DataFrame:
-    """The nested summary as a one-row DataFrame of structs and arrays."""
-    totals = session_totals(classified)
-    daily = _packed(daily_sessions(classified, days), "day", ["label", "raw", "cleaned"])
-    vbb = vbb_summary(classified)
-    det = attribution_detail(classified)
+    """The nested summary as a one-row DataFrame of structs and arrays.
+
+    All parts come from ``day_channel_cube``: the input is scanned and
+    shuffled once and the parts (scalar subqueries) reuse that exchange."""
+    cube = day_channel_cube(classified)
+    t = cube.agg(F.sum("raw").alias("total_raw"), F.sum("cleaned").alias("total_cleaned"),
+                 F.sum("kpi").alias("_kpi"))
+    bots = F.col("total_raw") - F.col("total_cleaned")
+    totals = t.select(
+        F.coalesce("total_raw", F.lit(0).cast("bigint")).alias("total_raw"),
+        F.coalesce("total_cleaned", F.lit(0).cast("bigint")).alias("total_cleaned"),
+        F.coalesce(bots, F.lit(0).cast("bigint")).alias("bots_removed"),
+        F.round(F.try_divide(bots * 100.0, F.col("total_raw")), 1).alias("bots_removed_pct"),
+        F.round(F.try_divide(F.col("total_cleaned") * 100.0, F.col("total_raw")), 1).alias("human_pct"),
+        F.round(F.coalesce(F.col("_kpi"), F.lit(0.0)), 2).alias("total_conv_value"),
+        F.round(F.try_divide(F.col("_kpi"), F.col("total_cleaned")), 2).alias("avg_conv_value"),
+        F.round(F.coalesce(bots, F.lit(0)) * F.lit(C.CPC_USD), 2).alias("estimated_spend_saved"),
+    )
+    per_day = cube.groupBy("day").agg(F.sum("raw").alias("raw"), F.sum("cleaned").alias("cleaned"))
+    last = per_day.orderBy(F.desc("day")).limit(days).select(
+        "day", F.date_format("day", "EEE dd MMM").alias("label"), "raw", "cleaned")
+    daily = _packed(last, "day", ["label", "raw", "cleaned"])
+    stats = cube.groupBy("channel").agg(
+        F.sum("raw").alias("raw_sessions"), F.sum("cleaned").alias("clean_sessions"),
+        F.coalesce(F.sum("kpi"), F.lit(0.0)).alias("clean_kpi"),
+        F.coalesce(F.try_divide(F.sum("kpi"), F.sum("cleaned")), F.lit(C.DEFAULT_CONV_VALUE)).alias("avg_conv_value"))
+    det = attribution_from_stats(stats)
     chan = det.agg(
         F.transform(F.array_sort(F.collect_list(F.struct("priority", "name", "raw_contribution_pct",
                                                          "calibrated_contribution_pct", "bot_inflation_pct",
@@ -68,8 +102,8 @@ def summary_document(classified: DataFrame, mode: str = "batch", days: int = 7)
         F.lit(mode).alias("pipeline_mode"),
         part(totals, ["total_raw", "total_cleaned", "bots_removed", "bots_removed_pct", "human_pct"]).alias("sessions"),
         part(daily, [F.col("label").alias("labels"), "raw", "cleaned"]).alias("daily"),
-        part(vbb, ["human_sessions", "bot_sessions", "total_conv_value", "avg_conv_value",
-                   "estimated_spend_saved"]).alias("vbb"),
+        part(totals, [F.col("total_cleaned").alias("human_sessions"), F.col("bots_removed").alias("bot_sessions"),
+                      "total_conv_value", "avg_conv_value", "estimated_spend_saved"]).alias("vbb"),
         part(chan, [F.lit("fallback").alias("status"), F.lit("channel attribution (Spark)").alias("model"),
                     "channels", "total_clean_value", "total_raw_value"]).alias("attribution"),
     )
