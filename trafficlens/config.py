@@ -119,6 +119,9 @@ FEATURES = (
     "mouse_move_events",
 )
 
+# Ground-truth label written on unlabelled (real) traffic.
+UNKNOWN_LABEL = "UNKNOWN (real data)"
+
 # Provenance labels of enrichment columns.
 MEASURED = "MEASURED"
 IMPUTED = "IMPUTED"

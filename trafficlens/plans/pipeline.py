@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import channels as CH
@@ -43,6 +44,8 @@ def run(spark: SparkSession, events: DataFrame, out_dir: str, signals: DataFrame
     if cfg.n_sessions:
         sessions = S.sample_sessions(sessions, cfg.n_sessions, cfg.sample_seed)
     enriched = SG.enrich(sessions, signals, cfg.tiers)
+    if not labelled and CL.LABEL not in enriched.columns:
+        enriched = enriched.withColumn(CL.LABEL, F.lit(C.UNKNOWN_LABEL))
     classified = CL.classify_sessions(enriched, cfg.thresholds)
     # reliable checkpoint on shared storage: cuts lineage, survives executor loss
     classified = require_rows(classified.checkpoint(eager=True), "session query")
