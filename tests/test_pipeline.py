@@ -84,6 +84,6 @@ def test_score_with_external_model(spark):
 
     out = score_with_model(df, predict)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "ArrowEvalPython" in plan
+    assert "MapInPandas" in plan
     n_h = out.where(F.col("prediction") == "Human").count()
     assert n_h == df.where(F.col("edge_score") >= 0.62).count()

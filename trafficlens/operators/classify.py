@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions import expressions as X
@@ -165,17 +166,17 @@ def kmeans_clusters(df: DataFrame, k: int = 3, seed: int = 42, features=C.FEATUR
 
 
 def score_with_model(df: DataFrame, predict, features=C.FEATURES, out_col: str = "prediction",
-                     out_type: str = "string") -> DataFrame:
-    """Apply an arbitrary Python model to the feature columns in Arrow batches
-    (``predict`` takes a pandas DataFrame of features, returns a sequence)."""
-    import pandas as pd
-
+                     out_type: T.DataType = T.StringType()) -> DataFrame:
+    """Apply an arbitrary Python model to the feature columns, one Arrow batch
+    at a time (``mapInPandas``). ``predict`` takes a pandas DataFrame of the
+    features (as float) and returns one value per row. Rows stay in their
+    partitions: no shuffle, nothing through the driver."""
     fields = list(features)
+    schema = T.StructType(list(df.schema.fields) + [T.StructField(out_col, out_type, True)])
 
-    @F.pandas_udf(out_type)
-    def _predict(*cols: pd.Series) -> pd.Series:
-        pdf = pd.concat(cols, axis=1)
-        pdf.columns = fields
-        return pd.Series(list(predict(pdf)))
+    def fn(batches):
+        for pdf in batches:
+            pdf[out_col] = list(predict(pdf[fields].astype("float64")))
+            yield pdf
 
-    return df.withColumn(out_col, _predict(*[F.col(f).cast("double") for f in fields]))
+    return df.mapInPandas(fn, schema)
