@@ -120,17 +120,19 @@ def feature_profile_match(df: DataFrame, profiles=C.FEATURE_PROFILES) -> DataFra
 def session_outliers(df: DataFrame, features=C.FEATURES, threshold: float = 3.5, approx: bool = False) -> DataFrame:
     """Robust z-score per feature: 0.6745 * (x - median) / MAD.
 
-    Median and MAD are global scalar subqueries (one aggregate each, partial
-    aggregation per task). ``approx=True`` uses ``percentile_approx`` whose
+    The medians of all features are one global aggregate and the MADs a
+    second (scalar subqueries, partial aggregation per task). ``approx=True`` uses ``percentile_approx`` whose
     memory is bounded whatever the number of distinct values; the exact
     ``median`` keeps a value->count map, bounded here because the features
     are rounded or integral."""
     def med(c):
         return F.percentile_approx(c, 0.5, 10000) if approx else F.median(c)
 
-    meds = {f: df.agg(med(F.col(f).cast("double"))).scalar() for f in features}
-    mads = {f: df.agg(med(F.abs(F.col(f).cast("double") - meds[f]))).scalar() for f in features}
-    zs = {f"z_{f}": F.round(F.try_divide(F.lit(0.6745) * (F.col(f).cast("double") - meds[f]), mads[f]), 4)
+    # one pass for all medians, one for all deviations
+    med_row = df.agg(F.struct(*[med(F.col(f).cast("double")).alias(f) for f in features])).scalar()
+    mad_row = df.agg(F.struct(*[med(F.abs(F.col(f).cast("double") - med_row[f])).alias(f)
+                                for f in features])).scalar()
+    zs = {f"z_{f}": F.round(F.try_divide(F.lit(0.6745) * (F.col(f).cast("double") - med_row[f]), mad_row[f]), 4)
           for f in features}
     out = df.select("client_id", "session_id", *[v.alias(k) for k, v in zs.items()])
     mx = F.greatest(*[F.abs(F.col(k)) for k in zs])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import expressions as X
+from ..session import materialize
 from .channels import attribution_detail
 
 NATIONAL = "national"
@@ -36,10 +37,11 @@ def weekly_channel_panel(cleaned: DataFrame, geo_col: str | None = None) -> Data
     paid = list(C.PAID_CHANNELS)
     c = cleaned.select(geo.alias("geo"), _week("event_timestamp").alias("week"),
                        X.channel_of("source_medium").alias("channel"), "conversion_value_usd")
-    # one aggregate over all channels; week bounds and geos come from it, so
-    # the sessions are scanned and shuffled once (the exchange is reused)
-    allw = c.groupBy("geo", "week", "channel").agg(
-        F.sum("conversion_value_usd").alias("_kpi"), F.count(F.lit(1)).alias("_sessions"))
+    # one aggregate over all channels (geos x weeks x channels rows),
+    # materialised once; week bounds, geos and cells all read it, so the
+    # sessions are scanned and shuffled once
+    allw = materialize(c.groupBy("geo", "week", "channel").agg(
+        F.sum("conversion_value_usd").alias("_kpi"), F.count(F.lit(1)).alias("_sessions")))
     weekly = allw.where(F.col("channel").isin(*paid))
     lo = allw.agg(F.min("week")).scalar()
     hi = allw.agg(F.max("week")).scalar()

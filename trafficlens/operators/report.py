@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import expressions as X
+from ..session import materialize
 from .channels import attribution_from_stats
 from .classify import CLASS
 from .clean import with_conversion_value
@@ -58,9 +59,10 @@ def day_channel_cube(classified: DataFrame) -> DataFrame:
 def summary_document(classified: DataFrame, mode: str = "batch", days: int = 7) -> DataFrame:
     """The nested summary as a one-row DataFrame of structs and arrays.
 
-    All parts come from ``day_channel_cube``: the input is scanned and
-    shuffled once and the parts (scalar subqueries) reuse that exchange."""
-    cube = day_channel_cube(classified)
+    All parts come from ``day_channel_cube``, which is materialised once
+    (days x channels rows, on the shared checkpoint folder): the input is
+    scanned and shuffled once, the parts read the small table."""
+    cube = materialize(day_channel_cube(classified))  # days x channels rows
     t = cube.agg(F.sum("raw").alias("total_raw"), F.sum("cleaned").alias("total_cleaned"),
                  F.sum("kpi").alias("_kpi"))
     bots = F.col("total_raw") - F.col("total_cleaned")

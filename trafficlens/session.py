@@ -77,3 +77,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df):
+    """Write a small intermediate result once to the shared checkpoint folder
+    (reliable ``checkpoint``) and return a DataFrame reading it. Used where
+    several subqueries derive from one aggregate, so the source is scanned
+    and shuffled once; it also cuts the lineage for recovery."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
