@@ -14,36 +14,33 @@ import sys
 sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
 
 OPS = [
-    ("Exchange hashpartitioning", "hash shuffle"),
-    ("Exchange rangepartitioning", "range shuffle"),
-    ("Exchange RoundRobinPartitioning", "spread"),
-    ("Exchange SinglePartition", "single-partition"),
+    ("Exchange", "shuffle"),
     ("BroadcastExchange", "broadcast"),
     ("BroadcastHashJoin", "BHJ"),
     ("SortMergeJoin", "SMJ"),
+    ("ShuffledHashJoin", "SHJ"),
     ("BroadcastNestedLoopJoin", "BNLJ"),
     ("CartesianProduct", "cartesian"),
+    ("HashAggregate", "hash agg"),
     ("ObjectHashAggregate", "obj-hash agg"),
     ("SortAggregate", "sort agg"),
-    ("HashAggregate", "hash agg"),
     ("Window", "window"),
     ("TakeOrderedAndProject", "top-k"),
     ("MapInArrow", "arrow kernel"),
-    ("MapInPandas", "pandas"),
+    ("MapInPandas", "pandas batches"),
     ("BatchEvalPython", "PY-UDF"),
     ("ArrowEvalPython", "pandas-UDF"),
-    ("ReusedExchange", "reused"),
     ("Scan parquet", "parquet scan"),
+    ("Scan ExistingRDD", "checkpoint read"),
 ]
 
 
-def count_ops(plan: str) -> dict[str, int]:
+def node_counts(section: str) -> dict[str, int]:
+    """Count plan nodes from the '(n) Name' headers of a formatted plan."""
+    names = re.findall(r"^\(\d+\) (.+?)\s*$", section, flags=re.M)
     out = {}
     for needle, label in OPS:
-        if needle == "HashAggregate":
-            n = len(re.findall(r"(?<!Object)HashAggregate", plan))
-        else:
-            n = plan.count(needle)
+        n = sum(1 for x in names if x == needle or x.startswith(needle + " "))
         if n:
             out[label] = n
     return out
@@ -55,33 +52,38 @@ def main() -> None:
     from trafficlens.session import local_session
 
     spark = local_session(8)
+    sc = spark.sparkContext
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     rows = []
     for name, fn in queries().items():
         df = fn(spark, sf_dir)
+        df.write.format("noop").mode("overwrite").save()  # warm
+        st = sc.statusTracker()
+        before = set(st.getJobIdsForGroup(None))
         df.write.format("noop").mode("overwrite").save()
-        qe = df._jdf.queryExecution()
-        # final adaptive plan of a fresh execution
-        df.collect() if name in ("summary_report",) else None
-        plan = qe.executedPlan().toString()
-        try:
-            final = spark._jvm.org.apache.spark.sql.execution.adaptive.AdaptiveSparkPlanHelper  # noqa: F841
-        except Exception:  # noqa: BLE001
-            pass
-        ops = count_ops(plan)
-        rows.append((name, ops))
+        jobs = [j for j in st.getJobIdsForGroup(None) if j not in before]
+        stages = sum(len(st.getJobInfo(j).stageIds) for j in jobs if st.getJobInfo(j))
+        text = df._jdf.queryExecution().explainString(mode)
+        main_part, _, subs = text.partition("===== Subqueries =====")
+        n_sub = len(re.findall(r"^Subquery:\d+", subs, flags=re.M))
+        rows.append((name, node_counts(main_part), n_sub, len(jobs), stages))
     lines = [
         "# Physical plans",
         "",
         f"Generated by `tools/plan_report.py` on `{os.path.basename(sf_dir)}` (local[8], AQE on).",
-        "Counts of operators in each query's physical plan (main query and its subqueries).",
-        "`spread` is the round-robin repartition added only when a scan has fewer splits than cores",
-        "(the test tables are single row groups); it never appears on inputs with many splits.",
+        "Nodes of each query's main physical plan (before adaptive re-planning), the number of",
+        "scalar subqueries, and the Spark jobs and stages one execution ran (broadcasts, subqueries",
+        "and adaptive stages are separate jobs). `shuffle` counts every Exchange, including the",
+        "round-robin spread added only when a scan has fewer splits than cores (the test tables",
+        "are single row groups; it never appears on inputs with many splits).",
+        "Streaming queries and the CSV round trip run at build time and read back their output.",
         "",
-        "| Query | Operators |",
-        "|---|---|",
+        "| Query | Main plan | Subqueries | Jobs | Stages |",
+        "|---|---|---|---|---|",
     ]
-    for name, ops in rows:
-        lines.append(f"| `{name}` | " + ", ".join(f"{k} {v}" for k, v in ops.items()) + " |")
+    for name, ops, n_sub, n_jobs, n_stages in rows:
+        lines.append(f"| `{name}` | " + ", ".join(f"{k} {v}" for k, v in ops.items())
+                     + f" | {n_sub} | {n_jobs} | {n_stages} |")
     with open(os.path.join(__file__.rsplit("/tools/", 1)[0], "PLANS.md"), "w") as f:
         f.write("\n".join(lines) + "\n")
     print("\n".join(lines))

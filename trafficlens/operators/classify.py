@@ -42,12 +42,13 @@ def classification_accuracy(classified: DataFrame) -> DataFrame:
 
 def per_class_recall(classified: DataFrame) -> DataFrame:
     """Recall and support per true class; all three classes always listed."""
-    stats = classified.groupBy(F.col(LABEL).alias("class")).agg(
+    stats = classified.where(F.col(LABEL).isin(*C.CLASSES)).groupBy(F.col(LABEL).alias("class")).agg(
         F.avg((F.col(CLASS) == F.col(LABEL)).cast("double")).alias("_recall"),
         F.count(F.lit(1)).alias("_n"),
     )
-    dim = F.broadcast(class_dimension(classified.sparkSession))  # fixed 3 rows
-    return dim.join(stats, "class", "left").select(
+    dim = class_dimension(classified.sparkSession)  # fixed 3 rows
+    # stats is keyed by the three known classes: at most 3 rows, broadcast
+    return dim.join(F.broadcast(stats), "class", "left").select(
         F.col("class").alias("true_class"),
         F.round("_recall", 4).alias("recall"),
         F.coalesce(F.col("_n"), F.lit(0).cast("bigint")).alias("n"),

@@ -31,7 +31,9 @@ def daily_join(classified: DataFrame) -> DataFrame:
     raw = classified.groupBy(day).agg(F.count(F.lit(1)).alias("raw"))
     clean = classified.where(F.col(CLASS) == C.HUMAN).groupBy(
         X.iso_to_date("event_timestamp").alias("day")).agg(F.count(F.lit(1)).alias("cleaned"))
-    return raw.join(clean, "day", "left").select("day", "raw", F.coalesce("cleaned", F.lit(0).cast("bigint")).alias("cleaned"))
+    # one row per day: bounded by the time span, not by the number of sessions
+    return raw.join(F.broadcast(clean), "day", "left").select(
+        "day", "raw", F.coalesce("cleaned", F.lit(0).cast("bigint")).alias("cleaned"))
 
 
 def _packed(df: DataFrame, order: str, cols: list[str]) -> DataFrame:
