@@ -25,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
     session and path (like a registered view) and reused by later queries;
     ``clear_tables()`` forgets them."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path, spread)
+    key = (_session_key(spark), path, spread)
     df = _RELATIONS.get(key)
     if df is None:
         reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
@@ -35,6 +35,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
     return df
 
 
+def _session_key(spark: SparkSession):
+    try:
+        return id(spark._jsparkSession)
+    except Exception:  # noqa: BLE001  (sessions without a JVM handle)
+        return id(spark)
+
+
 def clear_tables() -> None:
     _RELATIONS.clear()
 
@@ -45,10 +52,12 @@ def spread_small_scan(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
     would otherwise run every row-wise step in a single task. Large inputs
     have far more splits than cores, so there this is a no-op and adds no
     shuffle. Counting splits only plans the scan; it runs no job."""
-    target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no RDD API on this session: leave the scan as is)
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def read_events(spark: SparkSession, path: str, schema=None, fmt: str = "parquet", **options) -> DataFrame:
