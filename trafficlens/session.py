@@ -23,6 +23,15 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # merge streaming session windows inside each task before the shuffle, so
+    # a heavy user is not shipped hit by hit
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+}
+
+# Static settings (only at session start): remove checkpoint files of
+# DataFrames that are no longer referenced.
+STATIC = {
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -34,7 +43,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("TRAFFICLENS_DRIVER_MEMORY", "16g"))
     )
-    for k, v in DEFAULTS.items():
+    for k, v in {**DEFAULTS, **STATIC}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
