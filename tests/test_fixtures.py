@@ -1,6 +1,6 @@
 """Fixture views reproduce the counts stated in FIXTURES.md."""
 
-from conftest import SF001, SF01
+from conftest import SF001, SF01, SF1
 from pyspark.sql import functions as F
 
 from expected import RULE_COUNTS, SESSION_COUNTS
@@ -10,7 +10,7 @@ from trafficlens.sources import fixtures as FX
 
 
 def test_session_counts(spark):
-    for sf, d in (("0.001", SF001), ("0.01", SF01)):
+    for sf, d in (("0.001", SF001), ("0.01", SF01), ("0.1", SF1)):
         s = S.sessions_from_events(FX.ga_events(spark, d))
         r = s.agg(F.count(F.lit(1)), F.sum("total_events"), F.sum("page_scroll_depth_pct"),
                   F.sum("session_duration_sec"), F.count_if(F.col("total_events") == 1)).first()
@@ -23,7 +23,7 @@ def test_date_range_sessions(spark):
 
 
 def test_rule_counts(spark):
-    for sf, d in (("0.001", SF001), ("0.01", SF01)):
+    for sf, d in (("0.001", SF001), ("0.01", SF01), ("0.1", SF1)):
         c = CL.classify_sessions(FX.session_signals(spark, d), with_rule=True)
         got = {r.rule_fired: r["count"] for r in c.groupBy("rule_fired").count().collect()}
         assert tuple(got[i] for i in range(1, 7)) == RULE_COUNTS[sf]
