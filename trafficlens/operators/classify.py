@@ -153,12 +153,19 @@ def training_slice(df: DataFrame, days: int = 30) -> DataFrame:
 
 
 def kmeans_clusters(df: DataFrame, k: int = 3, seed: int = 42, features=C.FEATURES) -> DataFrame:
-    """K-means over standardised features (distributed k-means||)."""
+    """K-means over standardised features (distributed k-means||). The
+    feature table is written once to the checkpoint folder and every
+    iteration reads it."""
     from pyspark.ml import Pipeline
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import StandardScaler, VectorAssembler
 
-    data = df.select("client_id", "session_id", *[F.col(f).cast("double").alias(f) for f in features]).na.fill(0.0)
+    # k-means makes one pass per iteration: read a materialised feature table
+    # (reliable checkpoint) instead of recomputing the upstream each time
+    from ..session import materialize
+
+    data = materialize(df.select("client_id", "session_id",
+                                 *[F.col(f).cast("double").alias(f) for f in features]).na.fill(0.0))
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="_raw"),
         StandardScaler(inputCol="_raw", outputCol="_features", withMean=True, withStd=True),
