@@ -67,3 +67,24 @@ def test_summary_document(golden, tmp_path):
     assert len(files) == 1
     js = json.loads(open(files[0]).read().splitlines()[0])
     assert js["attribution"]["total_raw_value"] == 84210.0
+
+
+def test_panel_roi_joint_matches_least_squares(spark):
+    import numpy as np
+
+    from conftest import SF01
+    from trafficlens.operators import panel as P
+    from trafficlens.plans import queries as Q
+    from trafficlens.sources import fixtures as FX
+
+    panel = P.weekly_channel_panel(Q._cleaned(spark, SF01), geo_col="geo_country")
+    spend = FX.media_spend(spark, SF01)
+    got = {r.channel: r.roi for r in P.panel_roi_joint(panel, spend).collect()}
+    paid = list(C.PAID_CHANNELS)
+    kpi = panel.groupBy("geo", "week").agg(F.sum("kpi").alias("kpi")).toPandas()
+    sp = spend.toPandas().pivot_table(index=["geo", "week"], columns="channel", values="spend", aggfunc="sum").fillna(0.0)
+    m = kpi.merge(sp.reset_index(), on=["geo", "week"])
+    X = np.column_stack([m[p].to_numpy() for p in paid] + [np.ones(len(m))])
+    beta = np.linalg.lstsq(X, m["kpi"].to_numpy(), rcond=None)[0]
+    for p, b in zip(paid, beta[:4]):
+        assert abs(got[p] - b) < 1e-3 * max(1.0, abs(b))

@@ -88,3 +88,24 @@ def roi_override(classified: DataFrame, draws: DataFrame) -> DataFrame:
         F.coalesce(F.col("posterior_roi"), F.col("roi")).alias("roi"),
         F.col("posterior_roi").isNotNull().alias("posterior_used"),
     )
+
+
+def panel_roi_joint(panel: DataFrame, spend: DataFrame, reg_param: float = 0.0) -> DataFrame:
+    """ROI of every paid channel from one joint least-squares fit of weekly
+    KPI (all paid channels of a geo) on the spend of each channel
+    (distributed ``LinearRegression``; spend is pivoted on the fixed channel
+    list, so no extra pass finds the pivot values)."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    paid = list(C.PAID_CHANNELS)
+    cols = [f"_s{i}" for i in range(len(paid))]
+    kpi = panel.groupBy("geo", "week").agg(F.sum("kpi").alias("kpi"))
+    wide = (spend.where(F.col("channel").isin(*paid)).groupBy("geo", "week")
+            .pivot("channel", paid).agg(F.sum("spend")))
+    wide = wide.select("geo", "week", *[F.coalesce(F.col(p), F.lit(0.0)).alias(c) for p, c in zip(paid, cols)])
+    data = kpi.join(wide, ["geo", "week"], "inner")
+    feats = VectorAssembler(inputCols=cols, outputCol="_x").transform(data)
+    model = LinearRegression(featuresCol="_x", labelCol="kpi", regParam=reg_param, solver="normal").fit(feats)
+    coef = [float(x) for x in model.coefficients]  # one number per configured channel
+    return X.const_table(panel.sparkSession, [(p, round(c, 4)) for p, c in zip(paid, coef)], ["channel", "roi"])
