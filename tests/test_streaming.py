@@ -66,3 +66,19 @@ def test_stream_classify_equals_batch(spark):
     b = q["classify_sessions"](spark, SF01).select("session_id", "traffic_class")
     assert s.count() == b.count() == 10000
     assert s.exceptAll(b).count() == 0
+
+
+def test_bidding_feed_equals_batch_payload(spark, tmp_path):
+    from trafficlens.operators import classify as CL
+    from trafficlens.operators import clean as CN
+    from trafficlens.sources import fixtures as FX
+
+    d = "/root/testdata/sf0.001"
+    rows = FX.session_signals_from(ST.read_event_stream(spark, d), FX.nations(spark, d))
+    q = ST.start_bidding_feed(rows, str(tmp_path / "feed"), str(tmp_path / "ck"), every=None)
+    q.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "feed"))
+    want = CN.vbb_upload_payload(CL.classify_sessions(FX.session_signals(spark, d)))
+    cols = ["session_id", "traffic_class", "conversion_value", "traffic_type"]
+    assert got.count() == want.count() == 1000
+    assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0

@@ -84,3 +84,23 @@ def drain(df: DataFrame, name: str, mode: str = "append", path: str | None = Non
         return spark.read.schema(df.schema).parquet(path)
     except Exception:  # nothing was written: empty input
         return spark.createDataFrame([], df.schema)
+
+
+def bidding_payload_stream(rows: DataFrame, t: C.Thresholds = C.Thresholds()) -> DataFrame:
+    """Upload rows for every streamed session: humans carry their source's
+    value, bots 0.00 and ``traffic_type = 'internal'``."""
+    c = classify_stream(rows, t)
+    return c.select("client_id", "session_id", "event_timestamp", "source_medium", CLASS,
+                    F.col("bid_value").alias("conversion_value"),
+                    F.when(F.col(CLASS) != C.HUMAN, F.lit("internal")).alias("traffic_type"))
+
+
+def start_bidding_feed(rows: DataFrame, path: str, checkpoint: str, every: str | None = "2 seconds",
+                       t: C.Thresholds = C.Thresholds()):
+    """Start the live bidding feed: a micro-batch every ``every`` (None: drain
+    what is available and stop), appended to Parquet through the file sink,
+    which commits each batch exactly once. Returns the StreamingQuery."""
+    w = (bidding_payload_stream(rows, t).writeStream.format("parquet").outputMode("append")
+         .option("path", path).option("checkpointLocation", checkpoint))
+    w = w.trigger(processingTime=every) if every else w.trigger(availableNow=True)
+    return w.start()
