@@ -59,3 +59,17 @@ def test_last_seven_present_days(spark):
     rows = [(i, "c", "x", f"2025-01-{d:02d}T00:00:00", C.HUMAN) for i, d in enumerate([1, 3, 5, 7, 9, 11, 13, 15])]
     d = [str(r.day) for r in R.daily_sessions(_df(spark, rows)).collect()]
     assert d == [f"2025-01-{x:02d}" for x in (3, 5, 7, 9, 11, 13, 15)]
+
+
+def test_duplicate_signals_do_not_multiply_sessions(spark):
+    from trafficlens.operators import signals as SG
+
+    sessions = spark.createDataFrame([("a", 1, 10, 2.0, 1, 0, "x")],
+                                     "client_id string, session_id bigint, session_duration_sec bigint, "
+                                     "event_velocity_per_sec double, click_events bigint, scroll_events bigint, "
+                                     "source_medium string")
+    sig = spark.createDataFrame([("a", 1, 0.9, 5), ("a", 1, 0.3, 7)],
+                                "client_id string, session_id bigint, edge_score double, mouse_move_events bigint")
+    out = SG.enrich(sessions, sig).collect()
+    assert len(out) == 1 and (out[0].edge_score, out[0].mouse_move_events) == (0.3, 7)
+    assert out[0].edge_score_source == "MEASURED"

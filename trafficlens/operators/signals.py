@@ -15,11 +15,14 @@ SESSION_KEY = ["client_id", "session_id"]
 def attach_signals(sessions: DataFrame, signals: DataFrame, key=SESSION_KEY) -> DataFrame:
     """Left join measured ``edge_score`` / ``mouse_move_events`` by session key.
 
-    Both sides have one row per key, so the join has no skewed key; the
-    planner picks broadcast or sort-merge from the measured size of
-    ``signals`` (AQE re-checks at run time)."""
-    sig = signals.select(*key, F.col("edge_score").alias("_m_score"),
-                         F.col("mouse_move_events").alias("_m_mouse"))
+    Signals are first reduced to one row per key (if several measurements
+    arrive, the lowest risk score and the highest mouse count are kept), so
+    the join never multiplies sessions and has no skewed key. That aggregate
+    is partitioned like the join needs it (no extra shuffle); the planner
+    picks broadcast or sort-merge from the measured size (AQE re-checks at
+    run time)."""
+    sig = signals.groupBy(*key).agg(F.min("edge_score").alias("_m_score"),
+                                    F.max("mouse_move_events").alias("_m_mouse"))
     base = sessions.drop(*[c for c in ("edge_score", "mouse_move_events") if c in sessions.columns])
     return base.join(sig, list(key), "left").withColumnsRenamed(
         {"_m_score": "edge_score", "_m_mouse": "mouse_move_events"})
