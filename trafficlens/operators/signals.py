@@ -16,7 +16,8 @@ def attach_signals(sessions: DataFrame, signals: DataFrame, key=SESSION_KEY) ->
     """Left join measured ``edge_score`` / ``mouse_move_events`` by session key.
 
     Signals are first reduced to one row per key (if several measurements
-    arrive, the lowest risk score and the highest mouse count are kept), so
+    arrive, the lowest edge score, i.e. the most bot-like one, and the
+    highest mouse count are kept), so
     the join never multiplies sessions and has no skewed key. That aggregate
     is partitioned like the join needs it (no extra shuffle); the planner
     picks broadcast or sort-merge from the measured size (AQE re-checks at
