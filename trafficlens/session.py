@@ -70,13 +70,18 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder; create a scratch one only when unset
-    (local tests). On a cluster ``spark.checkpoint.dir`` is always set."""
+    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    Only a local-mode session (tests) without one gets a scratch folder; on a
+    cluster a machine-local folder would not survive the loss of that
+    machine, so an unset ``spark.checkpoint.dir`` is an error there."""
     d = checkpoint_dir(spark)
     if d:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(d)
         return d
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
     d = tempfile.mkdtemp(prefix="trafficlens-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return d
