@@ -87,3 +87,10 @@ def test_score_with_external_model(spark):
     assert "MapInPandas" in plan
     n_h = out.where(F.col("prediction") == "Human").count()
     assert n_h == df.where(F.col("edge_score") >= 0.62).count()
+
+
+def test_command_line(spark, export, tmp_path):
+    from trafficlens.__main__ import main
+
+    paths = main(["--events", export, "--out", str(tmp_path / "cli"), "--start", "2024-01-05", "--end", "2024-01-20"])
+    assert spark.read.parquet(paths["payload"]).count() == 201  # DuckDB count of sessions in the range
