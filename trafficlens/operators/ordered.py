@@ -21,18 +21,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The Arrow kernels run in Python workers: ship this module's code with them
+# (pickled by value) so the workers need not have the package installed.
+try:
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except Exception:  # noqa: BLE001  (older cloudpickle: workers import the package)
+    pass
+
 RUN = "_run"
 US = "_us"
 GAP = "_gap"
 LOCAL_START = "_local_start"
 
 
-def _partitions(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def range_sorted(df: DataFrame, keys: list[str], us: str, tie: str | None = None,
                  num_partitions: int | None = None) -> DataFrame:
     """Hits globally ordered by (keys, time, tie), tagged with their run id."""
@@ -40,11 +45,12 @@ def range_sorted(df: DataFrame, keys: list[str], us: str, tie: str | None = None
     cols = [F.col(k) for k in keys] + [F.col(us).alias(US)] + ([F.col(tie)] if tie else [])
     base = df.select(*cols)
     order = [*keys, US] + ([tie] if tie else [])
-    return (
-        base.repartitionByRange(_partitions(df, num_partitions), *order)
-        .sortWithinPartitions(*order)
-        .withColumn(RUN, F.spark_partition_id())
-    )
+    # Without an explicit count the shuffle uses spark.sql.shuffle.partitions
+    # and AQE may merge neighbouring ranges (order and run ids stay valid:
+    # the run id is read after the merge).
+    parted = (base.repartitionByRange(num_partitions, *order) if num_partitions
+              else base.repartitionByRange(*order))
+    return parted.sortWithinPartitions(*order).withColumn(RUN, F.spark_partition_id())
 
 
 def _key_change(arrays: list[np.ndarray], prev: tuple | None) -> np.ndarray:
