@@ -49,3 +49,14 @@ def test_hot_key_is_split_across_tasks(spark):
     rows = O.range_sorted(_hot(spark), ["user_id"], "us", "event_id", num_partitions=16)
     runs = rows.groupBy("user_id").agg(F.countDistinct(O.RUN).alias("tasks")).collect()
     assert all(r.tasks > 4 for r in runs)
+
+
+def test_null_keys_group_together(spark, duck001):
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    df = ev.select(F.when(F.col("user_id") % 3 == 0, F.lit(None)).otherwise(F.col("user_id") % 3).cast("bigint").alias("user_id"),
+                   ntz_micros("ts").alias("us"), "event_id")
+    sql_keys = "CASE WHEN user_id % 3 = 0 THEN NULL ELSE user_id % 3 END"
+    st = O.gap_stats(df, ["user_id"], "us", tie="event_id", num_partitions=5)
+    assert _same(st, duck001, STATS.replace("user_id % 2 AS user_id", sql_keys + " AS user_id"))
+    gs = O.gap_sessions(df, ["user_id"], "us", 30 * 60 * 1_000_000, tie="event_id", num_partitions=5)
+    assert _same(gs, duck001, SESS.replace("user_id % 2 AS user_id", sql_keys + " AS user_id"))

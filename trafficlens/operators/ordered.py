@@ -53,17 +53,36 @@ def range_sorted(df: DataFrame, keys: list[str], us: str, tie: str | None = None
     return parted.sortWithinPartitions(*order).withColumn(RUN, F.spark_partition_id())
 
 
-def _key_change(arrays: list[np.ndarray], prev: tuple | None) -> np.ndarray:
-    """True where a row's key differs from the row before it."""
-    n = len(arrays[0])
+def _key_arrays(batch: pa.RecordBatch, keys: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(values with NULLs filled, validity) per key column, so that two NULL
+    keys compare equal, as in Spark's grouping."""
+    out = []
+    for k in keys:
+        col = batch.column(k)
+        valid = np.asarray(col.is_valid().to_numpy(zero_copy_only=False), dtype=bool)
+        if col.null_count:
+            fill = "" if pa.types.is_string(col.type) or pa.types.is_large_string(col.type) else 0
+            col = col.fill_null(pa.scalar(fill, type=col.type))
+        out.append((col.to_numpy(zero_copy_only=False), valid))
+    return out
+
+
+def _key_change(arrays: list[tuple[np.ndarray, np.ndarray]], prev: tuple | None) -> np.ndarray:
+    """True where a row's key differs from the row before it (``prev``: the
+    last key of the previous batch of the task)."""
+    n = len(arrays[0][0])
     change = np.zeros(n, dtype=bool)
-    for i, a in enumerate(arrays):
+    for i, (a, v) in enumerate(arrays):
         if n > 1:
-            change[1:] |= a[1:] != a[:-1]
-        change[0] |= prev is None or a[0] != prev[i]
+            change[1:] |= (a[1:] != a[:-1]) | (v[1:] != v[:-1])
+        change[0] |= prev is None or a[0] != prev[i][0] or v[0] != prev[i][1]
     return change
 
 
+def _last_key(arrays: list[tuple[np.ndarray, np.ndarray]]) -> tuple:
+    return tuple((a[-1], v[-1]) for a, v in arrays)
+
+
 def _gap_kernel(keys: list[str]):
     """Arrow kernel: per-row gap to the previous hit of the same key inside the
     task (NULL for the first hit of a key in the task)."""
@@ -75,7 +94,7 @@ def _gap_kernel(keys: list[str]):
             n = b.num_rows
             if n == 0:
                 continue
-            karr = [b.column(k).to_numpy(zero_copy_only=False) for k in keys]
+            karr = _key_arrays(b, keys)
             us = b.column(US).to_numpy(zero_copy_only=False).astype(np.int64)
             change = _key_change(karr, prev_key)
             prev_us_arr = np.empty(n, dtype=np.int64)
@@ -83,7 +102,7 @@ def _gap_kernel(keys: list[str]):
             prev_us_arr[0] = prev_us if prev_us is not None else 0
             cols = {c: b.column(c) for c in b.schema.names}
             cols[GAP] = pa.array(us - prev_us_arr, mask=change, type=pa.int64())
-            prev_key = tuple(a[-1] for a in karr)
+            prev_key = _last_key(karr)
             prev_us = int(us[-1])
             yield pa.RecordBatch.from_pydict(cols)
 
@@ -165,7 +184,7 @@ def _session_kernel(keys: list[str], gap_limit_us: int):
             n = b.num_rows
             if n == 0:
                 continue
-            karr = [b.column(k).to_numpy(zero_copy_only=False) for k in keys]
+            karr = _key_arrays(b, keys)
             us = b.column(US).to_numpy(zero_copy_only=False).astype(np.int64)
             run = int(b.column(RUN)[0].as_py())
             change = _key_change(karr, prev_key)
@@ -195,7 +214,7 @@ def _session_kernel(keys: list[str], gap_limit_us: int):
                                seg_n[:done], first[:done], last[:done])
                 carry = [[a.slice(done, 1) for a in key_arrays], run, int(first[done]), bool(start_null[done]),
                          int(seg_n[done]), int(first[done]), int(last[done])]
-            prev_key = tuple(a[-1] for a in karr)
+            prev_key = _last_key(karr)
             prev_us = int(us[-1])
         if carry is not None:
             yield emit(carry[0], carry[1], np.array([carry[2]]), np.array([carry[3]]),
@@ -241,8 +260,11 @@ def gap_sessions(df: DataFrame, keys: list[str], us: str, gap_us: int, tie: str
                                             F.col("run_first")))
     runs = runs.withColumn("v", F.coalesce("last_brk", "anchor"))
     carry = F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    fix = runs.select(*keys, RUN, F.coalesce(F.col("anchor"), carry).alias("head_start"))
-    joined = local.join(fix, [*keys, RUN], "inner")
+    fix = runs.select(*[F.col(k).alias(f"_fix_{k}") for k in keys], F.col(RUN).alias("_fix_run"),
+                      F.coalesce(F.col("anchor"), carry).alias("head_start"))
+    # null-safe key equality: a NULL key is one group, as in the aggregates
+    cond = [local[k].eqNullSafe(fix[f"_fix_{k}"]) for k in keys] + [local[RUN] == fix["_fix_run"]]
+    joined = local.join(fix, cond, "inner")
     start = F.coalesce(F.col(LOCAL_START), F.col("head_start"))
     return joined.groupBy(*keys, start.alias("_sid")).agg(
         F.min("first_us").alias("session_start_us"),
