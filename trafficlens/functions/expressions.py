@@ -74,32 +74,40 @@ def conversion_value(source_medium, mapping=C.CONV_VALUES, default: float = C.DE
     return F.coalesce(F.try_element_at(F.create_map(*pairs), col(source_medium)), F.lit(float(default)))
 
 
+def _cascade(score, velocity, duration, mouse, t: C.Thresholds):
+    """The classifier rules in order: (condition, class); the last is the
+    fallback. A NULL or NaN score makes every comparison false."""
+    s, v, d, m = nan_to_null(score), col(velocity).cast("double"), col(duration).cast("double"), col(mouse).cast("double")
+    return [
+        ((s < t.fraud_score) & (v > t.fraud_velocity), C.FRAUD),
+        ((s < t.scraper_score) & (v > t.scraper_velocity) & (d < t.scraper_duration) & (m == 0), C.SCRAPER),
+        ((s >= t.human_score) & (v <= t.human_velocity) & (d >= t.human_duration) & (m > 0), C.HUMAN),
+        (s >= t.human_score_any, C.HUMAN),
+        (s >= t.scraper_score_any, C.SCRAPER),
+        (None, C.FRAUD),
+    ]
+
+
+def _first_match(rules, value) -> Column:
+    expr = None
+    for i, (cond, cls) in enumerate(rules):
+        out = F.lit(value(i, cls))
+        if cond is None:
+            return expr.otherwise(out)
+        expr = F.when(cond, out) if expr is None else expr.when(cond, out)
+    return expr
+
+
 def classify(score="edge_score", velocity="event_velocity_per_sec", duration="session_duration_sec",
              mouse="mouse_move_events", t: C.Thresholds = C.Thresholds()) -> Column:
     """Ordered rule cascade; first match wins, a NULL comparison is false."""
-    s, v, d, m = nan_to_null(score), col(velocity).cast("double"), col(duration).cast("double"), col(mouse).cast("double")
-    return (
-        F.when((s < t.fraud_score) & (v > t.fraud_velocity), F.lit(C.FRAUD))
-        .when((s < t.scraper_score) & (v > t.scraper_velocity) & (d < t.scraper_duration) & (m == 0), F.lit(C.SCRAPER))
-        .when((s >= t.human_score) & (v <= t.human_velocity) & (d >= t.human_duration) & (m > 0), F.lit(C.HUMAN))
-        .when(s >= t.human_score_any, F.lit(C.HUMAN))
-        .when(s >= t.scraper_score_any, F.lit(C.SCRAPER))
-        .otherwise(F.lit(C.FRAUD))
-    )
+    return _first_match(_cascade(score, velocity, duration, mouse, t), lambda i, cls: cls)
 
 
 def classify_rule(score="edge_score", velocity="event_velocity_per_sec", duration="session_duration_sec",
                   mouse="mouse_move_events", t: C.Thresholds = C.Thresholds()) -> Column:
     """Number (1-6) of the cascade rule that fired."""
-    s, v, d, m = nan_to_null(score), col(velocity).cast("double"), col(duration).cast("double"), col(mouse).cast("double")
-    return (
-        F.when((s < t.fraud_score) & (v > t.fraud_velocity), F.lit(1))
-        .when((s < t.scraper_score) & (v > t.scraper_velocity) & (d < t.scraper_duration) & (m == 0), F.lit(2))
-        .when((s >= t.human_score) & (v <= t.human_velocity) & (d >= t.human_duration) & (m > 0), F.lit(3))
-        .when(s >= t.human_score_any, F.lit(4))
-        .when(s >= t.scraper_score_any, F.lit(5))
-        .otherwise(F.lit(6))
-    )
+    return _first_match(_cascade(score, velocity, duration, mouse, t), lambda i, cls: i + 1)
 
 
 def behavior_tier(duration="session_duration_sec", velocity="event_velocity_per_sec", clicks="click_events",
