@@ -100,7 +100,7 @@ def _gap_kernel(keys: list[str]):
             prev_us_arr = np.empty(n, dtype=np.int64)
             prev_us_arr[1:] = us[:-1]
             prev_us_arr[0] = prev_us if prev_us is not None else 0
-            cols = {c: b.column(c) for c in b.schema.names}
+            cols = {c: b.column(c) for c in (*keys, RUN, US)}
             cols[GAP] = pa.array(us - prev_us_arr, mask=change, type=pa.int64())
             prev_key = _last_key(karr)
             prev_us = int(us[-1])
@@ -110,7 +110,10 @@ def _gap_kernel(keys: list[str]):
 
 
 def _with_gaps(sorted_df: DataFrame, keys: list[str]) -> DataFrame:
-    fields = list(sorted_df.schema.fields) + [T.StructField(GAP, T.LongType(), True)]
+    """Keys, run, time and gap of every hit (only what the stitching needs
+    goes back through Arrow)."""
+    by_name = {f.name: f for f in sorted_df.schema.fields}
+    fields = [by_name[c] for c in (*keys, RUN, US)] + [T.StructField(GAP, T.LongType(), True)]
     return sorted_df.mapInArrow(_gap_kernel(keys), T.StructType(fields))
 
 
