@@ -27,3 +27,31 @@ def test_rule_counts(spark):
         c = CL.classify_sessions(FX.session_signals(spark, d), with_rule=True)
         got = {r.rule_fired: r["count"] for r in c.groupBy("rule_fired").count().collect()}
         assert tuple(got[i] for i in range(1, 7)) == RULE_COUNTS[sf]
+
+
+def test_attribution_matches_published_fixture(spark):
+    from conftest import SF1
+    from expected import ATTRIBUTION
+
+    from trafficlens.operators import channels as CH
+
+    for sf, d in (("0.001", SF001), ("0.01", SF01), ("0.1", SF1)):
+        got = {r.name: (r.raw_contribution_pct, r.calibrated_contribution_pct, r.bot_inflation_pct)
+               for r in CH.channel_attribution(CL.classify_sessions(FX.session_signals(spark, d))).collect()}
+        assert got == ATTRIBUTION[sf], sf
+
+
+def test_source_stats_sf01(spark):
+    from expected import SOURCE_STATS_SF01
+
+    from trafficlens.functions.expressions import channel_of
+    from trafficlens.operators import clean as CN
+
+    c = CN.with_conversion_value(CL.classify_sessions(FX.session_signals(spark, SF01)))
+    rows = c.groupBy("source_medium").agg(
+        F.first(channel_of("source_medium")).alias("channel"), F.count(F.lit(1)).alias("raw"),
+        F.count_if(F.col(CL.CLASS) == "Human").alias("human"),
+        F.sum(F.when(F.col(CL.CLASS) == "Human", F.col("conversion_value_usd"))).alias("value")).collect()
+    got = {r.source_medium: (r.channel, r.human, r.value) for r in rows}
+    assert got == SOURCE_STATS_SF01
+    assert {r.raw for r in rows} == {1250}
