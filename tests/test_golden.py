@@ -67,6 +67,7 @@ def test_summary_document(golden, tmp_path):
     assert len(files) == 1
     js = json.loads(open(files[0]).read().splitlines()[0])
     assert js["attribution"]["total_raw_value"] == 84210.0
+    assert set(js) == {"generated_at", "pipeline_mode", "data_source", "sessions", "daily", "vbb", "attribution"}
 
 
 def test_panel_roi_joint_matches_least_squares(spark):

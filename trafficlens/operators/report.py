@@ -58,7 +58,8 @@ def day_channel_cube(classified: DataFrame) -> DataFrame:
         F.sum(F.when(human, F.col("conversion_value_usd"))).alias("kpi"))
 
 
-def summary_document(classified: DataFrame, mode: str = "batch", days: int = 7) -> DataFrame:
+def summary_document(classified: DataFrame, mode: str = "batch", days: int = 7,
+                     data_source: str = "hit-level event export") -> DataFrame:
     """The nested summary as a one-row DataFrame of structs and arrays.
 
     All parts come from ``day_channel_cube``, which is materialised once
@@ -104,6 +105,7 @@ def summary_document(classified: DataFrame, mode: str = "batch", days: int = 7)
     return spark.range(1).select(
         F.current_timestamp().cast("string").alias("generated_at"),
         F.lit(mode).alias("pipeline_mode"),
+        F.lit(data_source).alias("data_source"),
         part(totals, ["total_raw", "total_cleaned", "bots_removed", "bots_removed_pct", "human_pct"]).alias("sessions"),
         part(daily, [F.col("label").alias("labels"), "raw", "cleaned"]).alias("daily"),
         part(totals, [F.col("total_cleaned").alias("human_sessions"), F.col("bots_removed").alias("bot_sessions"),

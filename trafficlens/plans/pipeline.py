@@ -53,7 +53,7 @@ def run(spark: SparkSession, events: DataFrame, out_dir: str, signals: DataFrame
 
 
 def publish(classified: DataFrame, out_dir: str, cfg: C.PipelineConfig = C.PipelineConfig(),
-            labelled: bool = False) -> Outputs:
+            labelled: bool = False, data_source: str = "hit-level event export") -> Outputs:
     """Write all outputs of an already classified session table."""
     out = out_dir.rstrip("/")
     paths = {
@@ -69,7 +69,8 @@ def publish(classified: DataFrame, out_dir: str, cfg: C.PipelineConfig = C.Pipel
     sinks.write_parquet(CN.vbb_upload_payload(classified), paths["payload"])
     attribution = CH.channel_attribution(classified)
     sinks.write_parquet(attribution, paths["attribution"])
-    summary = R.summary_document(classified, mode="labelled" if labelled else "batch", days=cfg.daily_days)
+    summary = R.summary_document(classified, mode="labelled" if labelled else "batch", days=cfg.daily_days,
+                                 data_source=data_source)
     sinks.write_json(summary, paths["summary"])
     if labelled:
         paths["recall"] = f"{out}/per_class_recall"
