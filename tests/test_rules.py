@@ -75,3 +75,14 @@ def test_insight_on_rounded_percent(spark):
     out = [r.i for r in df.select(X.insight("p").alias("i")).collect()]
     assert out == [C.INSIGHT_HIGH, C.INSIGHT_MODERATE, C.INSIGHT_MODERATE, C.INSIGHT_LOW]
     assert not math.isnan(0.0)
+
+
+def test_user_supplied_channel_table_equals_builtin(spark):
+    table = spark.createDataFrame([(k, n, i) for i, (k, n) in enumerate(C.CHANNEL_NAMES)],
+                                  "key string, name string, priority int")
+    df = spark.createDataFrame([("Google / CPC",), ("x",), (None,), ("google / organic search",)], "source_medium string")
+    a = [r[0] for r in df.select(X.channel_of("source_medium")).collect()]
+    b = [r[0] for r in df.select(X.channel_of_table("source_medium", table)).collect()]
+    assert a == b == ["Google Ads", "Other", "Other", "Organic"]
+    with pytest.raises(ValueError):
+        X.channel_of_table("source_medium", table, max_rows=3)

@@ -185,3 +185,18 @@ def const_table(spark, rows, columns):
     Python round trip, exact size known to the planner."""
     values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns)})")
+
+
+def channel_of_table(source_medium, mapping, max_rows: int = 10_000,
+                     other: str = C.OTHER_CHANNEL) -> Column:
+    """``channel_of`` with a user-supplied mapping DataFrame (``key``,
+    ``name``, ``priority``; lower priority is tried first). The table is a
+    small dimension: its size is checked (at most ``max_rows`` rows are
+    read) before it is compiled into the first-match expression, so the
+    substring match needs no join."""
+    rows = mapping.select("key", "name", "priority").orderBy("priority").limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"channel mapping has more than {max_rows} rows")
+    if not rows:
+        return F.lit(other)
+    return channel_of(source_medium, [(r["key"].lower(), r["name"]) for r in rows], other)
