@@ -25,10 +25,13 @@ def conv_value_table(spark: SparkSession, mapping=C.CONV_VALUES) -> DataFrame:
 
 def with_conversion_value(df: DataFrame, values: DataFrame | None = None,
                           default: float = C.DEFAULT_CONV_VALUE) -> DataFrame:
-    """Exact, case-sensitive lookup with a default. The value table is fixed
-    configuration (7 rows), so it is broadcast; the fact side never moves."""
-    vt = values if values is not None else conv_value_table(df.sparkSession)
-    return (df.join(F.broadcast(vt), "source_medium", "left")
+    """Exact, case-sensitive lookup with a default. The built-in value table
+    is fixed configuration (7 rows), so it is broadcast and the fact side
+    never moves; a supplied table (``source_medium``, ``_conv_value``, one
+    row per key) is left to the planner, which broadcasts it only if its
+    measured size is below the threshold."""
+    vt = F.broadcast(conv_value_table(df.sparkSession)) if values is None else values
+    return (df.join(vt, "source_medium", "left")
             .withColumn("conversion_value_usd", F.coalesce(F.col("_conv_value"), F.lit(float(default))))
             .drop("_conv_value"))
 
