@@ -6,6 +6,9 @@ from oracle_check import digest
 
 from __spark_entry__ import oracle_sql, queries
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "DATE": "date", "BOOLEAN": "boolean"}
+
 QS = queries()
 SQL = oracle_sql()
 
@@ -26,6 +29,10 @@ def test_query_matches_duckdb(spark, duck001, name):
     assert sorted(df.columns) == sorted(dcols)
     assert len(rows) == len(drows)
     assert digest(df.columns, rows)[0] == digest(dcols, drows)[0]
+    spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    duck_types = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(dcols, res.description and
+                                                                        duck001.sql(SQL[name]).types)}
+    assert spark_types == duck_types
 
 
 def test_entry_smoke(spark):
