@@ -30,8 +30,8 @@ def test_query_matches_duckdb(spark, duck001, name):
     assert len(rows) == len(drows)
     assert digest(df.columns, rows)[0] == digest(dcols, drows)[0]
     spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    duck_types = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(dcols, res.description and
-                                                                        duck001.sql(SQL[name]).types)}
+    types = duck001.sql(SQL[name]).types
+    duck_types = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(dcols, types)}
     assert spark_types == duck_types
 
 
