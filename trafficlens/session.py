@@ -35,14 +35,20 @@ STATIC = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "trafficlens") -> SparkSession:
-    """A local session for tests and the bench (never used on a cluster)."""
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "trafficlens",
+                  event_log_dir: str | None = None) -> SparkSession:
+    """A local session for tests and the bench (never used on a cluster).
+    ``event_log_dir`` writes Spark's event log there (stage and task times
+    can then be read offline; the web UI stays off)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("TRAFFICLENS_DRIVER_MEMORY", "16g"))
     )
+    if event_log_dir:
+        os.makedirs(event_log_dir, exist_ok=True)
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     for k, v in {**DEFAULTS, **STATIC}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
