@@ -94,3 +94,16 @@ def test_command_line(spark, export, tmp_path):
 
     paths = main(["--events", export, "--out", str(tmp_path / "cli"), "--start", "2024-01-05", "--end", "2024-01-20"])
     assert spark.read.parquet(paths["payload"]).count() == 201  # DuckDB count of sessions in the range
+
+
+def test_date_shards(spark, tmp_path):
+    from trafficlens.sources.tables import read_date_shards
+
+    base = tmp_path / "shards"
+    ev = FX.ga_events(spark, SF001)
+    for day in ("2024-01-04", "2024-01-05", "2024-01-07", "2024-01-09"):
+        ev.where(F.col("event_date") == day).drop("event_date").write.parquet(str(base / f"events_{day.replace('-', '')}"))
+    got = read_date_shards(spark, str(base), "2024-01-05", "2024-01-08")
+    assert {str(r[0]) for r in got.select("event_date").distinct().collect()} == {"2024-01-05", "2024-01-07"}
+    assert got.count() == ev.where(F.col("event_date").isin("2024-01-05", "2024-01-07")).count()
+    assert S.sessions_from_events(got).count() > 0

@@ -68,6 +68,29 @@ def read_events(spark: SparkSession, path: str, schema=None, fmt: str = "parquet
     return reader.load(path)
 
 
+def read_date_shards(spark: SparkSession, base: str, start: str, end: str, prefix: str = "events_",
+                     fmt: str = "parquet", schema=None) -> DataFrame:
+    """Read date-sharded folders ``{base}/{prefix}YYYYMMDD`` whose suffix lies
+    in [start, end] (both inclusive, ``YYYY-MM-DD``). One Hadoop glob over
+    the calendar days of the range selects the shards, so only those folders
+    are listed and read; days without a shard are simply not matched. Adds
+    ``event_date`` from the shard suffix when the data has none."""
+    import datetime as dt
+
+    d0, d1 = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
+    days = [(d0 + dt.timedelta(days=i)).strftime("%Y%m%d") for i in range((d1 - d0).days + 1)]
+    if not days:
+        raise ValueError("empty date range")
+    reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
+    df = reader.load(f"{base.rstrip('/')}/{prefix}{{{','.join(days)}}}")
+    if "event_date" not in df.columns:
+        suffix = F.regexp_extract(F.col("_metadata.file_path"), prefix + r"(\d{8})", 1)
+        df = df.withColumn("event_date", F.to_date(suffix, "yyyyMMdd"))
+    return df
+
+
 def scan_date_range(events: DataFrame, start: str | None, end: str | None, col: str = "event_date") -> DataFrame:
     """Keep ``start <= col <= end`` (both inclusive). On a table partitioned by
     ``col`` both bounds become partition filters, so only those folders are read."""
