@@ -47,7 +47,7 @@ if __name__ == "__main__":
     ensure_checkpoint_dir(spark)
     clean = run(spark)
     O._session_kernel = flaky(O._session_kernel)
-    O._gap_kernel = flaky(O._gap_kernel)
+    O._moments_kernel = flaky(O._moments_kernel)
     st = spark.sparkContext.statusTracker()
     before = set(st.getJobIdsForGroup(None))
     retried = run(spark)

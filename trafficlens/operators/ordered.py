@@ -34,7 +34,6 @@ except Exception:  # noqa: BLE001  (older cloudpickle: workers import the packag
 
 RUN = "_run"
 US = "_us"
-GAP = "_gap"
 LOCAL_START = "_local_start"
 
 
@@ -83,60 +82,129 @@ def _last_key(arrays: list[tuple[np.ndarray, np.ndarray]]) -> tuple:
     return tuple((a[-1], v[-1]) for a, v in arrays)
 
 
-def _gap_kernel(keys: list[str]):
-    """Arrow kernel: per-row gap to the previous hit of the same key inside the
-    task (NULL for the first hit of a key in the task)."""
+_I64_MAX = np.iinfo(np.int64).max
+_I64_MIN = np.iinfo(np.int64).min
+
+
+def _moments_kernel(keys: list[str]):
+    """Arrow kernel: one row per run (key inside the task) with the moments
+    of the gaps between its consecutive hits: count, exact integer sum, min,
+    max, M2 (sum of squared deviations from the run's mean gap), and the
+    first and last time. A run cut by a batch boundary is carried over and
+    merged (Chan et al. parallel variance), so each run is emitted once."""
+    out_names = [*keys, RUN, "n", "s", "mn", "mx", "m2", "first_us", "last_us"]
+
+    def emit(key_arrays, run, n, s, mn, mx, m2, first, last):
+        has = n > 0
+        cols = list(key_arrays) + [
+            pa.array(np.full(len(n), run, dtype=np.int32), type=pa.int32()),
+            pa.array(n, type=pa.int64()),
+            pa.array(s, type=pa.int64()),
+            pa.array(mn, mask=~has, type=pa.int64()),
+            pa.array(mx, mask=~has, type=pa.int64()),
+            pa.array(m2, type=pa.float64()),
+            pa.array(first, type=pa.int64()),
+            pa.array(last, type=pa.int64()),
+        ]
+        return pa.RecordBatch.from_arrays(cols, names=out_names)
+
+    def merge(c, n, s, mn, mx, m2, last):
+        """Fold a run portion into the carried run c (dict)."""
+        if n:
+            if c["n"]:
+                delta = s / n - c["s"] / c["n"]
+                c["m2"] += m2 + delta * delta * c["n"] * n / (c["n"] + n)
+                c["mn"], c["mx"] = min(c["mn"], mn), max(c["mx"], mx)
+            else:
+                c["m2"], c["mn"], c["mx"] = m2, mn, mx
+            c["n"] += n
+            c["s"] += s
+        c["last"] = last
+
+    def emit_carry(c):
+        return emit(c["key"], c["run"], np.array([c["n"]]), np.array([c["s"]]), np.array([c["mn"]]),
+                    np.array([c["mx"]]), np.array([c["m2"]]), np.array([c["first"]]), np.array([c["last"]]))
 
     def fn(batches):
         prev_key = None
-        prev_us = None
+        carry = None
         for b in batches:
-            n = b.num_rows
-            if n == 0:
+            rows = b.num_rows
+            if rows == 0:
                 continue
             karr = _key_arrays(b, keys)
             us = b.column(US).to_numpy(zero_copy_only=False).astype(np.int64)
+            run = int(b.column(RUN)[0].as_py())
             change = _key_change(karr, prev_key)
-            prev_us_arr = np.empty(n, dtype=np.int64)
-            prev_us_arr[1:] = us[:-1]
-            prev_us_arr[0] = prev_us if prev_us is not None else 0
-            cols = {c: b.column(c) for c in (*keys, RUN, US)}
-            cols[GAP] = pa.array(us - prev_us_arr, mask=change, type=pa.int64())
+            gap = np.zeros(rows, dtype=np.int64)
+            gap[1:] = us[1:] - us[:-1]
+            if carry is not None:
+                gap[0] = us[0] - carry["last"]
+            valid = ~change  # a gap exists for every hit that continues its run
+            # portions: the batch cut at every key change; portion 0 may continue the carry
+            starts = np.unique(np.concatenate([[0], np.flatnonzero(change)]))
+            n = np.add.reduceat(valid.astype(np.int64), starts)
+            s = np.add.reduceat(np.where(valid, gap, 0), starts)
+            mn = np.minimum.reduceat(np.where(valid, gap, _I64_MAX), starts)
+            mx = np.maximum.reduceat(np.where(valid, gap, _I64_MIN), starts)
+            mean = np.divide(s, n, out=np.zeros(len(n)), where=n > 0)
+            seg = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, rows)))
+            dev = np.where(valid, gap - mean[seg], 0.0)
+            m2 = np.add.reduceat(dev * dev, starts)
+            ends = np.append(starts[1:], rows) - 1
+            first, last = us[starts], us[ends]
+            idx = pa.array(starts)
+            key_arrays = [b.column(k).take(idx) for k in keys]
+            lo = 0
+            if not change[0]:  # portion 0 continues the carried run
+                merge(carry, int(n[0]), int(s[0]), int(mn[0]), int(mx[0]), float(m2[0]), int(last[0]))
+                lo = 1
+            if lo < len(starts):  # a new run starts in this batch: the carry is complete
+                if carry is not None:
+                    yield emit_carry(carry)
+                k = len(starts) - 1  # the last portion stays open
+                if k > lo:
+                    yield emit([a.slice(lo, k - lo) for a in key_arrays], run, n[lo:k], s[lo:k], mn[lo:k],
+                               mx[lo:k], m2[lo:k], first[lo:k], last[lo:k])
+                carry = {"key": [a.slice(k, 1) for a in key_arrays], "run": run, "n": int(n[k]), "s": int(s[k]),
+                         "mn": int(mn[k]), "mx": int(mx[k]), "m2": float(m2[k]), "first": int(first[k]),
+                         "last": int(last[k])}
             prev_key = _last_key(karr)
-            prev_us = int(us[-1])
-            yield pa.RecordBatch.from_pydict(cols)
+        if carry is not None:
+            yield emit_carry(carry)
 
     return fn
 
 
-def _with_gaps(sorted_df: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys, run, time and gap of every hit (only what the stitching needs
-    goes back through Arrow)."""
+def _run_moments(sorted_df: DataFrame, keys: list[str]) -> DataFrame:
     by_name = {f.name: f for f in sorted_df.schema.fields}
-    fields = [by_name[c] for c in (*keys, RUN, US)] + [T.StructField(GAP, T.LongType(), True)]
-    return sorted_df.mapInArrow(_gap_kernel(keys), T.StructType(fields))
+    schema = T.StructType([by_name[k] for k in keys] + [
+        T.StructField(RUN, T.IntegerType(), False),
+        T.StructField("n", T.LongType(), False),
+        T.StructField("s", T.LongType(), False),
+        T.StructField("mn", T.LongType(), True),
+        T.StructField("mx", T.LongType(), True),
+        T.StructField("m2", T.DoubleType(), False),
+        T.StructField("first_us", T.LongType(), False),
+        T.StructField("last_us", T.LongType(), False),
+    ])
+    return sorted_df.mapInArrow(_moments_kernel(keys), schema)
 
 
 def gap_stats(df: DataFrame, keys: list[str], us: str, tie: str | None = None,
               num_partitions: int | None = None) -> DataFrame:
     """Per key: number of gaps between consecutive hits and their min, max,
-    mean and sample standard deviation, in seconds (rounded to 3 places)."""
-    rows = _with_gaps(range_sorted(df, keys, us, tie, num_partitions), keys)
-    g = F.col(GAP).cast("double")
-    runs = rows.groupBy(*keys, RUN).agg(
-        F.count(GAP).alias("n"),
-        F.sum(GAP).alias("s"),
-        F.min(GAP).alias("mn"),
-        F.max(GAP).alias("mx"),
-        (F.coalesce(F.var_pop(g), F.lit(0.0)) * F.count(GAP)).alias("m2"),
-        F.min(US).alias("first_us"),
-        F.max(US).alias("last_us"),
-    )
-    w = Window.partitionBy(*keys).orderBy("first_us")
+    mean and sample standard deviation, in seconds (rounded to 3 places).
+
+    The kernel returns one row per key and task (its gap moments); runs of
+    one key are stitched with the gap across each task boundary and their
+    moments combined exactly."""
+    runs = _run_moments(range_sorted(df, keys, us, tie, num_partitions), keys)
+    w = Window.partitionBy(*keys).orderBy("first_us")  # at most one row per task per key
     wall = Window.partitionBy(*keys)
     runs = runs.withColumn("cross", F.col("first_us") - F.lag("last_us").over(w))
     tot_n = F.sum(F.col("n") + F.when(F.col("cross").isNotNull(), 1).otherwise(0)).over(wall)
-    tot_s = F.sum(F.coalesce(F.col("s"), F.lit(0)) + F.coalesce(F.col("cross"), F.lit(0))).over(wall)
+    tot_s = F.sum(F.col("s") + F.coalesce(F.col("cross"), F.lit(0))).over(wall)
     runs = runs.withColumn("tot_n", tot_n).withColumn("tot_s", tot_s)
     mean = F.col("tot_s").cast("double") / F.col("tot_n")
     run_mean = F.col("s").cast("double") / F.col("n")
