@@ -4,11 +4,12 @@ A window partitioned by client or session sends every hit of one key to one
 task; one bot client can own a large share of all hits. Instead the hits are
 range-partitioned on (key, time, tie-breaker): the range partitioner samples
 the full sort key, so one heavy key is cut into many contiguous slices
-("runs", one per task). A small Arrow kernel computes the gap to the previous
-hit (or folds hits into sessions) inside each slice; the only cross-task
-information needed is the first and last time of each run, which is
-aggregated to at most one row per key and task and stitched with window
-functions over runs.
+("runs", one per task). A small Arrow kernel folds each run inside its
+task: into the moments of its gaps (count, sum, min, max, M2) or into its
+inactivity sessions, so only one row per run (or per local session) goes
+back to the JVM. The only cross-task information needed is the first and
+last time of each run; runs are stitched with window functions over at
+most one row per key and task.
 
 Work per task is bounded by the partition size, whatever the key skew.
 """
