@@ -232,81 +232,122 @@ def gap_stats(df: DataFrame, keys: list[str], us: str, tie: str | None = None,
 
 
 def _session_kernel(keys: list[str], gap_limit_us: int):
-    """Arrow kernel: one output row per local inactivity session inside the
-    task (keys, run, local start or NULL for the run's head session, hit
-    count, first and last time). Consecutive hits are folded in the task, so
-    only sessions leave it."""
-    out_names = [*keys, RUN, LOCAL_START, "n", "first_us", "last_us"]
+    """Arrow kernel over one task's sorted hits. Emits
 
-    def emit(key_arrays, run, local_start, start_mask, n, first, last):
-        cols = list(key_arrays) + [
-            pa.array(np.full(len(n), run, dtype=np.int32), type=pa.int32()),
-            pa.array(local_start, mask=start_mask, type=pa.int64()),
-            pa.array(n, type=pa.int64()),
-            pa.array(first, type=pa.int64()),
-            pa.array(last, type=pa.int64()),
-        ]
-        return pa.RecordBatch.from_arrays(cols, names=out_names)
+    * kind 0: every closed session that starts inside a run (after a gap
+      above the limit): its start, hit count, first and last time;
+    * kind 1: one row per run (a key inside the task), when the run ends: the
+      stats of its head session (whose start may lie in an earlier task),
+      the run's last time and the start of its last kind-0 session.
+
+    Only sessions and runs leave the task."""
+    out_names = ["kind", *keys, RUN, "start_us", "n", "first_us", "last_us", "run_last", "last_brk"]
 
     def fn(batches):
-        prev_key = None
-        prev_us = None
-        carry = None  # the open session: [key arrays (1 row), run, start, start_null, n, first, last]
+        state = {"prev_key": None, "prev_us": None, "sess": None, "run": None, "rid": None, "types": None}
+        out = {name: [] for name in out_names}
+
+        def put(kind, key, start, n, first, last, run_last=None, last_brk=None):
+            out["kind"].append(kind)
+            for k, v in zip(keys, key):
+                out[k].append(v)
+            for name, v in zip(out_names[len(keys) + 1:], (state["rid"], start, n, first, last, run_last, last_brk)):
+                out[name].append(v)
+
+        def close_session():
+            """The open session ends; a head session is kept for its run row."""
+            key, head, n, first, last = state["sess"]
+            if head:
+                state["run"]["head"] = (n, first, last)
+            else:
+                put(0, key, first, n, first, last)
+
+        def close_run():
+            r = state["run"]
+            n, first, last = r["head"]
+            put(1, r["key"], None, n, first, last, r["run_last"], r["last_brk"])
+
+        def flush():
+            batch = _batch(out, out_names, keys, state["types"])
+            for v in out.values():
+                v.clear()
+            return batch
+
         for b in batches:
-            n = b.num_rows
-            if n == 0:
+            rows = b.num_rows
+            if rows == 0:
                 continue
+            state["types"] = [b.schema.field(k).type for k in keys]
+            state["rid"] = int(b.column(RUN)[0].as_py())
             karr = _key_arrays(b, keys)
             us = b.column(US).to_numpy(zero_copy_only=False).astype(np.int64)
-            run = int(b.column(RUN)[0].as_py())
-            change = _key_change(karr, prev_key)
-            prev_us_arr = np.empty(n, dtype=np.int64)
+            change = _key_change(karr, state["prev_key"])
+            prev_us_arr = np.empty(rows, dtype=np.int64)
             prev_us_arr[1:] = us[:-1]
-            prev_us_arr[0] = prev_us if prev_us is not None else 0
+            prev_us_arr[0] = state["prev_us"] if state["prev_us"] is not None else 0
             brk = ~change & ((us - prev_us_arr) > gap_limit_us)
             starts = np.flatnonzero(change | brk)
-            head_len = int(starts[0]) if len(starts) else n
-            if head_len and carry is not None:  # rows continuing the open session
-                carry[4] += head_len
-                carry[6] = int(us[head_len - 1])
-            if len(starts):
-                if carry is not None:
-                    yield emit(carry[0], carry[1], np.array([carry[2]]), np.array([carry[3]]),
-                               np.array([carry[4]]), np.array([carry[5]]), np.array([carry[6]]))
-                ends = np.append(starts[1:], n)
-                idx = pa.array(starts)
-                key_arrays = [b.column(k).take(idx) for k in keys]
-                seg_n = (ends - starts).astype(np.int64)
-                first = us[starts]
-                last = us[ends - 1]
-                start_null = change[starts]
-                done = len(starts) - 1  # all but the last session are closed
-                if done:
-                    yield emit([a.slice(0, done) for a in key_arrays], run, first[:done], start_null[:done],
-                               seg_n[:done], first[:done], last[:done])
-                carry = [[a.slice(done, 1) for a in key_arrays], run, int(first[done]), bool(start_null[done]),
-                         int(seg_n[done]), int(first[done]), int(last[done])]
-            prev_key = _last_key(karr)
-            prev_us = int(us[-1])
-        if carry is not None:
-            yield emit(carry[0], carry[1], np.array([carry[2]]), np.array([carry[3]]),
-                       np.array([carry[4]]), np.array([carry[5]]), np.array([carry[6]]))
+            ends = np.append(starts[1:], rows)
+            key_vals = [b.column(k).take(pa.array(starts)).to_pylist() for k in keys]
+            head_len = int(starts[0]) if len(starts) else rows
+            if head_len and state["sess"] is not None:  # hits continuing the open session
+                state["sess"][2] += head_len
+                state["sess"][4] = int(us[head_len - 1])
+                state["run"]["run_last"] = state["sess"][4]
+            for j in range(len(starts)):
+                first, last = int(us[starts[j]]), int(us[ends[j] - 1])
+                new_run = bool(change[starts[j]])
+                if state["sess"] is not None:
+                    close_session()
+                    if new_run:
+                        close_run()
+                key = [v[j] for v in key_vals]
+                if new_run:
+                    state["run"] = {"key": key, "head": None, "run_last": None, "last_brk": None}
+                else:
+                    state["run"]["last_brk"] = first
+                state["sess"] = [key, new_run, int(ends[j] - starts[j]), first, last]
+                state["run"]["run_last"] = last
+            state["prev_key"] = _last_key(karr)
+            state["prev_us"] = int(us[-1])
+            if out["kind"]:
+                yield flush()
+        if state["sess"] is not None:
+            close_session()
+            close_run()
+            yield flush()
 
     return fn
 
 
-def local_sessions(df: DataFrame, keys: list[str], us: str, gap_us: int, tie: str | None = None,
+def _batch(out: dict, names: list[str], keys: list[str], key_types) -> pa.RecordBatch:
+    types = dict(zip(keys, key_types))
+    cols = []
+    for name in names:
+        if name == "kind":
+            cols.append(pa.array(out[name], type=pa.int8()))
+        elif name in types:
+            cols.append(pa.array(out[name], type=types[name]))
+        elif name == RUN:
+            cols.append(pa.array(out[name], type=pa.int32()))
+        else:
+            cols.append(pa.array(out[name], type=pa.int64()))
+    return pa.RecordBatch.from_arrays(cols, names=names)
+
+
+def session_pieces(df: DataFrame, keys: list[str], us: str, gap_us: int, tie: str | None = None,
                    num_partitions: int | None = None) -> DataFrame:
-    """Inactivity sessions as seen inside each task of the range-sorted hits
-    (a session cut by a task boundary appears once per task)."""
+    """Kernel output over the range-sorted hits (see ``_session_kernel``)."""
     sorted_df = range_sorted(df, keys, us, tie, num_partitions)
     key_fields = [f for f in sorted_df.schema.fields if f.name in keys]
-    schema = T.StructType(key_fields + [
+    schema = T.StructType([T.StructField("kind", T.ByteType(), False)] + key_fields + [
         T.StructField(RUN, T.IntegerType(), False),
-        T.StructField(LOCAL_START, T.LongType(), True),
+        T.StructField("start_us", T.LongType(), True),
         T.StructField("n", T.LongType(), False),
         T.StructField("first_us", T.LongType(), False),
         T.StructField("last_us", T.LongType(), False),
+        T.StructField("run_last", T.LongType(), True),
+        T.StructField("last_brk", T.LongType(), True),
     ])
     return sorted_df.mapInArrow(_session_kernel(keys, gap_us), schema)
 
@@ -319,26 +360,20 @@ def gap_sessions(df: DataFrame, keys: list[str], us: str, gap_us: int, tie: str
 
     Output: keys, session_start_us, session_end_us (last hit + gap), n_events.
 
-    The local sessions are read twice (run summary, and the final grouping),
-    so they are checkpointed to the shared checkpoint folder: the sort and
-    the Arrow pass run once, and the run ids stay identical for both reads.
+    One window stitches the runs: it is partitioned by key and a bucket that
+    is shared only by the run rows of a key (at most one per task), while
+    every other session is its own bucket, so a heavy key stays spread.
     """
-    local = local_sessions(df, keys, us, gap_us, tie, num_partitions).checkpoint(eager=True)
-    runs = local.groupBy(*keys, RUN).agg(
-        F.min("first_us").alias("run_first"), F.max("last_us").alias("run_last"), F.max(LOCAL_START).alias("last_brk"))
-    w = Window.partitionBy(*keys).orderBy("run_first")  # at most one row per task per key
+    p = session_pieces(df, keys, us, gap_us, tie, num_partitions)
+    is_run = F.col("kind") == 1
+    p = p.withColumn("_bucket", F.when(is_run, F.lit(None).cast("bigint")).otherwise(F.col("start_us")))
+    w = Window.partitionBy(*keys, "_bucket").orderBy("first_us")
     prev_last = F.lag("run_last").over(w)
-    runs = runs.withColumn("anchor", F.when(prev_last.isNull() | ((F.col("run_first") - prev_last) > gap_us),
-                                            F.col("run_first")))
-    runs = runs.withColumn("v", F.coalesce("last_brk", "anchor"))
-    carry = F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    fix = runs.select(*[F.col(k).alias(f"_fix_{k}") for k in keys], F.col(RUN).alias("_fix_run"),
-                      F.coalesce(F.col("anchor"), carry).alias("head_start"))
-    # null-safe key equality: a NULL key is one group, as in the aggregates
-    cond = [local[k].eqNullSafe(fix[f"_fix_{k}"]) for k in keys] + [local[RUN] == fix["_fix_run"]]
-    joined = local.join(fix, cond, "inner")
-    start = F.coalesce(F.col(LOCAL_START), F.col("head_start"))
-    return joined.groupBy(*keys, start.alias("_sid")).agg(
+    anchor = F.when(is_run & (prev_last.isNull() | ((F.col("first_us") - prev_last) > gap_us)), F.col("first_us"))
+    p = p.withColumn("_anchor", anchor).withColumn("_v", F.coalesce("last_brk", "_anchor"))
+    carry = F.last("_v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    start = F.when(is_run, F.coalesce(F.col("_anchor"), carry)).otherwise(F.col("start_us"))
+    return p.withColumn("_sid", start).groupBy(*keys, "_sid").agg(
         F.min("first_us").alias("session_start_us"),
         (F.max("last_us") + F.lit(gap_us)).alias("session_end_us"),
         F.sum("n").alias("n_events"),
