@@ -87,3 +87,33 @@ def test_gap_stats_match_brute_force(spark, hits, parts):
         gaps = [b - a for a, b in zip(ts, ts[1:])]
         want[key] = (len(gaps), round(min(gaps) / 1e6, 3) if gaps else None, round(max(gaps) / 1e6, 3) if gaps else None)
     assert got == want
+
+
+@SETTINGS
+@given(HITS, st.integers(1, 4), st.integers(1, 5))
+def test_kernels_across_tiny_arrow_batches(spark, hits, parts, batch):
+    """Runs and sessions cut by Arrow batch boundaries are carried over."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(batch))
+    try:
+        df = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(hits)], "k string, us bigint, id bigint")
+        got = sorted(tuple(r) for r in O.gap_sessions(df, ["k"], "us", GAP, tie="id", num_partitions=parts).collect())
+        assert got == brute_sessions(hits, GAP)
+        rows = O.gap_stats(df, ["k"], "us", tie="id", num_partitions=parts).collect()
+        stats = {r.k: (r.n_gaps, r.min_gap_sec, r.max_gap_sec, r.avg_gap_sec) for r in rows}
+        sd = {r.k: r.stddev_gap_sec for r in rows}
+        for key_ in {k for k, _ in hits}:
+            ts = sorted(t for k, t in hits if k == key_)
+            gaps = [b - a for a, b in zip(ts, ts[1:])]
+            want = (len(gaps), round(min(gaps) / 1e6, 3) if gaps else None, round(max(gaps) / 1e6, 3) if gaps else None,
+                    round(sum(gaps) / len(gaps) / 1e6, 3) if gaps else None)
+            assert stats[key_] == want
+            if len(gaps) > 1:
+                mean = sum(gaps) / len(gaps)
+                exact = math.sqrt(sum((g - mean) ** 2 for g in gaps) / (len(gaps) - 1)) / 1e6
+                assert abs(sd[key_] - exact) <= 0.0006
+            else:
+                assert sd[key_] is None
+    finally:
+        spark.conf.set(key, old)

@@ -240,101 +240,114 @@ def _session_kernel(keys: list[str], gap_limit_us: int):
       stats of its head session (whose start may lie in an earlier task),
       the run's last time and the start of its last kind-0 session.
 
-    Only sessions and runs leave the task."""
+    Only sessions and runs leave the task. Work is vectorised per batch; the
+    session and run still open at the end of a batch are carried over."""
     out_names = ["kind", *keys, RUN, "start_us", "n", "first_us", "last_us", "run_last", "last_brk"]
 
-    def fn(batches):
-        state = {"prev_key": None, "prev_us": None, "sess": None, "run": None, "rid": None, "types": None}
-        out = {name: [] for name in out_names}
-
-        def put(kind, key, start, n, first, last, run_last=None, last_brk=None):
-            out["kind"].append(kind)
-            for k, v in zip(keys, key):
-                out[k].append(v)
-            for name, v in zip(out_names[len(keys) + 1:], (state["rid"], start, n, first, last, run_last, last_brk)):
-                out[name].append(v)
-
-        def close_session():
-            """The open session ends; a head session is kept for its run row."""
-            key, head, n, first, last = state["sess"]
-            if head:
-                state["run"]["head"] = (n, first, last)
-            else:
-                put(0, key, first, n, first, last)
-
-        def close_run():
-            r = state["run"]
-            n, first, last = r["head"]
-            put(1, r["key"], None, n, first, last, r["run_last"], r["last_brk"])
+    def rows_batch(kind, key_cols, rid, start, n, first, last, run_last, last_brk, types):
+        m = len(n)
+        cols = [pa.array(np.full(m, kind, dtype=np.int8), type=pa.int8())]
+        cols += [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, type=t)
+                 for c, t in zip(key_cols, types)]
+        cols.append(pa.array(np.full(m, rid, dtype=np.int32), type=pa.int32()))
+        for v in (start, n, first, last, run_last, last_brk):
+            cols.append(v if isinstance(v, pa.Array) else pa.array(v, type=pa.int64()))
+        return pa.RecordBatch.from_arrays(cols, names=out_names)
 
-        def flush():
-            batch = _batch(out, out_names, keys, state["types"])
-            for v in out.values():
-                v.clear()
-            return batch
+    def fn(batches):
+        prev_key = prev_us = None
+        sess = None  # open session: {"key": [values], "head": bool, "n", "first", "last"}
+        run = None  # open run: {"key", "head": (n, first, last) or None, "run_last", "last_brk"}
+        types = rid = None
+
+        def close_session_rows():
+            """Close the open session: a head session is kept for its run row,
+            any other one is returned as a kind-0 row."""
+            if sess["head"]:
+                run["head"] = (sess["n"], sess["first"], sess["last"])
+                return None
+            return rows_batch(0, [[v] for v in sess["key"]], rid, [sess["first"]], [sess["n"]], [sess["first"]],
+                              [sess["last"]], [None], [None], types)
+
+        def run_row():
+            n, first, last = run["head"]
+            return rows_batch(1, [[v] for v in run["key"]], rid, [None], [n], [first], [last], [run["run_last"]],
+                              [run["last_brk"]], types)
 
         for b in batches:
             rows = b.num_rows
             if rows == 0:
                 continue
-            state["types"] = [b.schema.field(k).type for k in keys]
-            state["rid"] = int(b.column(RUN)[0].as_py())
+            types = [b.schema.field(k).type for k in keys]
+            rid = int(b.column(RUN)[0].as_py())
             karr = _key_arrays(b, keys)
             us = b.column(US).to_numpy(zero_copy_only=False).astype(np.int64)
-            change = _key_change(karr, state["prev_key"])
+            change = _key_change(karr, prev_key)
             prev_us_arr = np.empty(rows, dtype=np.int64)
             prev_us_arr[1:] = us[:-1]
-            prev_us_arr[0] = state["prev_us"] if state["prev_us"] is not None else 0
+            prev_us_arr[0] = prev_us if prev_us is not None else 0
             brk = ~change & ((us - prev_us_arr) > gap_limit_us)
             starts = np.flatnonzero(change | brk)
+            S = len(starts)
+            head_len = int(starts[0]) if S else rows
+            if head_len and sess is not None:  # hits continuing the open session
+                sess["n"] += head_len
+                sess["last"] = int(us[head_len - 1])
+                run["run_last"] = sess["last"]
+            prev_key, prev_us = _last_key(karr), int(us[-1])
+            if S == 0:
+                continue
             ends = np.append(starts[1:], rows)
-            key_vals = [b.column(k).take(pa.array(starts)).to_pylist() for k in keys]
-            head_len = int(starts[0]) if len(starts) else rows
-            if head_len and state["sess"] is not None:  # hits continuing the open session
-                state["sess"][2] += head_len
-                state["sess"][4] = int(us[head_len - 1])
-                state["run"]["run_last"] = state["sess"][4]
-            for j in range(len(starts)):
-                first, last = int(us[starts[j]]), int(us[ends[j] - 1])
-                new_run = bool(change[starts[j]])
-                if state["sess"] is not None:
-                    close_session()
-                    if new_run:
-                        close_run()
-                key = [v[j] for v in key_vals]
-                if new_run:
-                    state["run"] = {"key": key, "head": None, "run_last": None, "last_brk": None}
-                else:
-                    state["run"]["last_brk"] = first
-                state["sess"] = [key, new_run, int(ends[j] - starts[j]), first, last]
-                state["run"]["run_last"] = last
-            state["prev_key"] = _last_key(karr)
-            state["prev_us"] = int(us[-1])
-            if out["kind"]:
-                yield flush()
-        if state["sess"] is not None:
-            close_session()
-            close_run()
-            yield flush()
+            seg_n = (ends - starts).astype(np.int64)
+            seg_first, seg_last = us[starts], us[ends - 1]
+            seg_new = change[starts]
+            idx = pa.array(starts)
+            seg_keys = [b.column(k).take(idx) for k in keys]
+            if sess is not None:  # the open session ends where segment 0 starts
+                r = close_session_rows()
+                if r is not None:
+                    yield r
+            run_starts = np.flatnonzero(seg_new)  # segments that open a run
+            carried_end = int(run_starts[0]) if len(run_starts) else S  # segments [0, carried_end) continue `run`
+            if carried_end:
+                run["last_brk"] = int(seg_first[carried_end - 1])
+                run["run_last"] = int(seg_last[carried_end - 1])
+            # closed non-head sessions: every segment but the last
+            closed = np.arange(S - 1)
+            k0 = closed[~seg_new[: S - 1]]
+            if len(k0):
+                ki = pa.array(k0)
+                yield rows_batch(0, [c.take(ki) for c in seg_keys], rid, seg_first[k0], seg_n[k0], seg_first[k0],
+                                 seg_last[k0], pa.nulls(len(k0), pa.int64()), pa.nulls(len(k0), pa.int64()), types)
+            if len(run_starts):
+                if run is not None:  # the carried run is complete
+                    yield run_row()
+                # runs opened and completed inside this batch
+                h = run_starts[:-1]
+                e = run_starts[1:] - 1
+                if len(h):
+                    hi = pa.array(h)
+                    brk_v = np.where(e > h, seg_first[e], 0)
+                    yield rows_batch(1, [c.take(hi) for c in seg_keys], rid, pa.nulls(len(h), pa.int64()), seg_n[h],
+                                     seg_first[h], seg_last[h], seg_last[e],
+                                     pa.array(brk_v, mask=~(e > h), type=pa.int64()), types)
+                # the last run stays open
+                h1, e1 = int(run_starts[-1]), S - 1
+                run = {"key": [c[h1].as_py() for c in seg_keys],
+                       "head": None if e1 == h1 else (int(seg_n[h1]), int(seg_first[h1]), int(seg_last[h1])),
+                       "run_last": int(seg_last[e1]), "last_brk": int(seg_first[e1]) if e1 > h1 else None}
+            j = S - 1  # the last segment stays open
+            sess = {"key": [c[j].as_py() for c in seg_keys], "head": bool(seg_new[j]), "n": int(seg_n[j]),
+                    "first": int(seg_first[j]), "last": int(seg_last[j])}
+        if sess is not None:
+            r = close_session_rows()
+            if r is not None:
+                yield r
+            yield run_row()
 
     return fn
 
 
-def _batch(out: dict, names: list[str], keys: list[str], key_types) -> pa.RecordBatch:
-    types = dict(zip(keys, key_types))
-    cols = []
-    for name in names:
-        if name == "kind":
-            cols.append(pa.array(out[name], type=pa.int8()))
-        elif name in types:
-            cols.append(pa.array(out[name], type=types[name]))
-        elif name == RUN:
-            cols.append(pa.array(out[name], type=pa.int32()))
-        else:
-            cols.append(pa.array(out[name], type=pa.int64()))
-    return pa.RecordBatch.from_arrays(cols, names=names)
-
-
 def session_pieces(df: DataFrame, keys: list[str], us: str, gap_us: int, tie: str | None = None,
                    num_partitions: int | None = None) -> DataFrame:
     """Kernel output over the range-sorted hits (see ``_session_kernel``)."""
