@@ -264,14 +264,19 @@ def _stream_rows(spark, d):
     return FX.session_signals_from(ev, FX.nations(spark, d))
 
 
+def _state_partitions(spark) -> int:
+    # one state-store partition per core of the session running the check
+    return spark.sparkContext.defaultParallelism
+
+
 def q_stream_gap_sessions(spark, d):
     s = ST.stream_gap_sessions(ST.read_event_stream(spark, d), CFG.session_gap, CFG.watermark)
-    return ST.drain(s, "stream-gap-sessions", mode="complete")
+    return ST.drain(s, "stream-gap-sessions", mode="complete", state_partitions=_state_partitions(spark))
 
 
 def q_stream_tumbling_value(spark, d):
     s = ST.stream_tumbling_value(ST.classify_stream(_stream_rows(spark, d)), CFG.tumbling_window, CFG.watermark)
-    return ST.drain(s, "stream-tumbling-value", mode="complete")
+    return ST.drain(s, "stream-tumbling-value", mode="complete", state_partitions=_state_partitions(spark))
 
 
 def q_stream_classify(spark, d):

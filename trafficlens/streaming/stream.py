@@ -61,14 +61,25 @@ def stream_tumbling_value(classified: DataFrame, size: str = "1 hour", watermark
 
 
 def drain(df: DataFrame, name: str, mode: str = "append", path: str | None = None,
-          checkpoint: str | None = None) -> DataFrame:
+          checkpoint: str | None = None, state_partitions: int | None = None) -> DataFrame:
     """Run a streaming query over everything available, write it to Parquet
     on shared storage, and return the written table.
 
     ``append`` uses the file sink (exactly-once through its commit log);
     ``complete`` rewrites the whole result each micro-batch via
-    ``foreachBatch`` (idempotent overwrite), so the last batch is final."""
+    ``foreachBatch`` (idempotent overwrite), so the last batch is final.
+    ``state_partitions`` fixes the number of state-store partitions of a new
+    stateful query (Spark records it in the checkpoint at the first batch);
+    by default the session's ``spark.sql.shuffle.partitions`` applies."""
     spark = df.sparkSession
+    if state_partitions:
+        key = "spark.sql.shuffle.partitions"
+        saved = spark.conf.get(key)
+        spark.conf.set(key, str(state_partitions))
+        try:
+            return drain(df, name, mode, path, checkpoint)
+        finally:
+            spark.conf.set(key, saved)
     path = path or scratch_path(spark, name)
     checkpoint = checkpoint or scratch_path(spark, f"{name}-checkpoint")
     w = df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).queryName(
