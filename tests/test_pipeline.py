@@ -53,6 +53,8 @@ def test_pipeline_run(spark, export, tmp_path):
     assert doc["sessions"]["total_cleaned"] + doc["sessions"]["bots_removed"] == n
     att = spark.read.parquet(out.paths["attribution"])
     assert att.count() >= 1
+    panel = spark.read.parquet(out.paths["weekly_panel"])
+    assert panel.select("geo").distinct().count() == 1 and panel.count() % 4 == 0
     assert set(out.classified.select("edge_score_source").distinct().toPandas().edge_score_source) == {"MEASURED", "IMPUTED"}
 
 

@@ -18,6 +18,7 @@ from .. import config as C
 from ..operators import channels as CH
 from ..operators import classify as CL
 from ..operators import clean as CN
+from ..operators import panel as P
 from ..operators import report as R
 from ..operators import sessionize as S
 from ..operators import signals as SG
@@ -69,6 +70,8 @@ def publish(classified: DataFrame, out_dir: str, cfg: C.PipelineConfig = C.Pipel
     sinks.write_parquet(CN.vbb_upload_payload(classified), paths["payload"])
     attribution = CH.channel_attribution(classified)
     sinks.write_parquet(attribution, paths["attribution"])
+    paths["weekly_panel"] = f"{out}/weekly_channel_panel"
+    sinks.write_parquet(P.weekly_channel_panel(cleaned, geo_col=cfg.panel_geo), paths["weekly_panel"])
     summary = R.summary_document(classified, mode="labelled" if labelled else "batch", days=cfg.daily_days,
                                  data_source=data_source)
     sinks.write_json(summary, paths["summary"])
