@@ -55,3 +55,19 @@ def test_confusion_matrix_sums_to_rows(spark):
     assert CL.confusion_matrix(c).agg(F.sum("sessions")).first()[0] == c.count()
     wide = CL.confusion_matrix_wide(c)
     assert set(wide.columns) == {"true_class", *C.CLASSES}
+
+
+def test_weekly_panel_is_a_dense_grid(spark):
+    from trafficlens.operators import panel as P
+
+    cleaned = CN.cleaned_sessions(_classified(spark))
+    for geo_col in (None, "geo_country"):
+        p = P.weekly_channel_panel(cleaned, geo_col=geo_col)
+        geos = p.select("geo").distinct().count()
+        weeks = p.select("week").distinct().count()
+        assert p.count() == geos * weeks * len(C.PAID_CHANNELS)
+        assert p.groupBy("geo", "week", "channel").count().where(F.col("count") > 1).count() == 0
+        # every paid human session lands in exactly one cell
+        paid = cleaned.where(F.col("source_medium").isin("google / cpc", "meta / paid_social", "bing / cpc",
+                                                         "programmatic / display")).count()
+        assert p.agg(F.sum("sessions")).first()[0] == paid
