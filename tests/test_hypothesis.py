@@ -8,7 +8,8 @@ from hypothesis import strategies as st
 from trafficlens.functions import expressions as X
 from trafficlens.operators import ordered as O
 
-SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=12, deadline=None, derandomize=True, database=None,
+                    suppress_health_check=list(HealthCheck))
 
 # scores around every threshold, plus missing values
 SCORE = st.one_of(st.none(), st.just(float("nan")), st.sampled_from([0.19, 0.2, 0.37, 0.38, 0.47, 0.48, 0.54, 0.55,
