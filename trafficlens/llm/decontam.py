@@ -30,9 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trafficlens.llm.common import fresh, stored
+from trafficlens.llm.common import ascii_lower, fresh, stored
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # fixed value: what separates words, before A-Z are lower-cased
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 # rows of a side that may be broadcast; (fingerprint, surrounding) rows and
@@ -42,9 +41,7 @@ BROADCAST_ROWS = 50_000
 
 def words(text: Column) -> Column:
     """The words of a text, A-Z lower-cased; null for a null text."""
-    plain = F.octet_length(text) == F.char_length(text)
-    low = F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
-    return F.array_remove(F.split(low, SEPARATORS), "")
+    return F.array_remove(F.split(ascii_lower(text), SEPARATORS), "")
 
 
 def _hashes(df: DataFrame, text: str, out: str) -> DataFrame:

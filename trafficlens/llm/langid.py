@@ -21,6 +21,7 @@ those seen in the sample; with no labelled row every document is ``und``.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trafficlens.llm.common import bounded_sample, ship_by_value, stored
+from trafficlens.llm.common import bounded_sample, ship_by_value, stored, worker_state
 
 ship_by_value(__name__)
 
@@ -259,10 +260,11 @@ class _Words:
 
 def predictor(model: Model):
     """A column function text -> struct(lang, score)."""
+    mark = uuid.uuid4().hex
 
     @F.pandas_udf("lang string, score double")
     def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        table = _Words(model)
+        table = worker_state("langid", mark, lambda: _Words(model))
         for s in parts:
             langs, scores = [], []
             texts = s.tolist()

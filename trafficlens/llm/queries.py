@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficlens.llm import decontam, langid, oracle, packing, rules, shards, simhash, toxicity
+from trafficlens.llm import decontam, langid, oracle, packing, pseudo, quality, records, rules, shards, simhash, toxicity
 from trafficlens.llm.common import crc_remainder, fresh, table
 from trafficlens.session import scratch_path
 
@@ -19,6 +19,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.learned(docs, labels.where(~_held_out(5, 0)))
+    out = quality.scored(docs.select("doc_id", "text"), model, "score")
+    return out.select("doc_id", _held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -41,6 +49,14 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.fp_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, read back from the binary files."""
+    from public_tokenizers import path
+
+    out = records.written_and_indexed(table(spark, sf_dir, "documents"), scratch_path(spark, "records"), path("byte_bpe_50k.json"))
+    return out.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document; shards hold near equal bytes."""
     out = shards.sharded(table(spark, sf_dir, "documents"), scratch_path(spark, "slot-map"), 16)
@@ -53,6 +69,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masked pseudo-log-likelihood of every document."""
+    return pseudo.scored(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length bucket, batch and slot of every document."""
     return packing.packed(table(spark, sf_dir, "documents"))
@@ -88,7 +109,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed(docs)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op3_toxicity, op4_language, op5_simhash, op7_shards, op8_quality_rules, op10_packing)}
+QUERIES = {f.__name__: f for f in (
+    op1_decontamination, op2_quality, op3_toxicity, op4_language, op5_simhash, op6_records, op7_shards, op8_quality_rules,
+    op9_pseudo_likelihood, op10_packing)}
 
 SQL = {
     "op1_decontamination": oracle.DECONTAMINATION,

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trafficlens.llm.common import bounded_sample, ship_by_value, stored
+from trafficlens.llm.common import bounded_sample, ship_by_value, stored, worker_state
 
 ship_by_value(__name__)
 
@@ -183,7 +183,8 @@ def scorer(model: Model):
 
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        at = Distances(model) if model.weights else None
+        key = model.ordinary, model.toxic, model.window_words
+        at = worker_state("toxicity", key, lambda: Distances(model)) if model.weights else None
         for s in parts:
             if at is None:
                 yield pd.Series(np.zeros(len(s)))
