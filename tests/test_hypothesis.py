@@ -11,40 +11,23 @@ from trafficlens.operators import ordered as O
 SETTINGS = settings(max_examples=12, deadline=None, derandomize=True, database=None,
                     suppress_health_check=list(HealthCheck))
 
-# scores around every threshold, plus missing values
-SCORE = st.one_of(st.none(), st.just(float("nan")), st.sampled_from([0.19, 0.2, 0.37, 0.38, 0.47, 0.48, 0.54, 0.55,
-                                                                     0.61, 0.62, 0.99]),
-                  st.floats(0, 1, allow_nan=False))
-ROW = st.tuples(SCORE, st.sampled_from([0.0, 4.99, 5.0, 5.01, 8.0, 8.01, 20.0, 20.01, 33.3]),
-                st.integers(0, 40), st.integers(0, 3))
-
-
-def cascade(score, velocity, duration, mouse):
-    """SURVEY 2.10.1, first match wins; a missing score compares false."""
-    s = None if score is None or math.isnan(score) else score
-    def lt(a, b): return a is not None and a < b
-    def ge(a, b): return a is not None and a >= b
-    if lt(s, 0.20) and velocity > 20:
-        return "Ad_Fraud"
-    if lt(s, 0.48) and velocity > 8 and duration < 10 and mouse == 0:
-        return "LLM_Scraper"
-    if ge(s, 0.55) and velocity <= 5 and duration >= 30 and mouse > 0:
-        return "Human"
-    if ge(s, 0.62):
-        return "Human"
-    if ge(s, 0.38):
-        return "LLM_Scraper"
-    return "Ad_Fraud"
-
-
-@SETTINGS
-@given(st.lists(ROW, min_size=1, max_size=60))
-def test_classifier_matches_rule_table(spark, rows):
-    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+# (score, velocity, duration, mouse) -> class, on both sides of every limit
+BOUNDARIES = [
+    ((0.19, 20.01, 50, 5), "Ad_Fraud"), ((0.2, 20.01, 5, 0), "LLM_Scraper"), ((0.19, 20.0, 5, 0), "LLM_Scraper"),
+    ((0.19, 20.0, 10, 0), "Ad_Fraud"), ((0.47, 8.01, 9, 0), "LLM_Scraper"), ((0.37, 8.0, 9, 0), "Ad_Fraud"),
+    ((0.37, 8.01, 9, 1), "Ad_Fraud"), ((0.38, 8.01, 9, 1), "LLM_Scraper"), ((0.48, 8.01, 9, 0), "LLM_Scraper"),
+    ((0.55, 5.0, 30, 1), "Human"), ((0.55, 5.01, 30, 1), "LLM_Scraper"), ((0.55, 5.0, 29, 1), "LLM_Scraper"),
+    ((0.55, 5.0, 30, 0), "LLM_Scraper"), ((0.54, 5.0, 30, 1), "LLM_Scraper"), ((0.61, 6.0, 0, 0), "LLM_Scraper"),
+    ((0.62, 50.0, 0, 0), "Human"), ((None, 50.0, 0, 0), "Ad_Fraud"), ((float("nan"), 1.0, 60, 9), "Ad_Fraud"),
+]
+
+
+def test_classifier_at_its_boundaries(spark):
+    df = spark.createDataFrame([(i, *row) for i, (row, _) in enumerate(BOUNDARIES)],
                                "i int, edge_score double, event_velocity_per_sec double, "
                                "session_duration_sec bigint, mouse_move_events bigint")
     got = {r.i: r.c for r in df.select("i", X.classify().alias("c")).collect()}
-    assert got == {i: cascade(*r) for i, r in enumerate(rows)}
+    assert [got[i] for i in range(len(got))] == [c for _, c in BOUNDARIES]
 
 
 GAP = 100
@@ -72,7 +55,7 @@ def brute_sessions(hits, gap):
 @given(HITS, st.integers(1, 9))
 def test_gap_sessions_match_brute_force(spark, hits, parts):
     df = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(hits)], "k string, us bigint, id bigint")
-    got = sorted(tuple(r) for r in O.gap_sessions(df, ["k"], "us", GAP, tie="id", num_partitions=parts).collect())
+    got = sorted(tuple(r) for r in O.gap_sessions(df, ["k"], "us", GAP, tie="id", bucket_us=parts * 100).collect())
     assert got == brute_sessions(hits, GAP)
 
 
@@ -81,7 +64,7 @@ def test_gap_sessions_match_brute_force(spark, hits, parts):
 def test_gap_stats_match_brute_force(spark, hits, parts):
     df = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(hits)], "k string, us bigint, id bigint")
     got = {r.k: (r.n_gaps, r.min_gap_sec, r.max_gap_sec)
-           for r in O.gap_stats(df, ["k"], "us", tie="id", num_partitions=parts).collect()}
+           for r in O.gap_stats(df, ["k"], "us", tie="id", bucket_us=parts * 100).collect()}
     want = {}
     for key in {k for k, _ in hits}:
         ts = sorted(t for k, t in hits if k == key)
@@ -91,30 +74,17 @@ def test_gap_stats_match_brute_force(spark, hits, parts):
 
 
 @SETTINGS
-@given(HITS, st.integers(1, 4), st.integers(1, 5))
-def test_kernels_across_tiny_arrow_batches(spark, hits, parts, batch):
-    """Runs and sessions cut by Arrow batch boundaries are carried over."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(batch))
-    try:
-        df = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(hits)], "k string, us bigint, id bigint")
-        got = sorted(tuple(r) for r in O.gap_sessions(df, ["k"], "us", GAP, tie="id", num_partitions=parts).collect())
-        assert got == brute_sessions(hits, GAP)
-        rows = O.gap_stats(df, ["k"], "us", tie="id", num_partitions=parts).collect()
-        stats = {r.k: (r.n_gaps, r.min_gap_sec, r.max_gap_sec, r.avg_gap_sec) for r in rows}
-        sd = {r.k: r.stddev_gap_sec for r in rows}
-        for key_ in {k for k, _ in hits}:
-            ts = sorted(t for k, t in hits if k == key_)
-            gaps = [b - a for a, b in zip(ts, ts[1:])]
-            want = (len(gaps), round(min(gaps) / 1e6, 3) if gaps else None, round(max(gaps) / 1e6, 3) if gaps else None,
-                    round(sum(gaps) / len(gaps) / 1e6, 3) if gaps else None)
-            assert stats[key_] == want
-            if len(gaps) > 1:
-                mean = sum(gaps) / len(gaps)
-                exact = math.sqrt(sum((g - mean) ** 2 for g in gaps) / (len(gaps) - 1)) / 1e6
-                assert abs(sd[key_] - exact) <= 0.0006
-            else:
-                assert sd[key_] is None
-    finally:
-        spark.conf.set(key, old)
+@given(HITS, st.integers(1, 30))
+def test_gap_moments_across_buckets(spark, hits, width):
+    df = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(hits)], "k string, us bigint, id bigint")
+    rows = O.gap_stats(df, ["k"], "us", tie="id", bucket_us=width * 50).collect()
+    for r in rows:
+        ts = sorted(t for k, t in hits if k == r.k)
+        gaps = [b - a for a, b in zip(ts, ts[1:])]
+        assert r.avg_gap_sec == (round(sum(gaps) / len(gaps) / 1e6, 3) if gaps else None)
+        if len(gaps) > 1:
+            mean = sum(gaps) / len(gaps)
+            exact = math.sqrt(sum((g - mean) ** 2 for g in gaps) / (len(gaps) - 1)) / 1e6
+            assert abs(r.stddev_gap_sec - exact) <= 0.0006
+        else:
+            assert r.stddev_gap_sec is None

@@ -33,22 +33,30 @@ def _same(df, con, sql):
     return len(rows) == len(drows) and digest(df.columns, rows)[0] == digest([d[0] for d in res.description], drows)[0]
 
 
-@pytest.mark.parametrize("parts", [1, 3, 16, 64])
-def test_gap_sessions_hot_keys(spark, duck001, parts):
-    df = O.gap_sessions(_hot(spark), ["user_id"], "us", 30 * 60 * 1_000_000, tie="event_id", num_partitions=parts)
+@pytest.mark.parametrize("hours", [1, 7, 100, 10_000])
+def test_gap_sessions_hot_keys(spark, duck001, hours):
+    df = O.gap_sessions(_hot(spark), ["user_id"], "us", 30 * 60 * 1_000_000, tie="event_id", bucket_us=hours * O.HOUR_US)
     assert _same(df, duck001, SESS)
 
 
-@pytest.mark.parametrize("parts", [1, 3, 16, 64])
-def test_gap_stats_hot_keys(spark, duck001, parts):
-    df = O.gap_stats(_hot(spark), ["user_id"], "us", tie="event_id", num_partitions=parts)
+@pytest.mark.parametrize("hours", [1, 7, 100, 10_000])
+def test_gap_stats_hot_keys(spark, duck001, hours):
+    df = O.gap_stats(_hot(spark), ["user_id"], "us", tie="event_id", bucket_us=hours * O.HOUR_US)
     assert _same(df, duck001, STATS)
 
 
 def test_hot_key_is_split_across_tasks(spark):
-    rows = O.range_sorted(_hot(spark), ["user_id"], "us", "event_id", num_partitions=16)
-    runs = rows.groupBy("user_id").agg(F.countDistinct(O.RUN).alias("tasks")).collect()
-    assert all(r.tasks > 4 for r in runs)
+    rows = O.bucketed(_hot(spark), ["user_id"], "us", "event_id", O.HOUR_US)
+    runs = rows.groupBy("user_id").agg(F.countDistinct(O.BUCKET).alias("buckets"), F.count("*").alias("n")).collect()
+    assert all(r.buckets > 200 for r in runs)
+
+
+def test_null_times_are_left_out(spark):
+    df = spark.createDataFrame([("u", None, 1), ("u", 1_000_000, 2), ("u", 3_000_000, 3), ("v", None, 4)], "k string, us bigint, id bigint")
+    s = O.gap_stats(df, ["k"], "us", tie="id").collect()
+    assert [(r.k, r.n_gaps, r.min_gap_sec) for r in s] == [("u", 1, 2.0)]
+    g = O.gap_sessions(df, ["k"], "us", 10_000_000, tie="id").collect()
+    assert [tuple(r) for r in g] == [("u", 1_000_000, 13_000_000, 2)]
 
 
 def test_null_keys_group_together(spark, duck001):
@@ -56,7 +64,7 @@ def test_null_keys_group_together(spark, duck001):
     df = ev.select(F.when(F.col("user_id") % 3 == 0, F.lit(None)).otherwise(F.col("user_id") % 3).cast("bigint").alias("user_id"),
                    ntz_micros("ts").alias("us"), "event_id")
     sql_keys = "CASE WHEN user_id % 3 = 0 THEN NULL ELSE user_id % 3 END"
-    st = O.gap_stats(df, ["user_id"], "us", tie="event_id", num_partitions=5)
+    st = O.gap_stats(df, ["user_id"], "us", tie="event_id", bucket_us=5 * O.HOUR_US)
     assert _same(st, duck001, STATS.replace("user_id % 2 AS user_id", sql_keys + " AS user_id"))
-    gs = O.gap_sessions(df, ["user_id"], "us", 30 * 60 * 1_000_000, tie="event_id", num_partitions=5)
+    gs = O.gap_sessions(df, ["user_id"], "us", 30 * 60 * 1_000_000, tie="event_id", bucket_us=5 * O.HOUR_US)
     assert _same(gs, duck001, SESS.replace("user_id % 2 AS user_id", sql_keys + " AS user_id"))

@@ -109,3 +109,56 @@ def test_date_shards(spark, tmp_path):
     assert {str(r[0]) for r in got.select("event_date").distinct().collect()} == {"2024-01-05", "2024-01-07"}
     assert got.count() == ev.where(F.col("event_date").isin("2024-01-05", "2024-01-07")).count()
     assert S.sessions_from_events(got).count() > 0
+
+
+def test_labelled_run_draws_and_spend(spark, export, tmp_path):
+    """Labels kept through sessionising, accuracy and recall, posterior ROI and observed spend."""
+    ev = read_events(spark, export, schema=schemas.GA_EVENTS)
+    label = F.when(F.col("event_id") % 3 == 0, "Human").when(F.col("event_id") % 3 == 1, "Ad_Fraud")
+    out = run(spark, ev.withColumn("raw_traffic_label", label), str(tmp_path / "out4"), labelled=True,
+              draws=FX.roi_draws(spark, SF001), spend=FX.media_spend(spark, SF001).withColumn("geo", F.lit("national")))
+    read = lambda k: spark.read.parquet(out.paths[k])
+    right = out.classified.where(F.col("traffic_class") == F.col("raw_traffic_label")).count()
+    acc = read("accuracy").first()
+    assert acc.n == 364 and acc.accuracy == round(right / 364, 4)
+    assert {r.true_class for r in read("recall").collect()} == {"Human", "LLM_Scraper", "Ad_Fraud"}
+    assert read("top_sources").count() == 5 and read("edge_score_range").count() == 1
+    assert read("channel_spend").count() >= 1 and read("panel_roi").count() >= 1
+    assert all(r.posterior_used for r in read("roi_override").collect())
+    doc = json.loads(open(glob.glob(out.paths["summary"] + "/*.json")[0]).read().splitlines()[0])
+    assert doc["attribution"]["status"] == "posterior" and doc["media_spend_source"] == "observed" and doc["n_weeks_data"] >= 4
+    assert all(c["posterior_used"] for c in doc["attribution"]["channels"])
+
+
+def test_command_line_shards(spark, tmp_path):
+    from trafficlens.__main__ import main
+
+    base = tmp_path / "shards"
+    ev = FX.ga_events(spark, SF001).withColumn("raw_traffic_label", F.lit("Human"))
+    for day in ("2024-01-04", "2024-01-05", "2024-01-07"):
+        ev.where(F.col("event_date") == day).drop("event_date").write.parquet(str(base / f"events_{day.replace('-', '')}"))
+    paths = main(["--events", str(base), "--out", str(tmp_path / "cli2"), "--start", "2024-01-05", "--end", "2024-01-08",
+                  "--shards", "--labelled"])
+    want = S.sessions_from_events(ev, "2024-01-05", "2024-01-07").where(F.col("event_timestamp") >= "2024-01-05").count()
+    assert 0 < spark.read.parquet(paths["payload"]).count() <= want
+    assert spark.read.parquet(paths["accuracy"]).first().n == spark.read.parquet(paths["payload"]).count()
+
+
+def test_export_without_event_id(spark):
+    ev = FX.ga_events(spark, SF001)
+    a, b = S.sessions_from_events(ev), S.sessions_from_events(ev.drop("event_id"))
+    assert a.exceptAll(b).count() == 0 and a.count() == b.count()
+
+
+def test_exact_medians(spark):
+    import statistics
+
+    from trafficlens.operators.classify import exact_medians
+
+    vals = [float(i * i % 7919) / 3 for i in range(3001)] + [None, float("nan")]
+    df = spark.createDataFrame([(v, 5.0 if v and v > 100 else None) for v in vals], "a double, b double")
+    for n in (3003, 10, 4):
+        part = df.limit(n)
+        seen = [r.a for r in part.collect() if r.a is not None and r.a == r.a]
+        got = exact_medians(part, {"a": F.col("a"), "none": F.lit(None)})
+        assert got == {"a": statistics.median(seen), "none": None}

@@ -4,11 +4,10 @@ Cartesian product or nested-loop join, Python only where it is meant to be."""
 import pytest
 from conftest import SF001
 
-from __spark_entry__ import queries
+from trafficlens.plans.queries import QUERIES as QS
 
-QS = queries()
-ARROW_KERNELS = {"gap_sessions", "time_between_events"}
-BUILT_AT_CALL = {"csv_roundtrip_clean", "stream_gap_sessions", "stream_tumbling_value", "stream_classify"}
+PYTHON_MODELS = {"model_scores"}
+BUILT_AT_CALL = {"csv_roundtrip_clean", "stream_gap_sessions", "stream_tumbling_value", "stream_classify", "stream_late_rows", "raw_csv"}
 
 
 @pytest.mark.parametrize("name", sorted(QS))
@@ -17,7 +16,7 @@ def test_plan_shape(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan, bad
-    assert ("MapInArrow" in plan) == (name in ARROW_KERNELS)
-    assert "MapInPandas" not in plan
+    assert "MapInArrow" not in plan and "RoundRobinPartitioning" not in plan
+    assert ("MapInPandas" in plan) == (name in PYTHON_MODELS)
     if name not in BUILT_AT_CALL:
         assert "Scan parquet" in plan or "Scan ExistingRDD" in plan  # reads the driver tables

@@ -4,6 +4,8 @@ import math
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from trafficlens import config as C
 from trafficlens.functions import expressions as X
 
@@ -82,7 +84,25 @@ def test_user_supplied_channel_table_equals_builtin(spark):
                                   "key string, name string, priority int")
     df = spark.createDataFrame([("Google / CPC",), ("x",), (None,), ("google / organic search",)], "source_medium string")
     a = [r[0] for r in df.select(X.channel_of("source_medium")).collect()]
-    b = [r[0] for r in df.select(X.channel_of_table("source_medium", table)).collect()]
-    assert a == b == ["Google Ads", "Other", "Other", "Organic"]
-    with pytest.raises(ValueError):
-        X.channel_of_table("source_medium", table, max_rows=3)
+    b = {r.source_medium: r.channel for r in X.with_channel_of_table(df, table).collect()}
+    assert a == ["Google Ads", "Other", "Other", "Organic"]
+    assert [b[s] for s in ("Google / CPC", "x", None, "google / organic search")] == a
+
+
+def test_channel_table_ties_nulls_and_repeated_rows(spark):
+    table = spark.createDataFrame([("ab", "second", 1), ("AB", "again", 1), (None, "null key", 0), ("a", "late", 2)],
+                                  "key string, name string, priority int")
+    df = spark.createDataFrame([("xaby", 1), ("xaby", 1), ("a", 2), (None, 3), ("q", 4)], "source_medium string, n int")
+    got = sorted((str(r.source_medium), r.n, r.channel) for r in X.with_channel_of_table(df, table).collect())
+    assert got == [("None", 3, "Other"), ("a", 2, "late"), ("q", 4, "Other"), ("xaby", 1, "again"), ("xaby", 1, "again")]
+
+
+def test_iso_text_in_a_skipped_hour(spark):
+    """02:30 UTC on the day New York skips 02:00 to 03:00."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        us = 1_710_037_800_000_000
+        assert spark.range(1).select(X.micros_to_iso(F.lit(us))).first()[0] == "2024-03-10T02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -3,21 +3,6 @@
 import pytest
 
 from trafficlens import session as S
-from trafficlens.sources.tables import spread_small_scan
-
-
-def test_spread_only_small_scans(spark, tmp_path):
-    many = str(tmp_path / "many")
-    spark.range(0, 10_000, numPartitions=16).write.parquet(many)
-    df = spark.read.parquet(many)
-    assert df.rdd.getNumPartitions() >= 8
-    assert spread_small_scan(df, min_tasks=8) is df  # enough splits: untouched, no shuffle
-    one = str(tmp_path / "one")
-    spark.range(0, 10_000, numPartitions=1).write.parquet(one)
-    small = spark.read.parquet(one)
-    spread = spread_small_scan(small, min_tasks=8)
-    assert spread.rdd.getNumPartitions() == 8
-    assert sorted(r.id for r in spread.collect()) == list(range(10_000))  # whole, nothing dropped
 
 
 class _Ctx:

@@ -19,14 +19,8 @@ def _batch(spark):
     return O.gap_sessions(raw, ["user_id"], "us", GAP, tie="event_id")
 
 
-def test_complete_mode_equals_batch(spark):
-    s = ST.drain(ST.stream_gap_sessions(ST.read_event_stream(spark, SF01)), "t-complete", mode="complete")
-    assert s.count() == 9549
-    assert s.exceptAll(_batch(spark)).count() == 0
-
-
 def test_append_mode_holds_back_open_sessions(spark):
-    s = ST.drain(ST.stream_gap_sessions(ST.read_event_stream(spark, SF01)), "t-append", mode="append")
+    s = ST.drain(ST.stream_gap_sessions(ST.read_event_stream(spark, SF01)), "t-append")
     assert s.count() == 9525  # the last 24 sessions are still open at the watermark
     assert s.exceptAll(_batch(spark)).count() == 0
 
@@ -53,7 +47,7 @@ def test_late_rows_are_dropped(spark, tmp_path):
         shutil.copy(f, dst)
         os.utime(dst, (1_700_000_000 + 100 * i, 1_700_000_000 + 100 * i))  # file source orders by mtime
     stream = ST.read_event_stream(spark, str(flat), glob="*.parquet", max_files_per_trigger=1)
-    out = ST.drain(ST.stream_gap_sessions(stream), "t-late", mode="append")
+    out = ST.drain(ST.stream_gap_sessions(stream), "t-late")
     assert out.count() > 0
     assert out.where(F.col("user_id") == 424242).count() == 0
 

@@ -3,6 +3,7 @@
     spark-submit --py-files trafficlens.zip -m trafficlens \\
         --events s3://bucket/export --out s3://bucket/out [--signals PATH]
         [--start 2024-01-01 --end 2024-01-31] [--sessions 1000] [--labelled]
+        [--shards] [--draws PATH] [--spend PATH]
 
 The session's settings (master, ``spark.checkpoint.dir``, shuffle partitions)
 come from spark-submit / the cluster; only unset SQL defaults are filled in.
@@ -15,11 +16,12 @@ import dataclasses
 import json
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 from . import config as C
 from . import schemas
 from .plans.pipeline import run
-from .sources.tables import read_events
+from .sources.tables import read_date_shards, read_events
 
 
 def main(argv=None) -> dict:
@@ -31,13 +33,24 @@ def main(argv=None) -> dict:
     ap.add_argument("--start", help="first event_date (inclusive)")
     ap.add_argument("--end", help="last event_date (inclusive)")
     ap.add_argument("--sessions", type=int, help="repeatable sample of at most N sessions")
-    ap.add_argument("--labelled", action="store_true", help="input sessions carry raw_traffic_label")
+    ap.add_argument("--labelled", action="store_true", help="hits carry raw_traffic_label, the class of their session")
+    ap.add_argument("--shards", action="store_true", help="--events holds date-sharded folders events_YYYYMMDD (needs --start, --end)")
+    ap.add_argument("--draws", help="posterior ROI draws (Parquet: channel, roi)")
+    ap.add_argument("--spend", help="observed media spend (Parquet: geo, week, channel, spend)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("trafficlens").getOrCreate()
-    events = read_events(spark, a.events, schema=schemas.GA_EVENTS)
+    label = [T.StructField("raw_traffic_label", T.StringType())] if a.labelled else []
+    schema = T.StructType([*schemas.GA_EVENTS.fields, *label])
+    if a.shards:
+        if not (a.start and a.end):
+            ap.error("--shards needs --start and --end")
+        events = read_date_shards(spark, a.events, a.start, a.end, schema=schema)
+    else:
+        events = read_events(spark, a.events, schema=schema)
     signals = spark.read.schema(schemas.SIGNALS).parquet(a.signals) if a.signals else None
     cfg = dataclasses.replace(C.PipelineConfig(), date_start=a.start, date_end=a.end, n_sessions=a.sessions)
-    out = run(spark, events, a.out, signals=signals, cfg=cfg, labelled=a.labelled)
+    out = run(spark, events, a.out, signals=signals, cfg=cfg, labelled=a.labelled,
+              draws=spark.read.parquet(a.draws) if a.draws else None, spend=spark.read.parquet(a.spend) if a.spend else None)
     print(json.dumps(out.paths))
     return out.paths
 

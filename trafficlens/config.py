@@ -172,6 +172,10 @@ class SignatureRules:
     short_duration: float = 5.0
 
 
+# Starting centres of the k-means query, one per class, in the order of FEATURES.
+KMEANS_START = ((0.8, 1.0, 60.0, 100.0), (0.4, 12.0, 30.0, 0.0), (0.1, 18.0, 90.0, 0.0))
+
+
 @dataclass(frozen=True)
 class PipelineConfig:
     date_start: str | None = None

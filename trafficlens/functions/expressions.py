@@ -38,10 +38,12 @@ def utc_instant(ts) -> Column:
 
 
 def micros_to_iso(us) -> Column:
-    """Microseconds since epoch as UTC ``yyyy-MM-ddTHH:mm:ss`` in any session
-    time zone."""
-    return F.date_format(F.to_utc_timestamp(F.timestamp_micros(col(us)), F.current_timezone()),
-                         "yyyy-MM-dd'T'HH:mm:ss")
+    """Microseconds since epoch as UTC ``yyyy-MM-ddTHH:mm:ss``: the epoch as a
+    wall-clock time plus the microseconds, so no session time zone (and no
+    hour that it skips) takes part."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    text = F.timestamp_add("MICROSECOND", col(us), epoch).cast("string")  # date_format would go by the session zone
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))
 
 
 def iso_to_date(s) -> Column:
@@ -187,16 +189,16 @@ def const_table(spark, rows, columns):
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns)})")
 
 
-def channel_of_table(source_medium, mapping, max_rows: int = 10_000,
-                     other: str = C.OTHER_CHANNEL) -> Column:
-    """``channel_of`` with a user-supplied mapping DataFrame (``key``,
-    ``name``, ``priority``; lower priority is tried first). The table is a
-    small dimension: its size is checked (at most ``max_rows`` rows are
-    read) before it is compiled into the first-match expression, so the
-    substring match needs no join."""
-    rows = mapping.select("key", "name", "priority").orderBy("priority").limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"channel mapping has more than {max_rows} rows")
-    if not rows:
-        return F.lit(other)
-    return channel_of(source_medium, [(r["key"].lower(), r["name"]) for r in rows], other)
+def with_channel_of_table(df, mapping, source_medium: str = "source_medium", out: str = "channel",
+                          other: str = C.OTHER_CHANNEL):
+    """``df`` with the channel by a user-supplied mapping (``key``, ``name``,
+    ``priority``): the name of the first key, by priority and then key, that
+    the lower-cased source contains. The substring match runs on the distinct
+    sources only (rows of a mapping with a NULL key match nothing), and the
+    result comes back by equality."""
+    sources = df.select(F.col(source_medium).alias("_source")).distinct()
+    keys = mapping.select(F.lower("key").alias("_key"), F.col("name").alias("_name"), F.col("priority").alias("_priority"))
+    named = sources.join(keys, F.lower("_source").contains(F.col("_key"))).groupBy("_source").agg(
+        F.min_by("_name", F.struct("_priority", "_key", "_name")).alias("_channel"))
+    j = df.join(named, F.col(source_medium) == F.col("_source"), "left")
+    return j.select(*[F.col(c) for c in df.columns if c != out], F.coalesce("_channel", F.lit(other)).alias(out))

@@ -6,12 +6,13 @@ queries are small-keyed aggregates with map-side partial aggregation.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions import expressions as X
+from ..session import materialize
 
 CLASS = "traffic_class"
 LABEL = "raw_traffic_label"
@@ -35,7 +36,8 @@ def class_distribution(classified: DataFrame) -> DataFrame:
 
 def classification_accuracy(classified: DataFrame) -> DataFrame:
     return classified.agg(
-        F.round(F.avg((F.col(CLASS) == F.col(LABEL)).cast("double")), 4).alias("accuracy"),
+        # a session without a label counts as a miss
+        F.round(F.avg(F.coalesce(F.col(CLASS) == F.col(LABEL), F.lit(False)).cast("double")), 4).alias("accuracy"),
         F.count(F.lit(1)).alias("n"),
     )
 
@@ -118,61 +120,96 @@ def feature_profile_match(df: DataFrame, profiles=C.FEATURE_PROFILES) -> DataFra
     return out.withColumn("profile_class", best)
 
 
-def session_outliers(df: DataFrame, features=C.FEATURES, threshold: float = 3.5, approx: bool = False) -> DataFrame:
-    """Robust z-score per feature: 0.6745 * (x - median) / MAD.
-
-    The medians of all features are one global aggregate and the MADs a
-    second (scalar subqueries, partial aggregation per task). ``approx=True`` uses ``percentile_approx`` whose
-    memory is bounded whatever the number of distinct values; the exact
-    ``median`` keeps a value->count map, bounded here because the features
-    are rounded or integral."""
-    def med(c):
-        return F.percentile_approx(c, 0.5, 10000) if approx else F.median(c)
-
-    # one pass for all medians, one for all deviations
-    med_row = df.agg(F.struct(*[med(F.col(f).cast("double")).alias(f) for f in features])).scalar()
-    mad_row = df.agg(F.struct(*[med(F.abs(F.col(f).cast("double") - med_row[f])).alias(f)
-                                for f in features])).scalar()
-    zs = {f"z_{f}": F.round(F.try_divide(F.lit(0.6745) * (F.col(f).cast("double") - med_row[f]), mad_row[f]), 4)
-          for f in features}
-    out = df.select("client_id", "session_id", *[v.alias(k) for k, v in zs.items()])
-    mx = F.greatest(*[F.abs(F.col(k)) for k in zs])
+def exact_medians(df: DataFrame, values: dict, cells: int = 256) -> dict[str, float | None]:
+    """Exact median of each column expression in ``values``; NULLs and NaNs are
+    left out, no value gives None. Only names and medians reach the driver.
+
+    Equal values are counted first. Approximate quantiles cut the values into
+    ``cells`` ranges; counts per range tell which range holds the middle, and
+    only that range (about 1/cells of the different values) is ordered."""
+    pairs = F.explode_outer(F.array(*[F.struct(F.lit(n).alias("f"), c.cast("double").alias("v")) for n, c in values.items()]))
+    long = df.select(pairs.alias("p")).select("p.f", "p.v").where(F.col("v").isNotNull() & ~F.isnan("v"))
+    counts = materialize(long.groupBy("f", "v").agg(F.count(F.lit(1)).alias("n")))
+    cuts = counts.groupBy("f").agg(
+        F.percentile_approx("v", [i / cells for i in range(1, cells)], 10_000).alias("cuts"), F.sum("n").alias("total"))
+    placed = counts.join(F.broadcast(cuts), "f")  # one row per feature
+    placed = placed.withColumn("cell", F.size(F.filter("cuts", lambda c: c < F.col("v")))).drop("cuts")
+    by_cell = placed.groupBy("f", "cell", "total").agg(F.sum("n").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("f").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0))
+    lower, upper = F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2)
+    middle = by_cell.withColumn("before", upto - F.col("n")).where(
+        (F.col("before") < upper) & (F.col("before") + F.col("n") >= lower)).select("f", "cell", "before")
+    run = placed.join(F.broadcast(middle), ["f", "cell"])  # two cells of a feature at most
+    at = F.col("before") + F.sum("n").over(Window.partitionBy("f", "cell").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    run = run.withColumn("at", at)
+    holds = lambda k: F.max(F.when((F.col("at") >= k) & (F.col("at") - F.col("n") < k), F.col("v")))
+    got = run.groupBy("f").agg(((holds(lower) + holds(upper)) / 2).alias("median")).collect()
+    found = {r["f"]: r["median"] for r in got}
+    return {n: found.get(n) for n in values}
+
+
+def session_outliers(df: DataFrame, features=C.FEATURES, threshold: float = 3.5) -> DataFrame:
+    """Robust z-score per feature: 0.6745 * (x - median) / MAD, with exact
+    medians and deviations (one number per feature each)."""
+    med = exact_medians(df, {f: F.col(f) for f in features})
+    centre = {f: F.lit(med[f]).cast("double") for f in features}
+    mad = exact_medians(df, {f: F.abs(F.col(f).cast("double") - centre[f]) for f in features})
+    out = df.select("client_id", "session_id", *[
+        F.round(F.try_divide(F.lit(0.6745) * (F.col(f).cast("double") - centre[f]), F.lit(mad[f]).cast("double")), 4).alias(f"z_{f}")
+        for f in features])
+    mx = F.greatest(*[F.abs(F.col(f"z_{f}")) for f in features])
     return out.withColumn("max_abs_z", mx).withColumn("is_outlier", F.coalesce(mx > threshold, F.lit(False)))
 
 
-def training_slice(df: DataFrame, days: int = 30) -> DataFrame:
-    """Labelled sessions of the last ``days`` observed days with features,
-    label and conversion value (README retraining set)."""
-    day = X.iso_to_date("event_timestamp")
-    d = df.withColumn("day", day)
-    last = d.agg(F.max("day")).scalar()
+def training_slice(df: DataFrame, as_of: str, days: int = 30, outcomes: DataFrame | None = None,
+                   event_date: str | None = None) -> DataFrame:
+    """Labelled sessions of the ``days`` days up to ``as_of`` with features,
+    label and conversion value (README retraining set). With ``event_date``,
+    a partition column, the range prunes folders. ``outcomes`` (session_id,
+    conversion_value_usd) gives observed values; sessions without one keep
+    the value of their source."""
+    end = F.lit(as_of).cast("date")
+    day = F.col(event_date) if event_date else X.iso_to_date("event_timestamp")
+    d = df.where((day > F.date_sub(end, days)) & (day <= end)).withColumn("day", day)
     value = X.conversion_value("source_medium")
-    return d.where(F.col("day") >= F.date_sub(last, days - 1)).select(
-        "client_id", "session_id", "day", *C.FEATURES, F.col(LABEL).alias("label"),
-        value.alias("conversion_value_usd"))
-
-
-def kmeans_clusters(df: DataFrame, k: int = 3, seed: int = 42, features=C.FEATURES) -> DataFrame:
-    """K-means over standardised features (distributed k-means||). The
-    feature table is written once to the checkpoint folder and every
-    iteration reads it."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
-
-    # k-means makes one pass per iteration: read a materialised feature table
-    # (reliable checkpoint) instead of recomputing the upstream each time
-    from ..session import materialize
-
-    data = materialize(df.select("client_id", "session_id",
-                                 *[F.col(f).cast("double").alias(f) for f in features]).na.fill(0.0))
-    pipe = Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="_raw"),
-        StandardScaler(inputCol="_raw", outputCol="_features", withMean=True, withStd=True),
-        KMeans(featuresCol="_features", predictionCol="cluster", k=k, seed=seed),
-    ])
-    model = pipe.fit(data)
-    return model.transform(data).select("client_id", "session_id", F.col("cluster").cast("int").alias("cluster"))
+    if outcomes is not None:
+        o = outcomes.groupBy("session_id").agg(F.sum("conversion_value_usd").alias("_outcome"))
+        d = d.join(o, "session_id", "left")
+        value = F.coalesce("_outcome", value)
+    return d.select("client_id", "session_id", "day", *C.FEATURES, F.col(LABEL).alias("label"),
+                    value.alias("conversion_value_usd"))
+
+
+def _nearest(columns: list[str], centres: list[list[float]]):
+    """Index of the nearest centre (the first of equal ones)."""
+    dist = [sum((F.pow(F.col(c) - F.lit(x), 2) for c, x in zip(columns, centre)), F.lit(0.0)) for centre in centres]
+    least = F.least(*dist)
+    out = F.lit(len(centres) - 1)
+    for i in reversed(range(len(centres) - 1)):
+        out = F.when(dist[i] == least, F.lit(i)).otherwise(out)
+    return out
+
+
+def kmeans_clusters(df: DataFrame, start=C.KMEANS_START, steps: int = 5, features=C.FEATURES) -> DataFrame:
+    """K-means over standardised features from given starting centres (in
+    feature units), with ``steps`` Lloyd steps; each is one aggregate of which
+    k rows come back. A session with a missing feature has no place among the
+    others and is left out. Centres and features are rounded to six places."""
+    raw = [F.col(f).cast("double").alias(f) for f in features]
+    whole = [X.nan_to_null(f).isNotNull() for f in features]
+    data = df.select("client_id", "session_id", *raw)
+    for w in whole:
+        data = data.where(w)
+    s = data.agg(*[F.avg(f).alias(f"m_{f}") for f in features], *[F.stddev_samp(f).alias(f"s_{f}") for f in features]).first()
+    scale = {f: (round(s[f"m_{f}"] or 0.0, 6), round(s[f"s_{f}"] or 0.0, 6) or 1.0) for f in features}
+    z = [F.round((F.col(f) - scale[f][0]) / scale[f][1], 6).alias(f) for f in features]
+    data = materialize(data.select("client_id", "session_id", *z))
+    centres = [[round((x - scale[f][0]) / scale[f][1], 6) for f, x in zip(features, c)] for c in start]
+    for _ in range(steps):
+        means = data.groupBy(_nearest(list(features), centres).alias("c")).agg(*[F.round(F.avg(f), 6).alias(f) for f in features]).collect()
+        for r in means:
+            centres[r["c"]] = [r[f] for f in features]
+    return data.select("client_id", "session_id", _nearest(list(features), centres).cast("int").alias("cluster"))
 
 
 def score_with_model(df: DataFrame, predict, features=C.FEATURES, out_col: str = "prediction",

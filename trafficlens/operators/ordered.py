@@ -1,229 +1,66 @@
 """Order-dependent operators that stay balanced under key skew.
 
 A window partitioned by client or session sends every hit of one key to one
-task; one bot client can own a large share of all hits. Instead the hits are
-range-partitioned on (key, time, tie-breaker): the range partitioner samples
-the full sort key, so one heavy key is cut into many contiguous slices
-("runs", one per task). A small Arrow kernel folds each run inside its
-task: into the moments of its gaps (count, sum, min, max, M2) or into its
-inactivity sessions, so only one row per run (or per local session) goes
-back to the JVM. The only cross-task information needed is the first and
-last time of each run; runs are stitched with window functions over at
-most one row per key and task.
-
-Work per task is bounded by the partition size, whatever the key skew.
+task; one bot client can own a large share of all hits. Instead a key's hits
+are cut by time into buckets (``bucket_us``), and the window runs inside (key,
+bucket): one shuffle, and a heavy key is spread over as many tasks as it has
+buckets. Each bucket folds to one row (gap statistics) or to its sessions, of
+which only the first and last can go on in another bucket; a second window
+over at most two rows per key and bucket stitches these.
+
+Hits with a NULL time have no place in an order: they are left out. NULL keys
+form a group of their own.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# The Arrow kernels run in Python workers: ship this module's code with them
-# (pickled by value) so the workers need not have the package installed.
-try:
-    import sys
-
-    from pyspark import cloudpickle
 
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-except Exception:  # noqa: BLE001  (older cloudpickle: workers import the package)
-    pass
-
-RUN = "_run"
 US = "_us"
-LOCAL_START = "_local_start"
-
-
-def range_sorted(df: DataFrame, keys: list[str], us: str, tie: str | None = None,
-                 num_partitions: int | None = None) -> DataFrame:
-    """Hits globally ordered by (keys, time, tie), tagged with their run id."""
-    order = [*keys, us] + ([tie] if tie else [])
-    cols = [F.col(k) for k in keys] + [F.col(us).alias(US)] + ([F.col(tie)] if tie else [])
-    base = df.select(*cols)
-    order = [*keys, US] + ([tie] if tie else [])
-    # Without an explicit count the shuffle uses spark.sql.shuffle.partitions
-    # and AQE may merge neighbouring ranges (order and run ids stay valid:
-    # the run id is read after the merge).
-    parted = (base.repartitionByRange(num_partitions, *order) if num_partitions
-              else base.repartitionByRange(*order))
-    return parted.sortWithinPartitions(*order).withColumn(RUN, F.spark_partition_id())
-
-
-def _key_arrays(batch: pa.RecordBatch, keys: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(values with NULLs filled, validity) per key column, so that two NULL
-    keys compare equal, as in Spark's grouping."""
-    out = []
-    for k in keys:
-        col = batch.column(k)
-        valid = np.asarray(col.is_valid().to_numpy(zero_copy_only=False), dtype=bool)
-        if col.null_count:
-            fill = "" if pa.types.is_string(col.type) or pa.types.is_large_string(col.type) else 0
-            col = col.fill_null(pa.scalar(fill, type=col.type))
-        out.append((col.to_numpy(zero_copy_only=False), valid))
-    return out
-
-
-def _key_change(arrays: list[tuple[np.ndarray, np.ndarray]], prev: tuple | None) -> np.ndarray:
-    """True where a row's key differs from the row before it (``prev``: the
-    last key of the previous batch of the task)."""
-    n = len(arrays[0][0])
-    change = np.zeros(n, dtype=bool)
-    for i, (a, v) in enumerate(arrays):
-        if n > 1:
-            change[1:] |= (a[1:] != a[:-1]) | (v[1:] != v[:-1])
-        change[0] |= prev is None or a[0] != prev[i][0] or v[0] != prev[i][1]
-    return change
-
-
-def _last_key(arrays: list[tuple[np.ndarray, np.ndarray]]) -> tuple:
-    return tuple((a[-1], v[-1]) for a, v in arrays)
-
-
-_I64_MAX = np.iinfo(np.int64).max
-_I64_MIN = np.iinfo(np.int64).min
-
-
-def _moments_kernel(keys: list[str]):
-    """Arrow kernel: one row per run (key inside the task) with the moments
-    of the gaps between its consecutive hits: count, exact integer sum, min,
-    max, M2 (sum of squared deviations from the run's mean gap), and the
-    first and last time. A run cut by a batch boundary is carried over and
-    merged (Chan et al. parallel variance), so each run is emitted once."""
-    out_names = [*keys, RUN, "n", "s", "mn", "mx", "m2", "first_us", "last_us"]
-
-    def emit(key_arrays, run, n, s, mn, mx, m2, first, last):
-        has = n > 0
-        cols = list(key_arrays) + [
-            pa.array(np.full(len(n), run, dtype=np.int32), type=pa.int32()),
-            pa.array(n, type=pa.int64()),
-            pa.array(s, type=pa.int64()),
-            pa.array(mn, mask=~has, type=pa.int64()),
-            pa.array(mx, mask=~has, type=pa.int64()),
-            pa.array(m2, type=pa.float64()),
-            pa.array(first, type=pa.int64()),
-            pa.array(last, type=pa.int64()),
-        ]
-        return pa.RecordBatch.from_arrays(cols, names=out_names)
+BUCKET = "_bucket"
+HOUR_US = 3_600_000_000
 
-    def merge(c, n, s, mn, mx, m2, last):
-        """Fold a run portion into the carried run c (dict)."""
-        if n:
-            if c["n"]:
-                delta = s / n - c["s"] / c["n"]
-                c["m2"] += m2 + delta * delta * c["n"] * n / (c["n"] + n)
-                c["mn"], c["mx"] = min(c["mn"], mn), max(c["mx"], mx)
-            else:
-                c["m2"], c["mn"], c["mx"] = m2, mn, mx
-            c["n"] += n
-            c["s"] += s
-        c["last"] = last
 
-    def emit_carry(c):
-        return emit(c["key"], c["run"], np.array([c["n"]]), np.array([c["s"]]), np.array([c["mn"]]),
-                    np.array([c["mx"]]), np.array([c["m2"]]), np.array([c["first"]]), np.array([c["last"]]))
+def bucketed(df: DataFrame, keys: list[str], us: str, tie: str | None, bucket_us: int) -> DataFrame:
+    """Hits with a time, as keys, time, tie-breaker and time bucket."""
+    t = F.col(us).cast("bigint")
+    cols = [*[F.col(k) for k in keys], t.alias(US)] + ([F.col(tie)] if tie else [])
+    bucket = F.floor(t / F.lit(bucket_us)).cast("bigint").alias(BUCKET)
+    return df.where(F.col(us).isNotNull()).select(*cols, bucket)
 
-    def fn(batches):
-        prev_key = None
-        carry = None
-        for b in batches:
-            rows = b.num_rows
-            if rows == 0:
-                continue
-            karr = _key_arrays(b, keys)
-            us = b.column(US).to_numpy(zero_copy_only=False).astype(np.int64)
-            run = int(b.column(RUN)[0].as_py())
-            change = _key_change(karr, prev_key)
-            gap = np.zeros(rows, dtype=np.int64)
-            gap[1:] = us[1:] - us[:-1]
-            if carry is not None:
-                gap[0] = us[0] - carry["last"]
-            valid = ~change  # a gap exists for every hit that continues its run
-            # portions: the batch cut at every key change; portion 0 may continue the carry
-            starts = np.unique(np.concatenate([[0], np.flatnonzero(change)]))
-            n = np.add.reduceat(valid.astype(np.int64), starts)
-            s = np.add.reduceat(np.where(valid, gap, 0), starts)
-            mn = np.minimum.reduceat(np.where(valid, gap, _I64_MAX), starts)
-            mx = np.maximum.reduceat(np.where(valid, gap, _I64_MIN), starts)
-            mean = np.divide(s, n, out=np.zeros(len(n)), where=n > 0)
-            seg = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, rows)))
-            dev = np.where(valid, gap - mean[seg], 0.0)
-            m2 = np.add.reduceat(dev * dev, starts)
-            ends = np.append(starts[1:], rows) - 1
-            first, last = us[starts], us[ends]
-            idx = pa.array(starts)
-            key_arrays = [b.column(k).take(idx) for k in keys]
-            lo = 0
-            if not change[0]:  # portion 0 continues the carried run
-                merge(carry, int(n[0]), int(s[0]), int(mn[0]), int(mx[0]), float(m2[0]), int(last[0]))
-                lo = 1
-            if lo < len(starts):  # a new run starts in this batch: the carry is complete
-                if carry is not None:
-                    yield emit_carry(carry)
-                k = len(starts) - 1  # the last portion stays open
-                if k > lo:
-                    yield emit([a.slice(lo, k - lo) for a in key_arrays], run, n[lo:k], s[lo:k], mn[lo:k],
-                               mx[lo:k], m2[lo:k], first[lo:k], last[lo:k])
-                carry = {"key": [a.slice(k, 1) for a in key_arrays], "run": run, "n": int(n[k]), "s": int(s[k]),
-                         "mn": int(mn[k]), "mx": int(mx[k]), "m2": float(m2[k]), "first": int(first[k]),
-                         "last": int(last[k])}
-            prev_key = _last_key(karr)
-        if carry is not None:
-            yield emit_carry(carry)
 
-    return fn
+def _in_bucket(keys: list[str], tie: str | None):
+    return Window.partitionBy(*keys, BUCKET).orderBy(US, *([tie] if tie else []))
 
 
-def _run_moments(sorted_df: DataFrame, keys: list[str]) -> DataFrame:
-    by_name = {f.name: f for f in sorted_df.schema.fields}
-    schema = T.StructType([by_name[k] for k in keys] + [
-        T.StructField(RUN, T.IntegerType(), False),
-        T.StructField("n", T.LongType(), False),
-        T.StructField("s", T.LongType(), False),
-        T.StructField("mn", T.LongType(), True),
-        T.StructField("mx", T.LongType(), True),
-        T.StructField("m2", T.DoubleType(), False),
-        T.StructField("first_us", T.LongType(), False),
-        T.StructField("last_us", T.LongType(), False),
-    ])
-    return sorted_df.mapInArrow(_moments_kernel(keys), schema)
-
-
-def gap_stats(df: DataFrame, keys: list[str], us: str, tie: str | None = None,
-              num_partitions: int | None = None) -> DataFrame:
+def gap_stats(df: DataFrame, keys: list[str], us: str, tie: str | None = None, bucket_us: int = HOUR_US) -> DataFrame:
     """Per key: number of gaps between consecutive hits and their min, max,
     mean and sample standard deviation, in seconds (rounded to 3 places).
 
-    The kernel returns one row per key and task (its gap moments); runs of
-    one key are stitched with the gap across each task boundary and their
-    moments combined exactly."""
-    runs = _run_moments(range_sorted(df, keys, us, tie, num_partitions), keys)
-    w = Window.partitionBy(*keys).orderBy("first_us")  # at most one row per task per key
-    wall = Window.partitionBy(*keys)
-    runs = runs.withColumn("cross", F.col("first_us") - F.lag("last_us").over(w))
-    tot_n = F.sum(F.col("n") + F.when(F.col("cross").isNotNull(), 1).otherwise(0)).over(wall)
-    tot_s = F.sum(F.col("s") + F.coalesce(F.col("cross"), F.lit(0))).over(wall)
-    runs = runs.withColumn("tot_n", tot_n).withColumn("tot_s", tot_s)
+    A bucket folds to the moments of its own gaps; the gap to the bucket before
+    comes from a window over the buckets of a key. Variances are combined by
+    each part's squared distance from the common mean."""
+    hits = bucketed(df, keys, us, tie, bucket_us)
+    gap = F.col(US) - F.lag(US).over(_in_bucket(keys, tie))
+    parts = hits.select(*keys, BUCKET, US, gap.alias("gap")).groupBy(*keys, BUCKET).agg(
+        F.count("gap").alias("n"), F.sum("gap").alias("s"), F.min("gap").alias("mn"), F.max("gap").alias("mx"),
+        (F.var_pop("gap") * F.count("gap")).alias("m2"), F.min(US).alias("first_us"), F.max(US).alias("last_us"))
+    by_key = Window.partitionBy(*keys)
+    cross = F.col("first_us") - F.lag("last_us").over(by_key.orderBy(BUCKET))
+    parts = parts.withColumn("cross", cross).withColumns({
+        "tot_n": F.sum(F.col("n") + F.col("cross").isNotNull().cast("int")).over(by_key),
+        "tot_s": F.sum(F.coalesce("s", F.lit(0)) + F.coalesce("cross", F.lit(0))).over(by_key)})
     mean = F.col("tot_s").cast("double") / F.col("tot_n")
-    run_mean = F.col("s").cast("double") / F.col("n")
-    contrib = (
-        F.when(F.col("n") > 0, F.col("m2") + F.col("n") * F.pow(run_mean - mean, 2)).otherwise(0.0)
-        + F.when(F.col("cross").isNotNull(), F.pow(F.col("cross").cast("double") - mean, 2)).otherwise(0.0)
-    )
-    out = runs.groupBy(*keys).agg(
-        F.first("tot_n").alias("n_gaps"),
-        F.first("tot_s").alias("_sum"),
-        F.least(F.min("mn"), F.min("cross")).alias("_min"),
-        F.greatest(F.max("mx"), F.max("cross")).alias("_max"),
-        F.sum(contrib).alias("_m2"),
-    )
+    spread = (F.when(F.col("n") > 0, F.col("m2") + F.col("n") * F.pow(F.col("s").cast("double") / F.col("n") - mean, 2)).otherwise(0.0)
+              + F.when(F.col("cross").isNotNull(), F.pow(F.col("cross").cast("double") - mean, 2)).otherwise(0.0))
+    out = parts.groupBy(*keys).agg(
+        F.max("tot_n").cast("bigint").alias("n_gaps"), F.max("tot_s").alias("_sum"),
+        F.least(F.min("mn"), F.min("cross")).alias("_min"), F.greatest(F.max("mx"), F.max("cross")).alias("_max"),
+        F.sum(spread).alias("_m2"))
     sec = F.lit(1_000_000.0)
     return out.select(
-        *keys,
-        F.col("n_gaps").cast("bigint").alias("n_gaps"),
+        *keys, "n_gaps",
         F.round(F.col("_min") / sec, 3).alias("min_gap_sec"),
         F.round(F.col("_max") / sec, 3).alias("max_gap_sec"),
         F.round(F.when(F.col("n_gaps") > 0, F.col("_sum").cast("double") / F.col("n_gaps")) / sec, 3).alias("avg_gap_sec"),
@@ -231,163 +68,27 @@ def gap_stats(df: DataFrame, keys: list[str], us: str, tie: str | None = None,
     )
 
 
-def _session_kernel(keys: list[str], gap_limit_us: int):
-    """Arrow kernel over one task's sorted hits. Emits
-
-    * kind 0: every closed session that starts inside a run (after a gap
-      above the limit): its start, hit count, first and last time;
-    * kind 1: one row per run (a key inside the task), when the run ends: the
-      stats of its head session (whose start may lie in an earlier task),
-      the run's last time and the start of its last kind-0 session.
-
-    Only sessions and runs leave the task. Work is vectorised per batch; the
-    session and run still open at the end of a batch are carried over."""
-    out_names = ["kind", *keys, RUN, "start_us", "n", "first_us", "last_us", "run_last", "last_brk"]
-
-    def rows_batch(kind, key_cols, rid, start, n, first, last, run_last, last_brk, types):
-        m = len(n)
-        cols = [pa.array(np.full(m, kind, dtype=np.int8), type=pa.int8())]
-        cols += [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, type=t)
-                 for c, t in zip(key_cols, types)]
-        cols.append(pa.array(np.full(m, rid, dtype=np.int32), type=pa.int32()))
-        for v in (start, n, first, last, run_last, last_brk):
-            cols.append(v if isinstance(v, pa.Array) else pa.array(v, type=pa.int64()))
-        return pa.RecordBatch.from_arrays(cols, names=out_names)
-
-    def fn(batches):
-        prev_key = prev_us = None
-        sess = None  # open session: {"key": [values], "head": bool, "n", "first", "last"}
-        run = None  # open run: {"key", "head": (n, first, last) or None, "run_last", "last_brk"}
-        types = rid = None
-
-        def close_session_rows():
-            """Close the open session: a head session is kept for its run row,
-            any other one is returned as a kind-0 row."""
-            if sess["head"]:
-                run["head"] = (sess["n"], sess["first"], sess["last"])
-                return None
-            return rows_batch(0, [[v] for v in sess["key"]], rid, [sess["first"]], [sess["n"]], [sess["first"]],
-                              [sess["last"]], [None], [None], types)
-
-        def run_row():
-            n, first, last = run["head"]
-            return rows_batch(1, [[v] for v in run["key"]], rid, [None], [n], [first], [last], [run["run_last"]],
-                              [run["last_brk"]], types)
-
-        for b in batches:
-            rows = b.num_rows
-            if rows == 0:
-                continue
-            types = [b.schema.field(k).type for k in keys]
-            rid = int(b.column(RUN)[0].as_py())
-            karr = _key_arrays(b, keys)
-            us = b.column(US).to_numpy(zero_copy_only=False).astype(np.int64)
-            change = _key_change(karr, prev_key)
-            prev_us_arr = np.empty(rows, dtype=np.int64)
-            prev_us_arr[1:] = us[:-1]
-            prev_us_arr[0] = prev_us if prev_us is not None else 0
-            brk = ~change & ((us - prev_us_arr) > gap_limit_us)
-            starts = np.flatnonzero(change | brk)
-            S = len(starts)
-            head_len = int(starts[0]) if S else rows
-            if head_len and sess is not None:  # hits continuing the open session
-                sess["n"] += head_len
-                sess["last"] = int(us[head_len - 1])
-                run["run_last"] = sess["last"]
-            prev_key, prev_us = _last_key(karr), int(us[-1])
-            if S == 0:
-                continue
-            ends = np.append(starts[1:], rows)
-            seg_n = (ends - starts).astype(np.int64)
-            seg_first, seg_last = us[starts], us[ends - 1]
-            seg_new = change[starts]
-            idx = pa.array(starts)
-            seg_keys = [b.column(k).take(idx) for k in keys]
-            if sess is not None:  # the open session ends where segment 0 starts
-                r = close_session_rows()
-                if r is not None:
-                    yield r
-            run_starts = np.flatnonzero(seg_new)  # segments that open a run
-            carried_end = int(run_starts[0]) if len(run_starts) else S  # segments [0, carried_end) continue `run`
-            if carried_end:
-                run["last_brk"] = int(seg_first[carried_end - 1])
-                run["run_last"] = int(seg_last[carried_end - 1])
-            # closed non-head sessions: every segment but the last
-            closed = np.arange(S - 1)
-            k0 = closed[~seg_new[: S - 1]]
-            if len(k0):
-                ki = pa.array(k0)
-                yield rows_batch(0, [c.take(ki) for c in seg_keys], rid, seg_first[k0], seg_n[k0], seg_first[k0],
-                                 seg_last[k0], pa.nulls(len(k0), pa.int64()), pa.nulls(len(k0), pa.int64()), types)
-            if len(run_starts):
-                if run is not None:  # the carried run is complete
-                    yield run_row()
-                # runs opened and completed inside this batch
-                h = run_starts[:-1]
-                e = run_starts[1:] - 1
-                if len(h):
-                    hi = pa.array(h)
-                    brk_v = np.where(e > h, seg_first[e], 0)
-                    yield rows_batch(1, [c.take(hi) for c in seg_keys], rid, pa.nulls(len(h), pa.int64()), seg_n[h],
-                                     seg_first[h], seg_last[h], seg_last[e],
-                                     pa.array(brk_v, mask=~(e > h), type=pa.int64()), types)
-                # the last run stays open
-                h1, e1 = int(run_starts[-1]), S - 1
-                run = {"key": [c[h1].as_py() for c in seg_keys],
-                       "head": None if e1 == h1 else (int(seg_n[h1]), int(seg_first[h1]), int(seg_last[h1])),
-                       "run_last": int(seg_last[e1]), "last_brk": int(seg_first[e1]) if e1 > h1 else None}
-            j = S - 1  # the last segment stays open
-            sess = {"key": [c[j].as_py() for c in seg_keys], "head": bool(seg_new[j]), "n": int(seg_n[j]),
-                    "first": int(seg_first[j]), "last": int(seg_last[j])}
-        if sess is not None:
-            r = close_session_rows()
-            if r is not None:
-                yield r
-            yield run_row()
-
-    return fn
-
-
-def session_pieces(df: DataFrame, keys: list[str], us: str, gap_us: int, tie: str | None = None,
-                   num_partitions: int | None = None) -> DataFrame:
-    """Kernel output over the range-sorted hits (see ``_session_kernel``)."""
-    sorted_df = range_sorted(df, keys, us, tie, num_partitions)
-    key_fields = [f for f in sorted_df.schema.fields if f.name in keys]
-    schema = T.StructType([T.StructField("kind", T.ByteType(), False)] + key_fields + [
-        T.StructField(RUN, T.IntegerType(), False),
-        T.StructField("start_us", T.LongType(), True),
-        T.StructField("n", T.LongType(), False),
-        T.StructField("first_us", T.LongType(), False),
-        T.StructField("last_us", T.LongType(), False),
-        T.StructField("run_last", T.LongType(), True),
-        T.StructField("last_brk", T.LongType(), True),
-    ])
-    return sorted_df.mapInArrow(_session_kernel(keys, gap_us), schema)
-
-
 def gap_sessions(df: DataFrame, keys: list[str], us: str, gap_us: int, tie: str | None = None,
-                 num_partitions: int | None = None) -> DataFrame:
+                 bucket_us: int = HOUR_US) -> DataFrame:
     """Inactivity sessions per key: a hit more than ``gap_us`` after the
     previous hit of the same key starts a new session (a gap of exactly
     ``gap_us`` continues it, as Spark's ``session_window`` does).
 
-    Output: keys, session_start_us, session_end_us (last hit + gap), n_events.
-
-    One window stitches the runs: it is partitioned by key and a bucket that
-    is shared only by the run rows of a key (at most one per task), while
-    every other session is its own bucket, so a heavy key stays spread.
-    """
-    p = session_pieces(df, keys, us, gap_us, tie, num_partitions)
-    is_run = F.col("kind") == 1
-    p = p.withColumn("_bucket", F.when(is_run, F.lit(None).cast("bigint")).otherwise(F.col("start_us")))
-    w = Window.partitionBy(*keys, "_bucket").orderBy("first_us")
-    prev_last = F.lag("run_last").over(w)
-    anchor = F.when(is_run & (prev_last.isNull() | ((F.col("first_us") - prev_last) > gap_us)), F.col("first_us"))
-    p = p.withColumn("_anchor", anchor).withColumn("_v", F.coalesce("last_brk", "_anchor"))
-    carry = F.last("_v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    start = F.when(is_run, F.coalesce(F.col("_anchor"), carry)).otherwise(F.col("start_us"))
-    return p.withColumn("_sid", start).groupBy(*keys, "_sid").agg(
-        F.min("first_us").alias("session_start_us"),
-        (F.max("last_us") + F.lit(gap_us)).alias("session_end_us"),
-        F.sum("n").alias("n_events"),
-    ).drop("_sid")
+    Output: keys, session_start_us, session_end_us (last hit + gap), n_events."""
+    w = _in_bucket(keys, tie)
+    hits = bucketed(df, keys, us, tie, bucket_us)
+    starts = F.when(F.col(US) - F.lag(US).over(w) > gap_us, 1).otherwise(0)
+    hits = hits.withColumn("_new", starts).withColumn("_no", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    local = hits.groupBy(*keys, BUCKET, "_no").agg(
+        F.min(US).alias("first_us"), F.max(US).alias("last_us"), F.count(F.lit(1)).alias("n"))
+    last_no = F.max("_no").over(Window.partitionBy(*keys, BUCKET))
+    local = local.withColumn("_edge", (F.col("_no") == 0) | (F.col("_no") == last_no))
+    # only edge sessions of a key meet; any other one has a window of its own
+    apart = F.when(F.col("_edge"), F.lit(None).cast("bigint")).otherwise(F.col("first_us"))
+    local = local.withColumn("_apart", apart)
+    by_key = Window.partitionBy(*keys, "_apart").orderBy("first_us")
+    cut = F.coalesce(F.col("first_us") - F.lag("last_us").over(by_key) > gap_us, F.lit(True)).cast("int")
+    local = local.withColumn("_cut", cut).withColumn("_sid", F.sum("_cut").over(by_key.rowsBetween(Window.unboundedPreceding, 0)))
+    return local.groupBy(*keys, "_apart", "_sid").agg(
+        F.min("first_us").alias("session_start_us"), (F.max("last_us") + F.lit(gap_us)).alias("session_end_us"),
+        F.sum("n").alias("n_events")).drop("_apart", "_sid")

@@ -33,7 +33,8 @@ def weekly_channel_panel(cleaned: DataFrame, geo_col: str | None = None) -> Data
     The grid is generated, not joined: each geo row explodes a week sequence
     bounded by two scalar subqueries, then the fixed channel list. Its size is
     geos x weeks x channels, independent of the number of sessions."""
-    geo = F.col(geo_col) if geo_col else F.lit(NATIONAL)
+    # a session without a country belongs to the default one, not to no cell
+    geo = F.coalesce(F.col(geo_col), F.lit(C.DEFAULT_COUNTRY)) if geo_col else F.lit(NATIONAL)
     paid = list(C.PAID_CHANNELS)
     c = cleaned.select(geo.alias("geo"), _week("event_timestamp").alias("week"),
                        X.channel_of("source_medium").alias("channel"), "conversion_value_usd")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import expressions as X
 from ..session import materialize
+from .panel import roi_from_draws
 from .channels import attribution_from_stats
 from .classify import CLASS
 from .clean import with_conversion_value
@@ -31,8 +32,7 @@ def daily_join(classified: DataFrame) -> DataFrame:
     raw = classified.groupBy(day).agg(F.count(F.lit(1)).alias("raw"))
     clean = classified.where(F.col(CLASS) == C.HUMAN).groupBy(
         X.iso_to_date("event_timestamp").alias("day")).agg(F.count(F.lit(1)).alias("cleaned"))
-    # one row per day: bounded by the time span, not by the number of sessions
-    return raw.join(F.broadcast(clean), "day", "left").select(
+    return raw.join(clean, "day", "left").select(
         "day", "raw", F.coalesce("cleaned", F.lit(0).cast("bigint")).alias("cleaned"))
 
 
@@ -59,8 +59,10 @@ def day_channel_cube(classified: DataFrame) -> DataFrame:
 
 
 def summary_document(classified: DataFrame, mode: str = "batch", days: int = 7,
-                     data_source: str = "hit-level event export") -> DataFrame:
-    """The nested summary as a one-row DataFrame of structs and arrays.
+                     data_source: str = "hit-level event export", draws: DataFrame | None = None,
+                     media_spend_source: str = "derived from ROAS") -> DataFrame:
+    """The nested summary as a one-row DataFrame of structs and arrays. With
+    ROI ``draws`` a channel's ROI is its posterior mean, and it says so.
 
     All parts come from ``day_channel_cube``, which is materialised once
     (days x channels rows, on the shared checkpoint folder): the input is
@@ -88,10 +90,20 @@ def summary_document(classified: DataFrame, mode: str = "batch", days: int = 7,
         F.coalesce(F.sum("kpi"), F.lit(0.0)).alias("clean_kpi"),
         F.coalesce(F.try_divide(F.sum("kpi"), F.sum("cleaned")), F.lit(C.DEFAULT_CONV_VALUE)).alias("avg_conv_value"))
     det = attribution_from_stats(stats)
+    used = F.lit(False)
+    if draws is not None:
+        post = roi_from_draws(draws).where(F.col("channel").isin(*C.PAID_CHANNELS))
+        # one row per paid channel at most
+        det = det.join(F.broadcast(post.select(F.col("channel").alias("_post_of"), "posterior_roi")), F.col("name") == F.col("_post_of"), "left")
+        used = F.col("posterior_roi").isNotNull()
+        det = det.withColumns({"roi": F.coalesce("posterior_roi", "roi"), "posterior_used": used})
+    else:
+        det = det.withColumn("posterior_used", used)
+    weeks = cube.agg(F.count_distinct(F.date_trunc("week", "day")).alias("n_weeks_data"))
     chan = det.agg(
         F.transform(F.array_sort(F.collect_list(F.struct("priority", "name", "raw_contribution_pct",
                                                          "calibrated_contribution_pct", "bot_inflation_pct",
-                                                         "roi", "insight"))),
+                                                         "roi", "insight", "posterior_used"))),
                     lambda x: x.dropFields("priority")).alias("channels"),
         F.round(F.sum("clean_kpi"), 2).alias("total_clean_value"),
         F.round(F.sum("raw_kpi_estimate"), 2).alias("total_raw_value"),
@@ -110,7 +122,9 @@ def summary_document(classified: DataFrame, mode: str = "batch", days: int = 7,
         part(daily, [F.col("label").alias("labels"), "raw", "cleaned"]).alias("daily"),
         part(totals, [F.col("total_cleaned").alias("human_sessions"), F.col("bots_removed").alias("bot_sessions"),
                       "total_conv_value", "avg_conv_value", "estimated_spend_saved"]).alias("vbb"),
-        part(chan, [F.lit("fallback").alias("status"), F.lit("channel attribution (Spark)").alias("model"),
+        part(weeks, ["n_weeks_data"])["n_weeks_data"].alias("n_weeks_data"),
+        F.lit(media_spend_source).alias("media_spend_source"),
+        part(chan, [F.lit("fallback" if draws is None else "posterior").alias("status"), F.lit("channel attribution (Spark)").alias("model"),
                     "channels", "total_clean_value", "total_raw_value"]).alias("attribution"),
     )
 

@@ -1,10 +1,12 @@
 """Sessionisation of nested hit-level events (scan, allow-list, parameter
-lookups, one hash aggregate per client and session), plus sampling and
-source frequency.
+lookups, one aggregate per client and session), plus sampling and source
+frequency.
 
 Plan shape: FileScan (date partitions pruned, event names pushed) ->
 Project (array lookups, no explode) -> Filter(session id not null) ->
-partial HashAggregate -> Exchange(client, session) -> final HashAggregate.
+partial aggregate -> Exchange(client, session) -> final aggregate. The
+first-touch strings make Spark sort for the aggregate; they travel as one
+struct with one order value.
 The partial aggregate runs before the shuffle, so a client or session that
 holds a large share of all hits is reduced map-side to one row per task.
 """
@@ -34,12 +36,13 @@ def with_param_lookups(events: DataFrame) -> DataFrame:
 
 
 def sessions_from_events(events: DataFrame, start: str | None = None, end: str | None = None,
-                         extra_aggs=()) -> DataFrame:
+                         extra_aggs=(), label: str | None = None) -> DataFrame:
     """One row per (client_id, session_id) with the session features.
 
     ``landing_page`` and the other descriptive fields are taken from the
-    first hit of the session (ties broken by event id), so the result is
-    repeatable. Missing values are filled before aggregating."""
+    first hit of the session (ties broken by event id where the export has
+    one, then by the values), so the result is repeatable. Missing values are filled before aggregating.
+    ``label`` names a column of the hits that labels their session; it is kept."""
     ev = event_allowlist(scan_date_range(events, start, end))
     sm = F.concat(
         F.coalesce(F.col("traffic_source.source"), F.lit(C.DEFAULT_SOURCE)),
@@ -50,14 +53,15 @@ def sessions_from_events(events: DataFrame, start: str | None = None, end: str |
         F.col("user_pseudo_id").alias("client_id"),
         "session_id",
         F.col("event_timestamp").alias("_us"),
-        F.struct(F.col("event_timestamp"), F.col("event_id")).alias("_ord"),
+        F.struct(F.col("event_timestamp"), *([F.col("event_id")] if "event_id" in ev.columns else []), F.col("event_name"),
+                 event_param("event_params", "page_location", "string_value"), sm).alias("_ord"),
         "event_name",
         "percent_scrolled",
         "page_location",
         sm.alias("_sm"),
         F.coalesce(F.col("geo.country"), F.lit(C.DEFAULT_COUNTRY)).alias("_country"),
         F.coalesce(F.col("device.category"), F.lit(C.DEFAULT_DEVICE)).alias("_device"),
-        *[c for c in events.columns if c.startswith("_")],
+        *[c for c in events.columns if c.startswith("_") or c == label],
     ).where(F.col("session_id").isNotNull())
     g = keyed.groupBy("client_id", "session_id").agg(
         F.min("_us").alias("_start_us"),
@@ -66,14 +70,13 @@ def sessions_from_events(events: DataFrame, start: str | None = None, end: str |
         F.count_if(F.col("event_name").isin(*C.CLICK_EVENTS)).alias("click_events"),
         F.count_if(F.col("event_name").isin(*C.SCROLL_EVENTS)).alias("scroll_events"),
         F.max("percent_scrolled").alias("_max_scroll"),
-        F.min_by("_sm", "_ord").alias("source_medium"),
-        F.min_by("_country", "_ord").alias("geo_country"),
-        F.min_by("_device", "_ord").alias("device_category"),
-        F.min_by("page_location", "_ord").alias("landing_page"),
+        F.min_by(F.struct("_sm", "_country", "_device", "page_location"), "_ord").alias("_touch"),
         *extra_aggs,
+        *([F.min_by(label, "_ord").alias(label)] if label else []),
     )
     duration = F.greatest(F.floor((F.col("_end_us") - F.col("_start_us")) / F.lit(1_000_000)).cast("bigint"), F.lit(0).cast("bigint"))
-    extra = [c for c in g.columns if c.startswith("_") and c not in ("_start_us", "_end_us", "_max_scroll")]
+    extra = [c for c in g.columns if c.startswith("_") and c not in ("_start_us", "_end_us", "_max_scroll", "_touch")]
+    extra += [label] if label else []
     return g.select(
         "client_id",
         "session_id",
@@ -85,10 +88,10 @@ def sessions_from_events(events: DataFrame, start: str | None = None, end: str |
         F.coalesce(F.col("_max_scroll"), F.lit(0).cast("bigint")).alias("page_scroll_depth_pct"),
         F.round(F.try_divide(F.col("total_events").cast("double"),
                              F.greatest(duration, F.lit(1).cast("bigint")).cast("double")), 2).alias("event_velocity_per_sec"),
-        "source_medium",
-        "geo_country",
-        F.coalesce(F.col("device_category"), F.lit(C.DEFAULT_DEVICE)).alias("device_category"),
-        "landing_page",
+        F.col("_touch._sm").alias("source_medium"),
+        F.col("_touch._country").alias("geo_country"),
+        F.coalesce(F.col("_touch._device"), F.lit(C.DEFAULT_DEVICE)).alias("device_category"),
+        F.col("_touch.page_location").alias("landing_page"),
         *extra,
     )
 

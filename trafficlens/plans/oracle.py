@@ -246,6 +246,39 @@ SELECT user_id, min(us) AS session_start_us, max(us) + 1800000000 AS session_end
 FROM m GROUP BY user_id, sn"""
 
 
+GAP_SESS_NULLS = GAP_SESS.replace("FROM events)", "FROM events WHERE event_id % 7 <> 0)")
+
+# what the streams' last watermark is, in microseconds (Spark keeps milliseconds)
+WATERMARK = "(SELECT (max(epoch_us(ts)) // 1000) * 1000 - 3600000000 FROM events)"
+
+RAW_COLS = """session_id, client_id, event_timestamp, edge_score, event_velocity_per_sec, session_duration_sec, mouse_move_events,
+  click_events, scroll_events, page_scroll_depth_pct, total_events, source_medium, geo_country, device_category, landing_page,
+  raw_traffic_label, user_agent, traffic_class"""
+
+
+def _lloyd(steps: int) -> str:
+    """k-means by unrolled Lloyd steps over the view b."""
+    f = ["edge_score", "event_velocity_per_sec", "session_duration_sec", "mouse_move_events"]
+    start = [(0.8, 1.0, 60.0, 100.0), (0.4, 12.0, 30.0, 0.0), (0.1, 18.0, 90.0, 0.0)]
+    full = " AND ".join(f"{c} IS NOT NULL" for c in f)
+    parts = ["st AS (SELECT " + ", ".join(f"round(avg(CAST({c} AS DOUBLE)), 6) AS m{i}, round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS s{i}"
+                                          for i, c in enumerate(f)) + f" FROM b WHERE {full})",
+             "z AS (SELECT client_id, session_id, " + ", ".join(f"round((CAST({c} AS DOUBLE) - m{i}) / s{i}, 6) AS z{i}" for i, c in enumerate(f))
+             + f" FROM b, st WHERE {full})",
+             "c0 AS (" + " UNION ALL ".join(
+                 f"SELECT {k} AS c, " + ", ".join(f"round(({x}::DOUBLE - m{i}) / s{i}, 6) AS x{i}" for i, x in enumerate(row)) + " FROM st"
+                 for k, row in enumerate(start)) + ")"]
+    dist = " + ".join(f"pow(z{i} - x{i}, 2)" for i in range(len(f)))
+    for n in range(steps + 1):
+        parts.append(f"a{n} AS (SELECT client_id, session_id, z0, z1, z2, z3, arg_min(c, (d, c)) AS c FROM "
+                     f"(SELECT z.*, c, {dist} AS d FROM z, c{n}) GROUP BY ALL)")
+        if n < steps:
+            parts.append(f"c{n + 1} AS (SELECT p.c, " + ", ".join(f"coalesce(y{i}, p.x{i}) AS x{i}" for i in range(len(f)))
+                         + f" FROM c{n} p LEFT JOIN (SELECT c, "
+                         + ", ".join(f"round(avg(z{i}), 6) AS y{i}" for i in range(len(f))) + f" FROM a{n} GROUP BY c) n ON n.c = p.c)")
+    return ",\n".join(parts) + f"\nSELECT client_id, session_id, CAST(c AS INTEGER) AS cluster FROM a{steps}"
+
+
 def _robust(feature: str) -> str:
     return f"""round(0.6745 * ({feature} - (SELECT med FROM st WHERE f = '{feature}'))
                 / nullif((SELECT mad FROM st WHERE f = '{feature}'), 0), 4)"""
@@ -318,7 +351,7 @@ SELECT min(edge_score) AS min_edge_score, max(edge_score) AS max_edge_score, cou
     "class_distribution": "WITH " + B + "\nSELECT traffic_class, count(*) AS sessions FROM cls GROUP BY 1",
 
     "classification_accuracy": "WITH " + B + """
-SELECT round(avg(CAST(traffic_class = raw_traffic_label AS DOUBLE)), 4) AS accuracy, count(*) AS n FROM cls""",
+SELECT round(avg(CAST(coalesce(traffic_class = raw_traffic_label, false) AS DOUBLE)), 4) AS accuracy, count(*) AS n FROM cls""",
 
     "per_class_recall": "WITH " + B + """,
 dim AS (SELECT * FROM (VALUES ('Human'), ('LLM_Scraper'), ('Ad_Fraud')) t(true_class)),
@@ -471,10 +504,11 @@ SELECT *, greatest(abs(z_edge_score), abs(z_event_velocity_per_sec), abs(z_sessi
 FROM z""",
 
     "training_slice": "WITH " + B + """,
-bb AS (SELECT *, CAST(ts AS DATE) AS day FROM cls)
+bb AS (SELECT *, CAST(ts AS DATE) AS day FROM cls),
+o AS (SELECT event_id, round(value, 2) AS outcome FROM events WHERE event_type = 'purchase')
 SELECT client_id, session_id, day, edge_score, event_velocity_per_sec, session_duration_sec, mouse_move_events,
-       raw_traffic_label AS label, conversion_value_usd
-FROM bb WHERE day >= (SELECT max(day) FROM bb) - INTERVAL 29 DAY""",
+       raw_traffic_label AS label, coalesce(outcome, conversion_value_usd) AS conversion_value_usd
+FROM bb LEFT JOIN o ON bb.session_id = o.event_id WHERE day > DATE '2024-01-21' AND day <= DATE '2024-01-28'""",
 
     "summary_report": "WITH " + ATTR + """,
 daily AS (SELECT CAST(ts AS DATE) AS day, count(*) AS raw, count(*) FILTER (WHERE traffic_class = 'Human') AS cleaned FROM cls GROUP BY 1),
@@ -495,13 +529,37 @@ SELECT total_raw, total_cleaned, total_raw - total_cleaned AS bots_removed,
        (SELECT round(sum(raw_kpi_estimate), 2) FROM attr2) AS total_raw_value
 FROM t""",
 
-    "stream_gap_sessions": GAP_SESS,
+    "model_scores": "WITH " + B + """
+SELECT client_id, session_id, round(coalesce(edge_score, 0) * 2.0::DOUBLE + coalesce(event_velocity_per_sec, 0) * -0.05::DOUBLE
+  + coalesce(session_duration_sec, 0) * 0.005::DOUBLE + coalesce(mouse_move_events, 0) * 0.01::DOUBLE, 6) AS score FROM b""",
+
+    "kmeans_clusters": "WITH " + B + ",\n" + _lloyd(5),
+
+    "raw_csv": "WITH " + B + "\nSELECT " + RAW_COLS + " FROM cls",
+
+    "gap_sessions_nulls": GAP_SESS_NULLS,
+
+    "time_between_events_nulls": """WITH g AS (
+  SELECT user_id, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap FROM events WHERE event_id % 7 <> 0)
+SELECT user_id, count(gap) AS n_gaps, round(min(gap)/1000000.0, 3) AS min_gap_sec, round(max(gap)/1000000.0, 3) AS max_gap_sec,
+  round(avg(gap)/1000000.0, 3) AS avg_gap_sec, round(stddev_samp(gap)/1000000.0, 3) AS stddev_gap_sec FROM g GROUP BY 1""",
+
+    "accuracy_nulls": "WITH " + B + """
+SELECT round(avg(CASE WHEN session_id % 7 <> 0 AND traffic_class = raw_traffic_label THEN 1.0 ELSE 0.0 END), 4) AS accuracy, count(*) AS n FROM cls""",
+
+    "weekly_panel_nulls": "WITH " + _panel("CASE WHEN client_id % 3 <> 0 THEN geo_country ELSE 'Unknown' END") + """
+SELECT * FROM panel""",
+
+    "stream_gap_sessions": "SELECT * FROM (" + GAP_SESS + ") WHERE session_end_us <= " + WATERMARK,
 
     "stream_tumbling_value": "WITH " + B + """
 SELECT (epoch_us(ts) // 3600000000) * 3600000000 AS window_start_us, channel, count(*) AS sessions,
        count(*) FILTER (WHERE traffic_class = 'Human') AS human_sessions,
        round(sum(CASE WHEN traffic_class = 'Human' THEN conversion_value_usd ELSE 0.0 END), 2) AS bid_value
-FROM cls GROUP BY 1, 2""",
+FROM cls GROUP BY 1, 2 HAVING window_start_us + 3600000000 <= """ + WATERMARK + """""",
+
+    "stream_late_rows": """SELECT (epoch_us(ts) // 3600000000) * 3600000000 AS window_start_us, count(*) AS n_events
+FROM events WHERE ts >= TIMESTAMP '2024-01-15' GROUP BY 1 HAVING window_start_us + 3600000000 <= """ + WATERMARK + """""",
 
     "stream_classify": "WITH " + B + """
 SELECT client_id, session_id, traffic_class, channel,

@@ -37,11 +37,17 @@ class Outputs:
 
 
 def run(spark: SparkSession, events: DataFrame, out_dir: str, signals: DataFrame | None = None,
-        cfg: C.PipelineConfig = C.PipelineConfig(), labelled: bool = False) -> Outputs:
-    """Run the pipeline on a hit-level event DataFrame (export schema)."""
+        cfg: C.PipelineConfig = C.PipelineConfig(), labelled: bool = False, draws: DataFrame | None = None,
+        spend: DataFrame | None = None) -> Outputs:
+    """Run the pipeline on a hit-level event DataFrame (export schema).
+
+    ``labelled``: the hits carry ``raw_traffic_label``, the class of their
+    session; accuracy and recall are written. ``draws`` (channel, roi):
+    posterior ROI. ``spend`` (geo, week, channel, spend): observed media spend,
+    which the panel's KPI is fitted on."""
     apply_defaults(spark)
     ensure_checkpoint_dir(spark)
-    sessions = S.normalize_sessions(S.sessions_from_events(events, cfg.date_start, cfg.date_end))
+    sessions = S.normalize_sessions(S.sessions_from_events(events, cfg.date_start, cfg.date_end, label=CL.LABEL if labelled else None))
     if cfg.n_sessions:
         sessions = S.sample_sessions(sessions, cfg.n_sessions, cfg.sample_seed)
     enriched = SG.enrich(sessions, signals, cfg.tiers)
@@ -50,11 +56,12 @@ def run(spark: SparkSession, events: DataFrame, out_dir: str, signals: DataFrame
     classified = CL.classify_sessions(enriched, cfg.thresholds)
     # reliable checkpoint on shared storage: cuts lineage, survives executor loss
     classified = require_rows(classified.checkpoint(eager=True), "session query")
-    return publish(classified, out_dir, cfg, labelled)
+    return publish(classified, out_dir, cfg, labelled, draws=draws, spend=spend)
 
 
 def publish(classified: DataFrame, out_dir: str, cfg: C.PipelineConfig = C.PipelineConfig(),
-            labelled: bool = False, data_source: str = "hit-level event export") -> Outputs:
+            labelled: bool = False, data_source: str = "hit-level event export", draws: DataFrame | None = None,
+            spend: DataFrame | None = None) -> Outputs:
     """Write all outputs of an already classified session table."""
     out = out_dir.rstrip("/")
     paths = {
@@ -71,11 +78,22 @@ def publish(classified: DataFrame, out_dir: str, cfg: C.PipelineConfig = C.Pipel
     attribution = CH.channel_attribution(classified)
     sinks.write_parquet(attribution, paths["attribution"])
     paths["weekly_panel"] = f"{out}/weekly_channel_panel"
-    sinks.write_parquet(P.weekly_channel_panel(cleaned, geo_col=cfg.panel_geo), paths["weekly_panel"])
+    panel = P.weekly_channel_panel(cleaned, geo_col=cfg.panel_geo)
+    sinks.write_parquet(panel, paths["weekly_panel"])
+    reports = {"top_sources": S.top_sources(classified, cfg.top_sources), "edge_score_range": SG.edge_score_range(classified),
+               "channel_spend": CH.channel_spend(classified)}
+    if draws is not None:
+        reports["roi_override"] = P.roi_override(classified, draws)
+    if spend is not None:
+        reports["panel_roi"] = P.panel_roi(panel, spend)
+    if labelled:
+        reports["accuracy"] = CL.classification_accuracy(classified)
+        reports["recall"] = CL.per_class_recall(classified)
+    for name, df in reports.items():
+        paths[name] = f"{out}/{name if name != 'recall' else 'per_class_recall'}"
+        sinks.write_parquet(df, paths[name])
     summary = R.summary_document(classified, mode="labelled" if labelled else "batch", days=cfg.daily_days,
-                                 data_source=data_source)
+                                 data_source=data_source, draws=draws,
+                                 media_spend_source="observed" if spend is not None else "derived from ROAS")
     sinks.write_json(summary, paths["summary"])
-    if labelled:
-        paths["recall"] = f"{out}/per_class_recall"
-        sinks.write_parquet(CL.per_class_recall(classified), paths["recall"])
     return Outputs(classified, cleaned, attribution, summary, paths)

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import config as C
 from ..operators import channels as CH
@@ -25,13 +26,15 @@ from ..functions.expressions import ntz_micros
 from ..session import scratch_path
 from ..sources import fixtures as FX
 from ..sources import sinks
-from ..sources.tables import scan_date_range, table
+from ..sources.tables import read_events, require_rows, scan_date_range, table
 from ..streaming import stream as ST
 
 CFG = C.PipelineConfig()
 DATE_START, DATE_END = "2024-01-05", "2024-01-20"
 GAP_US = 30 * 60 * 1_000_000
 SAMPLE_N = 1000
+TRAINING_AS_OF, TRAINING_DAYS = "2024-01-28", 7
+LATE_CUT = "2024-01-15 00:00:00"
 
 
 # ---------------------------------------------------------------- helpers
@@ -56,7 +59,7 @@ def _cleaned(spark, d) -> DataFrame:
 
 
 def _raw_events(spark, d) -> DataFrame:
-    return table(spark, d, "events", spread=True).select(
+    return table(spark, d, "events").select(
         "user_id", ntz_micros("ts").alias("us"), "event_id")
 
 
@@ -248,7 +251,7 @@ def q_session_outliers(spark, d):
 
 
 def q_training_slice(spark, d):
-    return CL.training_slice(FX.session_signals(spark, d), CFG.training_days)
+    return CL.training_slice(FX.session_signals(spark, d), TRAINING_AS_OF, TRAINING_DAYS, FX.outcomes(spark, d))
 
 
 def q_summary_report(spark, d):
@@ -259,30 +262,79 @@ def q_kmeans_clusters(spark, d):
     return CL.kmeans_clusters(FX.session_signals(spark, d))
 
 
+def q_model_scores(spark, d):
+    """A Python model (here a linear one) over the features, batch by batch."""
+    weights = [2.0, -0.05, 0.005, 0.01]
+
+    def predict(x):
+        return (x.fillna(0.0) * weights).sum(axis=1).round(6)
+
+    out = CL.score_with_model(FX.session_signals(spark, d), predict, out_type=T.DoubleType())
+    return out.select("client_id", "session_id", F.col("prediction").alias("score"))
+
+
+def q_raw_csv(spark, d):
+    raw = _classified(spark, d).drop("_ts", "_value", "referrer")
+    path = scratch_path(spark, "raw-csv")
+    sinks.write_csv(raw, path)
+    return require_rows(read_events(spark, path, schema=raw.schema, fmt="csv", header=True))
+
+
+def _nulls(spark, d):
+    """Hits with missing times and labels for every seventh event."""
+    gap = F.col("event_id") % 7 == 0
+    return _raw_events(spark, d).withColumn("us", F.when(~gap, F.col("us")))
+
+
+def q_gap_sessions_nulls(spark, d):
+    return O.gap_sessions(_nulls(spark, d), ["user_id"], "us", GAP_US, tie="event_id")
+
+
+def q_time_between_events_nulls(spark, d):
+    return O.gap_stats(_nulls(spark, d), ["user_id"], "us", tie="event_id")
+
+
+def q_accuracy_nulls(spark, d):
+    c = _classified(spark, d)
+    return CL.classification_accuracy(c.withColumn(CL.LABEL, F.when(F.col("session_id") % 7 != 0, F.col(CL.LABEL))))
+
+
+def q_weekly_panel_nulls(spark, d):
+    c = _cleaned(spark, d)
+    return P.weekly_channel_panel(c.withColumn("geo_country", F.when(F.col("client_id") % 3 != 0, F.col("geo_country"))), geo_col="geo_country")
+
+
 def _stream_rows(spark, d):
     ev = ST.read_event_stream(spark, d)
     return FX.session_signals_from(ev, FX.nations(spark, d))
 
 
-def _state_partitions(spark) -> int:
-    # one state-store partition per core of the session running the check
-    return spark.sparkContext.defaultParallelism
-
-
 def q_stream_gap_sessions(spark, d):
-    s = ST.stream_gap_sessions(ST.read_event_stream(spark, d), CFG.session_gap, CFG.watermark)
-    return ST.drain(s, "stream-gap-sessions", mode="complete", state_partitions=_state_partitions(spark))
+    return ST.drain(ST.stream_gap_sessions(ST.read_event_stream(spark, d), CFG.session_gap, CFG.watermark), "stream-gap-sessions")
 
 
 def q_stream_tumbling_value(spark, d):
     s = ST.stream_tumbling_value(ST.classify_stream(_stream_rows(spark, d)), CFG.tumbling_window, CFG.watermark)
-    return ST.drain(s, "stream-tumbling-value", mode="complete", state_partitions=_state_partitions(spark))
+    return ST.drain(s, "stream-tumbling-value")
 
 
 def q_stream_classify(spark, d):
     s = ST.classify_stream(_stream_rows(spark, d)).select(
         "client_id", "session_id", CL.CLASS, "channel", "bid_value")
-    return ST.drain(s, "stream-classify", mode="append")
+    return ST.drain(s, "stream-classify")
+
+
+def q_stream_late_rows(spark, d):
+    """The newer hits arrive first; a second run of the same query gets the
+    older ones, all behind the watermark by then."""
+    events = table(spark, d, "events")
+    folder, out, state = (scratch_path(spark, n) for n in ("late-in", "late-out", "late-state"))
+    stream = lambda: ST.stream_hits_per_window(ST.read_event_stream(spark, folder, glob="*.parquet"), CFG.tumbling_window, CFG.watermark)
+    cut = F.lit(LATE_CUT).cast("timestamp_ntz")
+    events.where(F.col("ts") >= cut).write.parquet(folder)
+    ST.drain(stream(), "stream-late-rows", out, state)
+    events.where(F.col("ts") < cut).write.mode("append").parquet(folder)
+    return ST.drain(stream(), "stream-late-rows", out, state)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -53,14 +53,8 @@ def _pick(index, values) -> F.Column:
 
 
 def _k() -> F.Column:
-    """``k`` of ``props``. The props of the driver table are one-key objects
-    ``{"k": n}``; those are read with plain string functions (no JSON parser:
-    the rule cascade is pushed into the scan filter and would re-parse the
-    text once per branch). Any other shape goes through the JSON parser."""
-    p = F.col("props")
-    simple = p.startswith('{"k":') & p.endswith("}") & ~p.contains(",")
-    fast = F.trim(F.substring_index(F.substring_index(p, ":", -1), "}", 1)).cast("bigint")
-    return F.when(simple, fast).otherwise(F.get_json_object(p, "$.k").cast("bigint"))
+    """``k`` of the JSON object ``props``; NULL where it is no whole number."""
+    return F.from_json("props", "k string")["k"].try_cast("bigint")
 
 
 def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +72,7 @@ def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _events_with_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events", spread=True)
+    ev = table(spark, sf_dir, "events")
     return ev.join(_nations(spark, sf_dir), F.col("user_id") % 25 == F.col("_nk"), "left")
 
 
@@ -127,7 +121,7 @@ def ga_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def session_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """View B: one enriched session row per event, with a ground-truth label."""
-    return session_signals_from(table(spark, sf_dir, "events", spread=True), _nations(spark, sf_dir))
+    return session_signals_from(table(spark, sf_dir, "events"), _nations(spark, sf_dir))
 
 
 def session_signals_from(events: DataFrame, nations: DataFrame) -> DataFrame:
@@ -165,7 +159,7 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Same session keys and allow-list as sessionisation of view A; the score is
     max(k) / 100 and the mouse count 10 x clicks of the session."""
-    ev = table(spark, sf_dir, "events", spread=True)
+    ev = table(spark, sf_dir, "events")
     k = _k()
     name = (
         F.when(F.col("event_type") == "view", F.lit("page_view"))
@@ -184,9 +178,15 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observed conversion values: one row per purchase of view B."""
+    ev = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    return ev.select(F.col("event_id").alias("session_id"), F.round("value", 2).alias("conversion_value_usd"))
+
+
 def roi_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posterior-style ROI draws per channel, derived from view B."""
-    ev = table(spark, sf_dir, "events", spread=True)
+    ev = table(spark, sf_dir, "events")
     k = _k()
     eid = F.col("event_id")
     return ev.select(

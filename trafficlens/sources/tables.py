@@ -17,47 +17,11 @@ SCHEMAS = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
 }
 
-_RELATIONS: dict = {}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table as a DataFrame. The base relation is built once per
-    session and path (like a registered view) and reused by later queries;
-    ``clear_tables()`` forgets them."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (_session_key(spark), path, spread)
-    df = _RELATIONS.get(key)
-    if df is None:
-        reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
-        df = reader.parquet(path)
-        df = spread_small_scan(df) if spread else df
-        _RELATIONS[key] = df
-    return df
-
-
-def _session_key(spark: SparkSession):
-    try:
-        return id(spark._jsparkSession)
-    except Exception:  # noqa: BLE001  (sessions without a JVM handle)
-        return id(spark)
-
-
-def clear_tables() -> None:
-    _RELATIONS.clear()
-
-
-def spread_small_scan(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
-    """Give a scan at least ``min_tasks`` tasks (default: the cluster's default
-    parallelism). A fact table stored as one unsplittable file or row group
-    would otherwise run every row-wise step in a single task. Large inputs
-    have far more splits than cores, so there this is a no-op and adds no
-    shuffle. Counting splits only plans the scan; it runs no job."""
-    try:
-        target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (no RDD API on this session: leave the scan as is)
-        return df
-    return df.repartition(target) if splits < target else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table as a DataFrame. How many tasks scan it is decided by the
+    file layout and ``spark.sql.files.maxPartitionBytes``."""
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_events(spark: SparkSession, path: str, schema=None, fmt: str = "parquet", **options) -> DataFrame:
@@ -74,7 +38,7 @@ def read_date_shards(spark: SparkSession, base: str, start: str, end: str, prefi
     in [start, end] (both inclusive, ``YYYY-MM-DD``). One Hadoop glob over
     the calendar days of the range selects the shards, so only those folders
     are listed and read; days without a shard are simply not matched. Adds
-    ``event_date`` from the shard suffix when the data has none."""
+    ``event_date`` from the shard suffix where the data has none."""
     import datetime as dt
 
     d0, d1 = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
@@ -85,10 +49,10 @@ def read_date_shards(spark: SparkSession, base: str, start: str, end: str, prefi
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.load(f"{base.rstrip('/')}/{prefix}{{{','.join(days)}}}")
-    if "event_date" not in df.columns:
-        suffix = F.regexp_extract(F.col("_metadata.file_path"), prefix + r"(\d{8})", 1)
-        df = df.withColumn("event_date", F.to_date(suffix, "yyyyMMdd"))
-    return df
+    suffix = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), prefix + r"(\d{8})", 1), "yyyyMMdd")
+    # a declared schema may name the column although the files do not have it
+    given = [F.col("event_date")] if "event_date" in df.columns else []
+    return df.withColumn("event_date", F.coalesce(*given, suffix))
 
 
 def scan_date_range(events: DataFrame, start: str | None, end: str | None, col: str = "event_date") -> DataFrame:

@@ -6,6 +6,9 @@ tumbling windows), bounded by the watermark in append mode.
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +43,13 @@ def stream_gap_sessions(events: DataFrame, gap: str = "30 minutes", watermark: s
                     F.unix_micros(F.col("s.end")).alias("session_end_us"), "n_events")
 
 
+def stream_hits_per_window(events: DataFrame, size: str = "1 hour", watermark: str = "1 hour", ts: str = "ts") -> DataFrame:
+    """Hits per tumbling window, emitted when the watermark passes its end; rows
+    that come later than that are dropped."""
+    g = events.withWatermark(ts, watermark).groupBy(F.window(ts, size).alias("w")).agg(F.count(F.lit(1)).alias("n_events"))
+    return g.select(F.unix_micros(F.col("w.start")).alias("window_start_us"), "n_events")
+
+
 def classify_stream(rows: DataFrame, t: C.Thresholds = C.Thresholds()) -> DataFrame:
     """Stateless: class and bid value on each streaming session row."""
     human = F.col(CLASS) == C.HUMAN
@@ -60,41 +70,24 @@ def stream_tumbling_value(classified: DataFrame, size: str = "1 hour", watermark
                     "human_sessions", F.round("_bid", 2).alias("bid_value"))
 
 
-def drain(df: DataFrame, name: str, mode: str = "append", path: str | None = None,
-          checkpoint: str | None = None, state_partitions: int | None = None) -> DataFrame:
-    """Run a streaming query over everything available, write it to Parquet
-    on shared storage, and return the written table.
-
-    ``append`` uses the file sink (exactly-once through its commit log);
-    ``complete`` rewrites the whole result each micro-batch via
-    ``foreachBatch`` (idempotent overwrite), so the last batch is final.
-    ``state_partitions`` fixes the number of state-store partitions of a new
-    stateful query (Spark records it in the checkpoint at the first batch);
-    by default the session's ``spark.sql.shuffle.partitions`` applies."""
+def drain(df: DataFrame, name: str, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Run a streaming query over everything available in append mode, write it
+    to Parquet on shared storage (file sink, exactly once through its commit
+    log), and return the written table. Stateful queries have as many state
+    partitions as ``spark.sql.shuffle.partitions`` says when the checkpoint
+    is new. Given the ``path`` and ``checkpoint`` of an earlier run it goes
+    on from there."""
     spark = df.sparkSession
-    if state_partitions:
-        key = "spark.sql.shuffle.partitions"
-        saved = spark.conf.get(key)
-        spark.conf.set(key, str(state_partitions))
-        try:
-            return drain(df, name, mode, path, checkpoint)
-        finally:
-            spark.conf.set(key, saved)
     path = path or scratch_path(spark, name)
     checkpoint = checkpoint or scratch_path(spark, f"{name}-checkpoint")
-    w = df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).queryName(
-        f"{name}_{abs(hash(path)) % 10**8}")
-    if mode == "complete":
-        def write_batch(batch: DataFrame, _epoch: int) -> None:
-            batch.write.mode("overwrite").parquet(path)
-        q = w.outputMode("complete").foreachBatch(write_batch).start()
-    else:
-        q = w.outputMode(mode).format("parquet").option("path", path).start()
-    q.awaitTermination()
+    w = df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).queryName(f"{name}-{uuid.uuid4().hex}")
+    w.outputMode("append").format("parquet").option("path", path).start().awaitTermination()
     try:
         return spark.read.schema(df.schema).parquet(path)
-    except Exception:  # nothing was written: empty input
-        return spark.createDataFrame([], df.schema)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], df.schema)  # no batch ran, so no folder was made
 
 
 def bidding_payload_stream(rows: DataFrame, t: C.Thresholds = C.Thresholds()) -> DataFrame:
