@@ -84,6 +84,8 @@ def cells(text: str | None) -> np.ndarray:
         add(shape, 21 << 40)
         add(shape[:-1] * np.uint64(1 << 20) + shape[1:], 22 << 40)
         add((shape[:-2] * np.uint64(1 << 20) + shape[1:-1]) * np.uint64(1 << 20) + shape[2:], 23 << 40)
+    if not parts:
+        return np.zeros(0, np.int64)
     at = np.concatenate(parts).astype(np.int64)
     # each cell once, without sorting: the last occurrence of a cell owns it
     owner = OWNER
