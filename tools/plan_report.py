@@ -73,10 +73,8 @@ def main() -> None:
         f"Generated by `tools/plan_report.py` on `{os.path.basename(sf_dir)}` (local[8], AQE on).",
         "Nodes of each query's main physical plan (before adaptive re-planning), the number of",
         "scalar subqueries, and the Spark jobs and stages one execution ran (broadcasts, subqueries",
-        "and adaptive stages are separate jobs). `shuffle` counts every Exchange, including the",
-        "round-robin spread added only when a scan has fewer splits than cores (the test tables",
-        "are single row groups; it never appears on inputs with many splits).",
-        "Streaming queries and the CSV round trip run at build time and read back their output.",
+        "and adaptive stages are separate jobs). `shuffle` counts every Exchange.",
+        "Streaming queries and the CSV round trips run at build time and read back their output.",
         "",
         "| Query | Main plan | Subqueries | Jobs | Stages |",
         "|---|---|---|---|---|",

@@ -176,6 +176,15 @@ class SignatureRules:
 KMEANS_START = ((0.8, 1.0, 60.0, 100.0), (0.4, 12.0, 30.0, 0.0), (0.1, 18.0, 90.0, 0.0))
 
 
+# The columns of the cleaned export, in order; those present are kept.
+EXPORT_COLUMNS = (
+    "client_id", "event_timestamp", "source_medium", "geo_country", "device_category",
+    "landing_page", "edge_score", "session_duration_sec", "event_velocity_per_sec",
+    "page_scroll_depth_pct", "click_events", "scroll_events", "mouse_move_events",
+    "traffic_class", "conversion_value_usd",
+)
+
+
 @dataclass(frozen=True)
 class PipelineConfig:
     date_start: str | None = None
@@ -192,4 +201,3 @@ class PipelineConfig:
     panel_geo: str | None = None  # None: one geo named "national"
     thresholds: Thresholds = field(default_factory=Thresholds)
     tiers: TierRules = field(default_factory=TierRules)
-    signatures: SignatureRules = field(default_factory=SignatureRules)

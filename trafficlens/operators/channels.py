@@ -16,11 +16,6 @@ from ..functions import expressions as X
 from .classify import CLASS
 from .clean import with_conversion_value
 
-# Upper bound on distinct channel names produced by ``channel_of``: the
-# configured names plus "Other". Aggregates keyed by channel are this small.
-MAX_CHANNELS = len({n for _, n in C.CHANNEL_NAMES}) + 1
-
-
 def paid_dimension(spark: SparkSession) -> DataFrame:
     roas = dict(C.CHANNEL_ROAS)
     return X.const_table(spark, [(n, i, float(roas.get(n, C.DEFAULT_ROAS))) for i, n in enumerate(C.PAID_CHANNELS)],
@@ -62,7 +57,7 @@ def attribution_from_stats(stats: DataFrame) -> DataFrame:
     """Attribution from per-channel stats (channel, raw_sessions,
     clean_sessions, clean_kpi, avg_conv_value)."""
     paid = paid_dimension(stats.sparkSession)
-    # stats has at most MAX_CHANNELS rows (keyed by channel_of), so broadcasting it is bounded.
+    # stats has one row per configured channel name and one for others (keyed by channel_of), so broadcasting it is bounded.
     d = paid.join(F.broadcast(stats), paid["name"] == stats["channel"], "left")
     d = d.select(
         "name", "priority", "roas",

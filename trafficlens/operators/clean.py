@@ -10,15 +10,6 @@ from .. import config as C
 from ..functions import expressions as X
 from .classify import CLASS
 
-# Export columns, in order; only those present are kept.
-EXPORT_COLUMNS = (
-    "client_id", "event_timestamp", "source_medium", "geo_country", "device_category",
-    "landing_page", "edge_score", "session_duration_sec", "event_velocity_per_sec",
-    "page_scroll_depth_pct", "click_events", "scroll_events", "mouse_move_events",
-    CLASS, "conversion_value_usd",
-)
-
-
 def conv_value_table(spark: SparkSession, mapping=C.CONV_VALUES) -> DataFrame:
     return X.const_table(spark, [(k, float(v)) for k, v in mapping], ["source_medium", "_conv_value"])
 
@@ -38,7 +29,7 @@ def with_conversion_value(df: DataFrame, values: DataFrame | None = None,
 
 def cleaned_sessions(classified: DataFrame, keep_keys: bool = True) -> DataFrame:
     human = with_conversion_value(classified.where(F.col(CLASS) == C.HUMAN))
-    cols = [c for c in EXPORT_COLUMNS if c in human.columns]
+    cols = [c for c in C.EXPORT_COLUMNS if c in human.columns]
     if keep_keys and "session_id" in human.columns:
         cols = ["session_id"] + cols
     return human.select(*cols)

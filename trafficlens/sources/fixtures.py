@@ -15,7 +15,7 @@ from .. import config as C
 from ..functions.expressions import channel_of, ntz_micros
 from .tables import table
 
-# Fixed assignments of the fixture (FIXTURES.md), stated in natural order.
+# Assignments of the fixture (FIXTURES.md), in natural order.
 USER_SOURCES = (  # by user_id % 8: (source, medium)
     ("google", "cpc"),
     ("meta", "paid_social"),
