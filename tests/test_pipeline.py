@@ -126,7 +126,7 @@ def test_labelled_run_draws_and_spend(spark, export, tmp_path):
     assert read("channel_spend").count() >= 1 and read("panel_roi").count() >= 1
     assert all(r.posterior_used for r in read("roi_override").collect())
     doc = json.loads(open(glob.glob(out.paths["summary"] + "/*.json")[0]).read().splitlines()[0])
-    assert doc["attribution"]["status"] == "posterior" and doc["media_spend_source"] == "observed" and doc["n_weeks_data"] >= 4
+    assert doc["attribution"]["status"] == "posterior" and doc["attribution"]["media_spend_source"] == "observed" and doc["attribution"]["n_weeks_data"] >= 4
     assert all(c["posterior_used"] for c in doc["attribution"]["channels"])
 
 

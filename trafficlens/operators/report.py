@@ -99,7 +99,7 @@ def summary_document(classified: DataFrame, mode: str = "batch", days: int = 7,
         det = det.withColumns({"roi": F.coalesce("posterior_roi", "roi"), "posterior_used": used})
     else:
         det = det.withColumn("posterior_used", used)
-    weeks = cube.agg(F.count_distinct(F.date_trunc("week", "day")).alias("n_weeks_data"))
+    n_weeks = cube.agg(F.count_distinct(F.date_trunc("week", "day"))).scalar()
     chan = det.agg(
         F.transform(F.array_sort(F.collect_list(F.struct("priority", "name", "raw_contribution_pct",
                                                          "calibrated_contribution_pct", "bot_inflation_pct",
@@ -122,10 +122,9 @@ def summary_document(classified: DataFrame, mode: str = "batch", days: int = 7,
         part(daily, [F.col("label").alias("labels"), "raw", "cleaned"]).alias("daily"),
         part(totals, [F.col("total_cleaned").alias("human_sessions"), F.col("bots_removed").alias("bot_sessions"),
                       "total_conv_value", "avg_conv_value", "estimated_spend_saved"]).alias("vbb"),
-        part(weeks, ["n_weeks_data"])["n_weeks_data"].alias("n_weeks_data"),
-        F.lit(media_spend_source).alias("media_spend_source"),
         part(chan, [F.lit("fallback" if draws is None else "posterior").alias("status"), F.lit("channel attribution (Spark)").alias("model"),
-                    "channels", "total_clean_value", "total_raw_value"]).alias("attribution"),
+                    "channels", "total_clean_value", "total_raw_value",
+                    n_weeks.alias("n_weeks_data"), F.lit(media_spend_source).alias("media_spend_source")]).alias("attribution"),
     )
 
 
