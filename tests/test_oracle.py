@@ -5,18 +5,17 @@ from conftest import SF001
 from oracle_check import digest
 
 from __spark_entry__ import oracle_sql, queries
+from trafficlens.plans.queries import QUERIES
 
 DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
                  "DATE": "date", "BOOLEAN": "boolean"}
 
 QS = queries()
-SQL = oracle_sql()
+SQL = {k: v for k, v in oracle_sql().items() if k in QUERIES}
 
 
-def test_every_query_has_oracle_or_is_declared_rows_only():
-    rows_only = {"kmeans_clusters"}
-    assert set(QS) - set(SQL) == rows_only
-    assert set(SQL) <= set(QS)
+def test_every_traffic_query_has_sql():
+    assert set(SQL) == set(QUERIES) <= set(QS)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -42,9 +41,3 @@ def test_entry_smoke(spark):
     assert df.columns == ["name", "raw_contribution_pct", "calibrated_contribution_pct",
                           "bot_inflation_pct", "roi", "insight"]
     assert df.count() == 4
-
-
-def test_kmeans_rows(spark):
-    df = QS["kmeans_clusters"](spark, SF001)
-    assert df.count() == 1000
-    assert {r.cluster for r in df.select("cluster").distinct().collect()} <= {0, 1, 2}
