@@ -83,31 +83,54 @@ class Encoder:
         self.tokenizer, self.end, self.most = Tokenizer.from_file(tokenizer_path), end_id, most
         self.seen: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            ids = np.array(e.ids, np.int64)
-            if len(ids) and ids.max() > 0xFFFF:
-                raise ValueError("an id is over 65535")
-            out.append(ids.astype("<u2").tobytes())
+        vocab = self.tokenizer.get_vocab()
+        # the byte-level alphabet writes a space as this letter
+        self.spaced = np.zeros(max(vocab.values()) + 1, bool)
+        self.spaced[[i for token, i in vocab.items() if token.startswith("\u0120")]] = True
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        out = [np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if any(len(ids) and ids.max() > 0xFFFF for ids in out):
+            raise ValueError("an id is over 65535")
         return out
 
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [ids.astype("<u2").tobytes() for ids in self._encoded(texts)]
+
+    def _chunks(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of chunks with the space before them. Chunks without a space
+        inside are encoded many in one text: each begins at a token that
+        begins with a space."""
+        plain = [c for c in chunks if " " not in c]
+        odd = [c for c in chunks if " " in c]
+        got = dict(zip(odd, self._ids([" " + c for c in odd])))
+        groups = [plain[i:i + 200] for i in range(0, len(plain), 200)]
+        for group, ids in zip(groups, self._encoded([" " + " ".join(g) for g in groups])):
+            raw = ids.astype("<u2").tobytes()
+            cuts = (2 * np.append(np.flatnonzero(self.spaced[ids]), len(ids))).tolist()
+            got.update(zip(group, [raw[a:b] for a, b in zip(cuts, cuts[1:])], strict=True))
+        return got
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         # A chunk between two single spaces is pre-tokenised alike alone and in its text.
         cut = [(t.split(" ") if not ODD_SPACE.search(t) else SAFE_SPACE.split(t)) if t else [""] for t in texts]
-        seen = self.seen
-        new = {c for parts in cut for c in parts[1:] if c not in seen}
-        now: dict[str, bytes] = {}
-        if new:
-            listed = list(new)
-            now = dict(zip(listed, self._ids([" " + c for c in listed])))
-            if len(seen) + len(now) <= self.most:
-                seen.update(now)
-                now = {}
-        end = self.end.to_bytes(2, "little")
         heads = self._ids([parts[0] for parts in cut])
-        look = seen.__getitem__ if not now else lambda c: now[c] if c in now else seen[c]
-        return [b"".join((h, *map(look, parts[1:]), end)) for h, parts in zip(heads, cut)]
+        seen, new = self.seen, set()
+        for parts in cut:
+            parts[0] = ""
+            new |= set(parts).difference(seen)
+        new.discard("")
+        now = self._chunks(sorted(new))
+        seen.update(now)
+        seen[""] = b""
+        end = self.end.to_bytes(2, "little")
+        look = seen.__getitem__
+        out = [b"".join((h, *map(look, parts), end)) for h, parts in zip(heads, cut)]
+        if len(seen) > self.most:
+            # full: what was seen first, which holds the common chunks, stays
+            for c in now:
+                del seen[c]
+        return out
 
 
 def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, doc_id: str = "doc_id", text: str = "text") -> None:
