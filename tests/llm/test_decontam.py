@@ -76,6 +76,7 @@ def test_same_without_broadcast(spark, docs, monkeypatch):
     some = docs.where("doc_id < 200")
     want = actual(some, items)
     monkeypatch.setattr(decontam, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(decontam, "BROADCAST_NUMBERS", 0)
     assert actual(some, items) == want
 
 

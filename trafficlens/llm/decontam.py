@@ -34,9 +34,9 @@ from trafficlens.llm.common import ascii_lower, fresh, stored
 
 # fixed value: what separates words, before A-Z are lower-cased
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-# rows of a side that may be broadcast; (fingerprint, surrounding) rows and
-# (doc_id, text hash) rows are under 300 bytes each
-BROADCAST_ROWS = 50_000
+# Rows of a side that may be broadcast: of one or two numbers, and of a
+# fingerprint with its surrounding (under 300 bytes). Larger sides are shuffled.
+BROADCAST_NUMBERS, BROADCAST_ROWS = 1_000_000, 50_000
 
 
 def words(text: Column) -> Column:
@@ -107,10 +107,10 @@ def _places(df: DataFrame, t: int, fps: DataFrame, keep: list[str]) -> DataFrame
     return rows.select(*keep, "fp", "at", _around("h", "at", k, t - k).alias("around"))
 
 
-def _hinted(df: DataFrame, rows: int) -> DataFrame:
+def _hinted(df: DataFrame, rows: int, most: int) -> DataFrame:
     """Broadcast only what was counted and found small; else the planner joins
     by shuffling."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    return F.broadcast(df) if rows <= most else df
 
 
 def find_overlaps(docs: DataFrame, items: DataFrame, window: int = 10, doc_id: str = "doc_id", text: str = "text",
@@ -147,14 +147,14 @@ def _find(d: DataFrame, b: DataFrame, t: int) -> DataFrame:
     seeds = _places(b, t, fps, ["item"]).groupBy("fp", "around").agg(F.sort_array(F.collect_set("item")).alias("items"))
     seeds = stored(seeds, "benchmark-fingerprints")
     n_seeds = seeds.count()
-    fps = _hinted(seeds.select("fp").distinct(), n_seeds)
+    fps = _hinted(seeds.select("fp").distinct(), n_seeds, BROADCAST_NUMBERS)
     marks = _hashes(d, "text", "h").select("doc_id", "key", F.explode_outer(F.expr(_chosen("h", t))).alias("fp"))
     met = stored(marks.join(fps, "fp", "left_semi").select("doc_id", "key").distinct(), "candidates")
-    c, m = d.alias("c"), _hinted(met, met.count()).alias("m")
+    c, m = d.alias("c"), _hinted(met, met.count(), BROADCAST_NUMBERS).alias("m")
     on = F.col("c.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("c.key") == F.col("m.key"))
     cand = _hashes(c.join(m, on, "left_semi").select("doc_id", "key", "text"), "text", "h")
     mine = _places(cand, t, fps, ["doc_id", "key"]).withColumnRenamed("around", "mine")
-    pairs = mine.join(_hinted(seeds, n_seeds), "fp")
+    pairs = mine.join(_hinted(seeds, n_seeds, BROADCAST_ROWS), "fp")
     pairs = pairs.withColumns({"left": _agree("mine.before", "around.before", reach),
                                "right": _agree("mine.after", "around.after", reach)})
     span = F.struct((F.col("at") - F.col("left")).cast("int").alias("start"),
@@ -186,5 +186,5 @@ def clean(docs: DataFrame, items: DataFrame, window: int = 10, doc_id: str = "do
     o = find_overlaps(docs, items, window, doc_id, text).where(F.size("spans") > 0).select("doc_id").distinct()
     leaks = stored(o, "contaminated")
     flag = fresh(docs, "_leak")
-    a, x = docs.alias("a"), _hinted(leaks.withColumnRenamed("doc_id", flag), leaks.count())
+    a, x = docs.alias("a"), _hinted(leaks.withColumnRenamed("doc_id", flag), leaks.count(), BROADCAST_NUMBERS)
     return a.join(x, F.col(f"a.{doc_id}").eqNullSafe(F.col(flag)), "left_anti")
