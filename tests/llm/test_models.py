@@ -11,7 +11,9 @@ def test_forward_backward_against_enumeration():
     rng = np.random.default_rng(0)
     lengths = np.array([3, 0, 1, 5, 70, 32, 33])
     emit, trans, start = rng.normal(size=(lengths.sum(), 3)), rng.normal(size=(3, 3)), rng.normal(size=3)
+    pairs, want_pairs = np.zeros((3, 3)), np.zeros((3, 3))
     post, at = langid.posteriors(emit, lengths, trans, start), 0
+    langid.posteriors(emit[:9], lengths[:4], trans, start, pairs)
     for n in lengths.tolist():
         e = emit[at:at + n]
         if 0 < n <= 5:
@@ -19,6 +21,12 @@ def test_forward_backward_against_enumeration():
             for ys in itertools.product(range(3), repeat=n):
                 p = np.exp(start[ys[0]] + sum(e[i, y] for i, y in enumerate(ys)) + sum(trans[a, b] for a, b in zip(ys, ys[1:])))
                 want[range(n), ys] += p
+            for i in range(n - 1):
+                two = np.zeros((3, 3))
+                for ys in itertools.product(range(3), repeat=n):
+                    two[ys[i], ys[i + 1]] += np.exp(start[ys[0]] + sum(e[k, y] for k, y in enumerate(ys))
+                                                    + sum(trans[a, b] for a, b in zip(ys, ys[1:])))
+                want_pairs += two / two.sum()
         elif n:
             a, b = np.zeros((n, 3)), np.zeros((n, 3))
             a[0] = start + e[0]
@@ -31,6 +39,7 @@ def test_forward_backward_against_enumeration():
             continue
         assert np.allclose(want / want.sum(1, keepdims=True), post[at:at + n])
         at += n
+    assert np.allclose(pairs, want_pairs)
 
 
 def test_language_held_out_and_edges(docs, edge_docs, no_docs):

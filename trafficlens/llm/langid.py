@@ -89,9 +89,10 @@ def _normal(x: np.ndarray) -> np.ndarray:
     return x / x.max(axis=-1, keepdims=True)
 
 
-def posteriors(emit: np.ndarray, lengths: np.ndarray, trans: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Label posteriors of all words of several chains laid end to end. Chains
-    are cut into blocks; products of the blocks' transfer matrices carry the
+def posteriors(emit: np.ndarray, lengths: np.ndarray, trans: np.ndarray, start: np.ndarray,
+               pairs: np.ndarray | None = None) -> np.ndarray:
+    """Label posteriors of all words of several chains laid end to end; the
+    expected counts of label pairs are added to ``pairs``. Chains are cut into blocks; products of the blocks' transfer matrices carry the
     forward and backward messages across blocks, then all blocks run side by
     side, so cost follows the number of words and not the longest chain."""
     n_lang = emit.shape[1]
@@ -146,6 +147,11 @@ def posteriors(emit: np.ndarray, lengths: np.ndarray, trans: np.ndarray, start:
     post = np.zeros((total, BLOCK, n_lang))
     for j in range(BLOCK - 1, -1, -1):
         post[:, j] = alpha[:, j] * beta
+        if pairs is not None:
+            on = live[:, j] & ~(head & (j == 0))
+            before = alpha[on, j - 1] if j else alpha_in[on]
+            both = before[:, :, None] * step[None] * (pot[on, j] * beta[on])[:, None, :]
+            pairs += (both / both.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
         beta = np.where(live[:, j][:, None], _normal(np.maximum((beta * pot[:, j]) @ step.T, 1e-300)), beta)
     out = post[at]
     return out / out.sum(axis=1, keepdims=True)
@@ -193,7 +199,8 @@ def fit(sample: list[tuple[str, str]], epochs: int = 4, rate: float = 0.3, max_w
             flat = np.concatenate([ids[starts[u]:ends[u]] for u in used])
             sizes = ends[used] - starts[used]
             emit_used = np.add.reduceat(model.weights[flat], np.cumsum(sizes) - sizes, axis=0) / sizes[:, None]
-            post = posteriors(emit_used[back], lengths, model.trans, model.start)
+            expected = np.zeros((n_lang, n_lang))
+            post = posteriors(emit_used[back], lengths, model.trans, model.start, expected)
             truth = np.eye(n_lang)[label]
             err = np.zeros((len(used), n_lang))
             np.add.at(err, back, truth - post)
@@ -203,8 +210,7 @@ def fit(sample: list[tuple[str, str]], epochs: int = 4, rate: float = 0.3, max_w
             inner = np.ones(len(words), bool)
             inner[np.cumsum(lengths) - lengths] = False
             j = np.flatnonzero(inner)
-            # expected transitions by the product of neighbours' posteriors
-            g_trans = truth[j - 1].T @ truth[j] - post[j - 1].T @ post[j]
+            g_trans = truth[j - 1].T @ truth[j] - expected
             g_start = (truth - post)[~inner].sum(axis=0)
             for x, g, acc in ((model.weights, grad, g_w), (model.trans, g_trans - 0.01 * model.trans, g_t), (model.start, g_start - 0.01 * model.start, g_s)):
                 acc += g * g
