@@ -55,6 +55,11 @@ def test_language_held_out_and_edges(docs, edge_docs, no_docs):
     assert {r.p.lang for r in langid.predicted(edge_docs, nothing, "p").collect()} == {"und"}
 
 
+def test_words_are_runs_of_letters():
+    assert langid.words_of("Ab1c d_e ² x² É-f ½") == ["ab", "c", "d", "e", "x²", "é", "f"]
+    assert langid.words_of("² 12 ½ !") == langid.words_of(None) == []
+
+
 def test_code_switched_words_get_their_own_label(docs):
     model = langid.learned(docs, sample_per_language=60)
     words = ["the", "and", "that", "with", "which"] * 3 + ["der", "und", "die", "nicht", "ist"] * 3

@@ -44,7 +44,8 @@ UNKNOWN = "und"
 
 
 def words_of(text: str | None) -> list[str]:
-    return LETTERS.findall(text.lower()) if text else []
+    # the pattern also takes numerals that are no decimal digits, such as a superscript
+    return [w for w in LETTERS.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))] if text else []
 
 
 def word_features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
