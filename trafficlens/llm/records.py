@@ -45,7 +45,7 @@ ship_by_value(__name__)
 MASK_DELTA = 0xA282EAD8
 HEAD = 12
 TAIL = 5
-ODD_SPACE = re.compile(r" \s|\s |^ | $")
+ODD_SPACE = re.compile(r" (?:\s|(?<=\s ))")
 SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -74,10 +74,15 @@ def record_at(data, offset: int) -> tuple[int | None, np.ndarray, int]:
     return doc_id, np.frombuffer(payload[9:], "<u2"), end + TAIL
 
 
+def _odd_spaces(text: str) -> bool:
+    """Whether some space has white space or an end of the text beside it."""
+    return text[0] == " " or text[-1] == " " or ODD_SPACE.search(text) is not None
+
+
 class Encoder:
     """Texts to ids as bytes, through the tokenizers library."""
 
-    def __init__(self, tokenizer_path: str, end_id: int, most: int = 600_000):
+    def __init__(self, tokenizer_path: str, end_id: int, most: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end, self.most = Tokenizer.from_file(tokenizer_path), end_id, most
@@ -113,24 +118,31 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         # A chunk between two single spaces is pre-tokenised alike alone and in its text.
-        cut = [(t.split(" ") if not ODD_SPACE.search(t) else SAFE_SPACE.split(t)) if t else [""] for t in texts]
+        cut = [(SAFE_SPACE.split(t) if _odd_spaces(t) else t.split(" ")) if t else [""] for t in texts]
         heads = self._ids([parts[0] for parts in cut])
-        seen, new = self.seen, set()
+        find, found, gaps = self.seen.get, [], []
         for parts in cut:
             parts[0] = ""
-            new |= set(parts).difference(seen)
-        new.discard("")
-        now = self._chunks(sorted(new))
-        seen.update(now)
-        seen[""] = b""
+            ids = list(map(find, parts))
+            found.append(ids)
+            # places of None, looked for without a step of Python per chunk
+            at, places = ids.index(None), []
+            try:
+                while True:
+                    at = ids.index(None, at + 1)
+                    places.append(at)
+            except ValueError:
+                gaps.append(places)
+        now = self._chunks(sorted({parts[i] for parts, places in zip(cut, gaps) for i in places}))
+        for parts, ids, places in zip(cut, found, gaps):
+            ids[0] = b""
+            for i in places:
+                ids[i] = now[parts[i]]
+        # when full, what was seen first stays: it holds the common chunks
+        if len(self.seen) < self.most:
+            self.seen.update(now)
         end = self.end.to_bytes(2, "little")
-        look = seen.__getitem__
-        out = [b"".join((h, *map(look, parts), end)) for h, parts in zip(heads, cut)]
-        if len(seen) > self.most:
-            # full: what was seen first, which holds the common chunks, stays
-            for c in now:
-                del seen[c]
-        return out
+        return [b"".join((h, *ids, end)) for h, ids in zip(heads, found)]
 
 
 def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, doc_id: str = "doc_id", text: str = "text") -> None:
