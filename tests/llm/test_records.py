@@ -42,7 +42,9 @@ def test_round_trip(spark, docs):
 
 
 def test_spaces_and_edges(spark, edge_docs, no_docs):
-    odd = ["  a\n\n b  c   d\x1c e ", " x", "x ", "\n", "a \nb \t c", "it's 12 o'clock  -- don't", "é è   ü", "a\x85b \x85 c"]
+    odd = ["  a\n\n b  c   d\x1c e ", " x", "x ", "\n", "a \nb \t c", "it's 12 o'clock  -- don't", "é è   ü", "a\x85b \x85 c", "a\nb c\n\nd e\nf. G\n", "\nx y", "a\tb c\t\nd", "one.\nTwo\u2003three four\n\u2003five",
+           "a\x1c\nb c", "x\r\ny z", "\n", "\x1c", "q \x1cr s", "a, b. c", "1.5, 2.x", "it's. so, we'll.",
+           "a .b ,c", "x###. y", "x., y", "a.b.c ...", "é. \u00d7. ½, ²,", ", a", ".\nA,\nB.", "a_, b", "...", "e.g., this"]
     df = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
     check(spark, df)
     check(spark, edge_docs.select("doc_id", "text"))
@@ -69,3 +71,15 @@ def test_full_cache_changes_nothing():
     texts = ["one two three two", "four  five six", None, "seven"]
     a, b = records.Encoder(PATH, 2), records.Encoder(PATH, 2, most=2)
     assert a.encode(texts) == b.encode(texts) == b.encode(texts)
+
+
+def test_chunks_against_whole_texts():
+    """Random texts of awkward pieces give the ids of the plain tokenizer."""
+    import random
+
+    random.seed(5)
+    pieces = ["a", "B", "é", "1", "²", ".", ",", "'", "s", " ", " ", " ", "\n", "\t", "#", "_", "word", "Ünd", "the", "  ", "-", "×", "中", "\xa0"]
+    texts = ["".join(random.choice(pieces) for _ in range(random.randint(0, 30))) for _ in range(3000)]
+    tokenizer, encoder = Tokenizer.from_file(PATH), records.Encoder(PATH, 2)
+    want = [np.array(e.ids + [2], "<u2").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.encode(texts) == want

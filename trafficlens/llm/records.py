@@ -21,8 +21,9 @@ The offset index is a separate Parquet table (file, doc_id, offset, length,
 n_tokens, ...): a loader draws its rows in any order and reads each record by
 one seek (``record_at``).
 
-Tokenising: a text is cut at single spaces between other characters, where the
-tokenizer's pre-tokenizer cuts too; chunks seen before come from a cache of bounded size.
+Tokenising: a text is cut before single spaces, line ends, commas and stops
+between other characters, where the tokenizer's pre-tokenizer cuts too; chunks seen before
+come from a cache of bounded size.
 """
 
 from __future__ import annotations
@@ -45,7 +46,9 @@ ship_by_value(__name__)
 MASK_DELTA = 0xA282EAD8
 HEAD = 12
 TAIL = 5
-ODD_SPACE = re.compile(r" (?:\s|(?<=\s ))")
+# white space but for space and line end, as Python sees it
+ODD_STOP = re.compile(r"[,.](?<![0-9A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F][,.])")
+OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -74,9 +77,32 @@ def record_at(data, offset: int) -> tuple[int | None, np.ndarray, int]:
     return doc_id, np.frombuffer(payload[9:], "<u2"), end + TAIL
 
 
-def _odd_spaces(text: str) -> bool:
-    """Whether some space has white space or an end of the text beside it."""
-    return text[0] == " " or text[-1] == " " or ODD_SPACE.search(text) is not None
+def _chunked(text: str | None) -> list[str]:
+    """Chunks of a text: the first as it is, a later one without the space
+    before it, or with the line end, comma or full stop before it. Commas and
+    stops are cut off only if each follows a letter or digit; else a chunk
+    that begins with one keeps its space. In a text with other white
+    space, or with a space or line end beside another or at its ends, only
+    single spaces between other characters count."""
+    if not text:
+        return [""]
+    if (text[0] in " \n" or text[-1] in " \n" or any(pair in text for pair in ("  ", " \n", "\n ", "\n\n"))
+            or any(c in text for c in OTHER_SPACE)):
+        parts = SAFE_SPACE.split(text)
+    elif ODD_STOP.search(text):
+        parts = text.replace("\n", " \n").split(" ")
+    else:
+        return text.replace("\n", " \n").replace(",", " ,").replace(".", " .").split(" ")
+    return parts[:1] + [" " + p if p[0] in ",." else p for p in parts[1:]]
+
+
+def _spoken(chunk: str) -> str:
+    """A later chunk as it stands in its text."""
+    return chunk if chunk[0] in "\n,. " else " " + chunk
+
+
+def _joinable(chunk: str) -> bool:
+    return chunk[0] not in ",." and " " not in chunk and "\n" not in chunk[1:]
 
 
 class Encoder:
@@ -89,9 +115,9 @@ class Encoder:
         self.seen: dict[str, bytes] = {}
 
         vocab = self.tokenizer.get_vocab()
-        # the byte-level alphabet writes a space as this letter
+        # the byte-level alphabet writes a space and a line end as these letters
         self.spaced = np.zeros(max(vocab.values()) + 1, bool)
-        self.spaced[[i for token, i in vocab.items() if token.startswith("\u0120")]] = True
+        self.spaced[[i for token, i in vocab.items() if token[0] in "\u0120\u010a"]] = True
 
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         out = [np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -103,39 +129,31 @@ class Encoder:
         return [ids.astype("<u2").tobytes() for ids in self._encoded(texts)]
 
     def _chunks(self, chunks: list[str]) -> dict[str, bytes]:
-        """Ids of chunks with the space before them. Chunks without a space
-        inside are encoded many in one text: each begins at a token that
-        begins with a space."""
-        plain = [c for c in chunks if " " not in c]
-        odd = [c for c in chunks if " " in c]
-        got = dict(zip(odd, self._ids([" " + c for c in odd])))
+        """Ids of later chunks. Those without a space or line end inside are
+        encoded many in one text: each begins at a token that begins with one."""
+        odd = [c for c in chunks if not _joinable(c)]
+        plain = [c for c in chunks if _joinable(c)]
+        got = dict(zip(odd, self._ids([_spoken(c) for c in odd])))
         groups = [plain[i:i + 200] for i in range(0, len(plain), 200)]
-        for group, ids in zip(groups, self._encoded([" " + " ".join(g) for g in groups])):
+        for group, ids in zip(groups, self._encoded(["".join(map(_spoken, g)) for g in groups])):
             raw = ids.astype("<u2").tobytes()
             cuts = (2 * np.append(np.flatnonzero(self.spaced[ids]), len(ids))).tolist()
             got.update(zip(group, [raw[a:b] for a, b in zip(cuts, cuts[1:])], strict=True))
         return got
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        # A chunk between two single spaces is pre-tokenised alike alone and in its text.
-        cut = [(SAFE_SPACE.split(t) if _odd_spaces(t) else t.split(" ")) if t else [""] for t in texts]
+        # A chunk is pre-tokenised alike alone and in its text.
+        cut = [_chunked(t) for t in texts]
         heads = self._ids([parts[0] for parts in cut])
         find, found, gaps = self.seen.get, [], []
         for parts in cut:
             parts[0] = ""
             ids = list(map(find, parts))
+            ids[0] = b""
             found.append(ids)
-            # places of None, looked for without a step of Python per chunk
-            at, places = ids.index(None), []
-            try:
-                while True:
-                    at = ids.index(None, at + 1)
-                    places.append(at)
-            except ValueError:
-                gaps.append(places)
-        now = self._chunks(sorted({parts[i] for parts, places in zip(cut, gaps) for i in places}))
+            gaps.append([i for i, x in enumerate(ids) if x is None])
+        now = self._chunks(list({parts[i] for parts, places in zip(cut, gaps) for i in places}))
         for parts, ids, places in zip(cut, found, gaps):
-            ids[0] = b""
             for i in places:
                 ids[i] = now[parts[i]]
         # when full, what was seen first stays: it holds the common chunks
