@@ -48,14 +48,14 @@ def node_counts(section: str) -> dict[str, int]:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    from __spark_entry__ import queries
+    from trafficlens.plans.queries import QUERIES
     from trafficlens.session import local_session
 
     spark = local_session(8)
     sc = spark.sparkContext
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     rows = []
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()  # warm
         st = sc.statusTracker()
