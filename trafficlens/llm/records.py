@@ -49,6 +49,7 @@ TAIL = 5
 # white space but for space and line end, as Python sees it
 ODD_STOP = re.compile(r"[,.](?<![0-9A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F][,.])")
 OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+ASCII_SPACE = [c for c in OTHER_SPACE if c.isascii()]
 SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -87,7 +88,7 @@ def _chunked(text: str | None) -> list[str]:
     if not text:
         return [""]
     if (text[0] in " \n" or text[-1] in " \n" or any(pair in text for pair in ("  ", " \n", "\n ", "\n\n"))
-            or any(c in text for c in OTHER_SPACE)):
+            or any(c in text for c in (ASCII_SPACE if text.isascii() else OTHER_SPACE))):
         parts = SAFE_SPACE.split(text)
     elif ODD_STOP.search(text):
         parts = text.replace("\n", " \n").split(" ")
@@ -108,7 +109,7 @@ def _joinable(chunk: str) -> bool:
 class Encoder:
     """Texts to ids as bytes, through the tokenizers library."""
 
-    def __init__(self, tokenizer_path: str, end_id: int, most: int = 500_000):
+    def __init__(self, tokenizer_path: str, end_id: int, most: int = 650_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end, self.most = Tokenizer.from_file(tokenizer_path), end_id, most
@@ -144,12 +145,16 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         # A chunk is pre-tokenised alike alone and in its text.
         cut = [_chunked(t) for t in texts]
-        heads = self._ids([parts[0] for parts in cut])
+        # A first chunk without white space goes with a line end before it, whose
+        # id is taken off again; other first chunks are encoded by themselves.
+        heads = {i: parts[0] for i, parts in enumerate(cut) if parts[0].split() != [parts[0]]}
+        heads = dict(zip(heads, self._ids(list(heads.values()))))
         find, found, gaps = self.seen.get, [], []
-        for parts in cut:
-            parts[0] = ""
+        for n, parts in enumerate(cut):
+            parts[0] = "" if n in heads else "\n" + parts[0]
             ids = list(map(find, parts))
-            ids[0] = b""
+            if n in heads:
+                ids[0] = heads[n]
             found.append(ids)
             gaps.append([i for i, x in enumerate(ids) if x is None])
         now = self._chunks(list({parts[i] for parts, places in zip(cut, gaps) for i in places}))
@@ -160,7 +165,8 @@ class Encoder:
         if len(self.seen) < self.most:
             self.seen.update(now)
         end = self.end.to_bytes(2, "little")
-        return [b"".join((h, *ids, end)) for h, ids in zip(heads, found)]
+        whole = [b"".join((*ids, end)) for ids in found]
+        return [x if n in heads else x[2:] for n, x in enumerate(whole)]
 
 
 def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, doc_id: str = "doc_id", text: str = "text") -> None:
