@@ -25,14 +25,15 @@ ship_by_value(__name__)
 
 
 def worker_state(name: str, key, make):
-    """What ``make()`` returns, kept in this Python worker between tasks as long
-    as ``key`` stays the same. Functions shipped by value have fresh globals in
-    every task; caches would start empty without this."""
+    """What ``make()`` returns, kept in this Python worker between tasks until
+    another name or key is asked for, so a worker holds one state at a time.
+    Functions shipped by value have fresh globals in every task; caches would
+    start empty without this."""
     place = sys.modules.setdefault("trafficlens_worker_state", types.ModuleType("trafficlens_worker_state"))
-    held = getattr(place, name, None)
-    if held is None or held[0] != key:
-        held = (key, make())
-        setattr(place, name, held)
+    held = getattr(place, "held", None)
+    if held is None or held[0] != (name, key):
+        place.held = None
+        held = place.held = ((name, key), make())
     return held[1]
 
 
