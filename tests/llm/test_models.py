@@ -1,4 +1,7 @@
 import itertools
+import math
+from collections import Counter, defaultdict
+from zlib import crc32
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -183,3 +186,38 @@ def test_pseudo_likelihood_against_plain_scores(spark, docs, edge_docs, no_docs)
     rows = {r.doc_id: r for r in pseudo.scored(edge_docs, rounds=1).collect()}
     assert rows[1].n_tokens == 0 and rows[1].log_prob == 0 and rows[1].mean_log_prob is None and rows[3].log_prob < 0
     assert pseudo.scored(edge_docs, rounds=1).count() == edge_docs.count() and pseudo.scored(no_docs).count() == 0
+
+
+def test_every_word_has_its_own_probability(spark, docs, monkeypatch):
+    """Words that share an id differ by their counts, shares and the unseen
+    share sum to one, and rows with a null or reused doc_id get their own sums."""
+    monkeypatch.setattr(pseudo, "CHUNK_RARE", 500)
+    some = docs.where("doc_id < 300").select("doc_id", "text")
+    some = some.unionByName(spark.createDataFrame([(None, "zqxaing zqxbing zqxbing"), (None, "zqxaing"), (7, "zqxbing É"), (7, None)], some.schema))
+    texts = [(r.doc_id, (r.text or "").encode().lower().split()) for r in some.collect()]
+    n = Counter(w for _, ws in texts for w in ws)
+    counts = pseudo.word_counts(some)
+    words = pseudo.most_frequent(counts)
+    known = {w.encode() for w, _ in words}
+    assert len(n) > 2 * pseudo.TOP and len(known) == pseudo.TOP
+    bucket = defaultdict(list)
+    for w in n.keys() - known:
+        bucket[crc32(w[-3:]) % pseudo.RARE].append(w)
+    whole = {b: sum(n[w] for w in ws) + pseudo.UNSEEN * (len(ws) + 1) for b, ws in bucket.items()}
+    own = {w: math.log((n[w] + pseudo.UNSEEN) / whole[b]) for b, ws in bucket.items() for w in ws}
+    assert all(abs(sum(math.exp(own[w]) for w in ws) + pseudo.UNSEEN / whole[b] - 1) < 1e-9 for b, ws in bucket.items())
+    tokens = pseudo.token_ids(some, [w for w, _ in words]).cache()
+    net = pseudo.Net.first([c for _, c in words], sum(n.values()))
+    got = pseudo.scores(tokens, net, pseudo.inside(tokens, pseudo.shares(counts, words))).collect()
+    plain = pseudo.scores(tokens, net).collect()
+    assert tokens.select("chunk").distinct().count() > 5 and len(got) == len(texts)
+    want, have = defaultdict(list), defaultdict(list)
+    for (i, ws), r in zip(texts, plain):
+        assert (r.doc_id, r.n_tokens) == (i, len(ws))
+        want[i, len(ws)].append(r.log_prob + sum(own.get(w, 0.0) for w in ws))
+    for r in got:
+        have[r.doc_id, r.n_tokens].append(r.log_prob)
+    assert want.keys() == have.keys() and all(np.allclose(sorted(want[k]), sorted(have[k]), atol=0.01, rtol=1e-5) for k in want)
+    # two words with a shared id, counted twice and three times
+    ing = {r.n_tokens: r.log_prob for r in got if r.doc_id is None}
+    assert crc32(b"ing") % pseudo.RARE in bucket and own[b"zqxbing"] > own[b"zqxaing"] and ing[3] < ing[1] < 0

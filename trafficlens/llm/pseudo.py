@@ -3,12 +3,21 @@
 A bidirectional window network predicts every token from the ``REACH`` tokens
 on each side of it: hidden = tanh(b + sum of one table row per neighbour and
 place), then a two-level softmax (class of the token, token within its class),
-so each probability is normalised over the whole vocabulary. A document's score
-is the sum of its tokens' conditional log-probabilities.
-
-Tokens are words (A-Z lower-cased, split at ASCII white space). The vocabulary is
-the ``TOP`` most frequent words of the whole corpus, counted in Spark, and
-``RARE`` shared ids for all others by a hash of their last three bytes.
+so each probability is normalised over all ids. A document's score is the sum of
+its tokens' conditional log-probabilities.
+
+Tokens are words (A-Z lower-cased, split at ASCII white space). The ids are those
+of the ``TOP`` most frequent words of the whole corpus, counted in Spark, and
+``RARE`` shared ids for all others by a hash of their last three bytes. A word
+with a shared id has the probability of that id times its own share of it, from
+the counts of all words (smoothed by ``UNSEEN``, which also leaves a share to words
+not counted). So each different word has its own probability, however many there are.
+The network sees the shared id only; a word's share of it does not depend on the
+neighbours.
+
+The counts meet the documents in a join: a task numbers the different
+shared-id words of each chunk of documents and names each once by its hash; logarithms
+of the shares come back by chunk and are summed over the documents' words.
 
 Training runs where the data is: in each round every task starts from the
 shared weights, trains by AdaGrad in numpy on its own documents, and returns its weights;
@@ -28,6 +37,8 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,14 +57,27 @@ REACH = 2
 HIDDEN = 24
 CHUNK = 16_384
 PART = 8192
+# seed of Spark's xxhash64; shared-id words of a chunk of documents; smoothing
+SEED = 42
+CHUNK_RARE = 1 << 19
+UNSEEN = 0.5
 
 
-def vocabulary(docs: DataFrame, text: str = "text") -> list[tuple[str, int]]:
-    """The TOP most frequent words of all texts and their counts. A histogram of
-    the counts' sizes tells which words can be among them, so only about as
-    many are ordered, whatever the number of words and tasks."""
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """w, n: all different words of all texts and their counts."""
     words = docs.select(F.explode_outer(F.split(ascii_lower(F.col(text)), SPACE)).alias("w")).where(F.col("w") != "")
-    counts = stored(words.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "word-counts")
+    return stored(words.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "word-counts")
+
+
+def vocabulary(docs: DataFrame, text: str = "text") -> list[tuple[str, int]]:
+    """The TOP most frequent words of all texts and their counts."""
+    return most_frequent(word_counts(docs, text))
+
+
+def most_frequent(counts: DataFrame) -> list[tuple[str, int]]:
+    """The TOP most frequent words. A histogram of the counts' sizes tells which
+    words can be among them, so only about as many are ordered, whatever the
+    number of words and tasks."""
     digits = F.length(F.bin("n"))
     have, least = 0, 0
     for r in sorted(counts.groupBy(digits.alias("d")).agg(F.count(F.lit(1)).alias("words")).collect(), key=lambda r: -r["d"]):
@@ -65,33 +89,74 @@ def vocabulary(docs: DataFrame, text: str = "text") -> list[tuple[str, int]]:
 
 
 def token_ids(docs: DataFrame, words: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, ids (two bytes each) of all rows."""
-    schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("ids", T.BinaryType())])
+    """doc_id, ids (two bytes each) of all rows; chunk and at, which name the row;
+    rare (four bytes each): the places of its shared-id words in the chunk's list of
+    them; new: the hashes of the words that it adds to the list, from place start."""
+    schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("ids", T.BinaryType()),
+                           T.StructField("chunk", T.LongType()), T.StructField("at", T.IntegerType()),
+                           T.StructField("rare", T.BinaryType()), T.StructField("start", T.IntegerType()),
+                           T.StructField("new", T.ArrayType(T.LongType()))])
     known = {w.encode("utf-8", "surrogatepass"): i for i, w in enumerate(words)}
 
     def run(batches):
-        crc, get = zlib.crc32, known.get
-        rare = {}
+        crc, digest, get = zlib.crc32, xxhash.xxh64_intdigest, known.get
+        chunk, at, n, seen = TaskContext.get().partitionId() << 32, 0, 0, {}
         for b in batches:
-            out = []
+            out = [[] for _ in range(6)]
             for t in b.column(1).to_pylist():
-                ids = []
+                if n >= CHUNK_RARE:
+                    chunk, at, n, seen = chunk + 1, 0, 0, {}
+                ids, rare, new, start = [], [], [], len(seen)
                 for w in (t.encode("utf-8", "surrogatepass").lower().split() if t else ()):
                     i = get(w)
                     if i is None:
-                        end = w[-3:]
-                        i = rare.get(end)
-                        if i is None:
-                            i = rare[end] = TOP + crc(end) % RARE
+                        had = seen.get(w)
+                        if had is None:
+                            had = seen[w] = TOP + crc(w[-3:]) % RARE, len(seen)
+                            new.append(digest(w, SEED))
+                        i, place = had
+                        rare.append(place)
                     ids.append(i)
-                out.append(np.array(ids, "<u2").tobytes())
-                if len(rare) > 1_000_000:
-                    rare.clear()
-            yield pa.record_batch([b.column(0), pa.array(out, pa.binary())], names=["doc_id", "ids"])
+                row = np.array(ids, "<u2").tobytes(), chunk, at, np.array(rare, "<u4").tobytes(), start, np.array(new, np.uint64).view(np.int64)
+                for column, x in zip(out, row):
+                    column.append(x)
+                at, n = at + 1, n + len(rare)
+            kinds = pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.list_(pa.int64())
+            yield pa.record_batch([b.column(0), *(pa.array(x, k) for x, k in zip(out, kinds))], names=schema.names)
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
 
 
+def shares(counts: DataFrame, words: list[tuple[str, int]]) -> DataFrame:
+    """word (hash), share: of each word that is not among ``words`` (the most
+    frequent ones, in order), the logarithm of its smoothed share of its id."""
+    rest = counts.where(F.lit(False))
+    if words:
+        last, least = words[-1]
+        rest = counts.where((F.col("n") < least) | ((F.col("n") == least) & (F.col("w") > last)))
+    bucket = F.crc32(F.substring(F.col("w").cast("binary"), -3, 3)) % RARE
+    rest = rest.select(F.xxhash64("w").alias("word"), "n", bucket.alias("bucket"))
+    # RARE rows at most
+    whole = rest.groupBy("bucket").agg((F.sum("n") + UNSEEN * (F.count(F.lit(1)) + 1)).alias("whole"))
+    return rest.join(F.broadcast(whole), "bucket").select("word", F.log((F.col("n") + UNSEEN) / F.col("whole")).cast("float").alias("share"))
+
+
+def inside(tokens: DataFrame, share: DataFrame) -> DataFrame:
+    """chunk, at, inside: of each row with shared-id words, the sum of their
+    logarithmic shares. ``share`` must hold all words of ``tokens``."""
+    listed = tokens.where(F.size("new") > 0).select(F.col("chunk").alias("list"), "start", F.posexplode("new").alias("i", "word"))
+    priced = listed.join(share, "word").select("list", (F.col("start") + F.col("i")).alias("place"), "share")
+
+    def sums(rows, priced):
+        own = np.full(len(priced), np.nan)
+        own[priced.column("place").to_numpy()] = priced.column("share").to_numpy()
+        total = [own[np.frombuffer(x.as_buffer(), "<u4")].sum() for x in rows.column("rare")]
+        return pa.table([rows.column("chunk"), rows.column("at"), pa.array(total, pa.float64())], names=["chunk", "at", "inside"])
+
+    rows = tokens.where(F.length("rare") > 0).select("chunk", "at", "rare")
+    return rows.groupBy("chunk").cogroup(priced.groupBy("list")).applyInArrow(sums, "chunk long, at int, inside double")
+
+
 class Net:
     """Weights as one vector, with views into it."""
 
@@ -251,10 +316,11 @@ def trained(tokens: DataFrame, net: Net, rounds: int = 2, train_stride: int = 16
     return net
 
 
-def scores(tokens: DataFrame, net: Net) -> DataFrame:
-    """doc_id, n_tokens, log_prob (sum over tokens), mean_log_prob."""
-    schema = T.StructType([tokens.schema["doc_id"], T.StructField("n_tokens", T.LongType()), T.StructField("log_prob", T.DoubleType()),
-                           T.StructField("mean_log_prob", T.DoubleType())])
+def scores(tokens: DataFrame, net: Net, within: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_tokens, log_prob (sum over tokens), mean_log_prob; of the ids
+    alone, or with what ``within`` (see ``inside``) adds for the words."""
+    schema = T.StructType([tokens.schema["doc_id"], T.StructField("chunk", T.LongType()), T.StructField("at", T.IntegerType()),
+                           T.StructField("n_tokens", T.LongType()), T.StructField("log_prob", T.DoubleType())])
     flat = net.flat
 
     def run(batches):
@@ -270,18 +336,24 @@ def scores(tokens: DataFrame, net: Net) -> DataFrame:
                 sums.append(upto[ends] - upto[ends - size])
                 sizes.append(size)
             n = np.concatenate(sizes or [np.zeros(0, np.int64)])
-            s = np.round(np.concatenate(sums or [np.zeros(0)]), 4)
-            mean = np.round(s / np.maximum(n, 1), 4)
-            yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(s, pa.float64()),
-                                   pa.array(mean, pa.float64(), mask=n == 0)], names=["doc_id", "n_tokens", "log_prob", "mean_log_prob"])
+            s = np.concatenate(sums or [np.zeros(0)])
+            yield pa.record_batch([*b.columns[:3], pa.array(n, pa.int64()), pa.array(s, pa.float64())], names=schema.names)
 
-    return tokens.mapInArrow(run, schema)
+    out = tokens.select("doc_id", "chunk", "at", "ids").mapInArrow(run, schema)
+    total = F.col("log_prob")
+    if within is not None:
+        out = out.join(within, ["chunk", "at"], "left")
+        total = total + F.coalesce("inside", F.lit(0.0))
+    out = out.select("doc_id", "n_tokens", F.round(total, 4).alias("log_prob"))
+    mean = F.when(F.col("n_tokens") > 0, F.round(F.col("log_prob") / F.col("n_tokens"), 4))
+    return out.select("*", mean.alias("mean_log_prob"))
 
 
 def scored(docs: DataFrame, rounds: int = 2, train_stride: int = 16) -> DataFrame:
     """Train on all rows of ``docs`` and score all of them."""
-    words = vocabulary(docs)
+    counts = word_counts(docs)
+    words = most_frequent(counts)
     tokens = stored(token_ids(docs, [w for w, _ in words]), "tokens")
     total = tokens.agg(F.sum(F.length("ids") / 2).cast("long")).first()[0] or 0
     net = trained(tokens, Net.first([n for _, n in words], total), rounds, train_stride)
-    return scores(tokens, net)
+    return scores(tokens, net, inside(tokens, shares(counts, words)))
