@@ -221,3 +221,17 @@ def test_every_word_has_its_own_probability(spark, docs, monkeypatch):
     # two words with a shared id, counted twice and three times
     ing = {r.n_tokens: r.log_prob for r in got if r.doc_id is None}
     assert crc32(b"ing") % pseudo.RARE in bucket and own[b"zqxbing"] > own[b"zqxaing"] and ing[3] < ing[1] < 0
+
+
+def test_every_position_is_a_target_once(spark, monkeypatch):
+    """Texts shorter than any stride too: their words are learned."""
+    docs_ids = [np.arange(n) for n in (1, 0, 2, 15, 40)]
+    for rounds in (1, 2, 3):
+        assert (sum(pseudo.targets(docs_ids, turn, rounds).astype(int) for turn in range(rounds)) == 1).all()
+    seen = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(5))) for i in range(8)], "doc_id long, text string").coalesce(1)
+    words = [w for w, _ in pseudo.vocabulary(seen)]
+    first = pseudo.Net.first([1] * len(words), len(words))
+    start = first.word_bias.copy()
+    net = pseudo.trained(pseudo.token_ids(seen, words), first, rounds=2)
+    moved = (net.word_bias - start).reshape(-1)
+    assert len(words) == 40 and (moved[:len(words)] > moved[len(words):pseudo.PER_CLASS].max()).all()

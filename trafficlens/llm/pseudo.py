@@ -22,8 +22,9 @@ of the shares come back by chunk and are summed over the documents' words.
 Training runs where the data is: in each round every task starts from the
 shared weights, trains by AdaGrad in numpy on its own documents, and returns its weights;
 their average, weighted by positions, starts the next round (parameter
-averaging). Every document takes part, with one in ``train_stride``
-positions as targets (another in each round); counts, training and what the
+averaging). Every position of every document is a target in just one of the
+rounds: with two rounds the even places in the first, the odd ones in the second.
+Counts, training and what the
 tasks send grow with the corpus, the model does not. Averages are summed in
 the order of task numbers, so results repeat on the same partitions.
 
@@ -56,6 +57,7 @@ PAD = VOCAB
 REACH = 2
 HIDDEN = 24
 CHUNK = 16_384
+STEP = 4096
 PART = 8192
 # seed of Spark's xxhash64; shared-id words of a chunk of documents; smoothing
 SEED = 42
@@ -187,58 +189,57 @@ class Net:
     def hidden(self, around: np.ndarray) -> np.ndarray:
         h = np.repeat(self.b[None, :], len(around), axis=0)
         for c in range(2 * REACH):
-            h += self.near[c][around[:, c]]
+            h += np.take(self.near[c], around[:, c], axis=0)
         return np.tanh(h, out=h)
 
     def log_probs(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
-        h = self.hidden(around)
-        cls = target // PER_CLASS
+        order, cuts = by_class(target)
+        h, target = self.hidden(around[order]), target[order]
         z = h @ self.to_class
         z += self.class_bias
-        z -= z.max(axis=1, keepdims=True)
-        out = z[np.arange(len(z)), cls]
-        out = out - np.log(np.exp(z, out=z).sum(axis=1))
-        order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
+        found = log_softmax(z, target // PER_CLASS)
         for c in range(CLASSES):
-            rows = order[cuts[c]:cuts[c + 1]]
-            if len(rows):
-                z = h[rows] @ self.to_word[c]
+            a, b = cuts[c], cuts[c + 1]
+            if a < b:
+                z = h[a:b] @ self.to_word[c]
                 z += self.word_bias[c]
-                z -= z.max(axis=1, keepdims=True)
-                picked = z[np.arange(len(rows)), target[rows] - c * PER_CLASS]
-                out[rows] += picked - np.log(np.exp(z, out=z).sum(axis=1))
+                found[a:b] += log_softmax(z, target[a:b] - c * PER_CLASS)
+        out = np.empty_like(found)
+        out[order] = found
         return out
 
     def step(self, grad2: Net, around: np.ndarray, target: np.ndarray, rate: float) -> None:
         """One AdaGrad step on a batch of positions."""
         n = len(target)
+        order, cuts = by_class(target)
+        around, target = around[order], target[order]
         h = self.hidden(around)
-        cls = target // PER_CLASS
-        z = h @ self.to_class + self.class_bias
-        z = np.exp(z - z.max(axis=1, keepdims=True))
-        err = z / z.sum(axis=1, keepdims=True)
-        err[np.arange(n), cls] -= 1
+        z = h @ self.to_class
+        z += self.class_bias
+        err = softmax(z)
+        err[np.arange(n), target // PER_CLASS] -= 1
         dh = err @ self.to_class.T
-        updates = [("to_class", slice(None), h.T @ err), ("class_bias", slice(None), err.sum(axis=0))]
-        order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
+        ones = np.ones(n, np.float32)
+        to_word, word_bias = np.zeros_like(self.to_word), np.zeros_like(self.word_bias)
+        updates = [("to_class", slice(None), h.T @ err), ("class_bias", slice(None), ones @ err),
+                   ("to_word", slice(None), to_word), ("word_bias", slice(None), word_bias)]
         for c in range(CLASSES):
-            rows = order[cuts[c]:cuts[c + 1]]
-            if len(rows):
-                z = h[rows] @ self.to_word[c] + self.word_bias[c]
-                z = np.exp(z - z.max(axis=1, keepdims=True))
-                err = z / z.sum(axis=1, keepdims=True)
-                err[np.arange(len(rows)), target[rows] - c * PER_CLASS] -= 1
-                dh[rows] += err @ self.to_word[c].T
-                updates += [("to_word", c, h[rows].T @ err), ("word_bias", c, err.sum(axis=0))]
+            a, b = cuts[c], cuts[c + 1]
+            if a < b:
+                z = h[a:b] @ self.to_word[c]
+                z += self.word_bias[c]
+                err = softmax(z)
+                err[np.arange(b - a), target[a:b] - c * PER_CLASS] -= 1
+                dh[a:b] += err @ self.to_word[c].T
+                to_word[c], word_bias[c] = h[a:b].T @ err, ones[a:b] @ err
         dh *= 1 - h * h
-        updates.append(("b", slice(None), dh.sum(axis=0)))
+        updates.append(("b", slice(None), ones @ dh))
         for c in range(2 * REACH):
-            used, back = np.unique(around[:, c], return_inverse=True)
-            by_row = np.argsort(back, kind="stable")
-            first = np.searchsorted(back[by_row], np.arange(len(used)))
-            updates.append(("near", (c, used), np.add.reduceat(dh[by_row], first, axis=0)))
+            # 16-bit numbers are sorted by radix
+            by_row = np.argsort(around[:, c].astype(np.uint16), kind="stable")
+            ids = around[by_row, c]
+            first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+            updates.append(("near", (c, ids[first]), np.add.reduceat(dh[by_row], first, axis=0)))
         for name, at, g in updates:
             g = g / n
             acc = getattr(grad2, name)
@@ -246,6 +247,37 @@ class Net:
             getattr(self, name)[at] -= rate * g / np.sqrt(acc[at])
 
 
+def by_class(target: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """The order of positions by class and where each class starts."""
+    cls = (target // PER_CLASS).astype(np.uint8)
+    return np.argsort(cls, kind="stable"), np.concatenate(([0], np.cumsum(np.bincount(cls, minlength=CLASSES)))).tolist()
+
+
+def exps(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """exp(z - high), its sums by row, and high. One number is taken off all rows,
+    which is faster than the largest of each; where a row lies far below it, its own."""
+    high = z.max()
+    e = np.exp(z - high)
+    total = e @ np.ones(z.shape[1], z.dtype)
+    if total.min() < 1e-20:
+        high = z.max(axis=1)
+        e = np.exp(z - high[:, None])
+        total = e.sum(axis=1)
+    return e, total, high
+
+
+def softmax(z: np.ndarray) -> np.ndarray:
+    e, total, _ = exps(z)
+    e /= total[:, None]
+    return e
+
+
+def log_softmax(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of each row, the logarithmic probability of the entry ``at``."""
+    _, total, high = exps(z)
+    return z[np.arange(len(z)), at] - high - np.log(total)
+
+
 def contexts(docs_ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Neighbours and targets of all positions of several documents."""
     gap = np.full(REACH, PAD, np.uint16)
@@ -270,26 +302,35 @@ def _batches(batches, most: int):
         yield held
 
 
-def trained(tokens: DataFrame, net: Net, rounds: int = 2, train_stride: int = 16, rate: float = 0.1) -> Net:
+def targets(docs_ids: list[np.ndarray], turn: int, rounds: int) -> np.ndarray:
+    """Which positions of several documents are targets in round ``turn``."""
+    return np.concatenate([np.arange(len(d)) for d in docs_ids]) % rounds == turn
+
+
+def trained(tokens: DataFrame, net: Net, rounds: int = 2, rate: float = 0.1) -> Net:
     for turn in range(rounds):
         start = net.flat
 
+        def learn(own, acc, parts):
+            a, t = (np.concatenate(x) for x in zip(*parts))
+            # steps of like size, of STEP positions or somewhat more
+            for a, t in zip(*(np.array_split(x, max(1, len(t) // STEP)) for x in (a, t))):
+                own.step(acc, a, t, rate)
+
         def train(batches, start=start, turn=turn):
             own, acc, seen = Net(start.copy()), Net(np.full(Net.SIZE, 1e-4, np.float32)), 0
             # targets of many documents make a batch, so that steps are of like size
             parts, n = [], 0
             for docs in _batches(batches, CHUNK):
                 around, target = contexts(docs)
-                pick = slice((turn * 7 + 3) % train_stride, None, train_stride)
+                pick = targets(docs, turn, rounds)
                 parts.append((around[pick], target[pick]))
                 n += len(parts[-1][1])
-                if n >= 1024:
-                    a, t = (np.concatenate(x) for x in zip(*parts))
-                    own.step(acc, a, t, rate)
+                if n >= STEP:
+                    learn(own, acc, parts)
                     seen, parts, n = seen + n, [], 0
             if n:
-                a, t = (np.concatenate(x) for x in zip(*parts))
-                own.step(acc, a, t, rate)
+                learn(own, acc, parts)
                 seen += n
             if seen:
                 cut = range(0, Net.SIZE, PART)
@@ -329,7 +370,7 @@ def scores(tokens: DataFrame, net: Net, within: DataFrame | None = None) -> Data
             sums, sizes = [], []
             for docs in _batches([b], CHUNK):
                 around, target = contexts(docs)
-                lp = np.concatenate([own.log_probs(around[i:i + CHUNK], target[i:i + CHUNK]) for i in range(0, len(target), CHUNK)] or [np.zeros(0)])
+                lp = np.concatenate([own.log_probs(around[i:i + STEP], target[i:i + STEP]) for i in range(0, len(target), STEP)] or [np.zeros(0)])
                 size = np.array([len(d) for d in docs])
                 upto = np.concatenate(([0.0], np.cumsum(lp, dtype=np.float64)))
                 ends = np.cumsum(size)
@@ -349,11 +390,11 @@ def scores(tokens: DataFrame, net: Net, within: DataFrame | None = None) -> Data
     return out.select("*", mean.alias("mean_log_prob"))
 
 
-def scored(docs: DataFrame, rounds: int = 2, train_stride: int = 16) -> DataFrame:
+def scored(docs: DataFrame, rounds: int = 2) -> DataFrame:
     """Train on all rows of ``docs`` and score all of them."""
     counts = word_counts(docs)
     words = most_frequent(counts)
     tokens = stored(token_ids(docs, [w for w, _ in words]), "tokens")
     total = tokens.agg(F.sum(F.length("ids") / 2).cast("long")).first()[0] or 0
-    net = trained(tokens, Net.first([n for _, n in words], total), rounds, train_stride)
+    net = trained(tokens, Net.first([n for _, n in words], total), rounds)
     return scores(tokens, net, inside(tokens, shares(counts, words)))
