@@ -84,3 +84,16 @@ def test_edges(edge_docs, no_docs):
     ids = sorted(r.doc_id for r in kept.collect() if r.doc_id is not None)
     assert ids == sorted({r.component_id for r in rows if r.component_id is not None})
     assert simhash.deduplicate(no_docs).count() == 0
+
+
+def test_rows_without_or_with_reused_ids_stay_by_component(spark):
+    """Unlike texts of rows with a null or reused doc_id all stay, copies go."""
+    def text(tag):
+        return " ".join(f"{tag}{i * 7919 % 101}" for i in range(60))
+
+    rows = [(None, text("a")), (None, text("b")), (None, text("a")), (1, text("c")), (1, text("d")), (1, text("d")),
+            (None, text("c")), (2, text("d")), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r.doc_id, r.text) for r in simhash.deduplicate(df).collect()), key=str)
+    assert [k for k in kept if k[1]] == sorted([(None, text("a")), (None, text("b")), (1, text("c")), (1, text("d"))], key=str)
+    assert len([k for k in kept if not k[1]]) == 1

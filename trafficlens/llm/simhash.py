@@ -72,16 +72,23 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long), one row per row of ``docs``."""
+    """doc_id, key (hash of the text), fp (the 64 bits as a signed long), one row
+    per row of ``docs``."""
     kind = docs.schema[doc_id].dataType
-    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("fp", T.LongType())])
+    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("key", T.LongType()), T.StructField("fp", T.LongType())])
 
     def run(batches):
         for b in batches:
-            fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), "<u8", b.num_rows)
-            yield pa.record_batch([b.column(0), pa.array(fps.view("<i8"))], names=["doc_id", "fp"])
+            fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(2)), "<u8", b.num_rows)
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(fps.view("<i8"))], names=["doc_id", "key", "fp"])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
+    own = F.col(text).cast("string")
+    return docs.select(F.col(doc_id).alias("doc_id"), text_key(own).alias("key"), own.alias("text")).mapInArrow(run, schema)
+
+
+def text_key(text: Column) -> Column:
+    """Tells texts apart; a null text from an empty one, too."""
+    return F.xxhash64(text, text.isNull())
 
 
 def pivots() -> np.ndarray:
@@ -240,14 +247,20 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_distance: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fp, component_id (smallest doc_id of the component), one row per
     row of ``docs``."""
+    return _labelled(docs, shingle, max_distance, doc_id, text).select("doc_id", "fp", "component_id")
+
+
+def _labelled(docs: DataFrame, shingle: int, max_distance: int, doc_id: str, text: str) -> DataFrame:
+    """doc_id, key, fp, label (names the component, also where no row of it has a
+    doc_id), component_id."""
     fps = stored(fingerprints(docs, doc_id, text, shingle), "fingerprints")
     distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     label = components(links(distinct, max_distance))
     named = distinct.join(label, distinct.fp == label.node, "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
     smallest = named.groupBy("label").agg(F.min("first").alias("component_id"))
     # most labels hold one fingerprint, so the join back is on spread keys
-    named = named.join(smallest, "label").select(F.col("fp").alias("fp_"), "component_id")
-    return fps.join(named, F.col("fp") == F.col("fp_"), "left").select("doc_id", "fp", "component_id")
+    named = named.join(smallest, "label").select(F.col("fp").alias("fp_"), "label", "component_id")
+    return fps.join(named, F.col("fp") == F.col("fp_"), "left").select("doc_id", "key", "fp", "label", "component_id")
 
 
 def fp_hex(fp: Column) -> Column:
@@ -255,10 +268,17 @@ def fp_hex(fp: Column) -> Column:
 
 
 def deduplicate(docs: DataFrame, shingle: int = 4, max_distance: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stand for their component: those with the
-    smallest doc_id; of several such rows one stays. All columns are kept."""
-    keep = fresh(docs, "_keep")
-    ids = near_duplicates(docs, shingle, max_distance, doc_id, text)
-    first = ids.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(keep)).distinct()
-    kept = docs.join(first, F.col(doc_id).eqNullSafe(F.col(keep)), "left_semi")
-    return kept.dropDuplicates([doc_id])
+    """The rows of ``docs`` that stand for their component: of each component
+    one, the first by doc_id (nulls last), then by a hash of the text. A doc_id
+    that is null or used again does not matter. All columns are kept."""
+    keep, key = fresh(docs, "_keep"), fresh(docs, "_key")
+    rows = _labelled(docs, shingle, max_distance, doc_id, text)
+    # min of a struct, as nulls come first in it
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first")
+    first = rows.groupBy("label").agg(first).select(F.col("first.doc_id").alias(keep), F.col("first.key").alias(key))
+    a, x = docs.alias("a"), first.alias("x")
+    own = text_key(F.col(f"a.`{text}`").cast("string"))
+    kept = a.join(x, F.col(f"a.`{doc_id}`").eqNullSafe(F.col(f"x.{keep}")) & (own == F.col(f"x.{key}")), "left_semi")
+    # equal rows by both are copies of one text; of these one stays
+    kept = kept.withColumn(key, text_key(F.col(text).cast("string")))
+    return kept.dropDuplicates([doc_id, key]).drop(key)
