@@ -84,3 +84,11 @@ def test_native_plan(spark, docs):
     items = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
     plan = decontam.contamination(docs, items)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow(?!ToRow)|Cartesian|NestedLoop", plan)
+
+
+def test_clean_rows_stay_beside_leaks_of_the_same_id(spark):
+    leak = "one two three four five six seven eight nine ten eleven"
+    items = spark.createDataFrame([(1, leak)], "item_id long, text string")
+    rows = [(None, leak), (None, "nothing of the kind"), (1, "x " + leak), (1, "a clean text"), (None, None), (2, leak), (2, leak)]
+    kept = decontam.clean(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    assert sorted([tuple(r) for r in kept], key=str) == sorted([(None, "nothing of the kind"), (1, "a clean text"), (None, None)], key=str)

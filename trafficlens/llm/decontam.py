@@ -118,6 +118,12 @@ def find_overlaps(docs: DataFrame, items: DataFrame, window: int = 10, doc_id: s
     """One row per row of ``docs``: doc_id, n_words, spans (array of struct
     (start, end) of hit words, end exclusive, each at least one window),
     items (ids, as text, of items with an occurring window)."""
+    return _overlaps(docs, items, window, doc_id, text, item_id, item_text).drop("key")
+
+
+def _overlaps(docs: DataFrame, items: DataFrame, window: int, doc_id: str = "doc_id", text: str = "text",
+              item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """As ``find_overlaps``, with the key of the text."""
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("key"))
     b = items.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text"))
     b = stored(_hashes(b, "text", "h").where(F.size("h") > 0).select("item", "h"), "benchmark-words")
@@ -130,13 +136,13 @@ def find_overlaps(docs: DataFrame, items: DataFrame, window: int = 10, doc_id: s
     counted = d.select("doc_id", "key", F.coalesce(F.size(words(F.col("text"))), F.lit(0)).cast("long").alias("n_words"))
     none = F.array().cast("array<struct<start:int,end:int>>")
     if found is None:
-        return counted.select("doc_id", "n_words", none.alias("spans"), F.array().cast("array<string>").alias("items"))
+        return counted.select("doc_id", "key", "n_words", none.alias("spans"), F.array().cast("array<string>").alias("items"))
     found = found.groupBy("doc_id", "key").agg(F.flatten(F.collect_list("spans")).alias("spans"),
                                                F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
     a, f = counted.alias("a"), found.alias("f")
     on = F.col("a.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("a.key") == F.col("f.key"))
     return a.join(f, on, "left").select(
-        "a.doc_id", "a.n_words", F.coalesce("f.spans", none).alias("spans"),
+        "a.doc_id", "a.key", "a.n_words", F.coalesce("f.spans", none).alias("spans"),
         F.coalesce("f.items", F.array().cast("array<string>")).alias("items"))
 
 
@@ -182,9 +188,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
 
 
 def clean(docs: DataFrame, items: DataFrame, window: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without a hit word, all columns kept."""
-    o = find_overlaps(docs, items, window, doc_id, text).where(F.size("spans") > 0).select("doc_id").distinct()
+    """The rows of ``docs`` without a hit word, all columns kept. Rows are told
+    apart by doc_id and text, so a null or reused doc_id takes no clean row along."""
+    o = _overlaps(docs, items, window, doc_id, text).where(F.size("spans") > 0).select("doc_id", "key").distinct()
     leaks = stored(o, "contaminated")
-    flag = fresh(docs, "_leak")
-    a, x = docs.alias("a"), _hinted(leaks.withColumnRenamed("doc_id", flag), leaks.count(), BROADCAST_NUMBERS)
-    return a.join(x, F.col(f"a.{doc_id}").eqNullSafe(F.col(flag)), "left_anti")
+    flag, key = fresh(docs, "_leak"), fresh(docs, "_key")
+    a, x = docs.alias("a"), _hinted(leaks.select(F.col("doc_id").alias(flag), F.col("key").alias(key)), leaks.count(), BROADCAST_NUMBERS)
+    return a.join(x, F.col(f"a.{doc_id}").eqNullSafe(F.col(flag)) & (F.xxhash64(F.col(f"a.{text}")) == F.col(key)), "left_anti")
