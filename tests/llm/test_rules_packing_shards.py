@@ -125,3 +125,10 @@ def test_map_versions_and_rebalancing(spark):
     shards.save_map(spark, path, 2, edited)
     read = {r.vslot: r.shard for r in shards.load_map(spark, path, 1).collect()}
     assert [read[v] for v in range(1000)] == first
+
+
+def test_windows_are_equal_only_by_their_whole_hash(spark):
+    """Two windows whose 64-bit hashes share their first 40 bits."""
+    text = "alpha beta 926757 p alpha beta 2899250 q one two three r one two three"
+    df = spark.createDataFrame([(1, "en", "a", text)], "doc_id long, lang string, source string, text string")
+    assert rules.counted(df).first().n_repeat_words == slow_counts(text)[4] == 6

@@ -36,11 +36,9 @@ BITS = 6
 def counted(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` rows as doc_id, lang, source and the counts of the text.
 
-    Repeated windows: hashes of the three-word windows carry their place in the low
-    bits and are sorted as longs, so equal windows become neighbours; this runs
-    only for texts where some hash repeats. 40 bits of hash remain beside the
-    place: two different windows of one text of 1,000 words meet with a chance
-    under one in a million."""
+    Repeated windows: 64-bit hashes of the three-word windows are sorted with
+    their places, so equal windows become neighbours; this runs only for texts
+    where some hash repeats."""
     t = F.coalesce(F.col(text), F.lit(""))
     d = docs.select("doc_id", "lang", "source", t.alias("t"))
     d = d.select("doc_id", "lang", "source", "t", F.array_remove(F.split("t", SPACE), "").alias("w"))
@@ -57,10 +55,8 @@ def repeat_words(w: str) -> str:
     """SQL of the number of words that lie in a three-word window found twice or
     more in the array of words ``w``."""
     h = f"transform(slice({w}, 1, greatest(0, size({w}) - 2)), (x, i) -> xxhash64(x, get({w}, i + 1), get({w}, i + 2)))"
-    # 24 low bits hold the place
-    keyed = "sort_array(transform(h, (x, i) -> (x & -16777216L) | i))"
-    hits = ("filter(transform(k, (x, i) -> if((x & -16777216L) = (coalesce(get(k, i - 1), ~x) & -16777216L)"
-            " or (x & -16777216L) = (coalesce(get(k, i + 1), ~x) & -16777216L), x & 16777215L, -1L)), p -> p >= 0)")
+    keyed = "sort_array(transform(h, (x, i) -> named_struct('x', x, 'i', cast(i as bigint))))"
+    hits = "filter(transform(k, (s, i) -> if(s.x = get(k, i - 1).x or s.x = get(k, i + 1).x, s.i, -1L)), p -> p >= 0)"
     cover = ("get(transform(array(sort_array(p)), q -> aggregate(transform(q, (x, i) -> least(3L, coalesce(get(q, i + 1), x + 3L) - x)), 0L, (a, b) -> a + b)), 0)")
     repeated = f"get(transform(array({keyed}), k -> get(transform(array({hits}), p -> {cover}), 0)), 0)"
     return f"get(transform(array({h}), h -> if(size(array_distinct(h)) = size(h), 0L, {repeated})), 0)"
