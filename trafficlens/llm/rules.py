@@ -5,9 +5,9 @@ them metrics as whole numbers (per mille). The metrics of each (lang, source)
 group go into a mergeable quantile sketch: a table of bins of relative width
 under 1/64 with counts. Merging is adding counts, so sketches of a language
 and of the whole corpus are sums of those of its groups, and results do not
-depend on the order of rows. A group's threshold of a metric is its upper (or lower)
+depend on the order of rows. A group's threshold of a metric is its upper
 quartile and ``REACH`` times the quartile range, at least ``MARGIN`` away from the
-quartile; groups of fewer than ``LEAST_ROWS`` documents use the sketch of
+quartile. Only large values are rejected: small ones of any metric pass; groups of fewer than ``LEAST_ROWS`` documents use the sketch of
 their language, small languages that of the corpus. Documents are filtered by
 a join with the thresholds (null lang or source is a group like others).
 
@@ -25,8 +25,8 @@ from trafficlens.llm.common import stored
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
-# metric -> direction: 1 rejects large values, -1 small ones
-METRICS = {"symbols_pm": 1, "dup_lines_pm": 1, "repeats_pm": 1, "word_len_c": 1}
+# large values are rejected
+METRICS = "symbols_pm", "dup_lines_pm", "repeats_pm", "word_len_c"
 LEAST_ROWS = 100
 REACH = 3
 MARGIN = {"symbols_pm": 100, "dup_lines_pm": 300, "repeats_pm": 300, "word_len_c": 200}
