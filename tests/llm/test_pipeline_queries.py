@@ -17,6 +17,7 @@ COLUMNS = {
     "op8_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op9_pseudo_likelihood": "doc_id n_tokens log_prob mean_log_prob",
     "op10_packing": "doc_id n_tokens bucket bound place batch slot padding",
+    "op13_exact_dedup": "doc_id keep_id group_size kept text_sha256",
 }
 
 
@@ -31,7 +32,7 @@ def test_query_columns_and_rows(spark, name):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF01}/{t}.parquet'")
     got = con.execute(queries.SQL[name])
     columns = [c[0] for c in got.description]

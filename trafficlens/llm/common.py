@@ -108,3 +108,21 @@ def gapless_rank(df: DataFrame, group: list[str], order: list[str], out: str, ce
     same = reduce(lambda x, y: x & y, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*group, cell]])
     kept = [F.col(f"a.`{c}`") for c in df.columns]
     return a.join(b, same, "left").select(*kept, (F.col(f"b.{start}") + F.col(f"a.{place}")).cast("long").alias(out))
+
+
+# groups with over 1/HOT_SHARE of all rows are hot: fewer than HOT_SHARE exist
+HOT_SHARE = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, total: int) -> DataFrame:
+    """Left join of ``rows`` with ``groups`` (one row per ``key``, whose column
+    ``n`` counts the key's rows among at most ``total`` in all), without bringing
+    a hot key's rows into one task. Groups of over ``total / HOT_SHARE`` rows are
+    fewer than HOT_SHARE, so those are broadcast and their rows stay where they
+    are; the other rows are shuffled by key, at most that share to a key. Keys
+    are not null. Column ``n`` is kept."""
+    limit = F.lit(total // HOT_SHARE)
+    hot, cold = groups.where(F.col("n") > limit), groups.where(F.col("n") <= limit)
+    stay = rows.join(F.broadcast(hot), key)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, "left")
+    return stay.unionByName(rest)

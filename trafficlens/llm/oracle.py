@@ -73,3 +73,81 @@ wide AS (SELECT lang, source, {limits} FROM limits GROUP BY lang, source)
 SELECT r.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {within} AS kept
 FROM r LEFT JOIN wide ON r.lang IS NOT DISTINCT FROM wide.lang AND r.source IS NOT DISTINCT FROM wide.source
 """
+
+
+FILTER_AUDIT = rf"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, part, t, regexp_extract_all(t, '{PLAIN}') AS w FROM t),
+m AS (
+  SELECT doc_id, part, len(w) < 100 AS a, 100 * len(list_distinct(w)) < 80 * len(w) AS b,
+    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e
+  FROM w),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY 1),
+cells AS (
+  SELECT part, a, b, c, d, e, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM m LEFT JOIN l ON m.doc_id = l.doc_id GROUP BY ALL),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT p.f || q.f || r.f || s.f || u.f AS o FROM f p, f q, f r, f s, f u
+  WHERE p.f <> q.f AND p.f <> r.f AND p.f <> s.f AND p.f <> u.f AND q.f <> r.f AND q.f <> s.f AND q.f <> u.f
+    AND r.f <> s.f AND r.f <> u.f AND s.f <> u.f),
+gone AS (
+  SELECT part, o, n, good, toxic, a, b, c, d, e,
+    least(CASE WHEN a THEN instr(o, 'A') ELSE 6 END, CASE WHEN b THEN instr(o, 'B') ELSE 6 END, CASE WHEN c THEN instr(o, 'C') ELSE 6 END,
+          CASE WHEN d THEN instr(o, 'D') ELSE 6 END, CASE WHEN e THEN instr(o, 'E') ELSE 6 END) AS r
+  FROM cells, orders),
+steps AS (SELECT unnest(range(1, 6)) AS step),
+seen AS (
+  SELECT g.*, step, o[step] AS name, CASE o[step] WHEN 'A' THEN a WHEN 'B' THEN b WHEN 'C' THEN c WHEN 'D' THEN d ELSE e END AS fails,
+    a::INT + b::INT + c::INT + d::INT + e::INT AS n_fails
+  FROM gone g, steps),
+out AS (
+  SELECT part, o, step, name, sum(CASE WHEN r > step THEN n ELSE 0 END) AS kept, sum(CASE WHEN r = step THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN fails AND r < step THEN n ELSE 0 END) AS redundant, sum(CASE WHEN fails AND n_fails = 1 THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN r = step THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN r = step THEN toxic ELSE 0 END) AS toxic_lost
+  FROM seen GROUP BY 1, 2, 3, 4)
+SELECT part, o AS filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, name) AS BIGINT) AS shapley
+FROM out
+"""
+
+EXACT_DEDUP = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+FROM t
+"""
+
+
+def centroids(k: int, rounds: int, dims: int) -> str:
+    """Rounds unrolled over (vector, dimension, value) rows."""
+    parts = [rf"""
+e AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS (SELECT r, vec_id, generate_subscripts(embedding, 1) AS i, CAST(floor(256 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS v FROM e),
+s AS (
+  SELECT r, row_number() OVER (ORDER BY sha256('2:' || vec_id), embedding) - 1 AS c FROM e WHERE vec_id IS NOT NULL
+  ORDER BY c LIMIT {k}),
+c0 AS (SELECT c, i, v FROM s JOIN x USING (r))"""]
+    for n in range(rounds + 1):
+        parts.append(f"""
+a{n} AS (
+  SELECT r, min(c) AS c, min(d) AS d FROM (
+    SELECT r, c, d, min(d) OVER (PARTITION BY r) AS least FROM (
+      SELECT r, c, CAST(sum((x.v - p.v) * (x.v - p.v)) AS BIGINT) AS d FROM x JOIN c{n} p USING (i) GROUP BY r, c)) WHERE d = least GROUP BY r)""")
+        if n < rounds:
+            parts.append(f"""
+c{n + 1} AS (
+  SELECT p.c, p.i, coalesce(q.v, p.v) AS v FROM c{n} p LEFT JOIN (
+    SELECT c, i, CAST((sum(v) - ((sum(v) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS v FROM a{n} JOIN x USING (r) GROUP BY c, i) q
+  ON p.c = q.c AND p.i = q.i)""")
+    last = f"a{rounds}"
+    return "WITH " + ",".join(parts) + f""",
+h AS (SELECT c, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY i)) AS h FROM c{rounds} GROUP BY c)
+SELECT e.vec_id, CAST({last}.c AS INTEGER) AS cluster, {last}.d AS distance, CAST(sum({last}.d) OVER (PARTITION BY {last}.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum({last}.d) OVER () AS BIGINT) AS inertia, h.h AS centroid_sha256
+FROM {last} JOIN e USING (r) JOIN h ON h.c = {last}.c
+"""

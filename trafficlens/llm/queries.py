@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficlens.llm import decontam, langid, oracle, packing, pseudo, quality, records, rules, shards, simhash, toxicity
+from trafficlens.llm import audit, centroids, decontam, exact, langid, oracle, packing, pseudo, quality, records, rules, shards, simhash, toxicity
 from trafficlens.llm.common import crc_remainder, fresh, table
 from trafficlens.session import scratch_path
 
@@ -79,6 +79,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each filter removes at each step of every order, per language."""
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distance and inertia of every embedding."""
+    return centroids.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of equal texts of every document, and which row of it stays."""
+    out = exact.duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
+
+
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage: documents without letters or without a main language go."""
     model = langid.learned(docs.where(~_held_out(4, 2)))
@@ -111,9 +127,12 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_quality, op3_toxicity, op4_language, op5_simhash, op6_records, op7_shards, op8_quality_rules,
-    op9_pseudo_likelihood, op10_packing)}
+    op9_pseudo_likelihood, op10_packing, op11_filter_audit, op12_centroids, op13_exact_dedup)}
 
 SQL = {
     "op1_decontamination": oracle.DECONTAMINATION,
     "op8_quality_rules": oracle.rules(rules.METRICS, rules.MARGIN, rules.LEAST_ROWS, rules.REACH, rules.BITS),
+    "op11_filter_audit": oracle.FILTER_AUDIT,
+    "op12_centroids": oracle.centroids(40, 5, 64),
+    "op13_exact_dedup": oracle.EXACT_DEDUP,
 }
