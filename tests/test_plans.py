@@ -6,7 +6,7 @@ from conftest import SF001
 
 from trafficlens.plans.queries import QUERIES as QS
 
-PYTHON_MODELS = {"model_scores"}
+PYTHON_MODELS = {"model_scores", "isolation_scores"}
 BUILT_AT_CALL = {"csv_roundtrip_clean", "stream_gap_sessions", "stream_tumbling_value", "stream_classify", "stream_late_rows", "raw_csv"}
 
 

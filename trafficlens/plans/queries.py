@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from ..operators import anomaly as AN
 from ..operators import channels as CH
 from ..operators import classify as CL
 from ..operators import clean as CN
+from ..operators import model as MD
 from ..operators import ordered as O
 from ..operators import panel as P
 from ..operators import report as R
@@ -273,6 +275,16 @@ def q_model_scores(spark, d):
     return out.select("client_id", "session_id", F.col("prediction").alias("score"))
 
 
+def q_isolation_scores(spark, d):
+    return AN.isolation_scores(FX.session_signals(spark, d))
+
+
+def q_fitted_model_scores(spark, d):
+    """A tree fitted on the training slice scores all sessions."""
+    b = FX.session_signals(spark, d)
+    return MD.score(b, MD.fit(CL.training_slice(b, TRAINING_AS_OF, TRAINING_DAYS, FX.outcomes(spark, d))))
+
+
 def q_raw_csv(spark, d):
     raw = _classified(spark, d).drop("_ts", "_value", "referrer")
     path = scratch_path(spark, "raw-csv")
