@@ -29,6 +29,7 @@ from ..session import scratch_path
 from ..sources import fixtures as FX
 from ..sources import sinks
 from ..sources.tables import read_events, require_rows, scan_date_range, table
+from ..streaming import feed as FD
 from ..streaming import stream as ST
 
 CFG = C.PipelineConfig()
@@ -349,6 +350,32 @@ def q_stream_late_rows(spark, d):
     return ST.drain(stream(), "stream-late-rows", out, state)
 
 
+def q_stream_attach_signals(spark, d):
+    """Sessions and the signals measured later, both as streams; the missing
+    signals are imputed."""
+    s = ST.attach_signals_stream(_stream_rows(spark, d), FX.late_signals(ST.read_event_stream(spark, d)), "1 hour", CFG.watermark)
+    return ST.drain(SG.impute_signals(s).select("client_id", "session_id", "edge_score", "mouse_move_events", "edge_score_source"), "stream-attach-signals")
+
+
+def q_stream_upsert_feed(spark, d):
+    """The keyed bidding table after a first load, corrections for every seventh
+    session, the first load once more, and a repeated batch."""
+    events = table(spark, d, "events").withColumn("revision", F.lit(0).cast("bigint"))
+    folder, out, ledger, state = (scratch_path(spark, n) for n in ("feed-in", "feed", "feed-ledger", "feed-state"))
+    k = F.from_json("props", "k string")["k"].cast("bigint")
+    corrected = events.where(F.col("event_id") % 7 == 0).withColumns(
+        {"props": F.concat(F.lit('{"k": '), ((k + 50) % 100).cast("string"), F.lit("}")), "revision": F.lit(1).cast("bigint")})
+    stream = lambda: FX.session_signals_from(
+        ST.read_event_stream(spark, folder, glob="*.parquet", schema=ST.EVENTS_SCHEMA + ", revision bigint"), FX.nations(spark, d))
+    for load in (events, corrected, events):
+        load.write.mode("append").parquet(folder)
+        FD.start_upsert_feed(stream(), out, ledger, "bids", state, every=None).awaitTermination()
+    # Spark repeats a batch whose end it has not seen
+    again = FD.payload_rows(FX.session_signals_from(events, FX.nations(spark, d)))
+    FD.upsert(out, ledger, "bids")(again, 0)
+    return FD.read_feed(spark, out, again.schema)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -151,9 +151,20 @@ def session_signals_from(events: DataFrame, nations: DataFrame) -> DataFrame:
         F.when(eid % 3 == 0, F.lit("")).otherwise(F.lit(REFERRER)).alias("referrer"),
         F.col("ts").alias("_ts"),
         F.col("value").alias("_value"),
+        *([F.col("revision")] if "revision" in events.columns else []),
     )
 
 
+def late_signals(events: DataFrame) -> DataFrame:
+    """Measured signals of view B for four in five sessions, each with a time 0 to
+    89 minutes after the session's (batch or streaming)."""
+    eid = F.col("event_id")
+    return events.where(eid % 5 != 0).select(
+        F.col("user_id").alias("client_id"), eid.alias("session_id"), (_k() / F.lit(100.0)).alias("edge_score"),
+        F.when(F.col("event_type").isin("click", "purchase", "signup"), eid % 231 + 20).otherwise(F.lit(0)).cast("bigint").alias("mouse_move_events"),
+        (F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), (eid % 90).cast("int"))).alias("_signal_ts"))
+
+
 def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """View C: measured edge score and mouse moves for 4 in 5 sessions of A.
 

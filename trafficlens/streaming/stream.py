@@ -94,9 +94,31 @@ def bidding_payload_stream(rows: DataFrame, t: C.Thresholds = C.Thresholds()) ->
     """Upload rows for every streamed session: humans carry their source's
     value, bots 0.00 and ``traffic_type = 'internal'``."""
     c = classify_stream(rows, t)
+    revision = ["revision"] if "revision" in rows.columns else []
     return c.select("client_id", "session_id", "event_timestamp", "source_medium", CLASS,
                     F.col("bid_value").alias("conversion_value"),
-                    F.when(F.col(CLASS) != C.HUMAN, F.lit("internal")).alias("traffic_type"))
+                    F.when(F.col(CLASS) != C.HUMAN, F.lit("internal")).alias("traffic_type"), *revision)
+
+
+def attach_signals_stream(sessions: DataFrame, signals: DataFrame, wait: str = "1 hour", watermark: str = "1 hour",
+                          ts: str = "_ts", signal_ts: str = "_signal_ts", key=("client_id", "session_id")) -> DataFrame:
+    """Sessions with the signals measured on a second stream: a left outer join
+    by key and time. A signal counts if its time is at most ``wait`` after the
+    session's; of several for a key, the first to arrive. Both sides have a
+    watermark, so the state of a session is held for ``wait`` and the watermark's
+    delay at most: a session whose signal came goes out with the signal, one
+    without goes out with NULLs once the watermark has passed its wait
+    (``impute_signals`` then fills them)."""
+    rename = {c: f"_g_{c}" for c in key}
+    g = signals.withWatermark(signal_ts, watermark).dropDuplicatesWithinWatermark(list(key)).select(
+        *[F.col(c).alias(n) for c, n in rename.items()], signal_ts, F.col("edge_score").alias("_m_score"),
+        F.col("mouse_move_events").alias("_m_mouse"))
+    s = sessions.drop("edge_score", "mouse_move_events").withWatermark(ts, watermark)
+    on = F.lit(True)
+    for c, n in rename.items():
+        on = on & (F.col(c) == F.col(n))
+    on = on & (F.col(signal_ts) >= F.col(ts)) & (F.col(signal_ts) <= F.col(ts) + F.expr(f"INTERVAL {wait}"))
+    return s.join(g, on, "leftOuter").drop(*rename.values()).withColumnsRenamed({"_m_score": "edge_score", "_m_mouse": "mouse_move_events"})
 
 
 def start_bidding_feed(rows: DataFrame, path: str, checkpoint: str, every: str | None = "2 seconds",
