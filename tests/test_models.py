@@ -108,3 +108,96 @@ def test_tree_edges(spark):
 def test_scoring_with_the_tree_is_native_and_local(rows):
     plan = MD.score(rows, MD.fit(slice_of(rows)))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "InPandas" not in plan and "hashpartitioning(session_id" not in plan
+
+
+# ---------------------------------------------------------------- seeding
+def test_seeds_do_not_depend_on_order_and_count_all_rows(rows):
+    want = [tuple(r) for r in CL.kmeans_seeds(rows).collect()]
+    assert [tuple(r) for r in CL.kmeans_seeds(rows.orderBy(F.desc("session_id")).repartition(6)).collect()] == want
+    assert len(want) <= 1 + 3 * 6 and sum(r[5] for r in want) == rows.count()
+    assert sorted(r[6] for r in want if r[6] is not None) == [0, 1, 2]
+
+
+def test_seeds_find_planted_groups(spark):
+    groups = [(0.9, 1.0, 100, 200), (0.5, 20.0, 50, 100), (0.1, 60.0, 1, 0)]
+    data = [(g, 1000 * g + i, s + (i % 7) / 1000, v + (i % 5) / 100, d + i % 3, m + i % 3) for g, (s, v, d, m) in enumerate(groups) for i in range(200 if g else 2000)]
+    df = spark.createDataFrame(data, ROWS)
+    out = CL.kmeans_seeded(df, k=3).collect()
+    assert len(out) == 2400 and len({(r.client_id, r.cluster) for r in out}) == 3 == len({r.cluster for r in out})
+
+
+def test_seed_edges(spark):
+    same = spark.createDataFrame([(1, i, 0.5, 1.0, 2, 3) for i in range(5)] + [(1, 9, None, 1.0, 2, 3)], ROWS)
+    assert [(r.candidate, r.weight, r.seed) for r in CL.kmeans_seeds(same).collect()] == [(0, 5, 0)]
+    assert {r.cluster for r in CL.kmeans_seeded(same).collect()} == {0}
+    assert CL.kmeans_seeds(same.limit(0)).count() == 0 and CL.kmeans_seeded(same.limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- medians and samples
+def test_medians_of_skewed_tied_and_odd_values(spark):
+    import statistics
+
+    n = 30_000
+    cols = {
+        "ties": F.when(F.col("id") < n // 2, 0.0).otherwise(1.0), "ties2": F.when(F.col("id") <= n // 2, 0.0).otherwise(1.0),
+        "wide": F.pow(F.lit(10.0), (F.col("id") % 600) - 300), "minus": -F.col("id").cast("double") * 3, "one": F.when(F.col("id") == 17, 4.5),
+        "nan": F.when(F.col("id") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("id") % 1000), "none": F.lit(None).cast("double"),
+        "gap": F.when(F.col("id") % 2 == 0, F.col("id") * 1e-9).otherwise(1e6 + F.col("id")), "inf": F.when(F.col("id") % 3 > 0, float("inf")).otherwise(1.0),
+    }
+    df = spark.range(n).select("id", *[c.alias(k) for k, c in cols.items()]).cache()
+    pdf = df.toPandas()
+    for small in (4096, 20):  # 20: several passes
+        got = CL.exact_medians(df, {k: F.col(k) for k in cols}, small)
+        for k in cols:
+            v = [x for x in pdf[k] if x is not None and x == x]
+            assert got[k] == (statistics.median(v) if v else None), (k, small)
+    assert CL.exact_medians(df.limit(0), {"ties": F.col("ties")}) == {"ties": None}
+
+
+def test_nth_hash_and_samples(spark):
+    from trafficlens.operators import sessionize as S
+
+    df = spark.range(20_000).select(F.col("id").cast("string").alias("client_id"), (F.col("id") % 7).alias("session_id"))
+    df = df.unionByName(df.where("client_id < '2'"))  # some keys twice
+    want = df.orderBy(F.md5(F.concat_ws("|", F.lit("s"), "client_id", F.col("session_id").cast("string"))), "client_id", "session_id")
+    total = df.count()
+    for n in (0, 1, 3000, 3001, 12_000, total - 1, total, total + 5):
+        got = S.sample_sessions(df, n, "s", top_rows=-1)
+        first = want.limit(n)
+        assert got.count() == min(n, total) and got.exceptAll(first).count() == 0, n
+    plan = S.sample_sessions(spark.range(20_000).select(F.col("id").alias("client_id"), F.col("id").alias("session_id")), 5000, top_rows=0)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Limit" not in text and "TakeOrdered" not in text and "Exchange" not in text  # a filter, nothing meets
+
+
+# ---------------------------------------------------------------- user map
+def test_user_map_against_all_pairs(spark):
+    import random
+
+    from trafficlens.operators.user_map import with_channel_of_table
+
+    random.seed(4)
+    word = lambda n: "".join(random.choice("abcAB é/") for _ in range(n))
+    keys = [(word(random.randint(1, 6)), f"n{i}", random.randint(0, 5)) for i in range(60)] + [(None, "null", -1), ("zzz", "absent", -2)]
+    sources = [word(random.randint(0, 14)) for _ in range(300)] + [None] * 5
+    df = spark.createDataFrame([(s, i) for i, s in enumerate(sources)], "source_medium string, i int")
+    for extra in ([], [("", "every", 3)]):
+        table = spark.createDataFrame(keys + extra, "key string, name string, priority int")
+        got = {r.i: r.channel for r in with_channel_of_table(df, table).collect()}
+        for i, s in enumerate(sources):
+            hits = [] if s is None else sorted((p, k.lower(), n) for k, n, p in keys + extra if k is not None and k.lower() in s.lower())
+            assert got[i] == (hits[0][2] if hits else "Other"), (s, hits[:3])
+    assert with_channel_of_table(df, table.limit(0)).where("channel <> 'Other'").count() == 0
+
+
+def test_user_map_plan_has_no_nested_loop(spark):
+    from trafficlens.operators.user_map import with_channel_of_table
+
+    keys = spark.range(1000).select(F.concat(F.lit("key"), "id").alias("key"), F.lit("n").alias("name"), F.col("id").alias("priority"))
+    df = spark.range(1000).select(F.concat(F.lit("a key"), "id").alias("source_medium"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = with_channel_of_table(df, keys)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "SortMergeJoin" in plan

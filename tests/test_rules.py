@@ -6,6 +6,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from trafficlens.operators.user_map import with_channel_of_table
 from trafficlens import config as C
 from trafficlens.functions import expressions as X
 
@@ -84,7 +85,7 @@ def test_user_supplied_channel_table_equals_builtin(spark):
                                   "key string, name string, priority int")
     df = spark.createDataFrame([("Google / CPC",), ("x",), (None,), ("google / organic search",)], "source_medium string")
     a = [r[0] for r in df.select(X.channel_of("source_medium")).collect()]
-    b = {r.source_medium: r.channel for r in X.with_channel_of_table(df, table).collect()}
+    b = {r.source_medium: r.channel for r in with_channel_of_table(df, table).collect()}
     assert a == ["Google Ads", "Other", "Other", "Organic"]
     assert [b[s] for s in ("Google / CPC", "x", None, "google / organic search")] == a
 
@@ -93,7 +94,7 @@ def test_channel_table_ties_nulls_and_repeated_rows(spark):
     table = spark.createDataFrame([("ab", "second", 1), ("AB", "again", 1), (None, "null key", 0), ("a", "late", 2)],
                                   "key string, name string, priority int")
     df = spark.createDataFrame([("xaby", 1), ("xaby", 1), ("a", 2), (None, 3), ("q", 4)], "source_medium string, n int")
-    got = sorted((str(r.source_medium), r.n, r.channel) for r in X.with_channel_of_table(df, table).collect())
+    got = sorted((str(r.source_medium), r.n, r.channel) for r in with_channel_of_table(df, table).collect())
     assert got == [("None", 3, "Other"), ("a", 2, "late"), ("q", 4, "Other"), ("xaby", 1, "again"), ("xaby", 1, "again")]
 
 

@@ -187,18 +187,3 @@ def const_table(spark, rows, columns):
     Python round trip, exact size known to the planner."""
     values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns)})")
-
-
-def with_channel_of_table(df, mapping, source_medium: str = "source_medium", out: str = "channel",
-                          other: str = C.OTHER_CHANNEL):
-    """``df`` with the channel by a user-supplied mapping (``key``, ``name``,
-    ``priority``): the name of the first key, by priority and then key, that
-    the lower-cased source contains. The substring match runs on the distinct
-    sources only (rows of a mapping with a NULL key match nothing), and the
-    result comes back by equality."""
-    sources = df.select(F.col(source_medium).alias("_source")).distinct()
-    keys = mapping.select(F.lower("key").alias("_key"), F.col("name").alias("_name"), F.col("priority").alias("_priority"))
-    named = sources.join(keys, F.lower("_source").contains(F.col("_key"))).groupBy("_source").agg(
-        F.min_by("_name", F.struct("_priority", "_key", "_name")).alias("_channel"))
-    j = df.join(named, F.col(source_medium) == F.col("_source"), "left")
-    return j.select(*[F.col(c) for c in df.columns if c != out], F.coalesce("_channel", F.lit(other)).alias(out))

@@ -108,13 +108,51 @@ def normalize_sessions(sessions: DataFrame) -> DataFrame:
     return out
 
 
-def sample_sessions(sessions: DataFrame, n: int, seed: str = "42") -> DataFrame:
-    """A repeatable uniform sample of at most ``n`` sessions.
+def sample_sessions(sessions: DataFrame, n: int, seed: str = "42", top_rows: int = 10_000) -> DataFrame:
+    """A repeatable uniform sample of ``n`` sessions (all if there are fewer):
+    those with the smallest hash of seed and key.
 
-    Orders by a hash of seed and key and keeps ``n``; planned as a
-    TakeOrderedAndProject (per-task top-n, then a merge of n rows per task)."""
+    Up to ``top_rows`` it is a TakeOrderedAndProject: each task keeps its n
+    smallest and one task merges them. Larger samples never meet in one task:
+    ``nth_hash`` finds the n-th smallest hash and one filter takes the rows."""
     h = F.md5(F.concat_ws("|", F.lit(seed), F.col("client_id").cast("string"), F.col("session_id").cast("string")))
-    return sessions.orderBy(h, "client_id", "session_id").limit(n)
+    if n <= top_rows:
+        return sessions.orderBy(h, "client_id", "session_id").limit(n)
+    last, ties, equal = nth_hash(sessions.select(h.alias("h")), n)
+    if last is None:
+        return sessions
+    if ties == equal:
+        return sessions.where(h <= F.lit(last))
+    # rows of one hash are rows of one key; only they are ordered
+    return sessions.where(h < F.lit(last)).unionByName(sessions.where(h == F.lit(last)).orderBy("client_id", "session_id").limit(ties))
+
+
+def nth_hash(hashes: DataFrame, n: int, small: int = 4096, digits: int = 3) -> tuple[str | None, int, int]:
+    """The n-th smallest value of the hexadecimal column ``h`` (None if there are no
+    more than n), how many of the rows with that value are among the first n, and how
+    many there are. Counts by the next digits, 4,096 cells a pass, narrow
+    the search to one cell until that is small."""
+    prefix, need = "", n
+    while True:
+        own = hashes.where(F.col("h").startswith(prefix)) if prefix else hashes
+        cell = F.substring("h", len(prefix) + 1, digits)
+        counts = sorted((r["c"], r["count"]) for r in own.groupBy(cell.alias("c")).count().collect())
+        if not prefix and sum(c for _, c in counts) <= n:
+            return None, 0, 0
+        for c, count in counts:
+            if need <= count:
+                break
+            need -= count
+        prefix += c
+        if count <= small or len(prefix) >= 32:
+            break
+    # at most ``small`` values, or copies of one
+    values = sorted((r["h"], r["count"]) for r in hashes.where(F.col("h").startswith(prefix)).groupBy("h").count().collect())
+    for h, count in values:
+        if need <= count:
+            return h, need, count
+        need -= count
+    raise AssertionError("counts changed between passes")
 
 
 def top_sources(sessions: DataFrame, n: int = 5) -> DataFrame:

@@ -308,6 +308,9 @@ SELECT 'page_location', count(*), CAST(0 AS BIGINT), count(*) FROM a WHERE page_
     "sample_sessions": "WITH " + SESS + "\nSELECT " + SESS_COLS + """ FROM sess
 ORDER BY md5(concat_ws('|', '42', client_id, CAST(session_id AS VARCHAR))), client_id, session_id LIMIT 1000""",
 
+    "sample_sessions_tenth": "WITH " + SESS + "\nSELECT " + SESS_COLS + """ FROM sess
+ORDER BY md5(concat_ws('|', '42', client_id, CAST(session_id AS VARCHAR))), client_id, session_id LIMIT (SELECT count(*) // 10 FROM sess)""",
+
     "top_sources": "WITH " + SESS + """
 SELECT source_medium, count(*) AS sessions FROM sess GROUP BY 1 ORDER BY sessions DESC, source_medium LIMIT 5""",
 
@@ -393,6 +396,14 @@ FROM cls""",
     "channel_map": "WITH " + B + """
 SELECT source_medium, count(*) AS sessions, any_value(channel) AS channel FROM cls GROUP BY 1""",
 
+    "user_channel_map": "WITH " + B + """,
+m AS (
+  SELECT lower(n_name) AS key, 'Region ' || n_regionkey AS name, n_nationkey AS priority FROM nation WHERE n_nationkey % 3 <> 0
+  UNION ALL VALUES ('cpc', 'Paid search', 50), ('paid_social', 'Paid social', 40), ('7', 'Seven', 70), ('x2', 'Pair', 60), ('no such key', 'Never', 1)),
+r AS (SELECT client_id, session_id, concat_ws(' / ', source_medium, geo_country, 'X' || client_id) AS source_medium FROM b),
+h AS (SELECT session_id, arg_min(name, (priority, key)) AS channel FROM r JOIN m ON contains(lower(source_medium), key) GROUP BY 1)
+SELECT client_id, r.session_id, source_medium, coalesce(channel, 'Other') AS channel FROM r LEFT JOIN h ON r.session_id = h.session_id""",
+
     "channel_stats": "WITH " + ATTR + """
 SELECT channel, raw_sessions, clean_sessions, round(clean_kpi, 2) AS clean_kpi, round(avg_conv_value, 4) AS avg_conv_value FROM cstat""",
 

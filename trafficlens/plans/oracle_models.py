@@ -106,7 +106,62 @@ SELECT client_id, session_id, CASE WHEN c0 >= c1 AND c0 >= c2 THEN 'Human' WHEN
 FROM w{depth} w JOIN leaves USING (node)"""
 
 
+def _seeding(k: int, rounds: int, oversample: int, seed: str) -> list[str]:
+    full = " AND ".join(f"{c} IS NOT NULL" for c in F)
+    names = ", ".join(f"z{i}" for i in range(4))
+    parts = ["""
+st AS (SELECT """ + ", ".join(f"round(avg(CAST({c} AS DOUBLE)), 6) AS m{i}, round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS s{i}" for i, c in enumerate(F)) + f""" FROM b WHERE {full}),
+z AS MATERIALIZED (
+  SELECT client_id, session_id, client_id || '|' || session_id AS key, """ + ", ".join(f"round((CAST({c} AS DOUBLE) - m{i}) / s{i}, 6) AS z{i}" for i, c in enumerate(F)) + f"""
+  FROM b, st WHERE {full}),
+k0 AS MATERIALIZED (SELECT 0 AS candidate, {names} FROM (SELECT * FROM z ORDER BY md5('{seed}|0|' || key), {names} LIMIT 1))"""]
+    dist = "pow(z.z0 - c.z0, 2) + pow(z.z1 - c.z1, 2) + pow(z.z2 - c.z2, 2) + pow(z.z3 - c.z3, 2)"
+    for r in range(1, rounds + 1):
+        parts.append(f"""
+d{r} AS MATERIALIZED (SELECT z.client_id, z.session_id, z.key, z.z0, z.z1, z.z2, z.z3, min({dist}) AS d FROM z, k{r - 1} c GROUP BY ALL),
+k{r} AS MATERIALIZED (
+  SELECT * FROM k{r - 1} UNION ALL
+  SELECT (SELECT count(*) FROM k{r - 1}) + row_number() OVER (ORDER BY {names}) - 1, {names} FROM (
+    SELECT DISTINCT {names} FROM (
+      SELECT * FROM d{r} WHERE d > 0 ORDER BY -ln(({HEX.format(f"md5('{seed}|{r}|' || key)", 1)} + 1) / 4294967296.0::DOUBLE) / d, {names} LIMIT {oversample})))""")
+    parts.append(f"""
+near AS (SELECT z.client_id, z.session_id, arg_min(candidate, ({dist}, candidate)) AS candidate FROM z, k{rounds} c GROUP BY ALL),
+wt AS MATERIALIZED (SELECT c.*, coalesce(n, 0) AS weight FROM k{rounds} c LEFT JOIN (SELECT candidate, count(*) AS n FROM near GROUP BY 1) USING (candidate)),
+e0 AS MATERIALIZED (SELECT candidate FROM wt ORDER BY weight DESC, candidate LIMIT 1)""")
+    for s in range(1, k):
+        so_far = " UNION ALL ".join(f"SELECT candidate FROM e{i}" for i in range(s))
+        parts.append(f"""
+e{s} AS MATERIALIZED (
+  SELECT candidate FROM (
+    SELECT z.candidate, z.weight * min({dist}) AS far FROM wt z, wt c WHERE c.candidate IN ({so_far}) AND z.candidate NOT IN ({so_far}) GROUP BY z.candidate, z.weight)
+  ORDER BY far DESC, candidate LIMIT 1)""")
+    parts.append("\nsd AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT candidate, {s} AS seed FROM e{s}" for s in range(k)) + ")")
+    return parts
+
+
+def seeds(k: int, rounds: int, oversample: int, seed: str) -> str:
+    return "WITH " + B + "," + ",".join(_seeding(k, rounds, oversample, seed)) + f"""
+SELECT CAST(candidate AS INTEGER) AS candidate, {", ".join(f"z{i} AS {c}" for i, c in enumerate(F))}, weight, seed
+FROM wt LEFT JOIN sd USING (candidate)"""
+
+
+def seeded(k: int, rounds: int, oversample: int, seed: str, steps: int) -> str:
+    dist = "pow(z.z0 - c.z0, 2) + pow(z.z1 - c.z1, 2) + pow(z.z2 - c.z2, 2) + pow(z.z3 - c.z3, 2)"
+    parts = _seeding(k, rounds, oversample, seed) + ["\ng0 AS MATERIALIZED (SELECT seed AS c, z0, z1, z2, z3 FROM wt JOIN sd USING (candidate))"]
+    for n in range(steps + 1):
+        parts.append(f"""
+a{n} AS MATERIALIZED (SELECT z.client_id, z.session_id, z.z0, z.z1, z.z2, z.z3, arg_min(c.c, ({dist}, c.c)) AS c FROM z, g{n} c GROUP BY ALL)""")
+        if n < steps:
+            parts.append(f"""
+g{n + 1} AS MATERIALIZED (
+  SELECT g.c, """ + ", ".join(f"coalesce(m.z{i}, g.z{i}) AS z{i}" for i in range(4)) + f""" FROM g{n} g
+  LEFT JOIN (SELECT c, """ + ", ".join(f"round(avg(z{i}), 6) AS z{i}" for i in range(4)) + f""" FROM a{n} GROUP BY c) m ON m.c = g.c)""")
+    return "WITH " + B + "," + ",".join(parts) + f"\nSELECT client_id, session_id, CAST(c AS INTEGER) AS cluster FROM a{steps}"
+
+
 MODEL_SQL = {
+    "kmeans_seeds": seeds(3, 3, 6, "seeds"),
+    "kmeans_seeded": seeded(3, 3, 6, "seeds", 5),
     "fitted_model_scores": tree(4, 32, 10_000, 20),
     "isolation_scores": isolation(32, 256, "forest", 0.6),
 }

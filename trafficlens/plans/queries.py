@@ -24,6 +24,8 @@ from ..operators import panel as P
 from ..operators import report as R
 from ..operators import sessionize as S
 from ..operators import signals as SG
+from ..operators import user_map as UM
+from ..functions import expressions as X
 from ..functions.expressions import ntz_micros
 from ..session import scratch_path
 from ..sources import fixtures as FX
@@ -102,6 +104,12 @@ def q_sample_sessions(spark, d):
     return S.sample_sessions(_sessions(spark, d), SAMPLE_N, CFG.sample_seed)
 
 
+def q_sample_sessions_tenth(spark, d):
+    """Every tenth session by hash: a sample too large for one task."""
+    sessions = _sessions(spark, d)
+    return S.sample_sessions(sessions, sessions.count() // 10, CFG.sample_seed, top_rows=0)
+
+
 def q_top_sources(spark, d):
     return S.top_sources(_sessions(spark, d), CFG.top_sources)
 
@@ -194,6 +202,18 @@ def q_channel_map(spark, d):
     return CH.channel_map(FX.session_signals(spark, d))
 
 
+def q_user_channel_map(spark, d):
+    """A user's map: countries, and short and common keys after them."""
+    own = table(spark, d, "nation").select(F.col("n_name").alias("key"), F.concat(F.lit("Region "), F.col("n_regionkey")).alias("name"),
+                                           F.col("n_nationkey").alias("priority"))
+    mapping = own.where(F.col("priority") % 3 != 0).unionByName(X.const_table(spark, [
+        ("cpc", "Paid search", 50), ("Paid_Social", "Paid social", 40), ("7", "Seven", 70), ("x2", "Pair", 60), ("no such key", "Never", 1)],
+        ["key", "name", "priority"]))
+    rows = FX.session_signals(spark, d).select("client_id", "session_id", F.concat_ws(
+        " / ", "source_medium", "geo_country", F.concat(F.lit("X"), F.col("client_id"))).alias("source_medium"))
+    return UM.with_channel_of_table(rows, mapping)
+
+
 def q_channel_stats(spark, d):
     return CH.channel_stats(_classified(spark, d)).select(
         "channel", "raw_sessions", "clean_sessions", F.round("clean_kpi", 2).alias("clean_kpi"),
@@ -265,6 +285,14 @@ def q_kmeans_clusters(spark, d):
     return CL.kmeans_clusters(FX.session_signals(spark, d))
 
 
+def q_kmeans_seeds(spark, d):
+    return CL.kmeans_seeds(FX.session_signals(spark, d))
+
+
+def q_kmeans_seeded(spark, d):
+    return CL.kmeans_seeded(FX.session_signals(spark, d))
+
+
 def q_model_scores(spark, d):
     """A Python model (here a linear one) over the features, batch by batch."""
     weights = [2.0, -0.05, 0.005, 0.01]
