@@ -3,7 +3,7 @@
     spark-submit --py-files trafficlens.zip -m trafficlens \\
         --events s3://bucket/export --out s3://bucket/out [--signals PATH]
         [--start 2024-01-01 --end 2024-01-31] [--sessions 1000] [--labelled]
-        [--shards] [--draws PATH] [--spend PATH]
+        [--shards] [--draws PATH] [--spend PATH] [--channel-map PATH]
 
 The session's settings (master, ``spark.checkpoint.dir``, shuffle partitions)
 come from spark-submit / the cluster; only unset SQL defaults are filled in.
@@ -37,6 +37,7 @@ def main(argv=None) -> dict:
     ap.add_argument("--shards", action="store_true", help="--events holds date-sharded folders events_YYYYMMDD (needs --start, --end)")
     ap.add_argument("--draws", help="posterior ROI draws (Parquet: channel, roi)")
     ap.add_argument("--spend", help="observed media spend (Parquet: geo, week, channel, spend)")
+    ap.add_argument("--channel-map", help="the user's own channels (Parquet: key, name, priority)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("trafficlens").getOrCreate()
     label = [T.StructField("raw_traffic_label", T.StringType())] if a.labelled else []
@@ -50,7 +51,8 @@ def main(argv=None) -> dict:
     signals = spark.read.schema(schemas.SIGNALS).parquet(a.signals) if a.signals else None
     cfg = dataclasses.replace(C.PipelineConfig(), date_start=a.start, date_end=a.end, n_sessions=a.sessions)
     out = run(spark, events, a.out, signals=signals, cfg=cfg, labelled=a.labelled,
-              draws=spark.read.parquet(a.draws) if a.draws else None, spend=spark.read.parquet(a.spend) if a.spend else None)
+              draws=spark.read.parquet(a.draws) if a.draws else None, spend=spark.read.parquet(a.spend) if a.spend else None,
+              channel_map=spark.read.parquet(a.channel_map) if a.channel_map else None)
     print(json.dumps(out.paths))
     return out.paths
 

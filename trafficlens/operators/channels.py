@@ -29,8 +29,11 @@ def channel_map(sessions: DataFrame) -> DataFrame:
 
 
 def channel_stats(classified: DataFrame) -> DataFrame:
-    """Raw and clean sessions, clean KPI and mean clean value per channel."""
-    v = with_conversion_value(classified).withColumn("channel", X.channel_of("source_medium"))
+    """Raw and clean sessions, clean KPI and mean clean value per channel: the
+    rows' own ``channel`` if they have one (a user's map), else the built-in one."""
+    v = with_conversion_value(classified)
+    if "channel" not in v.columns:
+        v = v.withColumn("channel", X.channel_of("source_medium"))
     human = F.col(CLASS) == C.HUMAN
     return v.groupBy("channel").agg(
         F.count(F.lit(1)).alias("raw_sessions"),

@@ -91,22 +91,34 @@ def roi_override(classified: DataFrame, draws: DataFrame) -> DataFrame:
     )
 
 
-def panel_roi_joint(panel: DataFrame, spend: DataFrame, reg_param: float = 0.0) -> DataFrame:
-    """ROI of every paid channel from one joint least-squares fit of weekly
-    KPI (all paid channels of a geo) on the spend of each channel
-    (distributed ``LinearRegression``; spend is pivoted on the fixed channel
-    list, so no extra pass finds the pivot values)."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
-    paid = list(C.PAID_CHANNELS)
+def panel_roi_joint(panel: DataFrame, spend: DataFrame, channels=C.PAID_CHANNELS) -> DataFrame:
+    """ROI of every paid channel from one joint least-squares fit, with intercept, of
+    weekly KPI (all paid channels of a geo) on the spend of each channel.
+
+    One aggregate over the (geo, week) rows takes the covariances of all spends
+    and the KPI; the normal equations, one row, are then solved by elimination in
+    column expressions. Spend is pivoted on the fixed channel list, so no
+    extra pass finds the pivot values. Channels whose spend is a combination of
+    those before them (or constant) have no ROI of their own: NULL for it and for all."""
+    paid = list(channels)
     cols = [f"_s{i}" for i in range(len(paid))]
-    kpi = panel.groupBy("geo", "week").agg(F.sum("kpi").alias("kpi"))
+    kpi = panel.groupBy("geo", "week").agg(F.sum("kpi").alias("_y"))
     wide = (spend.where(F.col("channel").isin(*paid)).groupBy("geo", "week")
             .pivot("channel", paid).agg(F.sum("spend")))
-    wide = wide.select("geo", "week", *[F.coalesce(F.col(p), F.lit(0.0)).alias(c) for p, c in zip(paid, cols)])
-    data = kpi.join(wide, ["geo", "week"], "inner")
-    feats = VectorAssembler(inputCols=cols, outputCol="_x").transform(data)
-    model = LinearRegression(featuresCol="_x", labelCol="kpi", regParam=reg_param, solver="normal").fit(feats)
-    coef = [float(x) for x in model.coefficients]  # one number per configured channel
-    return X.const_table(panel.sparkSession, [(p, round(c, 4)) for p, c in zip(paid, coef)], ["channel", "roi"])
+    wide = wide.select("geo", "week", *[F.coalesce(F.col(f"`{p}`"), F.lit(0.0)).alias(c) for p, c in zip(paid, cols)])
+    k = len(paid)
+    name = lambda i, j: f"m{i}_{j}"  # noqa: E731  row i of the equations; column k is the right side
+    side = [*cols, "_y"]
+    eq = kpi.join(wide, ["geo", "week"]).agg(F.count(F.lit(1)).alias("n_points"), *[
+        F.covar_pop(cols[i], side[j]).alias(name(i, j)) for i in range(k) for j in range(k + 1)])
+    for step in range(k):
+        # a pivot that is nothing beside its own variance is rounding
+        if step == 0:
+            eq = eq.withColumns({f"v{i}": F.col(name(i, i)) for i in range(k)})
+        pivot = F.when(F.col(name(step, step)) > F.col(f"v{step}") * 1e-12, F.col(name(step, step)))
+        row = {name(step, j): F.try_divide(F.col(name(step, j)), pivot) for j in range(step + 1, k + 1)}
+        eq = eq.withColumns(row)
+        eq = eq.withColumns({name(i, j): F.col(name(i, j)) - F.col(name(i, step)) * F.col(name(step, j))
+                             for i in range(k) if i != step for j in range(step + 1, k + 1)})
+    rows = F.explode(F.array(*[F.struct(F.lit(p).alias("channel"), F.round(name(i, k), 4).alias("roi")) for i, p in enumerate(paid)])).alias("r")
+    return eq.select("n_points", rows).select("r.channel", "r.roi", "n_points")

@@ -279,6 +279,19 @@ def _lloyd(steps: int) -> str:
     return ",\n".join(parts) + f"\nSELECT client_id, session_id, CAST(c AS INTEGER) AS cluster FROM a{steps}"
 
 
+def _elimination(k: int) -> str:
+    """The normal equations over the rows of j (spends x0.., KPI y) solved by
+    Gauss-Jordan elimination, a CTE a step."""
+    side = [f"x{i}" for i in range(k)] + ["y"]
+    parts = ["q0 AS MATERIALIZED (SELECT count(*) AS n_points, " + ", ".join(
+        f"covar_pop(x{i}, {side[c]}) AS m{i}_{c}" for i in range(k) for c in range(k + 1)) + " FROM j)"]
+    for s in range(k):
+        div = {c: f"m{s}_{c} / m{s}_{s}" for c in range(s + 1, k + 1)}
+        cells = [f"{div[c]} AS m{s}_{c}" if i == s else f"m{i}_{c} - m{i}_{s} * ({div[c]}) AS m{i}_{c}" for i in range(k) for c in range(s + 1, k + 1)]
+        parts.append(f"q{s + 1} AS MATERIALIZED (SELECT n_points, " + ", ".join(cells) + f" FROM q{s})")
+    return ",\n".join(parts)
+
+
 def _robust(feature: str) -> str:
     return f"""round(0.6745 * ({feature} - (SELECT med FROM st WHERE f = '{feature}'))
                 / nullif((SELECT mad FROM st WHERE f = '{feature}'), 0), 4)"""
@@ -289,6 +302,18 @@ SQL: dict[str, str] = {
 SELECT event_id, user_pseudo_id, event_date, event_name FROM a
 WHERE event_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'""",
 
+    "scan_partitioned_range": "WITH " + A + """
+SELECT event_id, user_pseudo_id, event_date, event_name FROM a
+WHERE event_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'""",
+
+    "scan_partitioned_days": "WITH " + A + """,
+n AS (SELECT CAST(ts AS DATE) AS event_date, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1)
+SELECT event_id, user_pseudo_id, event_date, event_name FROM a
+WHERE event_date IN (SELECT event_date FROM n WHERE n > (SELECT avg(n) FROM n))""",
+
+    "scan_date_shards": """SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS event_date FROM events
+WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'""",
+
     "event_allowlist": "WITH " + A + "\nSELECT event_id, user_pseudo_id, event_name FROM hits",
 
     "event_param_lookup": "WITH " + A + """
@@ -455,6 +480,16 @@ SELECT p.channel, round(regr_slope(p.kpi, m.spend), 4) AS roi, round(regr_r2(p.k
 FROM panel p JOIN ms m ON p.geo = m.geo AND p.week = m.week AND p.channel = m.channel
 GROUP BY 1""",
 
+    "panel_roi_joint": "WITH " + _panel("geo_country") + """,
+ms AS (
+  SELECT n_name AS geo, CAST(date_trunc('week', ts) AS DATE) AS week, """ + CHANNEL_OF_SRC + """ AS channel, round(sum(value), 2) AS spend
+  FROM ev GROUP BY 1, 2, 3),
+sp AS (
+  SELECT geo, week, """ + ", ".join(f"coalesce(sum(spend) FILTER (WHERE channel = '{c}'), 0) AS x{i}" for i, c in enumerate(("Google Ads", "Meta Ads", "Bing Ads", "Display"))) + """
+  FROM ms WHERE channel IN ('Google Ads', 'Meta Ads', 'Bing Ads', 'Display') GROUP BY 1, 2),
+j AS (SELECT x0, x1, x2, x3, y FROM sp JOIN (SELECT geo, week, sum(kpi) AS y FROM panel GROUP BY 1, 2) p ON p.geo = sp.geo AND p.week = sp.week),
+""" + _elimination(4) + "\n" + " UNION ALL ".join(f"SELECT '{c}' AS channel, round(m{i}_4, 4) AS roi, n_points FROM q4" for i, c in enumerate(("Google Ads", "Meta Ads", "Bing Ads", "Display"))),
+
     "feature_profile_match": "WITH " + B + """,
 m AS (
   SELECT client_id, session_id,

@@ -22,6 +22,7 @@ from ..operators import panel as P
 from ..operators import report as R
 from ..operators import sessionize as S
 from ..operators import signals as SG
+from ..operators import user_map as UM
 from ..session import apply_defaults, ensure_checkpoint_dir
 from ..sources import sinks
 from ..sources.tables import require_rows
@@ -38,13 +39,14 @@ class Outputs:
 
 def run(spark: SparkSession, events: DataFrame, out_dir: str, signals: DataFrame | None = None,
         cfg: C.PipelineConfig = C.PipelineConfig(), labelled: bool = False, draws: DataFrame | None = None,
-        spend: DataFrame | None = None) -> Outputs:
+        spend: DataFrame | None = None, channel_map: DataFrame | None = None) -> Outputs:
     """Run the pipeline on a hit-level event DataFrame (export schema).
 
     ``labelled``: the hits carry ``raw_traffic_label``, the class of their
     session; accuracy and recall are written. ``draws`` (channel, roi):
     posterior ROI. ``spend`` (geo, week, channel, spend): observed media spend,
-    which the panel's KPI is fitted on."""
+    which the panel's KPI is fitted on. ``channel_map`` (key, name, priority): the
+    user's own channels, of which sessions and value are reported."""
     apply_defaults(spark)
     ensure_checkpoint_dir(spark)
     sessions = S.normalize_sessions(S.sessions_from_events(events, cfg.date_start, cfg.date_end, label=CL.LABEL if labelled else None))
@@ -56,12 +58,12 @@ def run(spark: SparkSession, events: DataFrame, out_dir: str, signals: DataFrame
     classified = CL.classify_sessions(enriched, cfg.thresholds)
     # reliable checkpoint on shared storage: cuts lineage, survives executor loss
     classified = require_rows(classified.checkpoint(eager=True), "session query")
-    return publish(classified, out_dir, cfg, labelled, draws=draws, spend=spend)
+    return publish(classified, out_dir, cfg, labelled, draws=draws, spend=spend, channel_map=channel_map)
 
 
 def publish(classified: DataFrame, out_dir: str, cfg: C.PipelineConfig = C.PipelineConfig(),
             labelled: bool = False, data_source: str = "hit-level event export", draws: DataFrame | None = None,
-            spend: DataFrame | None = None) -> Outputs:
+            spend: DataFrame | None = None, channel_map: DataFrame | None = None) -> Outputs:
     """Write all outputs of an already classified session table."""
     out = out_dir.rstrip("/")
     paths = {
@@ -86,6 +88,9 @@ def publish(classified: DataFrame, out_dir: str, cfg: C.PipelineConfig = C.Pipel
         reports["roi_override"] = P.roi_override(classified, draws)
     if spend is not None:
         reports["panel_roi"] = P.panel_roi(panel, spend)
+        reports["panel_roi_joint"] = P.panel_roi_joint(panel, spend)
+    if channel_map is not None:
+        reports["user_channels"] = CH.channel_stats(UM.with_channel_of_table(classified, channel_map))
     if labelled:
         reports["accuracy"] = CL.classification_accuracy(classified)
         reports["recall"] = CL.per_class_recall(classified)

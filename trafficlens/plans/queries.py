@@ -30,7 +30,7 @@ from ..functions.expressions import ntz_micros
 from ..session import scratch_path
 from ..sources import fixtures as FX
 from ..sources import sinks
-from ..sources.tables import read_events, require_rows, scan_date_range, table
+from ..sources.tables import read_date_shards, read_events, require_rows, scan_date_range, scan_days, table
 from ..streaming import feed as FD
 from ..streaming import stream as ST
 
@@ -80,6 +80,38 @@ def q_scan_date_range(spark, d):
         "event_id", "user_pseudo_id", "event_date", "event_name")
 
 
+HIT_COLUMNS = ["event_id", "user_pseudo_id", "event_date", "event_name"]
+
+
+def _by_day(spark, d) -> DataFrame:
+    """The hits in folders by day, read back."""
+    hits = _ga(spark, d)
+    path = sinks.write_by_day(hits, scratch_path(spark, "hits-by-day"))
+    return spark.read.schema(hits.schema).parquet(path)
+
+
+def q_scan_partitioned_range(spark, d):
+    return scan_date_range(_by_day(spark, d), DATE_START, DATE_END).select(*HIT_COLUMNS)
+
+
+def q_scan_partitioned_days(spark, d):
+    """Days on which more than the mean number of errors occurred, found at run time."""
+    n = table(spark, d, "events").where("event_type = 'error'").groupBy(F.to_date("ts").alias("event_date")).agg(F.count(F.lit(1)).alias("n"))
+    path = scratch_path(spark, "error-days")
+    n.write.parquet(path)
+    days = spark.read.schema(n.schema).parquet(path)
+    return scan_days(_by_day(spark, d), days.where(F.col("n") > days.agg(F.avg("n")).scalar())).select(*HIT_COLUMNS)
+
+
+def q_scan_date_shards(spark, d):
+    """A date-sharded export, written as such and read for the date range."""
+    hits = table(spark, d, "events").withColumn("shard", F.date_format("ts", "yyyyMMdd"))
+    path = scratch_path(spark, "shards")
+    hits.write.partitionBy("shard").parquet(path)
+    out = read_date_shards(spark, path, DATE_START, DATE_END, prefix="shard=")
+    return out.select("event_id", "user_id", "event_type", "event_date")
+
+
 def q_event_allowlist(spark, d):
     return S.event_allowlist(_ga(spark, d)).select("event_id", "user_pseudo_id", "event_name")
 
@@ -261,6 +293,11 @@ def q_panel_roi(spark, d):
     return P.panel_roi(panel, FX.media_spend(spark, d))
 
 
+def q_panel_roi_joint(spark, d):
+    panel = P.weekly_channel_panel(_cleaned(spark, d), geo_col="geo_country")
+    return P.panel_roi_joint(panel, FX.media_spend(spark, d))
+
+
 def q_feature_profile_match(spark, d):
     return CL.feature_profile_match(FX.session_signals(spark, d))
 

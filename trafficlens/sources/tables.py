@@ -65,6 +65,14 @@ def scan_date_range(events: DataFrame, start: str | None, end: str | None, col:
     return events
 
 
+def scan_days(events: DataFrame, days: DataFrame, col: str = "event_date") -> DataFrame:
+    """Events of the ``days`` table's days (column ``col``; repeated days count
+    once). On a table partitioned by ``col`` the planner prunes folders by the days that
+    the other side has at run time (dynamic partition pruning), whatever filter
+    they come from."""
+    return events.join(days.select(col).distinct(), col, "left_semi")
+
+
 def require_rows(df: DataFrame, what: str = "query") -> DataFrame:
     """Fail fast on an empty result (job entry points only)."""
     if df.isEmpty():
