@@ -235,3 +235,60 @@ def test_every_position_is_a_target_once(spark, monkeypatch):
     net = pseudo.trained(pseudo.token_ids(seen, words), first, rounds=2)
     moved = (net.word_bias - start).reshape(-1)
     assert len(words) == 40 and (moved[:len(words)] > moved[len(words):pseudo.PER_CLASS].max()).all()
+
+
+def small_net():
+    rng = np.random.default_rng(5)
+    net = pseudo.Net.first([9, 5, 3], 100)
+    net.flat += (rng.normal(size=len(net.flat)) * 0.1).astype(np.float32)
+    ids = [rng.integers(0, pseudo.VOCAB, n).astype(np.uint16) for n in (1, 40, 7)]
+    return net, *pseudo.contexts(ids)
+
+
+def plain_log_prob(net, around, target):
+    """One position by the definition, in 64 bits."""
+    f = lambda x: x.astype(np.float64)
+    h = np.tanh(f(net.b) + sum(f(net.near[c][i]) for c, i in enumerate(around)))
+    soft = lambda z: np.exp(z) / np.exp(z).sum()
+    c, w = divmod(int(target), pseudo.PER_CLASS)
+    return np.log(soft(h @ f(net.to_class) + f(net.class_bias))[c] * soft(h @ f(net.to_word[c]) + f(net.word_bias[c]))[w])
+
+
+def test_log_probs_against_a_plain_softmax():
+    net, around, target = small_net()
+    want = [plain_log_prob(net, a, t) for a, t in zip(around, target)]
+    assert np.allclose(net.log_probs(around, target), want, atol=1e-4)
+
+
+def test_step_follows_the_numeric_slope():
+    """A step moves each weight by rate * g / sqrt(acc + g * g), g the slope of the mean loss."""
+    net, around, target = small_net()
+    before, acc, rate = net.flat.copy(), pseudo.Net(np.full(pseudo.Net.SIZE, 1e-4, np.float32)), 0.1
+    net.step(acc, around, target, rate)
+    moved = np.flatnonzero(net.flat != before)
+    for at in np.random.default_rng(6).choice(moved, 25, replace=False):
+        loss = []
+        for e in (1e-3, -1e-3):
+            flat = before.copy()
+            flat[at] += e
+            other = pseudo.Net(flat)
+            loss.append(-np.mean([plain_log_prob(other, a, t) for a, t in zip(around, target)]))
+        g = (loss[0] - loss[1]) / 2e-3
+        assert abs(before[at] - rate * g / np.sqrt(1e-4 + g * g) - net.flat[at]) < 2e-3
+
+
+def test_contexts_of_a_round_are_those_targets():
+    ids = [np.arange(1, 8, dtype=np.uint16), np.array([9], np.uint16), np.array([], np.uint16)]
+    around, target = pseudo.contexts(ids)
+    for turn in range(3):
+        pick = pseudo.targets(ids, turn, 3)
+        a, t = pseudo.contexts(ids, turn, 3)
+        assert np.array_equal(a, around[pick]) and np.array_equal(t, target[pick])
+
+
+def test_word_counts_against_plain_counts(spark, edge_docs, no_docs):
+    from collections import Counter
+
+    want = Counter(w for r in edge_docs.collect() for w in (r.text or "").lower().split())
+    assert {r.w: r.n for r in pseudo.word_counts(edge_docs).collect()} == dict(want)
+    assert pseudo.word_counts(no_docs).count() == 0

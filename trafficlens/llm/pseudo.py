@@ -35,6 +35,7 @@ result row each.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -44,11 +45,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trafficlens.llm.common import ascii_lower, ship_by_value, stored
+from trafficlens.llm.common import ship_by_value, stored
 
 ship_by_value(__name__)
 
-SPACE = r"[\x20\x09-\x0D]+"
 TOP, RARE = 1536, 512
 PER_CLASS = 64
 CLASSES = (TOP + RARE) // PER_CLASS
@@ -58,6 +58,7 @@ REACH = 2
 HIDDEN = 24
 CHUNK = 16_384
 STEP = 4096
+SCORED = 8192
 PART = 8192
 # seed of Spark's xxhash64; shared-id words of a chunk of documents; smoothing
 SEED = 42
@@ -66,9 +67,28 @@ UNSEEN = 0.5
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """w, n: all different words of all texts and their counts."""
-    words = docs.select(F.explode_outer(F.split(ascii_lower(F.col(text)), SPACE)).alias("w")).where(F.col("w") != "")
-    return stored(words.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "word-counts")
+    """w, n: all different words of all texts and their counts. A task counts
+    the words of its texts up to ``CHUNK_RARE`` different ones at a time; only
+    these counts are shuffled."""
+
+    def run(batches):
+        held: Counter = Counter()
+
+        def out():
+            return pa.record_batch([pa.array(list(held), pa.binary()).cast(pa.string()), pa.array(held.values(), pa.int64())], names=["w", "n"])
+
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                if t:
+                    held.update(t.encode("utf-8", "surrogatepass").lower().split())
+                if len(held) >= CHUNK_RARE:
+                    yield out()
+                    held.clear()
+        if held:
+            yield out()
+
+    part = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "w string, n bigint")
+    return stored(part.groupBy("w").agg(F.sum("n").alias("n")), "word-counts")
 
 
 def vocabulary(docs: DataFrame, text: str = "text") -> list[tuple[str, int]]:
@@ -192,18 +212,23 @@ class Net:
             h += np.take(self.near[c], around[:, c], axis=0)
         return np.tanh(h, out=h)
 
+    def word_logits(self, h: np.ndarray, cuts: list[int]) -> np.ndarray:
+        """Logits of the words of each row's class; rows are ordered by class."""
+        z = np.empty((len(h), PER_CLASS), np.float32)
+        for c in range(CLASSES):
+            a, b = cuts[c], cuts[c + 1]
+            if a < b:
+                np.matmul(h[a:b], self.to_word[c], out=z[a:b])
+                z[a:b] += self.word_bias[c]
+        return z
+
     def log_probs(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         order, cuts = by_class(target)
         h, target = self.hidden(around[order]), target[order]
         z = h @ self.to_class
         z += self.class_bias
         found = log_softmax(z, target // PER_CLASS)
-        for c in range(CLASSES):
-            a, b = cuts[c], cuts[c + 1]
-            if a < b:
-                z = h[a:b] @ self.to_word[c]
-                z += self.word_bias[c]
-                found[a:b] += log_softmax(z, target[a:b] - c * PER_CLASS)
+        found += log_softmax(self.word_logits(h, cuts), target % PER_CLASS)
         out = np.empty_like(found)
         out[order] = found
         return out
@@ -221,30 +246,29 @@ class Net:
         dh = err @ self.to_class.T
         ones = np.ones(n, np.float32)
         to_word, word_bias = np.zeros_like(self.to_word), np.zeros_like(self.word_bias)
-        updates = [("to_class", slice(None), h.T @ err), ("class_bias", slice(None), ones @ err),
-                   ("to_word", slice(None), to_word), ("word_bias", slice(None), word_bias)]
+        updates = [("to_class", h.T @ err), ("class_bias", ones @ err), ("to_word", to_word), ("word_bias", word_bias)]
+        # one softmax for all classes: each row has the words of its own
+        err = softmax(self.word_logits(h, cuts))
+        err[np.arange(n), target % PER_CLASS] -= 1
         for c in range(CLASSES):
             a, b = cuts[c], cuts[c + 1]
             if a < b:
-                z = h[a:b] @ self.to_word[c]
-                z += self.word_bias[c]
-                err = softmax(z)
-                err[np.arange(b - a), target[a:b] - c * PER_CLASS] -= 1
-                dh[a:b] += err @ self.to_word[c].T
-                to_word[c], word_bias[c] = h[a:b].T @ err, ones[a:b] @ err
+                dh[a:b] += err[a:b] @ self.to_word[c].T
+                np.matmul(h[a:b].T, err[a:b], out=to_word[c])
+                np.matmul(ones[a:b], err[a:b], out=word_bias[c])
         dh *= 1 - h * h
-        updates.append(("b", slice(None), ones @ dh))
-        for c in range(2 * REACH):
-            # 16-bit numbers are sorted by radix
-            by_row = np.argsort(around[:, c].astype(np.uint16), kind="stable")
-            ids = around[by_row, c]
-            first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
-            updates.append(("near", (c, ids[first]), np.add.reduceat(dh[by_row], first, axis=0)))
-        for name, at, g in updates:
-            g = g / n
+        updates.append(("b", ones @ dh))
+        # sums by table cell: a histogram of the cells, weighted by the slopes
+        slopes, cell = dh.ravel().astype(np.float64), np.arange(HIDDEN)
+        near = [np.bincount((around[:, c, None] * HIDDEN + cell).ravel(), slopes, (VOCAB + 1) * HIDDEN) for c in range(2 * REACH)]
+        updates.append(("near", np.stack(near).reshape(self.near.shape).astype(np.float32)))
+        for name, g in updates:
+            g /= n
             acc = getattr(grad2, name)
-            acc[at] += g * g
-            getattr(self, name)[at] -= rate * g / np.sqrt(acc[at])
+            acc += g * g
+            g *= rate
+            g /= np.sqrt(acc)
+            getattr(self, name)[...] -= g
 
 
 def by_class(target: np.ndarray) -> tuple[np.ndarray, list[int]]:
@@ -278,11 +302,14 @@ def log_softmax(z: np.ndarray, at: np.ndarray) -> np.ndarray:
     return z[np.arange(len(z)), at] - high - np.log(total)
 
 
-def contexts(docs_ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Neighbours and targets of all positions of several documents."""
+def contexts(docs_ids: list[np.ndarray], turn: int = 0, rounds: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Neighbours and targets of the positions of several documents that are
+    targets in round ``turn`` of ``rounds``; by default of all positions."""
     gap = np.full(REACH, PAD, np.uint16)
     flat = np.concatenate([x for d in docs_ids for x in (gap, d)] + [gap])
     at = np.flatnonzero(flat != PAD)
+    if rounds > 1:
+        at = at[targets(docs_ids, turn, rounds)]
     offsets = [o for o in range(-REACH, REACH + 1) if o]
     return np.stack([flat[at + o] for o in offsets], axis=1).astype(np.int32), flat[at].astype(np.int32)
 
@@ -322,9 +349,7 @@ def trained(tokens: DataFrame, net: Net, rounds: int = 2, rate: float = 0.1) ->
             # targets of many documents make a batch, so that steps are of like size
             parts, n = [], 0
             for docs in _batches(batches, CHUNK):
-                around, target = contexts(docs)
-                pick = targets(docs, turn, rounds)
-                parts.append((around[pick], target[pick]))
+                parts.append(contexts(docs, turn, rounds))
                 n += len(parts[-1][1])
                 if n >= STEP:
                     learn(own, acc, parts)
@@ -370,7 +395,7 @@ def scores(tokens: DataFrame, net: Net, within: DataFrame | None = None) -> Data
             sums, sizes = [], []
             for docs in _batches([b], CHUNK):
                 around, target = contexts(docs)
-                lp = np.concatenate([own.log_probs(around[i:i + STEP], target[i:i + STEP]) for i in range(0, len(target), STEP)] or [np.zeros(0)])
+                lp = np.concatenate([own.log_probs(around[i:i + SCORED], target[i:i + SCORED]) for i in range(0, len(target), SCORED)] or [np.zeros(0)])
                 size = np.array([len(d) for d in docs])
                 upto = np.concatenate(([0.0], np.cumsum(lp, dtype=np.float64)))
                 ends = np.cumsum(size)
