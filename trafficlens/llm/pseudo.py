@@ -120,26 +120,34 @@ def token_ids(docs: DataFrame, words: list[str], doc_id: str = "doc_id", text: s
                            T.StructField("new", T.ArrayType(T.LongType()))])
     known = {w.encode("utf-8", "surrogatepass"): i for i, w in enumerate(words)}
 
+    class Places(dict):
+        """Of each word its id and, from bit 16 on, one more than the place of a
+        shared-id word; a word not met before gets the next place."""
+
+        def __init__(self):
+            super().__init__(known)
+            self.new: list[int] = []
+
+        def __missing__(self, w: bytes) -> int:
+            self[w] = x = TOP + zlib.crc32(w[-3:]) % RARE | len(self) - len(known) + 1 << 16
+            self.new.append(xxhash.xxh64_intdigest(w, SEED))
+            return x
+
     def run(batches):
-        crc, digest, get = zlib.crc32, xxhash.xxh64_intdigest, known.get
-        chunk, at, n, seen = TaskContext.get().partitionId() << 32, 0, 0, {}
+        chunk, at, n, places = TaskContext.get().partitionId() << 32, 0, 0, Places()
         for b in batches:
             out = [[] for _ in range(6)]
             for t in b.column(1).to_pylist():
                 if n >= CHUNK_RARE:
-                    chunk, at, n, seen = chunk + 1, 0, 0, {}
-                ids, rare, new, start = [], [], [], len(seen)
-                for w in (t.encode("utf-8", "surrogatepass").lower().split() if t else ()):
-                    i = get(w)
-                    if i is None:
-                        had = seen.get(w)
-                        if had is None:
-                            had = seen[w] = TOP + crc(w[-3:]) % RARE, len(seen)
-                            new.append(digest(w, SEED))
-                        i, place = had
-                        rare.append(place)
-                    ids.append(i)
-                row = np.array(ids, "<u2").tobytes(), chunk, at, np.array(rare, "<u4").tobytes(), start, np.array(new, np.uint64).view(np.int64)
+                    chunk, at, n, places = chunk + 1, 0, 0, Places()
+                start = len(places) - len(known)
+                words = t.encode("utf-8", "surrogatepass").lower().split() if t else ()
+                found = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
+                shared = found >> 16
+                rare = shared[shared > 0] - 1
+                row = ((found & 0xFFFF).astype("<u2").tobytes(), chunk, at, rare.astype("<u4").tobytes(), start,
+                       np.array(places.new, np.uint64).view(np.int64))
+                places.new = []
                 for column, x in zip(out, row):
                     column.append(x)
                 at, n = at + 1, n + len(rare)
