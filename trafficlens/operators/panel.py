@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import expressions as X
 from ..session import materialize
+from ..sources.tables import scan_date_range
 from .channels import attribution_detail
 
 NATIONAL = "national"
@@ -25,10 +26,12 @@ def _week(ts_iso) -> F.Column:
     return F.to_date(F.date_trunc("week", F.to_timestamp(X.col(ts_iso))))
 
 
-def weekly_channel_panel(cleaned: DataFrame, geo_col: str | None = None) -> DataFrame:
+def weekly_channel_panel(cleaned: DataFrame, geo_col: str | None = None, start: str | None = None, end: str | None = None) -> DataFrame:
     """Dense geo x week x paid-channel panel of KPI (clean conversion value)
     and spend = KPI / ROAS. Weeks run from the first to the last observed
-    Monday week with no gaps; missing cells are 0.
+    Monday week with no gaps; missing cells are 0. With ``start`` and ``end``
+    (days, inclusive) sessions outside them do not count, so one stray
+    time cannot stretch the grid.
 
     The grid is generated, not joined: each geo row explodes a week sequence
     bounded by two scalar subqueries, then the fixed channel list. Its size is
@@ -37,7 +40,8 @@ def weekly_channel_panel(cleaned: DataFrame, geo_col: str | None = None) -> Data
     geo = F.coalesce(F.col(geo_col), F.lit(C.DEFAULT_COUNTRY)) if geo_col else F.lit(NATIONAL)
     paid = list(C.PAID_CHANNELS)
     c = cleaned.select(geo.alias("geo"), _week("event_timestamp").alias("week"),
-                       X.channel_of("source_medium").alias("channel"), "conversion_value_usd")
+                       X.channel_of("source_medium").alias("channel"), "conversion_value_usd", X.iso_to_date("event_timestamp").alias("_day"))
+    c = scan_date_range(c, start, end, "_day")
     # one aggregate over all channels (geos x weeks x channels rows),
     # materialised once; week bounds, geos and cells all read it, so the
     # sessions are scanned and shuffled once

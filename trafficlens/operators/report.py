@@ -26,6 +26,14 @@ def daily_sessions(classified: DataFrame, days: int = 7) -> DataFrame:
     return d.select("day", F.date_format("day", "EEE dd MMM").alias("label"), "raw", "cleaned").orderBy("day")
 
 
+def numbered(daily: DataFrame, out: str = "position") -> DataFrame:
+    """The output order as a column, for sinks that keep none: 1 for the first row.
+    The days keep their ascending order; at most ``daily_days`` rows meet."""
+    rows = F.array_sort(F.collect_list(F.struct(*daily.columns)))
+    return daily.agg(rows.alias("_rows")).select(F.posexplode("_rows").alias("_at", "_row")).select(
+        (F.col("_at") + 1).alias(out), *[F.col(f"_row.{c}").alias(c) for c in daily.columns])
+
+
 def daily_join(classified: DataFrame) -> DataFrame:
     """Raw per day left-joined with cleaned per day, missing = 0 (all days)."""
     day = X.iso_to_date("event_timestamp").alias("day")

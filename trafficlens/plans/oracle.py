@@ -330,6 +330,15 @@ SELECT 'page_location', count(*), CAST(0 AS BIGINT), count(*) FROM a WHERE page_
 
     "normalize_sessions": "WITH " + SESS + "\nSELECT " + SESS_COLS + " FROM sess",
 
+    "normalize_sessions_nulls": "WITH " + SESS + """
+SELECT client_id, session_id, event_timestamp, CASE WHEN session_id % 2 <> 0 THEN session_duration_sec ELSE 0 END AS session_duration_sec,
+  CASE WHEN session_id % 3 <> 0 THEN total_events ELSE 0 END AS total_events, CASE WHEN session_id % 5 <> 0 THEN click_events ELSE 0 END AS click_events,
+  CASE WHEN session_id % 7 <> 0 THEN scroll_events ELSE 0 END AS scroll_events,
+  CASE WHEN session_id % 11 <> 0 THEN page_scroll_depth_pct ELSE 0 END AS page_scroll_depth_pct,
+  CASE WHEN session_id % 13 <> 0 THEN event_velocity_per_sec ELSE 1.0::DOUBLE END AS event_velocity_per_sec,
+  source_medium, geo_country, device_category, landing_page
+FROM sess""",
+
     "sample_sessions": "WITH " + SESS + "\nSELECT " + SESS_COLS + """ FROM sess
 ORDER BY md5(concat_ws('|', '42', client_id, CAST(session_id AS VARCHAR))), client_id, session_id LIMIT 1000""",
 
@@ -462,6 +471,13 @@ FROM attr2 a LEFT JOIN post p ON a.name = p.name""",
     "daily_sessions": "WITH " + DAILY + """
 SELECT day, strftime(day, '%a %d %b') AS label, raw, cleaned FROM last7""",
 
+    "daily_sessions_ordered": "WITH " + DAILY + """
+SELECT CAST(row_number() OVER (ORDER BY day) AS INTEGER) AS position, day, strftime(day, '%a %d %b') AS label, raw, cleaned FROM last7""",
+
+    "weekly_channel_panel_bounded": "WITH " + _panel("'national'").replace("FROM cls WHERE traffic_class = 'Human'",
+        "FROM cls WHERE traffic_class = 'Human' AND session_id % 1000 <> 1 AND ts < TIMESTAMP '2024-02-01'") + """
+SELECT geo, week, channel, kpi, spend, sessions FROM panel""",
+
     "daily_join": "WITH " + DAILY + """,
 r AS (SELECT CAST(ts AS DATE) AS day, count(*) AS raw FROM cls GROUP BY 1),
 c AS (SELECT CAST(ts AS DATE) AS day, count(*) AS cleaned FROM cls WHERE traffic_class = 'Human' GROUP BY 1)

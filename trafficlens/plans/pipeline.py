@@ -80,7 +80,7 @@ def publish(classified: DataFrame, out_dir: str, cfg: C.PipelineConfig = C.Pipel
     attribution = CH.channel_attribution(classified)
     sinks.write_parquet(attribution, paths["attribution"])
     paths["weekly_panel"] = f"{out}/weekly_channel_panel"
-    panel = P.weekly_channel_panel(cleaned, geo_col=cfg.panel_geo)
+    panel = P.weekly_channel_panel(cleaned, geo_col=cfg.panel_geo, start=cfg.date_start, end=cfg.date_end)
     sinks.write_parquet(panel, paths["weekly_panel"])
     reports = {"top_sources": S.top_sources(classified, cfg.top_sources), "edge_score_range": SG.edge_score_range(classified),
                "channel_spend": CH.channel_spend(classified)}

@@ -132,6 +132,13 @@ def q_normalize_sessions(spark, d):
     return S.normalize_sessions(_sessions(spark, d))
 
 
+def q_normalize_sessions_nulls(spark, d):
+    """Sessions that lost counts, duration and velocity, each on rows of its own."""
+    lost = {"session_duration_sec": 2, "total_events": 3, "click_events": 5, "scroll_events": 7, "page_scroll_depth_pct": 11, "event_velocity_per_sec": 13}
+    s = _sessions(spark, d)
+    return S.normalize_sessions(s.withColumns({c: F.when(F.col("session_id") % m != 0, F.col(c)) for c, m in lost.items()}))
+
+
 def q_sample_sessions(spark, d):
     return S.sample_sessions(_sessions(spark, d), SAMPLE_N, CFG.sample_seed)
 
@@ -280,6 +287,16 @@ def q_daily_sessions(spark, d):
     return R.daily_sessions(_classified(spark, d), CFG.daily_days)
 
 
+def q_daily_sessions_ordered(spark, d):
+    return R.numbered(R.daily_sessions(_classified(spark, d), CFG.daily_days))
+
+
+def q_weekly_channel_panel_bounded(spark, d):
+    """The panel of the weeks of January, whatever stray times the sessions have."""
+    stray = F.when(F.col("session_id") % 1000 == 1, F.lit("1970-01-01T00:00:00")).otherwise(F.col("event_timestamp"))
+    return P.weekly_channel_panel(_cleaned(spark, d).withColumn("event_timestamp", stray), start="2024-01-01", end="2024-01-31")
+
+
 def q_daily_join(spark, d):
     return R.daily_join(_classified(spark, d))
 
