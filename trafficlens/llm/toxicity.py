@@ -10,7 +10,11 @@ the last bytes of a block). A window's distance is its length under the
 ordinary dictionary minus its length under the toxic one: text that only the
 toxic dictionary knows gives a large one. Calibrated thresholds: from the
 documents' largest distance and the sum of distances over ``NOISE`` bytes (each
-different window once) a logistic regression gives the score.
+different window once) a logistic regression gives the score. A text without a
+positive distance scores ``UNSEEN`` at most, under 0.5. Where the fit does not tell
+the toxic rows from the ordinary ones it was made on (the shares of both that reach 0.5 differ
+by less than ``TELLS``), every score is the share of toxic rows, ``UNSEEN`` at most: no text
+counts as toxic.
 
 Fitting uses a bounded sample of labelled rows, ``most_toxic`` and
 ``most_ordinary`` documents chosen by a hash of the key; scoring covers every
@@ -39,6 +43,7 @@ ship_by_value(__name__)
 LEVEL = 9
 TAIL = 16
 NOISE = 3
+UNSEEN, TELLS = 0.49, 0.2
 GRAM = 5
 ORDINARY_BYTES, TOXIC_BYTES = 8192, 4096
 
@@ -75,6 +80,12 @@ class Model:
     def __init__(self, ordinary: bytes, toxic: bytes, window_words: int, weights: list[float]):
         self.ordinary, self.toxic, self.window_words, self.weights = ordinary, toxic, window_words, weights
 
+    def scores(self, features: list[tuple[float, float]]) -> np.ndarray:
+        """Scores of texts by their ``Distances.features``."""
+        x = np.array([(*f, 1.0) for f in features]).reshape(-1, 3)
+        p = 1 / (1 + np.exp(-np.clip(x @ np.array(self.weights), -30, 30)))
+        return np.round(np.where(x[:, 0] > 0, p, np.minimum(p, UNSEEN)), 6)
+
 
 class Distances:
     """Compression distances; keeps those of windows already seen by a task."""
@@ -136,6 +147,10 @@ def fit(toxic: list[str], ordinary: list[str], window_words: int = 1, seed: int
     x = np.array([at.features(t) for t in toxic + ordinary])
     y = np.array([1.0] * len(toxic) + [0.0] * len(ordinary))
     model.weights = logistic(x, y)
+    hit = model.scores(x) >= 0.5
+    if hit[y > 0].mean() - hit[y == 0].mean() < TELLS:
+        share = min(float(y.mean()), UNSEEN)
+        model.weights = [0.0, 0.0, math.log(share / (1 - share))]
     return model
 
 
@@ -189,8 +204,7 @@ def scorer(model: Model):
             if at is None:
                 yield pd.Series(np.zeros(len(s)))
                 continue
-            x = np.array([(*at.features(t), 1.0) for t in s]).reshape(-1, 3)
-            yield pd.Series(np.round(1 / (1 + np.exp(-np.clip(x @ np.array(model.weights), -30, 30))), 6))
+            yield pd.Series(model.scores([at.features(t) for t in s]))
 
     # evaluated once per row even where the result is used twice
     return score.asNondeterministic()
