@@ -59,13 +59,17 @@ def test_single_texts_pass_and_the_filter_never_misses(spark):
     assert got[False][0] == 38_000 and got[False][1] < 0.04 * 38_000  # few others
 
 
-def test_only_possibly_repeated_rows_are_shuffled(spark, docs):
-    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    out = exact.duplicates(rows)
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "text#" not in plan
-    single, *_ = plan.split("\n:", 1)
-    assert "possibly-repeated" not in single.split("text-keys")[0]
+def test_single_rows_are_not_shuffled(spark):
+    """Rows of the first branch meet the filter by broadcast only, and no text is read after the hashes."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = exact.stored(exact.hashed(docs), "t-keys")
+    total = rows.count()
+    words = exact.n_words(total)
+    marked = exact.flagged(rows, exact.stored(exact.bloom(rows, words), "t-bloom"), words, total, "maybe")
+    plan = marked.where(~F.col("maybe"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    whole = exact.duplicates(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in whole and "Arrow" not in whole and "text#" not in whole
 
 
 def test_hot_group_is_not_joined_by_key(spark):
