@@ -44,10 +44,8 @@ def test_documents_against_brute_force(spark, docs, tile, monkeypatch):
     assert [r.component_id for r in rows] == groups([r.doc_id for r in rows], fps)
 
 
-@pytest.mark.parametrize("tile", [1024, 16])
-def test_dense_cluster_and_chain(spark, tile, monkeypatch):
-    """Links of a crowded group of near fingerprints, and a long chain."""
-    monkeypatch.setattr(simhash, "TILE", tile)
+def crowd():
+    """A crowded group of near fingerprints, a long chain, and unlike ones."""
     rng = np.random.default_rng(3)
     base = int(rng.integers(1, 1 << 62))
     fps = {base ^ sum(1 << int(b) for b in rng.choice(64, size=rng.integers(0, 5), replace=False)) for _ in range(150)}
@@ -55,21 +53,77 @@ def test_dense_cluster_and_chain(spark, tile, monkeypatch):
     for i in range(60):
         at ^= 0b1111 << (i % 60)
         fps.add(at)
-    fps = sorted(fps | {int(x) for x in rng.integers(0, 1 << 62, 100)})
-    df = spark.createDataFrame([(int(np.uint64(f).astype(np.int64)),) for f in fps], "fp long")
-    label = {r.node: r.label for r in simhash.components(simhash.links(df)).collect()}
-    signed = [int(np.uint64(f).astype(np.int64)) for f in fps]
-    assert [label.get(s, s) for s in signed] == groups(signed, signed)
+    return [simhash.signed(f) for f in sorted(fps | {int(x) for x in rng.integers(0, 1 << 62, 100)})]
+
+
+@pytest.mark.parametrize("tile,blocks", [(1024, None), (16, 5), (16, 6), (1024, 8)])
+def test_dense_cluster_and_chain(spark, tile, blocks, monkeypatch):
+    """Tiles and the number of blocks change the work, not the components."""
+    monkeypatch.setattr(simhash, "TILE", tile)
+    fps = crowd()
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    label = {r.node: r.label for r in simhash.components(simhash.links(df, blocks=blocks)).collect()}
+    assert [label.get(s, s) for s in fps] == groups(fps, fps)
+
 
+def test_blocks_must_exceed_the_distance(spark):
+    with pytest.raises(ValueError):
+        simhash.links(spark.createDataFrame([(1,)], "fp long"), 4, 4)
 
-def test_pivot_bound_never_discards_a_link():
+
+def table_of(spark, fps):
+    rows = spark.createDataFrame([(f,) for f in fps], "fp long")
+    got = {r.fp: r[1:] for r in rows.select("fp", *simhash.pivot_table(rows.fp)).collect()}
+    return simhash.distances(list(np.array([got[f] for f in fps], np.int64).T)).astype(int)
+
+
+def test_pivot_distances_discard_most_pairs_and_no_link(spark):
     rng = np.random.default_rng(5)
     x = rng.integers(0, 1 << 63, 500).astype(np.uint64)
     flips = np.array([sum(1 << int(b) for b in rng.choice(64, size=4, replace=False)) for _ in x], np.uint64)
-    a, b = simhash.distance_table(x).astype(int), simhash.distance_table(x ^ flips).astype(int)
-    assert (np.abs(a - b).sum(axis=2).max(axis=1) <= 4).all()
-    keys_a, keys_b = simhash.vector_keys(a, 2), simhash.vector_keys(b, 2)
-    assert np.any([p == q for p, q in zip(keys_a, keys_b)], axis=0).all()
+    fps = np.concatenate([x, x ^ flips])
+    table = table_of(spark, fps.view(np.int64).tolist())
+    assert table.tolist() == np.bitwise_count(fps[:, None] ^ simhash.pivots()[None, :]).tolist()
+    rows = np.arange(len(x))
+    assert not simhash.discarded(table, rows, rows + len(x), 4).any()
+    i, j = (a.ravel() for a in np.meshgrid(rows, rows + len(x)))
+    apart = np.bitwise_count(fps[i] ^ fps[j]) > 4
+    assert simhash.discarded(table, i, j, 4)[apart].mean() > 0.99
+
+
+@pytest.mark.parametrize("blocks", [5, 6, 9])
+def test_rows_within_the_distance_share_a_key(blocks):
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 1 << 63, 500).astype(np.uint64)
+    y = x ^ np.array([sum(1 << int(b) for b in rng.choice(64, size=4, replace=False)) for _ in x], np.uint64)
+    assert np.any([(x & np.uint64(m)) == (y & np.uint64(m)) for m in simhash.key_masks(blocks, 4)], axis=0).all()
+
+
+@pytest.mark.parametrize("n", [4_000, 16_000, 64_000, 200_000, 400_000, 800_000])
+def test_candidates_stay_under_the_keys_of_a_row(n):
+    """Pairs under equal keys, before any is discarded, of random fingerprints."""
+    fps = np.random.default_rng(n).integers(0, 1 << 63, n, dtype=np.uint64)
+    masks = simhash.key_masks(simhash.blocks_for(n, 4), 4)
+    pairs = 0
+    for m in masks:
+        size = np.unique(fps & np.uint64(m), return_counts=True)[1]
+        pairs += int((size * (size - 1) // 2).sum())
+    assert pairs <= n * len(masks) * 0.6
+    assert simhash.blocks_for(10 * n, 4) >= simhash.blocks_for(n, 4)
+
+
+def test_connected_rows_are_not_compared_again(monkeypatch):
+    """A crowded unit of near fingerprints costs a few comparisons a row."""
+    base = 0x0123456789ABCDEF
+    fps = np.array([base ^ (1 << a) ^ (1 << b) for a in range(64) for b in range(a)], np.uint64)
+    table = np.bitwise_count(fps[:, None] ^ simhash.pivots()[None, :]).astype(np.int8)
+    order = np.lexsort((fps, table[:, 0]))
+    fps, table, asked = fps[order], table[order], []
+    whole = simhash.discarded
+    monkeypatch.setattr(simhash, "discarded", lambda t, i, j, m: asked.append(len(i)) or whole(t, i, j, m))
+    zero = np.zeros(len(fps), int)
+    assert len(simhash.unit_links(zero, table, fps, zero, 4)) == len(fps) - 1
+    assert sum(asked) < 4 * len(fps)
 
 
 def test_edges(edge_docs, no_docs):

@@ -4,24 +4,28 @@ Fingerprints: 64-bit SimHash over word shingles (see ``fingerprints``). Equal
 fingerprints are merged first, so a group of exact copies is one row.
 
 Pivot table: for every fingerprint the Hamming distances to ``N_PIVOTS``
-reference fingerprints are computed once, split by ``BLOCKS`` blocks of bits
-(the whole distance is the sum over blocks). Two fingerprints at no more than
-``max_distance`` differing bits
-- agree in at least ``BLOCKS - max_distance`` blocks, and there all block
-  distances to all pivots are equal: candidates are the pairs with an equal
-  vector of pivot distances over some choice of that many blocks;
-- differ by at most ``max_distance`` in every pivot coordinate (triangle
-  inequality, applied to the sum of the blocks' differences): other candidates
-  are discarded by the maximum coordinate difference;
-- survivors are verified on the fingerprints themselves.
-No pair within the distance is lost, and there is no cap on candidates.
-
-Work inside a group of equal vectors: a group is dealt into tiles of at most
-about ``TILE`` rows by a hash, and each pair of tiles is one unit of work, so a
-large group is spread over many tasks. A unit returns only the links of a
-spanning forest of its own graph, never all pairs. Components come from
-min-label propagation with pointer jumping over these links; each round is
-checkpointed into the shared folder.
+reference fingerprints are computed once, a byte each (``pivot_table``). Two
+fingerprints at no more than ``max_distance`` differing bits differ by no more
+in any of these distances (triangle inequality), so a pair whose maximum
+coordinate difference is larger is discarded; survivors are verified on the
+fingerprints themselves.
+
+Which pairs are looked at: the 64 bits are cut into blocks, and two fingerprints
+within the distance agree in all but ``max_distance`` of them at least. Each
+choice of that many blocks is a key, and only fingerprints with an equal key
+meet. The number of blocks follows the counted fingerprints (``blocks_for``), so
+that a key of unlike fingerprints holds about one; the result is the same for any
+number. Under a key the fingerprints are ordered by their distance to the first
+pivot, and each is compared with the following ones up to ``max_distance`` away
+in it. No pair within the distance is lost, and there is no cap on candidates.
+
+Crowded keys: a key of many near fingerprints is dealt into tiles of at most
+about ``TILE`` rows by a hash, and each pair of tiles is one unit of work, so it
+is spread over many tasks. Fingerprints that a unit has already connected are not
+compared again, and it returns only a spanning forest of its graph, never all
+pairs. Components come from min-label propagation with pointer jumping over these
+links; each round is written to the shared folder, and the rows of very common
+labels and fingerprints are joined without a shuffle (``join_groups``).
 
 A null or empty text has no words: fingerprint zero, linked like any other.
 Repeated rows keep one result row each.
@@ -29,6 +33,7 @@ Repeated rows keep one result row each.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -38,12 +43,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trafficlens.llm.common import checkpointed, fresh, ship_by_value, stored
+from trafficlens.llm.common import fresh, join_groups, ship_by_value, stored
 
 ship_by_value(__name__)
 
 SEED = 42
-BLOCKS = 6
 N_PIVOTS = 16
 TILE = 1024
 
@@ -95,100 +99,95 @@ def pivots() -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(b"pivot %d" % i, 7) for i in range(N_PIVOTS)], dtype=np.uint64)
 
 
-def block_masks() -> list[int]:
-    cuts = np.linspace(0, 64, BLOCKS + 1).round().astype(int).tolist()
-    return [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cuts, cuts[1:])]
+def signed(bits: int) -> int:
+    return bits - (1 << 64) if bits >> 63 else bits
 
 
-def distance_table(fps: np.ndarray) -> np.ndarray:
-    """Hamming distances to the pivots by block: (rows, pivots, blocks)."""
-    x = fps.astype(np.uint64)[:, None] ^ pivots()[None, :]
-    return np.stack([np.bitwise_count(x & np.uint64(m)) for m in block_masks()], axis=2)
+def blocks_for(n: int, max_distance: int) -> int:
+    """The fewest blocks of bits for which a key of ``n`` unlike fingerprints is
+    expected to hold one row at most."""
+    blocks = max_distance + 1
+    while n > 1 << (64 * (blocks - max_distance) // blocks):
+        blocks += 1
+    return blocks
 
 
-def vector_keys(table: np.ndarray, agree: int) -> list[np.ndarray]:
-    """Per choice of ``agree`` blocks, a 64-bit key of the pivot distances."""
-    keys = []
-    odd = np.array([xxhash.xxh64_intdigest(b"key %d" % i, 9) | 1 for i in range(N_PIVOTS * BLOCKS)], np.uint64)
-    odd = odd.reshape(N_PIVOTS, BLOCKS)
-    for c, blocks in enumerate(combinations(range(BLOCKS), agree)):
-        cols = list(blocks)
-        mixed = (table[:, :, cols].astype(np.uint64) * odd[None, :, cols]).sum(axis=(1, 2), dtype=np.uint64)
-        keys.append((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(c))
-    return keys
+def key_masks(blocks: int, max_distance: int) -> list[int]:
+    """The bits of every choice of ``blocks - max_distance`` blocks."""
+    cuts = np.linspace(0, 64, blocks + 1).round().astype(int).tolist()
+    masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cuts, cuts[1:])]
+    return [sum(c) for c in combinations(masks, blocks - max_distance)]
 
 
-def tile_links(fps: np.ndarray, left: np.ndarray, right: np.ndarray, max_distance: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between rows ``left`` and ``right``
-    (index arrays into ``fps``; equal arrays: all pairs inside)."""
-    table = distance_table(fps).astype(np.int16)
-    root = np.arange(len(fps))
+def pivot_table(fp: Column) -> list[Column]:
+    """The distances to the pivots, a byte each, eight to a long; the first pivot
+    of a long is in its highest byte, so a long sorts by that one first."""
+    far = [F.bit_count(fp.bitwiseXOR(F.lit(signed(int(p))))).cast("long") for p in pivots()]
+    packed = [reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft(d, 56 - 8 * i) for i, d in enumerate(far[k:k + 8])])
+              for k in range(0, N_PIVOTS, 8)]
+    return [c.alias(f"far{i}") for i, c in enumerate(packed)]
+
+
+def distances(packed: list[np.ndarray]) -> np.ndarray:
+    """The columns of ``pivot_table`` as (rows, pivots)."""
+    return np.concatenate([c.astype(">i8").view(np.uint8).reshape(-1, 8) for c in packed], axis=1).astype(np.int8)
+
+
+def discarded(table: np.ndarray, i: np.ndarray, j: np.ndarray, max_distance: int) -> np.ndarray:
+    """True for pairs of rows whose maximum coordinate difference says that they
+    are more than ``max_distance`` apart."""
+    return np.abs(table[i] - table[j]).max(axis=1, initial=0) > max_distance
+
+
+def unit_links(unit: np.ndarray, table: np.ndarray, fps: np.ndarray, side: np.ndarray, max_distance: int) -> list[tuple[int, int]]:
+    """Links (row numbers) that connect what each unit of work connects. Rows are
+    ordered by unit, then by the first pivot distance; rows of side 1 are
+    compared with those of side 2 only, rows of side 0 with each other."""
+    root, out = np.arange(len(fps)), []
 
     def find(i):
         while root[i] != i:
-            root[i] = root[root[i]]
             i = root[i]
-        return i
-
-    links = []
-    same = left is right
-    for n, i in enumerate(left.tolist()):
-        others = right[n + 1:] if same else right
-        if not len(others):
-            continue
-        gap = np.abs(table[others] - table[i]).sum(axis=2).max(axis=1)
-        near = others[gap <= max_distance]
-        near = near[np.bitwise_count(fps[near] ^ fps[i]) <= max_distance]
-        for j in near.tolist():
-            a, b = find(i), find(j)
-            if a != b:
-                root[max(a, b)] = min(a, b)
-                links.append((i, j))
-    return links
-
-
-def _unit_links(key: np.ndarray, fps: np.ndarray, side: np.ndarray, max_distance: int):
-    """Links of sorted runs of equal unit keys."""
-    out = []
-    cuts = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1), [True])))
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        if b - a < 2:
-            continue
-        f, s = fps[a:b], side[a:b]
-        if b - a == 2:
-            if np.bitwise_count(f[0] ^ f[1]) <= max_distance and (s[0] != s[1] or s[0] == 0):
-                gap = np.abs(np.diff(distance_table(f).astype(np.int16), axis=0)).sum(axis=2).max()
-                if gap <= max_distance:
-                    out.append((f[0], f[1]))
-            continue
-        left = np.flatnonzero(s != 2)
-        right = left if (s == 0).all() else np.flatnonzero(s == 2)
-        out += [(f[i], f[j]) for i, j in tile_links(f, left, right, max_distance)]
+        return int(i)
+
+    at, k = np.arange(len(fps)), 1
+    while len(at):
+        at = at[at + k < len(fps)]
+        # what is out of reach k rows on stays so further on
+        at = at[(unit[at] == unit[at + k]) & (table[at + k, 0] - table[at, 0] <= max_distance)]
+        i, j = at, at + k
+        open_ = (root[i] != root[j]) & ((side[i] == 0) | (side[i] != side[j]))
+        i, j = i[open_], j[open_]
+        left = ~discarded(table, i, j, max_distance)
+        i, j = i[left], j[left]
+        near = np.bitwise_count(fps[i] ^ fps[j]) <= max_distance
+        for a, b in zip(i[near].tolist(), j[near].tolist()):
+            x, y = find(a), find(b)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                out.append((a, b))
+        while near.any() and (root[root] != root).any():
+            root = root[root]
+        k += 1
     return out
 
 
-def links(distinct: DataFrame, max_distance: int = 4) -> DataFrame:
+def links(distinct: DataFrame, max_distance: int = 4, blocks: int | None = None) -> DataFrame:
     """Links (a, b) between distinct fingerprints (column fp) at no more than
     ``max_distance`` bits: every link, up to those that others already imply
-    inside one unit of work, so components are those of all links."""
-    agree = BLOCKS - max_distance
-    if agree < 1:
-        raise ValueError("BLOCKS must exceed max_distance")
-
-    def key_rows(batches):
-        for b in batches:
-            fps = b.column(0).to_numpy(zero_copy_only=False)
-            for i in range(0, len(fps), 8192):
-                part = fps[i:i + 8192]
-                for c, key in enumerate(vector_keys(distance_table(part.view(np.uint64)), agree)):
-                    yield pa.record_batch([pa.array(np.full(len(part), c, np.int32)), pa.array(key.view(np.int64)),
-                                           pa.array(part)], names=["choice", "key", "fp"])
-
-    keyed = distinct.select("fp").mapInArrow(key_rows, "choice int, key long, fp long")
-    keyed = stored(keyed, "pivot-keys")
+    inside one unit of work, so components are those of all links. ``blocks``
+    (over ``max_distance``) changes the work, not the result."""
+    blocks = blocks or blocks_for(distinct.count(), max_distance)
+    if blocks <= max_distance:
+        raise ValueError("blocks must exceed max_distance")
+    choices = F.array(*[F.struct(F.lit(c).alias("choice"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key"))
+                        for c, m in enumerate(key_masks(blocks, max_distance))])
+    table = stored(distinct.select("fp", *pivot_table(F.col("fp"))), "pivot-table")
+    far = [c for c in table.columns if c != "fp"]
+    keyed = table.select("fp", *far, F.explode(choices).alias("k")).select("k.choice", "k.key", "fp", *far)
     crowded = keyed.groupBy("choice", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > TILE)
     crowded = crowded.select("choice", "key", F.ceil(F.col("n") / F.lit(TILE)).cast("int").alias("tiles"))
-    # The few rows of crowded vectors are paired tile by tile; others are one tile.
+    # The few rows of crowded keys are paired tile by tile; others are one tile.
     k = keyed.join(stored(crowded, "crowded"), ["choice", "key"], "left")
     tile = F.when(F.col("tiles").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("fp", F.lit("tile")), F.col("tiles")).cast("int"))
     k = k.withColumn("tile", tile)
@@ -198,46 +197,49 @@ def links(distinct: DataFrame, max_distance: int = 4) -> DataFrame:
     with_earlier = F.transform(F.sequence(F.lit(0), F.col("tile")), lambda t: pair(t, F.col("tile"), 2))
     units = F.when(F.col("tiles").isNull(), own).otherwise(F.concat(
         own, F.filter(with_later, lambda u: u["lo"] != u["hi"]), F.filter(with_earlier, lambda u: u["lo"] != u["hi"])))
-    u = k.select("choice", "key", "fp", F.explode_outer(units).alias("u")).select("choice", "key", "u.lo", "u.hi", "u.side", "fp")
-    u = u.repartition("choice", "key", "lo", "hi").sortWithinPartitions("choice", "key", "lo", "hi", "fp")
+    unit = ["choice", "key", "lo", "hi"]
+    u = k.select("choice", "key", "fp", *far, F.explode_outer(units).alias("u")).select("choice", "key", "u.lo", "u.hi", "u.side", "fp", *far)
+    u = u.repartition(*unit).sortWithinPartitions(*unit, *far, "fp")
 
     def unit_rows(batches):
         held = None
         for b in batches:
-            rows = [b.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
-            key = np.stack([r.astype(np.int64) for r in rows[:4]], axis=1)
-            fps, side = rows[5].view(np.uint64) if rows[5].flags.c_contiguous else rows[5].astype(np.int64).view(np.uint64), rows[4]
+            rows = [b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(b.num_columns)]
             if held is not None:
-                key, fps, side = (np.concatenate(x) for x in zip(held, (key, fps, side)))
-            if not len(key):
+                rows = [np.concatenate(x) for x in zip(held, rows)]
+            if not len(rows[0]):
                 continue
+            starts = np.concatenate(([True], np.any([r[1:] != r[:-1] for r in rows[:4]], axis=0)))
             # the last unit may go on in the next batch; a unit has about 2 TILE rows
-            last = len(key) - int((key == key[-1]).all(axis=1)[::-1].argmin() or len(key))
-            held = key[last:], fps[last:], side[last:]
-            yield _links_batch(_unit_links(key[:last], fps[:last], side[:last], max_distance))
+            last = int(np.flatnonzero(starts)[-1])
+            held = [r[last:] for r in rows]
+            yield found([r[:last] for r in rows], starts[:last])
         if held is not None:
-            yield _links_batch(_unit_links(*held, max_distance))
+            yield found(held, np.zeros(len(held[0]), bool))
 
-    return u.mapInArrow(unit_rows, "a long, b long").distinct()
+    def found(rows, starts):
+        fps = rows[5].view(np.uint64)
+        got = np.array(unit_links(np.cumsum(starts), distances(rows[6:]), fps, rows[4], max_distance), np.int64).reshape(-1, 2)
+        a, b = rows[5][got[:, 0]], rows[5][got[:, 1]]
+        return pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-
-def _links_batch(pairs) -> pa.RecordBatch:
-    arr = np.array(pairs, np.uint64).reshape(-1, 2).view(np.int64)
-    return pa.record_batch([pa.array(arr.min(axis=1)), pa.array(arr.max(axis=1))], names=["a", "b"])
+    return u.mapInArrow(unit_rows, "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node, label: the smallest node id reachable over the edges (a, b). Each
     round every node takes the smallest label around it, then the label of its
     label, so chains shrink by halves; ends when no label changes."""
-    both = checkpointed(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    label = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")))
+    both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    label = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), "labels")
+    total = label.count()
     while True:
         near = both.join(label.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        step = label.join(near, "node").select("node", "label", F.least("label", "near").alias("new"))
-        jump = label.select(F.col("node").alias("new"), F.col("label").alias("far"))
-        step = step.join(jump, "new", "left").select("node", "label", F.least("new", "far").alias("new"))
-        step = checkpointed(step)
+        step = stored(label.join(near, "node").select("node", "label", F.least("label", "near").alias("new")), "step")
+        used = step.groupBy("new").agg(F.count(F.lit(1)).alias("n"))
+        far = stored(used.join(label.select(F.col("node").alias("new"), F.col("label").alias("far")), "new"), "far")
+        step = join_groups(step, far, "new", total).select("node", "label", F.least("new", "far").alias("new"))
+        step = stored(step, "jump")
         changed = step.where(F.col("new") != F.col("label")).limit(1).count()
         label = step.select("node", F.col("new").alias("label"))
         if not changed:
@@ -254,13 +256,14 @@ def _labelled(docs: DataFrame, shingle: int, max_distance: int, doc_id: str, tex
     """doc_id, key, fp, label (names the component, also where no row of it has a
     doc_id), component_id."""
     fps = stored(fingerprints(docs, doc_id, text, shingle), "fingerprints")
-    distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
+    distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows")), "distinct-fingerprints")
     label = components(links(distinct, max_distance))
-    named = distinct.join(label, distinct.fp == label.node, "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
-    smallest = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    # most labels hold one fingerprint, so the join back is on spread keys
-    named = named.join(smallest, "label").select(F.col("fp").alias("fp_"), "label", "component_id")
-    return fps.join(named, F.col("fp") == F.col("fp_"), "left").select("doc_id", "key", "fp", "label", "component_id")
+    named = distinct.join(label, distinct.fp == label.node, "left").select("fp", "rows", "first", F.coalesce("label", "fp").alias("label"))
+    named = stored(named, "named")
+    smallest = stored(named.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("component_id")), "smallest")
+    named = join_groups(named.drop("first"), smallest, "label", distinct.count())
+    named = stored(named.select("fp", F.col("rows").alias("n"), "label", "component_id"), "components")
+    return join_groups(fps, named, "fp", fps.count()).select("doc_id", "key", "fp", "label", "component_id")
 
 
 def fp_hex(fp: Column) -> Column:
