@@ -68,3 +68,27 @@ def test_null_keys_group_together(spark, duck001):
     assert _same(st, duck001, STATS.replace("user_id % 2 AS user_id", sql_keys + " AS user_id"))
     gs = O.gap_sessions(df, ["user_id"], "us", 30 * 60 * 1_000_000, tie="event_id", bucket_us=5 * O.HOUR_US)
     assert _same(gs, duck001, SESS.replace("user_id % 2 AS user_id", sql_keys + " AS user_id"))
+
+
+def test_a_burst_is_one_row_before_the_shuffle(spark):
+    """A client's hits within a gap are folded in the tasks that read them."""
+    rows = spark.range(200_000).select(F.lit("bot").alias("k"), (F.lit(7_200_000_000) + F.col("id")).alias("us"))
+    rows = rows.unionByName(spark.createDataFrame([("bot", 7_200_000_000 + 30 * 60 * 1_000_000 + 199_999), ("bot", 0), (None, 5)], "k string, us bigint"))
+    df = O.gap_sessions(rows, ["k"], "us", 30 * 60 * 1_000_000)
+    got = sorted((r.k or "", r.session_start_us, r.n_events) for r in df.collect())
+    assert got == [("", 5, 1), ("bot", 0, 1), ("bot", 7_200_000_000, 200_001)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Window") < plan.rindex("HashAggregate") and "SortAggregate" not in plan
+
+
+@pytest.mark.parametrize("gap", [0, 1, 3])
+def test_gaps_of_single_microseconds(spark, gap):
+    df = spark.createDataFrame([("a", t) for t in (0, 0, 1, 2, 6, 10, 10, 14)], "k string, us bigint")
+    got = sorted((r.session_start_us, r.session_end_us - gap, r.n_events) for r in O.gap_sessions(df, ["k"], "us", gap, bucket_us=5).collect())
+    want, run = [], []
+    for t in (0, 0, 1, 2, 6, 10, 10, 14):
+        if run and t - run[-1] > gap:
+            want.append((run[0], run[-1], len(run)))
+            run = []
+        run.append(t)
+    assert got == [*want, (run[0], run[-1], len(run))]

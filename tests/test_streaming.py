@@ -76,3 +76,33 @@ def test_bidding_feed_equals_batch_payload(spark, tmp_path):
     cols = ["session_id", "traffic_class", "conversion_value", "traffic_type"]
     assert got.count() == want.count() == 1000
     assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
+
+
+def test_split_sessions_spread_a_hot_user(spark, tmp_path):
+    """One user with half of the hits: the same sessions as in one piece, the
+    open spans of that user in several state partitions; a second drain with
+    nothing new adds nothing."""
+    hits = ST.read_event_stream(spark, SF01).withColumn(
+        "user_id", F.when(F.col("event_id") % 2 == 0, F.lit(7)).otherwise(F.col("user_id")))
+    split = lambda: ST.drain_split_sessions(hits, "t-split", folder=str(tmp_path / "split"))
+    got = split()
+    whole = ST.drain(ST.stream_gap_sessions(hits), "t-whole")
+    end = got.agg(F.max("session_end_us")).first()[0]
+    assert got.exceptAll(whole).count() == 0
+    # those of the last minutes before the watermark are still open in the second half
+    assert whole.where(F.col("session_end_us") <= end).exceptAll(got).count() == 0
+    assert whole.count() - got.count() < 30
+    state = spark.read.format("statestore").load(str(tmp_path / "split" / "spans-state"))
+    assert state.where(F.col("key.user_id") == 7).select("partition_id").distinct().count() > 1
+    n = got.count()
+    assert split().count() == n
+
+
+def test_split_sessions_edges(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "none").mkdir()
+    nothing = ST.read_event_stream(spark, str(tmp_path / "none"), glob="*.parquet")
+    assert ST.drain_split_sessions(nothing, "t-none").count() == 0
+    with pytest.raises(ValueError):
+        ST.drain_split_sessions(nothing, "t-long", gap="5 minutes", span="10 minutes")

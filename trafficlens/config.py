@@ -192,6 +192,7 @@ class PipelineConfig:
     sample_seed: str = "42"
     n_sessions: int | None = None
     session_gap: str = "30 minutes"
+    session_span: str = "5 minutes"
     watermark: str = "1 hour"
     cadence_window: str = "1 minute"
     tumbling_window: str = "1 hour"

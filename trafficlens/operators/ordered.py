@@ -6,7 +6,9 @@ are cut by time into buckets (``bucket_us``), and the window runs inside (key,
 bucket): one shuffle, and a heavy key is spread over as many tasks as it has
 buckets. Each bucket folds to one row (gap statistics) or to its sessions, of
 which only the first and last can go on in another bucket; a second window
-over at most two rows per key and bucket stitches these.
+over at most two rows per key and bucket stitches these. For sessions a key's
+hits within one gap's length are one row before any shuffle, so a burst costs
+no more than a single hit.
 
 Hits with a NULL time have no place in an order: they are left out. NULL keys
 form a group of their own.
@@ -74,13 +76,23 @@ def gap_sessions(df: DataFrame, keys: list[str], us: str, gap_us: int, tie: str
     previous hit of the same key starts a new session (a gap of exactly
     ``gap_us`` continues it, as Spark's ``session_window`` does).
 
+    Hits less than ``gap_us`` apart are always in one session, so time is cut into
+    spans of that length, and a span's hits are folded to their first and last
+    time and their number, in the tasks that read them. Windows see spans only:
+    a key has at most ``bucket_us / gap_us`` (one at least) of them in a bucket.
+    Hits at equal times are in one session whatever their order, so ``tie`` (as in
+    ``gap_stats``) changes nothing.
+
     Output: keys, session_start_us, session_end_us (last hit + gap), n_events."""
-    w = _in_bucket(keys, tie)
-    hits = bucketed(df, keys, us, tie, bucket_us)
-    starts = F.when(F.col(US) - F.lag(US).over(w) > gap_us, 1).otherwise(0)
-    hits = hits.withColumn("_new", starts).withColumn("_no", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    local = hits.groupBy(*keys, BUCKET, "_no").agg(
-        F.min(US).alias("first_us"), F.max(US).alias("last_us"), F.count(F.lit(1)).alias("n"))
+    t = F.col(us).cast("bigint")
+    spans = df.where(F.col(us).isNotNull()).groupBy(*keys, F.floor(t / F.lit(max(gap_us, 1))).alias("_span")).agg(
+        F.min(t).alias("first_us"), F.max(t).alias("last_us"), F.count(F.lit(1)).alias("n"))
+    spans = spans.withColumn(BUCKET, F.floor(F.col("first_us") / F.lit(bucket_us)).cast("bigint"))
+    w = Window.partitionBy(*keys, BUCKET).orderBy("first_us")
+    starts = F.when(F.col("first_us") - F.lag("last_us").over(w) > gap_us, 1).otherwise(0)
+    spans = spans.withColumn("_new", starts).withColumn("_no", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    local = spans.groupBy(*keys, BUCKET, "_no").agg(
+        F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us"), F.sum("n").alias("n"))
     last_no = F.max("_no").over(Window.partitionBy(*keys, BUCKET))
     local = local.withColumn("_edge", (F.col("_no") == 0) | (F.col("_no") == last_no))
     # only edge sessions of a key meet; any other one has a window of its own

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracle import B, WATERMARK
+from .oracle import B, GAP_SESS, WATERMARK
 
 # the signal must come within an hour of its session; a session without one is
 # out once the watermark, that of the slower stream, has passed its hour
@@ -17,7 +17,15 @@ j AS (
     greatest(5, CAST(trunc(session_duration_sec * 0.3) AS BIGINT)) AS lo
   FROM cls LEFT JOIN g ON cls.session_id = g.event_id AND g.at <= epoch_us(ts) + 3600000000)"""
 
+# spans of five minutes are out once the watermark has passed them; the latest
+# first hit among these, less a span, is the watermark of the sessions
+SPLIT = """WITH p AS (SELECT user_id % 2 AS user_id, epoch_us(ts) // 300000000 AS span, min(epoch_us(ts)) AS first_us FROM events GROUP BY 1, 2)
+SELECT s.* FROM (""" + GAP_SESS.replace("SELECT user_id, epoch_us", "SELECT user_id % 2 AS user_id, epoch_us") + """) s
+WHERE session_end_us <= (SELECT (max(first_us) // 1000) * 1000 - 300000000 FROM p WHERE (span + 1) * 300000000 <= """ + WATERMARK + """)"""
+
 STREAM_SQL = {
+    "stream_split_sessions": SPLIT,
+
     "stream_attach_signals": "WITH " + LATE + """
 SELECT client_id, session_id,
   CASE WHEN measured THEN edge_score ELSE CASE tier WHEN 'engaged' THEN 0.8 WHEN 'bursty_display' THEN 0.111 WHEN 'bursty' THEN 0.25 ELSE 0.556 END END AS edge_score,

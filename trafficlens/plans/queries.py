@@ -154,7 +154,7 @@ def q_top_sources(spark, d):
 
 
 def q_gap_sessions(spark, d):
-    return O.gap_sessions(_raw_events(spark, d), ["user_id"], "us", GAP_US, tie="event_id")
+    return O.gap_sessions(_raw_events(spark, d), ["user_id"], "us", GAP_US)
 
 
 def q_time_between_events(spark, d):
@@ -382,7 +382,7 @@ def _nulls(spark, d):
 
 
 def q_gap_sessions_nulls(spark, d):
-    return O.gap_sessions(_nulls(spark, d), ["user_id"], "us", GAP_US, tie="event_id")
+    return O.gap_sessions(_nulls(spark, d), ["user_id"], "us", GAP_US)
 
 
 def q_time_between_events_nulls(spark, d):
@@ -408,6 +408,13 @@ def q_stream_gap_sessions(spark, d):
     return ST.drain(ST.stream_gap_sessions(ST.read_event_stream(spark, d), CFG.session_gap, CFG.watermark), "stream-gap-sessions")
 
 
+def q_stream_split_sessions(spark, d):
+    """The same sessions in two halves, the first of which spreads a user's hits;
+    the users are two, so each has half the stream."""
+    hits = ST.read_event_stream(spark, d).withColumn("user_id", F.col("user_id") % 2)
+    return ST.drain_split_sessions(hits, "stream-split-sessions", CFG.session_gap, CFG.session_span, CFG.watermark)
+
+
 def q_stream_tumbling_value(spark, d):
     s = ST.stream_tumbling_value(ST.classify_stream(_stream_rows(spark, d)), CFG.tumbling_window, CFG.watermark)
     return ST.drain(s, "stream-tumbling-value")

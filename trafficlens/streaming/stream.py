@@ -43,6 +43,54 @@ def stream_gap_sessions(events: DataFrame, gap: str = "30 minutes", watermark: s
                     F.unix_micros(F.col("s.end")).alias("session_end_us"), "n_events")
 
 
+def stream_spans(events: DataFrame, span: str = "5 minutes", watermark: str = "1 hour", key: str = "user_id", ts: str = "ts") -> DataFrame:
+    """First half of sessions for keys with very many hits: per key and span of
+    time the first and last hit and their number, emitted when the watermark
+    passes the span. Tasks fold their hits before the shuffle, and the state is
+    held by (key, span), so no state partition has all hits of a key."""
+    s = events.withWatermark(ts, watermark).groupBy(key, F.window(ts, span).alias("w")).agg(
+        F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"), F.count(F.lit(1)).alias("n"))
+    return s.select(key, "first_ts", "last_ts", "n")
+
+
+def stream_sessions_of_spans(spans: DataFrame, gap: str = "30 minutes", span: str = "5 minutes", key: str = "user_id") -> DataFrame:
+    """Second half: spans of a key that are no further apart than ``gap``, as
+    ``stream_gap_sessions`` gives them. A span lasts to its last hit plus the gap.
+    Later spans begin at most ``span`` before those already seen, so this
+    watermark drops none."""
+    inside = F.unix_micros("last_ts") - F.unix_micros("first_ts")
+    reach = F.concat(F.lit(f"{gap} "), inside.cast("string"), F.lit(" microseconds"))
+    s = (spans.withWatermark("first_ts", span)
+         .groupBy(key, F.session_window("first_ts", reach).alias("s"))
+         .agg(F.sum("n").alias("n_events")))
+    return s.select(key, F.unix_micros(F.col("s.start")).alias("session_start_us"),
+                    F.unix_micros(F.col("s.end")).alias("session_end_us"), "n_events")
+
+
+def drain_split_sessions(events: DataFrame, name: str, gap: str = "30 minutes", span: str = "5 minutes", watermark: str = "1 hour",
+                         key: str = "user_id", ts: str = "ts", folder: str | None = None) -> DataFrame:
+    """Inactivity sessions through both halves, each drained into a table under
+    ``folder``; the second reads the first one's table as a stream. Hits of one
+    span must be in one session, so ``span`` may not be longer than ``gap``.
+    Given the folder of an earlier run both go on from there."""
+    spark = events.sparkSession
+    if not spark.sql(f"SELECT INTERVAL {span} <= INTERVAL {gap}").first()[0]:
+        raise ValueError("span must not be longer than gap")
+    folder = folder or scratch_path(spark, name)
+    at = {n: f"{folder}/{n}" for n in ("spans", "spans-state", "sessions", "sessions-state")}
+    halves = stream_spans(events, span, watermark, key, ts)
+    drain(halves, f"{name}-spans", at["spans"], at["spans-state"])
+    try:
+        spans = spark.readStream.schema(halves.schema).parquet(at["spans"])
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # no hit has come yet
+        return spark.createDataFrame([], f"{key} {halves.schema[key].dataType.simpleString()}, "
+                                         "session_start_us bigint, session_end_us bigint, n_events bigint")
+    return drain(stream_sessions_of_spans(spans, gap, span, key), f"{name}-sessions", at["sessions"], at["sessions-state"])
+
+
 def stream_hits_per_window(events: DataFrame, size: str = "1 hour", watermark: str = "1 hour", ts: str = "ts") -> DataFrame:
     """Hits per tumbling window, emitted when the watermark passes its end; rows
     that come later than that are dropped."""
