@@ -1,9 +1,11 @@
 import itertools
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from zlib import crc32
 
+from pyspark.sql import functions as F
+
 from trafficlens.llm import packing, rules, shards
 from trafficlens.session import scratch_path
 
@@ -127,6 +129,42 @@ def test_map_versions_and_rebalancing(spark):
     assert [read[v] for v in range(1000)] == first
 
 
+def test_the_query_edits_its_map(spark, docs):
+    """Version 1 deals slots evenly, version 2 evens the bytes; what comes later
+    edits the last version, and moves few slots."""
+    path = scratch_path(spark, "edited")
+    sizes = lambda rows: [sum(r["size"] for r in rows if r.shard == s) for s in range(8)]
+    rows = shards.sharded(docs, path, 8).collect()
+    load = lambda v: {r.vslot: r.shard for r in shards.load_map(spark, path, v).collect()}
+    assert shards.last_version(spark, path) == 2
+    assert set(Counter(load(1).values()).values()) == {shards.SLOTS // 8}
+    assert all(load(2)[r.vslot] == r.shard for r in rows)
+    assert max(sizes(rows)) - min(sizes(rows)) <= 0.01 * sum(sizes(rows)) / 8
+    # nothing new: no version; a longer corpus: the next one
+    again = shards.sharded(docs, path, 8).collect()
+    assert shards.last_version(spark, path) == 2 and sorted(map(str, again)) == sorted(map(str, rows))
+    more = docs.unionByName(docs.where("doc_id % 3 = 0"))
+    grown = shards.sharded(more, path, 8).collect()
+    assert shards.last_version(spark, path) == 3 and len(grown) == more.count()
+    assert max(sizes(grown)) - min(sizes(grown)) <= 0.01 * sum(sizes(grown)) / 8
+    used = {r.vslot for r in grown}
+    assert sum(load(2)[v] != load(3)[v] for v in used) < len(used) / 4
+
+
+def test_many_null_ids_and_several_cells(spark, docs, monkeypatch):
+    """Rows without a doc_id are spread by their text; numbers stay gapless when a
+    slot has several cells."""
+    monkeypatch.setattr(shards, "CELL_ROWS", 1)
+    half = docs.withColumn("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("doc_id")))
+    rows = shards.sharded(half, scratch_path(spark, "half"), 4, 16).collect()
+    assert len(rows) == half.count()
+    assert len({r.vslot for r in rows if r.doc_id is None}) == 16
+    at = defaultdict(list)
+    for r in rows:
+        at[r.shard].append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in at.values())
+
+
 def test_windows_are_equal_only_by_their_whole_hash(spark):
     """Two windows whose 64-bit hashes share their first 40 bits."""
     text = "alpha beta 926757 p alpha beta 2899250 q one two three r one two three"

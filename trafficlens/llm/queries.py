@@ -58,7 +58,8 @@ def op6_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shard and slot of every document; shards hold near equal bytes."""
+    """Shard and slot of every document by the rebalanced slot map; shards hold
+    near equal bytes."""
     out = shards.sharded(table(spark, sf_dir, "documents"), scratch_path(spark, "slot-map"), 16)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 

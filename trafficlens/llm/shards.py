@@ -1,40 +1,50 @@
 """Sharding over fixed virtual slots.
 
-A row's virtual slot is a hash of its doc_id modulo ``SLOTS`` (thousands, fixed
-for the life of the corpus). Bytes per slot are one aggregate; the slot map,
-one row per slot, says which shard holds it. The map is versioned: each version is
-written as a new folder, and rebalancing edits the last one, moving as few slots
-as it can. Law ``bytes``: shard sizes are near equal.
+A row's virtual slot is a hash of its doc_id (of its text where that is null)
+modulo ``SLOTS`` (thousands, fixed for the life of the corpus). Bytes per slot are
+one aggregate; the slot map, one row per slot, says which shard holds it. The map
+is versioned: each version is written as a new folder. Version 1 deals the slots
+evenly, before any bytes are known; ``sharded`` reads the last version, rebalances
+it for the bytes there now, moving as few slots as it can, and writes the
+edited map as the next version. Law ``bytes``: shard sizes are near equal.
 
 Only the slot table (SLOTS rows) reaches the driver. A row's size is the UTF-8
 bytes of its text (null: none) plus one. Within a shard rows are numbered
-without a gap: by slot, then by doc_id; repeated rows one after the other.
-A row with a null doc_id has a slot too.
+without a gap: by slot, then by cell, then by doc_id; repeated rows one after the
+other. A slot has one cell for about every ``CELL_ROWS`` rows, so that no task orders
+a whole slot of a very large corpus.
 """
 
 from __future__ import annotations
 
 import heapq
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from trafficlens.llm.common import stored
+
 SLOTS = 4096
+CELL_ROWS = 250_000
+# shards may be off the mean by this share before slots move
+SLACK = 0.001
 
 
-def sized(docs: DataFrame, slots: int = SLOTS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, size, text_crc32, vslot."""
+def sized(docs: DataFrame, slots: int = SLOTS, cells: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, size, text_crc32, vslot, cell."""
     t = F.coalesce(F.col(text), F.lit(""))
+    own = F.col(doc_id).cast("string")
+    slot = F.when(own.isNotNull(), F.xxhash64(F.lit("slot"), own)).otherwise(F.xxhash64(F.lit("text"), t))
     return docs.select(F.col(doc_id).alias("doc_id"), (F.octet_length(t) + 1).cast("long").alias("size"),
-                       F.crc32(t.cast("binary")).alias("text_crc32"),
-                       F.pmod(F.xxhash64(F.lit("slot"), F.col(doc_id).cast("string")), F.lit(slots)).cast("int").alias("vslot"))
+                       F.crc32(t.cast("binary")).alias("text_crc32"), F.pmod(slot, F.lit(slots)).cast("int").alias("vslot"),
+                       F.pmod(F.xxhash64(F.lit("cell"), slot), F.lit(cells)).cast("int").alias("cell"))
 
 
-def slot_sizes(rows: DataFrame) -> dict[int, tuple[int, int]]:
-    """(bytes, rows) per slot that has rows."""
-    got = rows.groupBy("vslot").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
-    return {r["vslot"]: (r["bytes"], r["n"]) for r in got}
+def slot_sizes(cells: DataFrame) -> dict[int, int]:
+    """Bytes per slot that has rows."""
+    return {r["vslot"]: r["bytes"] for r in cells.groupBy("vslot").agg(F.sum("bytes").alias("bytes")).collect()}
 
 
 def first_map(sizes: dict[int, int], n_shards: int, slots: int = SLOTS) -> list[int]:
@@ -97,21 +107,49 @@ def load_map(spark: SparkSession, path: str, version: int) -> DataFrame:
     return spark.read.schema("vslot int, shard int").parquet(f"{path}/version={version}")
 
 
-def placed(rows: DataFrame, slot_map: DataFrame, counts: dict[int, tuple[int, int]]) -> DataFrame:
-    """``rows`` with their shard and gapless slot in it. ``slot_map`` has one row
-    per virtual slot, so it is broadcast."""
-    spark = rows.sparkSession
-    n = spark.createDataFrame([(v, c[1]) for v, c in sorted(counts.items())], "vslot int, n long")
-    before = Window.partitionBy("shard").orderBy("vslot").rowsBetween(Window.unboundedPreceding, -1)
-    starts = slot_map.join(F.broadcast(n), "vslot").select("vslot", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    own = rows.withColumn("place", F.row_number().over(Window.partitionBy("vslot").orderBy("doc_id", "size", "text_crc32")) - 1)
-    return own.join(F.broadcast(starts), "vslot").withColumn("slot", (F.col("start") + F.col("place")).cast("long"))
+def last_version(spark: SparkSession, path: str) -> int:
+    """The number of the last map written under ``path``; 0 without one."""
+    try:
+        maps = spark.read.schema("vslot int, shard int, version long").option("basePath", path).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    return maps.agg(F.max("version")).first()[0] or 0
+
+
+def edited_map(spark: SparkSession, path: str, sizes: dict[int, int], n_shards: int, slots: int = SLOTS) -> int:
+    """Rebalance the last map under ``path`` for the bytes per slot and write the
+    outcome as the next version (none if no slot has to move). Returns the version
+    that holds."""
+    version = last_version(spark, path)
+    if not version:
+        version = 1
+        save_map(spark, path, version, first_map({}, n_shards, slots))
+    held = {r["vslot"]: r["shard"] for r in load_map(spark, path, version).collect()}
+    held = [held[v] for v in range(slots)]
+    new = rebalanced(held, sizes, n_shards, SLACK)
+    if new == held:
+        return version
+    save_map(spark, path, version + 1, new)
+    return version + 1
+
+
+def placed(rows: DataFrame, slot_map: DataFrame, cells: DataFrame) -> DataFrame:
+    """``rows`` with their shard and gapless slot in it. ``cells`` has the number
+    ``n`` of rows of each cell of a slot."""
+    before = Window.partitionBy("shard").orderBy("vslot", "cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = slot_map.join(cells, "vslot").select("vslot", "cell", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    in_cell = Window.partitionBy("vslot", "cell").orderBy("doc_id", "size", "text_crc32")
+    own = rows.withColumn("place", F.row_number().over(in_cell) - 1)
+    return own.join(starts, ["vslot", "cell"]).withColumn("slot", (F.col("start") + F.col("place")).cast("long"))
 
 
 def sharded(docs: DataFrame, map_path: str, n_shards: int = 16, slots: int = SLOTS) -> DataFrame:
-    """Shards of all rows by version 1 of a new slot map under ``map_path``:
-    doc_id, size, text_crc32, vslot, shard, slot."""
-    rows = sized(docs, slots)
-    sizes = slot_sizes(rows)
-    save_map(docs.sparkSession, map_path, 1, first_map({v: b for v, (b, _) in sizes.items()}, n_shards, slots))
-    return placed(rows, load_map(docs.sparkSession, map_path, 1), sizes).select("doc_id", "size", "text_crc32", "vslot", "shard", "slot")
+    """Shards of all rows by the slot map under ``map_path``, which is made or
+    rebalanced first: doc_id, size, text_crc32, vslot, shard, slot."""
+    spark = docs.sparkSession
+    rows = sized(docs, slots, 1 + docs.count() // (slots * CELL_ROWS))
+    cells = stored(rows.groupBy("vslot", "cell").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")), "slot-sizes")
+    version = edited_map(spark, map_path, slot_sizes(cells), n_shards, slots)
+    return placed(rows, load_map(spark, map_path, version), cells).select("doc_id", "size", "text_crc32", "vslot", "shard", "slot")
