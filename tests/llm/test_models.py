@@ -1,5 +1,8 @@
 import itertools
 import math
+import random
+import re
+import tracemalloc
 from collections import Counter, defaultdict
 from zlib import crc32
 
@@ -127,6 +130,53 @@ def test_nothing_is_toxic_where_nothing_tells():
         assert np.mean(new >= 0.5) < 0.05 and new[1] == new[2] < 0.5
 
 
+def plain_cells(text):
+    """The feature cells of a text from the definitions, one n-gram at a time."""
+    b, mask = text.encode(), (1 << 64) - 1
+    cell = lambda h, family: ((h + (family << 40)) * quality.MULT & mask) >> 64 - quality.BITS
+    out = {cell(int.from_bytes(b[i:i + n]), n) for n in (2, 3, 4) for i in range(len(b) - n + 1)}
+    kind = [int(k) for k in quality.CLASS]
+    hashes, shapes, last = [], [], None
+    for m in re.finditer(rb"[^\t-\r ]+", b):
+        w = m.group()
+        h = sum(x * int(quality.POWERS[min(i, 255)]) for i, x in enumerate(w)) & mask
+        second, odd = b[min(m.start() + 1, len(b) - 1)], w[-1] if kind[w[-1]] == 6 else kind[w[-1]]
+        shape = ((kind[w[0]] * 8 + kind[second]) * 256 + odd) * 8 + min(len(w) // 4, 5)
+        hashes.append(h)
+        shapes.append(2 * shape + (h == last))
+        last = h
+    out |= {cell(h, 11) for h in hashes} | {cell(h * 31 + g & mask, 12) for h, g in zip(hashes, hashes[1:])}
+    for n, family in ((1, 21), (2, 22), (3, 23)):
+        for i in range(len(shapes) - n + 1):
+            h = 0
+            for x in shapes[i:i + n]:
+                h = (h << 20) + x
+            out.add(cell(h & mask, family))
+    return out
+
+
+def test_quality_cells_are_the_plain_ones_in_one_piece_and_by_slices(monkeypatch):
+    rng = random.Random(2)
+    pieces = ["ab", "ab", ".", ",", " ", "  ", "\n", "é", "A1", "#x!", "q" * 300, "the"]
+    texts = ["", " ", "a", "a b", "x x x", "q" * 700, *("".join(rng.choices(pieces, k=rng.randint(1, 60))) for _ in range(60))]
+    for size in (1 << 18, 5, 16, 64):
+        monkeypatch.setattr(quality, "SLICE", size)
+        for t in texts:
+            got = quality.cells(t).tolist()
+            assert len(got) == len(set(got)) and set(got) == plain_cells(t)
+
+
+def test_quality_of_a_very_long_text_needs_little_memory():
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(1, 9))) for _ in range(4000)]
+    for text in (" ".join(rng.choices(words, k=1_500_000)), "q" * 8_000_000):
+        tracemalloc.start()
+        quality.cells(text)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(text) > 7_000_000 and peak - len(text) < 60 << 20
+
+
 def test_quality_held_out_and_edges(docs, labels, edge_docs, no_docs):
     held = crc_remainder(F.col("doc_id"), 5) == 0
     model = quality.learned(docs, labels.where(~held))

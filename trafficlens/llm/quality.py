@@ -11,9 +11,10 @@ numpy. Margins become probabilities by a logistic fit on other sample rows.
 Fitting uses a bounded sample of labelled rows (``sample_rows``, chosen by a
 hash of the key): the log-count ratios come from all its rows, counted in Spark
 tasks; ``svm_rows`` of them fit the model, as many again calibrate it. Scoring covers
-every document and its whole text. Null and empty texts have no feature: their
-score is that of margin zero plus the bias. With one class only, every score is
-that class's.
+every document and its whole text, a long one by slices of ``SLICE`` bytes, so that
+memory beside the text itself does not grow with it. Null and empty texts have no
+feature: their score is that of margin zero plus the bias. With one class only,
+every score is that class's.
 """
 
 from __future__ import annotations
@@ -42,56 +43,124 @@ CLASS[65:91] = 2
 CLASS[97:123] = 3
 CLASS[128:] = 4
 CLASS[[44, 46]] = 5
+GAP = CLASS == 0
+NONE = np.zeros(0, np.uint64)
+# bytes of a text worked on at a time
+SLICE = 1 << 18
 
 
 def cells(text: str | None) -> np.ndarray:
-    """The different feature cells of a text."""
+    """The different feature cells of a text. A text over ``SLICE`` bytes is
+    worked through by slices, which changes no feature."""
     if not text:
         return np.zeros(0, np.int64)
     b = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    x = b.astype(np.uint64)
-    parts = []
+    if len(b) > SLICE:
+        return _cells_by_slices(b)
+    parts = _char_cells(b) + _word_cells(*_words(b))[0]
+    if not parts:
+        return np.zeros(0, np.int64)
+    at = np.concatenate(parts).astype(np.int64)
+    # each cell once, without sorting: the last occurrence of a cell owns it
+    owner = OWNER
+    n = np.arange(len(at), dtype=np.int32)
+    owner[at] = n
+    return at[owner[at] == n]
 
-    def add(h, family):
-        parts.append(((h + np.uint64(family)) * np.uint64(MULT)) >> np.uint64(64 - BITS))
 
-    h = x
+def _cell(h: np.ndarray, family: int) -> np.ndarray:
+    return ((h + np.uint64(family)) * np.uint64(MULT)) >> np.uint64(64 - BITS)
+
+
+def _char_cells(b: np.ndarray) -> list[np.ndarray]:
+    """Cells of the 2- to 4-grams of bytes."""
+    parts = []
+    h = x = b.astype(np.uint64)
     for n in (2, 3, 4):
         if len(x) < n:
             break
         h = (h[:-1] << np.uint64(8)) | x[n - 1:]
-        add(h, n << 40)
+        parts.append(_cell(h, n << 40))
+    return parts
+
+
+def _shape(first, second, last, size):
+    odd = np.where(CLASS[last] == 6, last.astype(np.uint64), CLASS[last])
+    return ((CLASS[first] * np.uint64(8) + CLASS[second]) * np.uint64(256) + odd) * np.uint64(8) + np.minimum(size // 4, 5).astype(np.uint64)
+
+
+def _words(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and shapes of the words of some bytes."""
     gap = np.zeros(len(b) + 2, bool)
     gap[0] = gap[-1] = True
     gap[1:-1] = CLASS[b] == 0
     edge = np.flatnonzero(gap[1:] != gap[:-1])
     starts, ends = edge[::2], edge[1::2]
-    if len(starts):
-        inside = (~gap[1:-1]).astype(np.uint64)
-        # a word's hash: its bytes times powers of an odd number, from the word's start
-        origin = np.zeros(len(b), np.int64)
-        origin[starts[0]:] = np.repeat(starts, np.diff(np.append(starts, len(b))))
-        place = np.arange(len(b)) - origin
-        power = POWERS[np.minimum(place, len(POWERS) - 1)]
-        w = np.add.reduceat(x * inside * power, starts)
-        add(w, 11 << 40)
-        add(w[:-1] * np.uint64(31) + w[1:], 12 << 40)
-        last, second = b[ends - 1], b[np.minimum(starts + 1, len(b) - 1)]
-        same = np.concatenate(([0], w[1:] == w[:-1])).astype(np.uint64)
-        odd = np.where(CLASS[last] == 6, last.astype(np.uint64), CLASS[last])
-        size = np.minimum((ends - starts) // 4, 5).astype(np.uint64)
-        shape = (((CLASS[b[starts]] * np.uint64(8) + CLASS[second]) * np.uint64(256) + odd) * np.uint64(8) + size) * np.uint64(2) + same
-        add(shape, 21 << 40)
-        add(shape[:-1] * np.uint64(1 << 20) + shape[1:], 22 << 40)
-        add((shape[:-2] * np.uint64(1 << 20) + shape[1:-1]) * np.uint64(1 << 20) + shape[2:], 23 << 40)
-    if not parts:
-        return np.zeros(0, np.int64)
-    at = np.concatenate(parts).astype(np.int64)
-    # each cell once, without sorting: the last occurrence of a cell owns it
-    owner = OWNER
-    n = np.arange(len(at), dtype=np.int32)
-    owner[at] = n
-    return at[owner[at] == n]
+    if not len(starts):
+        return NONE, NONE
+    inside = (~gap[1:-1]).astype(np.uint64)
+    # a word's hash: its bytes times powers of an odd number, from the word's start
+    origin = np.zeros(len(b), np.int64)
+    origin[starts[0]:] = np.repeat(starts, np.diff(np.append(starts, len(b))))
+    place = np.arange(len(b)) - origin
+    power = POWERS[np.minimum(place, len(POWERS) - 1)]
+    w = np.add.reduceat(b.astype(np.uint64) * inside * power, starts)
+    return w, _shape(b[starts], b[np.minimum(starts + 1, len(b) - 1)], b[ends - 1], ends - starts)
+
+
+def _word_cells(w: np.ndarray, shape: np.ndarray, before: tuple | None = None) -> tuple[list[np.ndarray], tuple]:
+    """Cells of the 1- and 2-grams of words and the 1- to 3-grams of shapes, and
+    what the words after these need: the last word's hash, the last two shapes."""
+    last, shapes = before or (NONE, NONE)
+    if not len(w):
+        return [], (last, shapes)
+    both = np.concatenate((last, w))
+    same = np.concatenate(([0], both[1:] == both[:-1])).astype(np.uint64)[len(last):]
+    shape = shape * np.uint64(2) + same
+    s = np.concatenate((shapes, shape))
+    step = np.uint64(1 << 20)
+    parts = [_cell(w, 11 << 40), _cell(both[:-1] * np.uint64(31) + both[1:], 12 << 40), _cell(shape, 21 << 40),
+             _cell(s[:-1] * step + s[1:], 22 << 40), _cell((s[:-2] * step + s[1:-1]) * step + s[2:], 23 << 40)]
+    return parts, (both[-1:], s[-2:])
+
+
+def _word_slices(b: np.ndarray):
+    """Hashes and shapes of the words, by slices that end after white space; a
+    word longer than a slice comes alone."""
+    i = 0
+    while i < len(b):
+        gaps = np.flatnonzero(GAP[b[i:i + SLICE]])
+        if i + SLICE >= len(b):
+            yield _words(b[i:])
+            return
+        if len(gaps):
+            yield _words(b[i:i + gaps[-1] + 1])
+            i += gaps[-1] + 1
+            continue
+        end = i + SLICE
+        while end < len(b) and not GAP[b[end:end + SLICE]].any():
+            end += SLICE
+        end = min(len(b), end + (int(GAP[b[end:end + SLICE]].argmax()) if end < len(b) else 0))
+        most = len(POWERS) - 1
+        word = b[i:end]
+        w = (word[:most] * POWERS[:most][:len(word)]).sum(dtype=np.uint64, keepdims=True)
+        w += word[most:].sum(dtype=np.uint64, keepdims=True) * POWERS[most]
+        yield w, _shape(b[i:i + 1], b[i + 1:i + 2], b[end - 1:end], np.array([end - i]))
+        i = end
+
+
+def _cells_by_slices(b: np.ndarray) -> np.ndarray:
+    found = np.zeros(N_HASH, bool)
+    for i in range(0, len(b), SLICE):
+        # the 4-grams that end in a slice begin up to three bytes before it
+        for at in _char_cells(b[max(0, i - 3):i + SLICE]):
+            found[at] = True
+    before = None
+    for w, shape in _word_slices(b):
+        parts, before = _word_cells(w, shape, before)
+        for at in parts:
+            found[at] = True
+    return np.flatnonzero(found)
 
 
 POWERS = np.cumprod(np.concatenate(([1], np.full(255, 0x100000001B3, np.uint64))).astype(np.uint64), dtype=np.uint64)
