@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from trafficlens.llm import langid, pseudo, quality, toxicity
-from trafficlens.llm.common import crc_remainder
+from trafficlens.llm.common import crc_remainder, within_bytes
 
 
 def test_forward_backward_against_enumeration():
@@ -74,6 +74,31 @@ def test_code_switched_words_get_their_own_label(docs):
     assert [model.langs[i] for i in post.argmax(axis=1)] == ["en"] * 15 + ["de"] * 15
 
 
+def test_language_sample_is_one_pass_and_bounded(spark, docs):
+    """Thirty languages: a model of all of them, from few rows each."""
+    words = {f"l{i:02d}": ["".join(random.Random(i * 100 + j).choices("abcdefghijklmnop", k=6)) for j in range(8)] for i in range(30)}
+    rows = [(k * 30 + i, " ".join(random.Random(k).choices(w, k=30)), la) for i, (la, w) in enumerate(words.items()) for k in range(4)]
+    many = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.learned(many, sample_rows=60)
+    assert model.langs == sorted(words)
+    got = langid.predicted(many, model, "p").select("lang", "p.lang").toDF("lang", "pred").collect()
+    assert np.mean([r.lang == r.pred for r in got]) > 0.9
+    # the bound on the bytes that reach the driver
+    size = F.octet_length("text")
+    kept = within_bytes(docs.select("doc_id", "lang", "text"), ["lang"], F.col("doc_id"), "text", 20_000).groupBy("lang").agg(F.sum(size).alias("n"))
+    assert all(r.n is None or 0 <= r.n <= 20_000 for r in kept.collect()) and kept.count() > 1
+    fitted = langid.learned(docs, sample_bytes=40_000)
+    assert len(fitted.langs) == len([r for r in docs.select("lang").distinct().collect() if r.lang is not None])
+
+
+def test_language_words_are_held_by_number_not_by_text(monkeypatch):
+    monkeypatch.setattr(langid, "SCORED_WORDS", 10)
+    texts = ["a b c", None, "d " * 25, "", "e f g h i j k l m n", *["o"] * 300]
+    groups = list(langid._groups(texts))
+    assert [w for g in groups for w in g] == [langid.words_of(t) for t in texts]
+    assert all(sum(map(len, g[:-1])) < 10 and len(g) <= 256 for g in groups)
+
+
 def test_toxicity_held_out_and_edges(docs, labels, edge_docs, no_docs):
     held = crc_remainder(F.col("doc_id"), 5) == 0
     model = toxicity.learned(docs, labels.where(~held))

@@ -83,3 +83,13 @@ def test_chunks_against_whole_texts():
     tokenizer, encoder = Tokenizer.from_file(PATH), records.Encoder(PATH, 2)
     want = [np.array(e.ids + [2], "<u2").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert encoder.encode(texts) == want
+
+
+def test_files_follow_the_bytes_of_the_texts(spark, docs, monkeypatch):
+    df = docs.select("doc_id", "text").limit(300)
+    size = sum(len((r.text or "").encode()) for r in df.collect())
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(records, "FILE_TEXT", size // (5 * usual))
+    _, index, _ = check(spark, df)
+    files = [r["count"] for r in index.groupBy("file").count().collect()]
+    assert len(files) > 3 * usual and sum(files) == df.count()

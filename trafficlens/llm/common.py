@@ -92,6 +92,18 @@ def bounded_sample(df: DataFrame, key: str, n: int, total: int | None = None) ->
     return df.orderBy(u, F.col(key)).limit(n)
 
 
+def within_bytes(sample: DataFrame, group: list[str], order: Column, text: str, most: int) -> DataFrame:
+    """The rows of a bounded sample that the driver may hold: of each group, taken
+    in ``order``, texts of up to ``most`` bytes in all (of equal places in the order
+    the smallest text first). Rows with null texts stay."""
+    size = F.coalesce(F.octet_length(F.col(text)), F.lit(0))
+    upto = fresh(sample, "upto")
+    w = Window.partitionBy(*group).orderBy(order, size).rowsBetween(Window.unboundedPreceding, 0)
+    # a text over the bound by itself does not use it up
+    fits = size <= most
+    return sample.withColumn(upto, F.sum(F.when(fits, size)).over(w)).where(fits & (F.coalesce(upto, F.lit(0)) <= most)).drop(upto)
+
+
 def gapless_rank(df: DataFrame, group: list[str], order: list[str], out: str, cells: int = 256) -> DataFrame:
     """Number the rows of each group 0, 1, 2, ... without bringing a group into
     one task. Rows are dealt by a hash of ``order`` into ``cells`` cells of the

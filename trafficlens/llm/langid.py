@@ -8,11 +8,14 @@ Forward-backward gives the posterior of every word's language; the document's
 language is the one with the largest posterior mass, its score that share.
 
 Fitting uses a bounded sample: at most ``sample_per_language`` documents per
-language, chosen by a hash of the key. Segments of sample documents are joined into
+language, chosen by a hash of the key, ``sample_rows`` of all languages, and texts of
+``sample_bytes`` in all, an equal part for each language; all their words make the
+lexicon, ``max_words`` of them, in segments drawn at random, the chains. Segments of sample documents are joined into
 code-switched chains, so that transitions are learned; the weights follow the
 gradient of the chain's log-likelihood (AdaGrad, numpy on the driver, whose
 memory is bounded by the sample). Scoring covers every document and whole
-texts; only one Arrow batch of documents is in memory.
+texts; potentials of about ``SCORED_WORDS`` words, or of one longer text, are in
+memory at a time.
 
 Null texts and texts without a letter get ``und`` and score 0. Languages are
 those seen in the sample; with no labelled row every document is ``und``.
@@ -27,10 +30,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trafficlens.llm.common import bounded_sample, ship_by_value, stored, worker_state
+from trafficlens.llm.common import hash_unit, ship_by_value, stored, within_bytes, worker_state
 
 ship_by_value(__name__)
 
@@ -41,6 +44,7 @@ SEGMENT = 24
 CHAIN = 96
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
+SCORED_WORDS = 1 << 17
 
 
 def words_of(text: str | None) -> list[str]:
@@ -219,21 +223,29 @@ def fit(sample: list[tuple[str, str]], epochs: int = 4, rate: float = 0.3, max_w
     return model
 
 
-def learned(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample_per_language: int = 600) -> Model:
-    """Fit on a bounded sample of the labelled rows of ``docs``."""
+def learned(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample_per_language: int = 600,
+            sample_rows: int = 30_000, sample_bytes: int = 128 << 20, max_words: int = 400_000) -> Model:
+    """Fit on a bounded sample of the labelled rows of ``docs``, drawn in one pass
+    whatever the number of languages; with over ``sample_rows /
+    sample_per_language`` of them each has fewer rows, one at least."""
     rows = docs.select(F.col(key).alias("key"), F.col(lang).alias("lang")).where(F.col("lang").isNotNull())
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    picked = [bounded_sample(rows.where(F.col("lang") == x), "key", sample_per_language, n) for x, n in sorted(counts.items())]
-    if not picked:
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = stored(counts, "langid-counts")
+    n_langs = counts.count()
+    if not n_langs:
         return fit([])
-    keys = picked[0]
-    for p in picked[1:]:
-        keys = keys.unionByName(p)
-    keys = stored(keys.select("key").distinct(), "langid-sample")
-    # the sample's keys are at most sample_per_language for each language
+    each = max(1, min(sample_per_language, sample_rows // n_langs))
+    u = hash_unit(F.lit("sample"), F.col("key").cast("string"))
+    # a threshold leaves about twice the rows wanted of a language
+    few = rows.join(counts, "lang").where((F.col("n") <= 2 * each) | (u < 2.0 * each / F.col("n")))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy(u, "key"))
+    keys = few.withColumn("place", first).where(F.col("place") <= each).select("key").distinct()
+    keys = stored(keys, "langid-sample")
+    # at most sample_rows keys, or one for each language
     got = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(F.col("lang").isNotNull())
-    got = got.join(F.broadcast(keys), "key", "left_semi").dropDuplicates(["key"]).orderBy("key").collect()
-    return fit([(r["text"], r["lang"]) for r in got])
+    got = stored(got.join(F.broadcast(keys), "key", "left_semi").dropDuplicates(["key"]), "langid-texts")
+    got = within_bytes(got, ["lang"], u, "text", sample_bytes // n_langs).orderBy("key").collect()
+    return fit([(r["text"], r["lang"]) for r in got], max_words=max_words)
 
 
 class _Words:
@@ -265,6 +277,19 @@ class _Words:
         return self.rows[np.array([at[w] for w in words], np.int64)]
 
 
+def _groups(texts: list[str | None]) -> Iterator[list[list[str]]]:
+    """The words of at most 256 texts at a time, fewer where texts are long."""
+    held, n = [], 0
+    for t in texts:
+        held.append(words_of(t))
+        n += len(held[-1])
+        if len(held) == 256 or n >= SCORED_WORDS:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
 def predictor(model: Model):
     """A column function text -> struct(lang, score)."""
     mark = uuid.uuid4().hex
@@ -275,8 +300,7 @@ def predictor(model: Model):
         for s in parts:
             langs, scores = [], []
             texts = s.tolist()
-            for i in range(0, len(texts), 256):
-                part = [words_of(t) for t in texts[i:i + 256]]
+            for part in _groups(texts):
                 lengths = np.array([len(p) for p in part], np.int64)
                 flat = [w for p in part for w in p]
                 if not flat or not model.langs:

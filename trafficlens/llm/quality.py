@@ -10,7 +10,7 @@ numpy. Margins become probabilities by a logistic fit on other sample rows.
 
 Fitting uses a bounded sample of labelled rows (``sample_rows``, chosen by a
 hash of the key): the log-count ratios come from all its rows, counted in Spark
-tasks; ``svm_rows`` of them fit the model, as many again calibrate it. Scoring covers
+tasks; ``svm_rows`` of them, texts of ``sample_bytes`` at most, fit the model, as many again calibrate it. Scoring covers
 every document and its whole text, a long one by slices of ``SLICE`` bytes, so that
 memory beside the text itself does not grow with it. Null and empty texts have no
 feature: their score is that of margin zero plus the bias. With one class only,
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trafficlens.llm.common import bounded_sample, ship_by_value, stored
+from trafficlens.llm.common import bounded_sample, hash_unit, ship_by_value, stored, within_bytes
 from trafficlens.llm.toxicity import logistic
 
 ship_by_value(__name__)
@@ -255,7 +255,8 @@ def fit(rows: list[tuple[str, int]], counts: np.ndarray, totals: tuple[float, fl
     return model
 
 
-def learned(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, svm_rows: int = 3000, label: str = "quality") -> Model:
+def learned(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, svm_rows: int = 3000, label: str = "quality",
+            sample_bytes: int = 256 << 20) -> Model:
     """Fit on a bounded sample of ``labels`` (doc_id, ``label``); keys with
     differing labels are left out."""
     one = labels.where(F.col(label).isNotNull()).groupBy(F.col("doc_id").alias("key")).agg(F.min(label).alias("y"), F.max(label).alias("high"))
@@ -266,7 +267,9 @@ def learned(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, svm_r
     rows = stored(rows, "quality-sample")
     counts, totals = class_counts(rows)
     few = F.broadcast(bounded_sample(keys, "key", 2 * svm_rows).select("key"))
-    got = rows.join(few, "key", "left_semi").dropDuplicates(["key"]).orderBy(F.xxhash64("key"), "key").select("text", "y")
+    got = rows.join(few, "key", "left_semi").dropDuplicates(["key"])
+    got = within_bytes(got, [], hash_unit(F.lit("sample"), F.col("key").cast("string")), "text", sample_bytes)
+    got = got.orderBy(F.xxhash64("key"), "key").select("text", "y")
     return fit([(r["text"], r["y"]) for r in got.toLocalIterator()], counts, totals, svm_rows)
 
 

@@ -12,8 +12,9 @@ checksum over data with checksums inside stays useful. Ids over 65,535 are refus
 
 Files are written by Spark's own text sink, one row per record (the newline is
 its line end): it works on any store that Spark reaches, and a lost executor
-or a second attempt leaves no half file. Rows are dealt by ranges of doc_id
-and sorted inside, so part files in the order of their numbers hold ascending
+or a second attempt leaves no half file. Rows are dealt by ranges of doc_id, as
+many as keep a file's text at about ``FILE_TEXT`` bytes whatever the size of the
+table, and sorted inside, so part files in the order of their numbers hold ascending
 doc_ids. Rows with a null doc_id come first; of equal doc_ids the order is
 that of a hash of the text. A null text is written as the end id alone.
 
@@ -45,6 +46,8 @@ ship_by_value(__name__)
 # fixed value of the format
 MASK_DELTA = 0xA282EAD8
 HEAD = 12
+# bytes of text to a file of records, about
+FILE_TEXT = 256 << 20
 TAIL = 5
 # white space but for space and line end, as Python sees it
 ODD_STOP = re.compile(r"[,.](?<![0-9A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F][,.])")
@@ -173,7 +176,11 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     """Write the records of all rows of ``docs`` under ``path``."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     tie = F.xxhash64("text")
-    rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), tie).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), tie)
+    order = F.col("doc_id").asc_nulls_first(), tie
+    octets = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
+    files, usual = -(-octets // FILE_TEXT), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # up to the session's number of ranges it is left to the planner, which merges small ones
+    rows = (rows.repartitionByRange(files, *order) if files > usual else rows.repartitionByRange(*order)).sortWithinPartitions(*order)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_state("encoder", (tokenizer_path, end_id), lambda: Encoder(tokenizer_path, end_id))

@@ -17,8 +17,9 @@ by less than ``TELLS``), every score is the share of toxic rows, ``UNSEEN`` at m
 counts as toxic.
 
 Fitting uses a bounded sample of labelled rows, ``most_toxic`` and
-``most_ordinary`` documents chosen by a hash of the key; scoring covers every
-document and its whole text. Null and empty texts have no window: they get the
+``most_ordinary`` documents chosen by a hash of the key, texts of ``sample_bytes`` in
+all for each class, and ``most_windows`` of their ordinary windows, drawn at random,
+for the ordinary dictionary; scoring covers every document and its whole text. Null and empty texts have no window: they get the
 score of distance zero. With no toxic or no ordinary row in the sample every
 score is 0.
 """
@@ -36,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trafficlens.llm.common import bounded_sample, ship_by_value, stored, worker_state
+from trafficlens.llm.common import bounded_sample, hash_unit, ship_by_value, stored, within_bytes, worker_state
 
 ship_by_value(__name__)
 
@@ -121,7 +122,7 @@ class Distances:
         return float(most), math.log1p(total)
 
 
-def fit(toxic: list[str], ordinary: list[str], window_words: int = 1, seed: int = 1) -> Model:
+def fit(toxic: list[str], ordinary: list[str], window_words: int = 1, seed: int = 1, most_windows: int = 80_000) -> Model:
     if not toxic or not ordinary:
         return Model(b"", b"", window_words, [])
     toxic, ordinary = list(dict.fromkeys(toxic)), list(dict.fromkeys(ordinary))
@@ -142,7 +143,7 @@ def fit(toxic: list[str], ordinary: list[str], window_words: int = 1, seed: int
         own = sorted(w for w in windows(t, 1) if not strange.isdisjoint(grams(w)))
         random.shuffle(own)
         char += [b" " + b" ".join(own[i:i + 4]) + b" " for i in range(0, len(own), 4)]
-    model = Model(dictionary(plain[:80_000], ORDINARY_BYTES), dictionary(char, TOXIC_BYTES), window_words, [])
+    model = Model(dictionary(plain[:most_windows], ORDINARY_BYTES), dictionary(char, TOXIC_BYTES), window_words, [])
     at = Distances(model)
     x = np.array([at.features(t) for t in toxic + ordinary])
     y = np.array([1.0] * len(toxic) + [0.0] * len(ordinary))
@@ -168,8 +169,8 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 60
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bounds: dict[int, int], key: str = "doc_id",
-                    text: str = "text") -> dict[int, list[str]]:
-    """At most ``bounds[v]`` texts per label value ``v``. Keys with differing
+                    text: str = "text", sample_bytes: int = 128 << 20) -> dict[int, list[str]]:
+    """At most ``bounds[v]`` texts, of ``sample_bytes`` at most, per label value ``v``. Keys with differing
     labels are left out. The keys are bounded, so they are broadcast and the
     texts are not shuffled."""
     one = labels.where(F.col(label).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.min(label).alias("low"), F.max(label).alias("high"))
@@ -180,6 +181,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bounds: dict
         keys = part if keys is None else keys.unionByName(part)
     keys = stored(keys, "label-sample")
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(keys), "key").dropDuplicates(["key"])
+    rows = within_bytes(stored(rows, "label-texts"), ["y"], hash_unit(F.lit("sample"), F.col("key").cast("string")), "text", sample_bytes)
     out: dict[int, list[str]] = {v: [] for v in bounds}
     for r in rows.orderBy("key").collect():
         if r["text"]:
@@ -187,10 +189,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bounds: dict
     return out
 
 
-def learned(docs: DataFrame, labels: DataFrame, window_words: int = 1, most_toxic: int = 1500, most_ordinary: int = 3000) -> Model:
+def learned(docs: DataFrame, labels: DataFrame, window_words: int = 1, most_toxic: int = 1500, most_ordinary: int = 3000,
+            sample_bytes: int = 128 << 20, most_windows: int = 80_000) -> Model:
     """Fit on a bounded sample of ``labels`` (doc_id, toxic)."""
-    got = labelled_sample(docs, labels, "toxic", {1: most_toxic, 0: most_ordinary})
-    return fit(got[1], got[0], window_words)
+    got = labelled_sample(docs, labels, "toxic", {1: most_toxic, 0: most_ordinary}, sample_bytes=sample_bytes)
+    return fit(got[1], got[0], window_words, most_windows=most_windows)
 
 
 def scorer(model: Model):
