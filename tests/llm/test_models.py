@@ -390,3 +390,68 @@ def test_word_counts_against_plain_counts(spark, edge_docs, no_docs):
     want = Counter(w for r in edge_docs.collect() for w in (r.text or "").lower().split())
     assert {r.w: r.n for r in pseudo.word_counts(edge_docs).collect()} == dict(want)
     assert pseudo.word_counts(no_docs).count() == 0
+
+
+def test_a_step_keeps_its_memory():
+    """Steps of like size work in the memory of the first: fresh arrays cost about as much as the sums."""
+    rng = np.random.default_rng(3)
+    net, acc = pseudo.Net.first([9, 5, 3], 100), pseudo.Net(np.full(pseudo.Net.SIZE, 1e-4, np.float32))
+    around, target = (rng.integers(0, pseudo.VOCAB, n).astype(np.uint16) for n in ((4096, 2 * pseudo.REACH), 4096))
+    fresh = {}
+    tracemalloc.start()
+    try:
+        for name, work in (("step", lambda: net.step(acc, around, target, 0.1)), ("log_probs", lambda: net.log_probs(around, target))):
+            work()
+            tracemalloc.reset_peak()
+            before = tracemalloc.get_traced_memory()[0]
+            work()
+            fresh[name] = tracemalloc.get_traced_memory()[1] - before
+    finally:
+        tracemalloc.stop()
+    one = 4096 * pseudo.PER_CLASS * 4  # the logits of the words
+    assert fresh["step"] < 1.5 * one and fresh["log_probs"] < one, fresh
+
+
+def test_arrow_words_are_those_of_bytes():
+    import pyarrow as pa
+
+    every = "".join(map(chr, range(256)))
+    texts = [None, "", " \t\x0b", "  a B\r\nc ", every, "É é x\x85y\x1cz THE", "a" * 40, "the the " * 30, "q"]
+    want = [(t or "").encode().lower().split() for t in texts]
+    words, starts = pseudo.split_words(pa.array(texts))
+    words = words.cast(pa.binary()).to_pylist()
+    assert [words[a:b] for a, b in zip(starts, starts[1:])] == want
+    # pieces keep all rows in order and their bounds, across batches and inside them
+    table = pa.table({"i": range(len(texts)), "text": texts})
+    for size in (1, 2, 9):
+        got = list(pseudo.pieces(iter(table.to_batches(max_chunksize=size)), 100))
+        sizes = [sum(len((t or "").encode()) + pseudo.ROW for t in p["text"].to_pylist()) for p in got]
+        assert pa.concat_tables(got) == table and all(len(p) == 1 or s <= 100 for p, s in zip(got, sizes))
+        assert all(s + len((p["text"][0].as_py() or "").encode()) + pseudo.ROW > 100 for s, p in zip(sizes, got[1:])) and len(got) > 3
+    assert list(pseudo.pieces(iter([]), 50)) == []
+
+
+def test_token_ids_against_plain_ids(spark, monkeypatch):
+    """Ids, and by the chunk's list the hash of every shared-id word, of rows in several chunks."""
+    import xxhash
+
+    monkeypatch.setattr(pseudo, "CHUNK_RARE", 2)
+    rows = [(1, "the Aa  b\x1cc"), (None, None), (2, ""), (2, " \x0b "), (3, "É aa of q the"), (4, "x" * 90 + " aa x"), (5, "aa b zz zz"), (6, "of the")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    known, listed, want, got = ["the", "of"], defaultdict(list), [], []
+    for i, t in rows:
+        words = (t or "").encode().lower().split()
+        ids = [known.index(w.decode()) if w.decode() in known else pseudo.TOP + crc32(w[-3:]) % pseudo.RARE for w in words]
+        want.append((i, ids, [xxhash.xxh64_intdigest(w, pseudo.SEED) for w in words if w.decode() not in known]))
+    tokens = pseudo.token_ids(docs, known).collect()
+    for r in tokens:
+        assert r.start == len(listed[r.chunk])
+        listed[r.chunk] += r.new
+    for r in tokens:
+        rare = [listed[r.chunk][i] % (1 << 64) for i in np.frombuffer(r.rare, "<u4")]
+        got.append((r.doc_id, np.frombuffer(r.ids, "<u2").tolist(), rare))
+    assert got == want and len(listed) > 2 and len({(r.chunk, r["at"]) for r in tokens}) == len(rows)
+    assert all(len(set(hashes)) == len(hashes) for hashes in listed.values())
+    # without any frequent word, and without any word
+    assert all(len(r.ids) == len(r.rare) // 2 for r in pseudo.token_ids(docs, []).collect())
+    assert [(r.ids, r.rare, r.new) for r in pseudo.token_ids(docs.where("text is null"), known).collect()] == [(b"", b"", [])]

@@ -35,10 +35,10 @@ result row each.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -60,32 +60,71 @@ CHUNK = 16_384
 STEP = 4096
 SCORED = 8192
 PART = 8192
-# seed of Spark's xxhash64; shared-id words of a chunk of documents; smoothing
+# seed of Spark's xxhash64; shared-id words of a chunk of documents, about, bytes of
+# text to each of them, and bytes that a row counts besides its text; smoothing
 SEED = 42
 CHUNK_RARE = 1 << 19
+PER_RARE = 16
+ROW = 16
 UNSEEN = 0.5
+# the cells of each row of a table of neighbours
+CELLS = np.arange((VOCAB + 1) * HIDDEN).reshape(VOCAB + 1, HIDDEN)
+
+
+def pieces(batches, most: int):
+    """Tables with the rows of the batches in order, each with texts (the last
+    column) of at most ``most`` bytes in all, ``ROW`` added to each; a longer text
+    is alone."""
+    held, room = [], most
+    for b in batches:
+        size = pc.fill_null(pc.binary_length(b.column(b.num_columns - 1)), 0).to_numpy(zero_copy_only=False)
+        ends, at = np.cumsum(size.astype(np.int64) + ROW), 0
+        while at < b.num_rows:
+            before = ends[at - 1] if at else 0
+            upto = int(np.searchsorted(ends, before + room, side="right"))
+            if upto == at and not held:
+                upto += 1
+            if upto > at:
+                held.append(b.slice(at, upto - at))
+                room, at = room - (ends[upto - 1] - before), upto
+            if at < b.num_rows:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, room = [], most
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after the other, and where each text's words start
+    (with the end of the last)."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    words, starts = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+    # white space at the ends of a text makes empty words
+    full = pc.greater(pc.binary_length(words), 0)
+    upto = np.concatenate(([0], np.cumsum(full.to_numpy(zero_copy_only=False), dtype=np.int64)))
+    return words.filter(full), upto[starts - starts[0]]
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """w, n: all different words of all texts and their counts. A task counts
-    the words of its texts up to ``CHUNK_RARE`` different ones at a time; only
+    the words of its texts up to ``CHUNK_RARE`` different ones or so at a time; only
     these counts are shuffled."""
 
-    def run(batches):
-        held: Counter = Counter()
-
-        def out():
-            return pa.record_batch([pa.array(list(held), pa.binary()).cast(pa.string()), pa.array(held.values(), pa.int64())], names=["w", "n"])
+    def merged(held):
+        return pa.concat_tables(held).group_by("w").aggregate([("n", "sum")]).rename_columns(["w", "n"])
 
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                if t:
-                    held.update(t.encode("utf-8", "surrogatepass").lower().split())
-                if len(held) >= CHUNK_RARE:
-                    yield out()
-                    held.clear()
+    def run(batches):
+        held = []
+        for piece in pieces(batches, CHUNK_RARE * PER_RARE):
+            words, _ = split_words(piece.column(0).combine_chunks())
+            held.append(pa.table(pc.value_counts(words).flatten(), names=["w", "n"]))
+            if sum(map(len, held)) >= CHUNK_RARE:
+                held = [merged(held)]
+                if 2 * len(held[0]) >= CHUNK_RARE:
+                    yield from held[0].to_batches()
+                    held = []
         if held:
-            yield out()
+            yield from merged(held).to_batches()
 
     part = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "w string, n bigint")
     return stored(part.groupBy("w").agg(F.sum("n").alias("n")), "word-counts")
@@ -110,6 +149,12 @@ def most_frequent(counts: DataFrame) -> list[tuple[str, int]]:
     return [(r["w"], r["n"]) for r in top.collect()]
 
 
+def by_row(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The bytes of the values from each start to the next."""
+    offsets = pa.array(starts * values.itemsize, pa.int32())
+    return pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, offsets.buffers()[1], pa.py_buffer(values)])
+
+
 def token_ids(docs: DataFrame, words: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, ids (two bytes each) of all rows; chunk and at, which name the row;
     rare (four bytes each): the places of its shared-id words in the chunk's list of
@@ -118,41 +163,35 @@ def token_ids(docs: DataFrame, words: list[str], doc_id: str = "doc_id", text: s
                            T.StructField("chunk", T.LongType()), T.StructField("at", T.IntegerType()),
                            T.StructField("rare", T.BinaryType()), T.StructField("start", T.IntegerType()),
                            T.StructField("new", T.ArrayType(T.LongType()))])
-    known = {w.encode("utf-8", "surrogatepass"): i for i, w in enumerate(words)}
-
-    class Places(dict):
-        """Of each word its id and, from bit 16 on, one more than the place of a
-        shared-id word; a word not met before gets the next place."""
-
-        def __init__(self):
-            super().__init__(known)
-            self.new: list[int] = []
-
-        def __missing__(self, w: bytes) -> int:
-            self[w] = x = TOP + zlib.crc32(w[-3:]) % RARE | len(self) - len(known) + 1 << 16
-            self.new.append(xxhash.xxh64_intdigest(w, SEED))
-            return x
+    frequent = pa.array(words, pa.string())
 
     def run(batches):
-        chunk, at, n, places = TaskContext.get().partitionId() << 32, 0, 0, Places()
-        for b in batches:
-            out = [[] for _ in range(6)]
-            for t in b.column(1).to_pylist():
-                if n >= CHUNK_RARE:
-                    chunk, at, n, places = chunk + 1, 0, 0, Places()
-                start = len(places) - len(known)
-                words = t.encode("utf-8", "surrogatepass").lower().split() if t else ()
-                found = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
-                shared = found >> 16
-                rare = shared[shared > 0] - 1
-                row = ((found & 0xFFFF).astype("<u2").tobytes(), chunk, at, rare.astype("<u4").tobytes(), start,
-                       np.array(places.new, np.uint64).view(np.int64))
-                places.new = []
-                for column, x in zip(out, row):
-                    column.append(x)
-                at, n = at + 1, n + len(rare)
-            kinds = pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.list_(pa.int64())
-            yield pa.record_batch([b.column(0), *(pa.array(x, k) for x, k in zip(out, kinds))], names=schema.names)
+        for k, piece in enumerate(pieces(batches, CHUNK_RARE * PER_RARE)):
+            found, starts = split_words(piece.column(1).combine_chunks())
+            coded = found.dictionary_encode()
+            kinds, code = coded.dictionary, coded.indices.to_numpy()
+            # of each different word its id and, if that is a shared one, its place
+            ids = pc.fill_null(pc.index_in(kinds, frequent), -1).to_numpy().astype(np.int64)
+            listed = np.flatnonzero(ids < 0)
+            place = np.full(len(ids), -1, np.int64)
+            place[listed] = np.arange(len(listed))
+            kinds = kinds.take(pa.array(listed)).cast(pa.binary())
+            tails = pc.binary_slice(kinds, -3).dictionary_encode()
+            shared = np.array([TOP + zlib.crc32(x) % RARE for x in tails.dictionary.to_pylist()], np.int64)
+            ids[listed] = shared[tails.indices.to_numpy()]
+            hashes = np.array([xxhash.xxh64_intdigest(w, SEED) for w in kinds.to_numpy(zero_copy_only=False)], np.uint64).view(np.int64)
+            rare = place[code]
+            is_rare = rare >= 0
+            rare = rare[is_rare]
+            rare_starts = np.concatenate(([0], np.cumsum(is_rare)))[starts]
+            # places are numbered as the words come, so a row adds those over all before
+            new_starts = np.concatenate(([0], np.maximum.accumulate(rare) + 1))[rare_starts]
+            n = len(piece)
+            columns = [piece.column(0).combine_chunks(), by_row(ids[code].astype("<u2"), starts),
+                       pa.array(np.full(n, (TaskContext.get().partitionId() << 32) + k), pa.int64()), pa.array(np.arange(n), pa.int32()),
+                       by_row(rare.astype("<u4"), rare_starts), pa.array(new_starts[:-1], pa.int32()),
+                       pa.ListArray.from_arrays(pa.array(new_starts, pa.int32()), pa.array(hashes, pa.int64()))]
+            yield pa.record_batch(columns, names=schema.names)
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
 
@@ -195,7 +234,7 @@ class Net:
     SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
 
     def __init__(self, flat: np.ndarray):
-        self.flat, at = flat, 0
+        self.flat, self.held, at = flat, {}, 0
         for name, shape in self.SHAPES.items():
             n = int(np.prod(shape))
             setattr(self, name, flat[at:at + n].reshape(shape))
@@ -214,15 +253,31 @@ class Net:
         net.word_bias[:] = np.log(by_class / by_class.sum(axis=1, keepdims=True))
         return net
 
+    def room(self, name: str, *shape: int, kind: type = np.float32) -> np.ndarray:
+        """An array for intermediate values, in memory that is kept from one batch
+        of positions to the next: fresh memory costs about as much as the sums."""
+        n = int(np.prod(shape))
+        if name not in self.held or len(self.held[name]) < n:
+            self.held[name] = np.empty(n, kind)
+        return self.held[name][:n].reshape(shape)
+
     def hidden(self, around: np.ndarray) -> np.ndarray:
-        h = np.repeat(self.b[None, :], len(around), axis=0)
-        for c in range(2 * REACH):
-            h += np.take(self.near[c], around[:, c], axis=0)
+        """Of neighbours by place and position; held until the next batch."""
+        h, row = (self.room(x, around.shape[1], HIDDEN) for x in ("h", "row"))
+        h[:] = self.b
+        for table, ids in zip(self.near, around):
+            # all ids are in the table; "clip" lets take write into row directly
+            h += np.take(table, ids, axis=0, out=row, mode="clip")
         return np.tanh(h, out=h)
 
+    def class_logits(self, h: np.ndarray) -> np.ndarray:
+        z = np.matmul(h, self.to_class, out=self.room("class", len(h), CLASSES))
+        z += self.class_bias
+        return z
+
     def word_logits(self, h: np.ndarray, cuts: list[int]) -> np.ndarray:
         """Logits of the words of each row's class; rows are ordered by class."""
-        z = np.empty((len(h), PER_CLASS), np.float32)
+        z = self.room("word", len(h), PER_CLASS)
         for c in range(CLASSES):
             a, b = cuts[c], cuts[c + 1]
             if a < b:
@@ -232,11 +287,9 @@ class Net:
 
     def log_probs(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         order, cuts = by_class(target)
-        h, target = self.hidden(around[order]), target[order]
-        z = h @ self.to_class
-        z += self.class_bias
-        found = log_softmax(z, target // PER_CLASS)
-        found += log_softmax(self.word_logits(h, cuts), target % PER_CLASS)
+        h, target = self.hidden(ordered(around, order)), target[order]
+        found = log_softmax(self.class_logits(h), target // PER_CLASS, self.room("exps", len(h), CLASSES))
+        found += log_softmax(self.word_logits(h, cuts), target % PER_CLASS, self.room("exps", len(h), PER_CLASS))
         out = np.empty_like(found)
         out[order] = found
         return out
@@ -245,38 +298,46 @@ class Net:
         """One AdaGrad step on a batch of positions."""
         n = len(target)
         order, cuts = by_class(target)
-        around, target = around[order], target[order]
-        h = self.hidden(around)
-        z = h @ self.to_class
-        z += self.class_bias
-        err = softmax(z)
-        err[np.arange(n), target // PER_CLASS] -= 1
-        dh = err @ self.to_class.T
+        around, target = ordered(around, order), target[order]
+        h, grad, every = self.hidden(around), Net(self.room("grad", self.SIZE)), np.arange(n)
+        err = softmax(self.class_logits(h), self.room("exps", n, CLASSES))
+        err.reshape(-1)[every * CLASSES + target // PER_CLASS] -= 1
+        dh, part = np.matmul(err, self.to_class.T, out=self.room("dh", n, HIDDEN)), self.room("row", n, HIDDEN)
         ones = np.ones(n, np.float32)
-        to_word, word_bias = np.zeros_like(self.to_word), np.zeros_like(self.word_bias)
-        updates = [("to_class", h.T @ err), ("class_bias", ones @ err), ("to_word", to_word), ("word_bias", word_bias)]
+        np.matmul(h.T, err, out=grad.to_class)
+        np.matmul(ones, err, out=grad.class_bias)
         # one softmax for all classes: each row has the words of its own
-        err = softmax(self.word_logits(h, cuts))
-        err[np.arange(n), target % PER_CLASS] -= 1
+        err = softmax(self.word_logits(h, cuts), self.room("exps", n, PER_CLASS))
+        err.reshape(-1)[every * PER_CLASS + target % PER_CLASS] -= 1
         for c in range(CLASSES):
             a, b = cuts[c], cuts[c + 1]
             if a < b:
-                dh[a:b] += err[a:b] @ self.to_word[c].T
-                np.matmul(h[a:b].T, err[a:b], out=to_word[c])
-                np.matmul(ones[a:b], err[a:b], out=word_bias[c])
-        dh *= 1 - h * h
-        updates.append(("b", ones @ dh))
+                np.matmul(err[a:b], self.to_word[c].T, out=part[a:b])
+                np.matmul(h[a:b].T, err[a:b], out=grad.to_word[c])
+                np.matmul(ones[a:b], err[a:b], out=grad.word_bias[c])
+            else:
+                grad.to_word[c], grad.word_bias[c] = 0, 0
+        dh += part
+        h *= h
+        dh *= np.subtract(1, h, out=h)
+        np.matmul(ones, dh, out=grad.b)
         # sums by table cell: a histogram of the cells, weighted by the slopes
-        slopes, cell = dh.ravel().astype(np.float64), np.arange(HIDDEN)
-        near = [np.bincount((around[:, c, None] * HIDDEN + cell).ravel(), slopes, (VOCAB + 1) * HIDDEN) for c in range(2 * REACH)]
-        updates.append(("near", np.stack(near).reshape(self.near.shape).astype(np.float32)))
-        for name, g in updates:
-            g /= n
-            acc = getattr(grad2, name)
-            acc += g * g
-            g *= rate
-            g /= np.sqrt(acc)
-            getattr(self, name)[...] -= g
+        slopes, cells = self.room("slopes", n, HIDDEN, kind=np.float64), self.room("cells", n, HIDDEN, kind=np.intp)
+        slopes[:] = dh
+        for total, ids in zip(grad.near, around):
+            np.take(CELLS, ids, axis=0, out=cells, mode="clip")
+            total[:] = np.bincount(cells.ravel(), slopes.ravel(), total.size).reshape(total.shape)
+        g, acc, square = grad.flat, grad2.flat, self.room("square", self.SIZE)
+        g /= n
+        acc += np.multiply(g, g, out=square)
+        g *= rate
+        g /= np.sqrt(acc, out=square)
+        self.flat -= g
+
+
+def ordered(around: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """The neighbours of the positions in ``order``, one row of them for each place."""
+    return np.stack([column[order] for column in around.T], dtype=np.intp)
 
 
 def by_class(target: np.ndarray) -> tuple[np.ndarray, list[int]]:
@@ -285,28 +346,30 @@ def by_class(target: np.ndarray) -> tuple[np.ndarray, list[int]]:
     return np.argsort(cls, kind="stable"), np.concatenate(([0], np.cumsum(np.bincount(cls, minlength=CLASSES)))).tolist()
 
 
-def exps(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """exp(z - high), its sums by row, and high. One number is taken off all rows,
-    which is faster than the largest of each; where a row lies far below it, its own."""
+def exps(z: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Writes exp(z - high) to ``e`` and returns its sums by row, and high. One number is
+    taken off all rows, which is faster than the largest of each; where a row lies far
+    below it, its own."""
     high = z.max()
-    e = np.exp(z - high)
+    np.exp(np.subtract(z, high, out=e), out=e)
     total = e @ np.ones(z.shape[1], z.dtype)
     if total.min() < 1e-20:
         high = z.max(axis=1)
-        e = np.exp(z - high[:, None])
+        np.exp(np.subtract(z, high[:, None], out=e), out=e)
         total = e.sum(axis=1)
-    return e, total, high
+    return total, high
 
 
-def softmax(z: np.ndarray) -> np.ndarray:
-    e, total, _ = exps(z)
+def softmax(z: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """In ``e``."""
+    total, _ = exps(z, e)
     e /= total[:, None]
     return e
 
 
-def log_softmax(z: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Of each row, the logarithmic probability of the entry ``at``."""
-    _, total, high = exps(z)
+def log_softmax(z: np.ndarray, at: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Of each row, the logarithmic probability of the entry ``at``; ``e`` is overwritten."""
+    total, high = exps(z, e)
     return z[np.arange(len(z)), at] - high - np.log(total)
 
 
@@ -318,8 +381,8 @@ def contexts(docs_ids: list[np.ndarray], turn: int = 0, rounds: int = 1) -> tupl
     at = np.flatnonzero(flat != PAD)
     if rounds > 1:
         at = at[targets(docs_ids, turn, rounds)]
-    offsets = [o for o in range(-REACH, REACH + 1) if o]
-    return np.stack([flat[at + o] for o in offsets], axis=1).astype(np.int32), flat[at].astype(np.int32)
+    # by place: a place's ids lie side by side
+    return np.stack([flat[at + o] for o in range(-REACH, REACH + 1) if o]).T, flat[at]
 
 
 def _batches(batches, most: int):
